@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from colloquy.llm import bpe, fingerprint, lm, secrets, substring_dedup
+from colloquy.llm import bpe, fingerprint, html_extract, lm, secrets, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
 def op6_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_next(table(spark, sf_dir, "documents"))
 
@@ -32,5 +36,5 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scans, op3_lm_scoring, op4_byte_bpe, op6_merkle_fingerprints, op8_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_secret_scans, op3_lm_scoring, op4_byte_bpe, op5_html_extraction, op6_merkle_fingerprints, op8_substring_dedup)}
 SQL: dict[str, str] = {}
