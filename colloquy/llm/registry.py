@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from colloquy.llm import bpe, fingerprint, html_extract, jaccard, lm, secrets, substring_dedup
+from colloquy.llm import bpe, embed_dedup, fingerprint, html_extract, jaccard, lm, secrets, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op6_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup(table(spark, sf_dir, "documents"))
 
@@ -40,5 +44,5 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scans, op3_lm_scoring, op4_byte_bpe, op5_html_extraction, op6_merkle_fingerprints, op8_substring_dedup, op9_ngram_jaccard)}
+QUERIES = {f.__name__: f for f in (op1_secret_scans, op3_lm_scoring, op4_byte_bpe, op5_html_extraction, op6_merkle_fingerprints, op7_embedding_dedup, op8_substring_dedup, op9_ngram_jaccard)}
 SQL: dict[str, str] = {}
