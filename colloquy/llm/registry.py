@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from colloquy.llm import bpe, embed_dedup, fingerprint, html_extract, jaccard, lm, secrets, substring_dedup
+from colloquy.llm import bpe, embed_dedup, fingerprint, html_extract, jaccard, lm, mixing, quality, secrets, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"))
+
+
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
 
@@ -44,5 +48,15 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scans, op3_lm_scoring, op4_byte_bpe, op5_html_extraction, op6_merkle_fingerprints, op7_embedding_dedup, op8_substring_dedup, op9_ngram_jaccard)}
-SQL: dict[str, str] = {}
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.sampled(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_secret_scans, op2_quality_classifier, op3_lm_scoring, op4_byte_bpe, op5_html_extraction, op6_merkle_fingerprints,
+        op7_embedding_dedup, op8_substring_dedup, op9_ngram_jaccard, op10_source_mixing,
+    )
+}
+SQL: dict[str, str] = {"op10_source_mixing": mixing.sql()}
