@@ -1,21 +1,49 @@
-"""Documents to training tokens in five stages; each reads what its predecessor wrote."""
+"""Documents to training tokens in five stages; each reads what its predecessor wrote.
+
+quality classifier: rejected documents go.  n-gram Jaccard join: one document of each group
+stays.  secret scans: spans are masked.  mixing sources to target weights: documents are
+sampled.  byte-level BPE: texts become token ids.
+"""
 
 from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from colloquy.llm import secrets
+from colloquy.llm import bpe, jaccard, mixing, quality, secrets
 from colloquy.llm.common import scratch_dir
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.keep_good(docs)
+
+
+def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.keep_first(docs)
+
+
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return secrets.redact(docs)
 
 
-STAGES = [("secret scans", secret_scans)]
-ORACLE_SQL = None
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs)
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bpe.append_tokens(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("n-gram Jaccard join", ngram_jaccard),
+    ("secret scans", secret_scans),
+    ("mixing sources to target weights", source_mixing),
+    ("byte-level BPE encoding and decoding", byte_bpe),
+]
+ORACLE_SQL = None  # the classifier and the transducer are beyond SQL; tests hold the rows against plain versions
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
