@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from colloquy.plans import clips, texts
+from colloquy.plans import clips, samples, texts
 from colloquy.sources.views import with_views
 
-PARTS = (texts, clips)
+PARTS = (texts, clips, samples)
 QUERIES = {k: f for part in PARTS for k, f in part.QUERIES.items()}
 SQL = {k: with_views(s) for part in PARTS for k, s in part.SQL.items()}
