@@ -76,6 +76,11 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def hint_small(written: DataFrame, rows: int = 500_000) -> DataFrame:
+    """A written table, marked for a broadcast join if a count shows it has at most `rows` rows."""
+    return F.broadcast(written) if written.count() <= rows else written
+
+
 # ---------------------------------------------------------------- hashing
 def mix(a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
     """A 64-bit hash of the ordered pair (a, b), element by element."""

@@ -209,7 +209,7 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, words: int = WORDS, re
     )
     C.release(spark)
     packed = (
-        texts.join(members, F.col("doc_id") == F.col("rep")).select("rep", "grp", "size", "n_docs", "set_hi", "set_lo", "text")
+        texts.join(C.hint_small(members), F.col("doc_id") == F.col("rep")).select("rep", "grp", "size", "n_docs", "set_hi", "set_lo", "text")
         .mapInArrow(_packed(words), "rep long, grp long, size long, n_docs long, set_hi long, shingles binary")
     )
     dealt = pairs.deal(packed, tile).select("grp", "ga", "gb", "mine", "rep", "set_hi", "n_docs", "shingles")
@@ -229,5 +229,5 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, words: int = WORDS, re
 
 def keep_first(docs: DataFrame, **how) -> DataFrame:
     """docs without all but one document of each class; columns stay.  Rows without doc_id stay."""
-    gone = join(docs, **how).where("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    gone = C.materialize(join(docs, **how).where("not kept").select("doc_id").distinct())
+    return docs.join(C.hint_small(gone), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
