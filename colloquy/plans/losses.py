@@ -92,8 +92,8 @@ def total_loss(spark, d):
 _STEPS = "(select tag, step, cast(floor(loss * 10) as bigint) as real, step % 7 as pad, step % 5 as placed, 5 as injected, step % 100 + 1 as words, 0.1e0 + step % 13 / 10e0 as seconds from fx_metrics)"
 
 
-@query(f"""select tag, step, round(case when real + pad > 0 then 100e0 * real / (real + pad) else 0 end, 4) as real_pct, round(100e0 * n / 8000, 4) as done_pct, round(placed / 5e0, 6) as place_rate, round(words / seconds, 6) as words_per_sec,
-  round(sw / ss, 6) as avg_words_per_sec, round(ss / n * greatest(8000 - n, 0), 6) as eta_sec from (select *, count(*) over w as n, sum(words) over w as sw, sum(seconds) over w as ss from {_STEPS} window w as (partition by tag order by step rows unbounded preceding))""")
+@query(f"""select tag, step, round(case when real + pad > 0 then 100e0 * real / (real + pad) else 0 end, 4) as real_pct, round(100e0 * n / 8000, 4) as done_pct, round(placed / 5e0, 6) as place_rate, round(words / seconds, 4) as words_per_sec,
+  round(sw / ss, 4) as avg_words_per_sec, round(ss / n * greatest(8000 - n, 0), 6) as eta_sec from (select *, count(*) over w as n, sum(words) over w as sw, sum(seconds) over w as ss from {_STEPS} window w as (partition by tag order by step rows unbounded preceding))""")
 def train_log_ratios(spark, d):
     steps = view(spark, d, "fx_metrics").select(
         "tag", "step", F.floor(F.col("loss") * 10).alias("real"), (F.col("step") % 7).alias("pad"), (F.col("step") % 5).alias("placed"), F.lit(5).alias("injected"),

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def folder(spark: SparkSession) -> str:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Write df as Parquet and read it back: its rows and their partition numbers are then fixed."""
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-    path = f"{base}/colloquy-{uuid.uuid4().hex}"
+    path = f"{folder(spark)}/colloquy-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
