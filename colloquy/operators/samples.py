@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colloquy.functions import rules as R
+from colloquy.sources.scratch import materialize
 
 RATE, CHUNK_SEC, BUDGET = 12.5, 40.0, 120
 PAD, END_OF_PAD, IN_WORD, ZERO = 3, 0, -2, -1
@@ -45,8 +47,6 @@ def global_index(rows: DataFrame, *order: str, name: str = "i") -> DataFrame:
     Range partitioning sorts; each partition numbers its rows; sums of the partitions' sizes,
     one row for each partition, are the offsets.
     """
-    from colloquy.sources.scratch import materialize
-
     # the partition number is fixed by writing the ordered rows once
     parted = rows.repartitionByRange(*[F.col(c) for c in order]).withColumn("_p", F.spark_partition_id())
     kept = materialize(parted)
@@ -178,8 +178,6 @@ def queue_stream(tokens: list, starts: list, ends: list, frames: int, rate: floa
 
 
 def text_stream_queue(words: DataFrame, frames: int, rate: float = RATE, by: tuple[str, ...] = ("clip", "chunk")) -> DataFrame:
-    import pandas as pd
-
     rows = words.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("start_sec", "pos", "end_sec", "tokens"))).alias("w"))  # a chunk's words
 
     @F.pandas_udf("array<int>")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from colloquy.functions.hashing import stable_index
@@ -125,8 +126,6 @@ def write_audio(spark, d):
 
 @query()
 def read_audio(spark, d):
-    import pandas as pd
-
     @F.pandas_udf("array<float>")
     def decode(content: pd.Series) -> pd.Series:
         return content.map(lambda b: A.decode_wav(b, 24_000))

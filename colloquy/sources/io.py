@@ -52,7 +52,7 @@ def read_voices(spark: SparkSession, folder: str) -> DataFrame:
     path = F.when(F.col("s.wav").startswith("/") | F.col("s.wav").contains("://"), F.col("s.wav")).otherwise(F.concat(F.lit(f"{folder}/"), "s.wav"))
     stem = F.regexp_replace(F.substring_index("s.wav", "/", -1), r"\.[^.]*$", "")
     texts = spark.read.format("text").option("wholetext", True).option("pathGlobFilter", "*.txt").load(folder)
-    beside = texts.select(F.regexp_replace(F.substring_index(F.input_file_name(), "/", -1), r"\.txt$", "").alias("stem"), F.trim("value").alias("beside"))
+    beside = texts.select(F.regexp_replace(F.substring_index(F.input_file_name(), "/", -1), r"\.txt$", "").alias("stem"), T.trim(F.col("value")).alias("beside"))
     out = s.select("pos", F.coalesce(F.nullif("s.id", F.lit("")), stem).alias("name"), F.upper(F.coalesce("s.gender", F.lit(""))).alias("gender"), F.nullif(F.trim("s.text"), F.lit("")).alias("own"), path.alias("path"), stem.alias("stem"))
     return out.join(beside, "stem", "left").select("pos", "name", "gender", F.coalesce("own", "beside").alias("text"), "path")
 
