@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from colloquy.llm import bpe, embed_dedup, fingerprint, html_extract, jaccard, lm, mixing, quality, secrets, substring_dedup
+from colloquy.llm import bpe, embed_dedup, fingerprint, html_extract, jaccard, lm, mixing, oracles, quality, secrets, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,4 +59,7 @@ QUERIES = {
         op7_embedding_dedup, op8_substring_dedup, op9_ngram_jaccard, op10_source_mixing,
     )
 }
-SQL: dict[str, str] = {"op10_source_mixing": mixing.sql()}
+SQL: dict[str, str] = {
+    "op1_secret_scans": secrets.sql(), "op7_embedding_dedup": oracles.EMBEDDING_DEDUP, "op8_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op9_ngram_jaccard": oracles.NGRAM_JACCARD, "op10_source_mixing": mixing.sql(),
+}

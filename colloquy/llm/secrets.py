@@ -200,3 +200,31 @@ def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
         kind = docs.schema["n_chars"].dataType
         new["n_chars"] = F.when(some, F.length("clean").cast(kind)).otherwise(F.col("row.n_chars"))
     return marked.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+
+
+def sql() -> str:
+    """digest() over documents as DuckDB SQL.  Its regular expressions have no lookaround, so the allow list and the
+    mixed class are spelled without; entropy is taken of every window anew."""
+    q = lambda s: "'" + s.replace("'", "''") + "'"
+    kinds = ((0, ASSIGN), (1, ACCESS), (2, HEX), (3, CANDIDATE))
+    found = " union all ".join(
+        f"select doc_id, {k} as kind, unnest(regexp_extract_all(txt, {q(p)})) as m, unnest(string_split_regex(txt, {q(p)})[1:len(regexp_extract_all(txt, {q(p)}))]) as g, "
+        f"unnest(range(len(regexp_extract_all(txt, {q(p)})))) as i from txt" for k, p in kinds)
+    uuid = "[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
+    allow = f"(?i)(example|sample|placeholder|dummy|changeme|x{{8}}|0123456789|abcdefghij|(^|[^0-9a-f]){uuid}($|[^0-9a-f])|^sha(1|256|512)-)"
+    mixed = " and ".join(f"regexp_matches(m, {q(x)})" for x in ("^[A-Za-z0-9+/_=-]+$", "[0-9]", "[a-z]", "[A-Z]"))
+    bits = f"case when regexp_matches(m, {q(allow)}) then null when regexp_matches(m, '^[0-9a-fA-F]+$') then {CLASSES[0][2]} when {mixed} then {CLASSES[1][2]} end"
+    listed = lambda k: f"concat(case {k} {' '.join(f'when {i} then {q(n)}' for i, n in enumerate(KINDS))} end, ':', s, ':', e)"
+    return f"""with txt as (select doc_id, coalesce(text, '') as txt from documents), found as ({found}),
+    placed as (select doc_id, kind, m, (sum(length(g) + length(m)) over (partition by doc_id, kind order by i) - length(m))::bigint as s from found),
+    spans as (select doc_id, kind, s, s + length(m) as e from placed where kind in (1, 2) or (kind = 0 and length(regexp_extract(m, {q(ASSIGN)}, 2)) >= {ASSIGN_LEAST})),
+    cand as (select doc_id, s, m, {bits} as bits from placed where kind = 3),
+    hot as (select doc_id, s, w from (select doc_id, s, bits, m, unnest(range(length(m) - {WINDOW - 1})) as w from cand where bits is not null)
+      where list_aggregate(string_split(substr(m, (w + 1)::bigint, {WINDOW}), ''), 'entropy') >= bits),
+    isle as (select *, sum(case when w - prev <= {WINDOW} then 0 else 1 end) over (partition by doc_id, s order by w) as n from (select *, lag(w) over (partition by doc_id, s order by w) as prev from hot)),
+    added as (select doc_id, 3 as kind, s + min(w) as s, s + max(w) + {WINDOW} as e from isle group by doc_id, isle.s, n),
+    fresh as (select * from added a where not exists (select 1 from spans b where b.doc_id = a.doc_id and b.s <= a.s and b.e >= a.e)),
+    base as (select doc_id, count(*) filter (kind = 0) as n_assign, count(*) filter (kind = 1) as n_access, count(*) filter (kind = 2) as n_hex, string_agg({listed('kind')}, ',' order by s, kind) as l from spans group by doc_id),
+    every as (select doc_id, string_agg({listed('kind')}, ',' order by s, kind) as l, count(*) filter (kind = 3) as n from (select * from spans union all select * from fresh) group by doc_id)
+    select t.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex, sha256(coalesce(b.l, '')) as base_sha256, coalesce(x.l, '') as spans, coalesce(x.n, 0) as n_entropy
+    from txt t left join base b on t.doc_id = b.doc_id left join every x on t.doc_id = x.doc_id"""
