@@ -23,6 +23,11 @@ def doubles(c: Column) -> Column:
     return F.transform(c, lambda x: x.cast("double"))
 
 
+def _let(value: Column, body) -> Column:
+    """body(value) with value computed once; inside a lambda an outer expression would be computed at every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _sum(c: Column, f) -> Column:
     return F.aggregate(c, F.lit(0.0), lambda a, x: a + f(x))
 
@@ -41,8 +46,7 @@ def peak(x: Column) -> Column:
 
 def _spread(c: Column) -> Column:
     """Population standard deviation."""
-    mean = _sum(c, lambda v: v) / F.size(c)
-    return F.sqrt(_sum(c, lambda v: (v - mean) * (v - mean)) / F.size(c))
+    return _let(_sum(c, lambda v: v) / F.size(c), lambda mean: F.sqrt(_sum(c, lambda v: (v - mean) * (v - mean)) / F.size(c)))
 
 
 def scored(takes: DataFrame, rate: int) -> DataFrame:
@@ -84,12 +88,12 @@ def weak_takes(takes: DataFrame) -> DataFrame:
 
 def scale_dbfs(x: Column, target: float) -> Column:
     rms = F.sqrt(_sum(x, lambda v: v * v) / F.size(x) + F.lit(1e-12))
-    return F.transform(x, lambda v: v * (F.lit(10 ** (target / 20)) / rms))
+    return _let(F.lit(10 ** (target / 20)) / rms, lambda by: F.transform(x, lambda v: v * by))
 
 
 def peak_normalize(x: Column, top: Column, level: float = 0.95) -> Column:
     """x scaled so that `top`, the peak of both channels, is at level; as it is if top is next to nothing."""
-    return F.when(top > 1e-6, F.transform(x, lambda v: v * (level / top))).otherwise(x)
+    return F.when(top > 1e-6, _let(level / top, lambda by: F.transform(x, lambda v: v * by))).otherwise(x)
 
 
 def pack_pair(user: Column, agent: Column, gap: float, rate: int) -> tuple[Column, Column, Column]:

@@ -16,17 +16,19 @@ def word_timings(words: Column, start: Column, end: Column) -> Column:
     weight = lambda w: F.greatest(F.length(w), F.lit(1))
     total = F.aggregate(words, F.lit(0), lambda a, w: a + weight(w)).cast("double")
     span = F.greatest(end - start, F.lit(1e-3))
+    # span and total ride in the state: a lambda's outer expressions are computed anew at every step
     timed = F.aggregate(
         words,
-        F.struct(start.cast("double").alias("t"), F.array().cast(f"array<{ITEM}>").alias("out")),
+        F.struct(start.cast("double").alias("t"), span.alias("span"), total.alias("total"), F.array().cast(f"array<{ITEM}>").alias("out")),
         lambda a, w: F.struct(
-            (a["t"] + span * (weight(w) / total)).alias("t"),
-            F.concat(a["out"], F.array(F.struct(w.alias("word"), a["t"].alias("start"), (a["t"] + span * (weight(w) / total)).alias("end")))).alias("out"),
+            (a["t"] + a["span"] * (weight(w) / a["total"])).alias("t"), a["span"].alias("span"), a["total"].alias("total"),
+            F.concat(a["out"], F.array(F.struct(w.alias("word"), a["t"].alias("start"), (a["t"] + a["span"] * (weight(w) / a["total"])).alias("end")))).alias("out"),
         ),
         lambda a: a["out"],
     )
-    n = F.size(words)
-    return F.transform(timed, lambda x, i: F.struct(x["word"].alias("word"), x["start"].alias("start"), F.when(i == n - 1, end.cast("double")).otherwise(x["end"]).alias("end")))
+    last = F.try_element_at(timed, F.lit(-1))
+    whole = F.struct(last["word"].alias("word"), last["start"].alias("start"), end.cast("double").alias("end"))
+    return F.when(F.size(words) > 0, F.concat(F.slice(timed, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.array(whole))).otherwise(timed)
 
 
 def build_alignments(user: tuple, agent: tuple) -> Column:
