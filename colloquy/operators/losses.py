@@ -94,7 +94,7 @@ def train_log_ratios(steps: DataFrame, max_steps: int, *by: str) -> DataFrame:
         *by, "step", F.round(100 * share(F.col("real"), every), 4).alias("real_pct"), F.round(100.0 * n / max_steps, 4).alias("done_pct"),
         F.round(share(F.col("placed"), F.col("injected")), 6).alias("place_rate"), F.round(share(F.col("words"), F.col("seconds")), 4).alias("words_per_sec"),
         F.round(share(F.sum("words").over(run), F.sum("seconds").over(run)), 4).alias("avg_words_per_sec"),
-        F.round(mean_sec * F.greatest(F.lit(max_steps) - n, F.lit(0)), 6).alias("eta_sec"))
+        F.round(mean_sec * F.greatest(F.lit(max_steps) - n, F.lit(0)), 2).alias("eta_sec"))
 
 
 def rank_average(rows: DataFrame, value: str, *by: str) -> DataFrame:

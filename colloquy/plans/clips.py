@@ -145,20 +145,20 @@ def slim_manifest(spark, d):
 _TIMED = """(select key, pos, word, speaker, s + span * coalesce(sum(w) over (partition by key, speaker order by pos rows between unbounded preceding and 1 preceding), 0) / total as start_sec,
   case when pos = n then e else s + span * sum(w) over (partition by key, speaker order by pos rows unbounded preceding) / total end as end_sec
   from (select key, speaker, s, e, greatest(e - s, 0.001) as span, unnest(words) as word, generate_subscripts(words, 1) as pos, len(words) as n, greatest(length(unnest(words)), 1) as w, list_sum(list_transform(words, lambda x: greatest(length(x), 1))) as total from {rows}))"""
-_TURNS = f"""(select pair_id as key, 'SPEAKER_CLIENT' as speaker, 0.37e0 as s, 0.53e0 + turn * 1.27e0 as e, {S.words('user_text')} as words from fx_pairs
-  union all select pair_id, 'SPEAKER_BROKER', 1.01e0 + turn * 1.27e0, 4.03e0 + turn * 1.51e0, {S.words('agent_text')} from fx_pairs)"""
+_TURNS = f"""(select pair_id as key, 'SPEAKER_CLIENT' as speaker, 0.37e0 as s, 0.5313717e0 + turn * 1.2718281e0 as e, {S.words('user_text')} as words from fx_pairs
+  union all select pair_id, 'SPEAKER_BROKER', 1.0131713e0 + turn * 1.2718281e0, 4.0313173e0 + turn * 1.5131719e0, {S.words('agent_text')} from fx_pairs)"""
 
 
 @query(f"select key as pair_id, pos, word, round(start_sec, 6) as start_sec, round(end_sec, 6) as end_sec from {_TIMED.replace('{rows}', _TURNS)} where speaker = 'SPEAKER_CLIENT'")
 def word_timings(spark, d):
-    words = L.word_timings(T.tokenize_words(F.col("user_text")), F.lit(0.37), 0.53 + F.col("turn") * 1.27)
+    words = L.word_timings(T.tokenize_words(F.col("user_text")), F.lit(0.37), 0.531371719317 + F.col("turn") * 1.271828182845)
     out = view(spark, d, "fx_pairs").select("pair_id", F.posexplode(words).alias("p", "w"))
     return out.select("pair_id", (F.col("p") + 1).cast("long").alias("pos"), "w.word", F.round("w.start", 6).alias("start_sec"), F.round("w.end", 6).alias("end_sec"))
 
 
 def _aligned(spark, d):
-    user = (T.tokenize_words(F.col("user_text")), F.lit(0.37), 0.53 + F.col("turn") * 1.27)
-    agent = (T.tokenize_words(F.col("agent_text")), 1.01 + F.col("turn") * 1.27, 4.03 + F.col("turn") * 1.51)
+    user = (T.tokenize_words(F.col("user_text")), F.lit(0.37), 0.531371719317 + F.col("turn") * 1.271828182845)
+    agent = (T.tokenize_words(F.col("agent_text")), 1.013171319713 + F.col("turn") * 1.271828182845, 4.031317319719 + F.col("turn") * 1.513171917131)
     return view(spark, d, "fx_pairs").withColumn("alignments", L.build_alignments(user, agent))
 
 
@@ -173,6 +173,6 @@ def build_alignments(spark, d):
 def build_sidecar(spark, d):
     rows = _aligned(spark, d).select(
         F.col("pair_id").alias("id"), F.concat(F.lit("u"), F.col("conv_id").cast("string")).alias("user_id"), F.col("curr").alias("curr_emotion"), F.col("res").alias("res_emotion"),
-        "user_text", "agent_text", "alignments", F.lit(0.37).alias("user_start"), (0.53 + F.col("turn") * 1.27).alias("user_end"),
-        (1.01 + F.col("turn") * 1.27).alias("agent_start"), (4.03 + F.col("turn") * 1.51).alias("agent_end"))
+        "user_text", "agent_text", "alignments", F.lit(0.37).alias("user_start"), (0.531371719317 + F.col("turn") * 1.271828182845).alias("user_end"),
+        (1.013171319713 + F.col("turn") * 1.271828182845).alias("agent_start"), (4.031317319719 + F.col("turn") * 1.513171917131).alias("agent_end"))
     return rows.select("id", F.to_json(L.sidecar(rows)).alias("sidecar"))

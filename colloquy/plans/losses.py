@@ -82,22 +82,22 @@ def eval_summary(spark, d):
     return M.eval_summary(by, 40)
 
 
-@query("select sample, round(text + 0.3e0 * audio, 5) as total, round(text, 6) as text_only from (select sample, sum(ce) filter (channel = 0) as text, sum(ce) filter (channel > 0) as audio from fx_token_ce group by sample)")
+@query("select sample, round(text + 0.3141592653e0 * audio, 6) as total, round(text, 6) as text_only from (select sample, sum(ce) filter (channel = 0) as text, sum(ce) filter (channel > 0) as audio from fx_token_ce group by sample)")
 def total_loss(spark, d):
     s = lambda m: F.sum(F.when(m, F.col("ce")))
     rows = _tokens(spark, d).groupBy("sample").agg(s(F.col("channel") == 0).alias("text"), s(F.col("channel") > 0).alias("audio"))
-    return rows.select("sample", F.round(M.total_loss(F.col("text"), F.col("audio"), 0.3), 5).alias("total"), F.round(M.total_loss(F.col("text"), F.col("audio"), 0.0), 6).alias("text_only"))
+    return rows.select("sample", F.round(M.total_loss(F.col("text"), F.col("audio"), 0.3141592653), 6).alias("total"), F.round(M.total_loss(F.col("text"), F.col("audio"), 0.0), 6).alias("text_only"))
 
 
-_STEPS = "(select tag, step, cast(floor(loss * 10) as bigint) as real, step % 7 as pad, step % 5 as placed, 5 as injected, step % 100 + 1 as words, 0.1e0 + step % 13 / 10e0 as seconds from fx_metrics)"
+_STEPS = "(select tag, step, cast(floor(loss * 10) as bigint) as real, step % 7 as pad, step % 5 as placed, 5 as injected, step % 100 + 1 as words, 0.1234567e0 + step % 13 / 9.8765e0 as seconds from fx_metrics)"
 
 
 @query(f"""select tag, step, round(case when real + pad > 0 then 100e0 * real / (real + pad) else 0 end, 4) as real_pct, round(100e0 * n / 8000, 4) as done_pct, round(placed / 5e0, 6) as place_rate, round(words / seconds, 4) as words_per_sec,
-  round(sw / ss, 4) as avg_words_per_sec, round(ss / n * greatest(8000 - n, 0), 6) as eta_sec from (select *, count(*) over w as n, sum(words) over w as sw, sum(seconds) over w as ss from {_STEPS} window w as (partition by tag order by step rows unbounded preceding))""")
+  round(sw / ss, 4) as avg_words_per_sec, round(ss / n * greatest(8000 - n, 0), 2) as eta_sec from (select *, count(*) over w as n, sum(words) over w as sw, sum(seconds) over w as ss from {_STEPS} window w as (partition by tag order by step rows unbounded preceding))""")
 def train_log_ratios(spark, d):
     steps = view(spark, d, "fx_metrics").select(
         "tag", "step", F.floor(F.col("loss") * 10).alias("real"), (F.col("step") % 7).alias("pad"), (F.col("step") % 5).alias("placed"), F.lit(5).alias("injected"),
-        (F.col("step") % 100 + 1).alias("words"), (0.1 + F.col("step") % 13 / 10.0).alias("seconds"))
+        (F.col("step") % 100 + 1).alias("words"), (0.1234567 + F.col("step") % 13 / 9.8765).alias("seconds"))
     return M.train_log_ratios(steps, 8000, "tag")
 
 

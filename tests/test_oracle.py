@@ -1,5 +1,6 @@
 """Every registered query with an oracle gives the rows that DuckDB gives."""
 import math
+import os
 import pathlib
 
 import duckdb
@@ -7,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 
-DIR = "/root/testdata/sf0.001"
+DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 ORACLE = {k: v for k, v in entry.oracle_sql().items() if not k.startswith(("op", "pipeline"))}
 
 
