@@ -145,8 +145,8 @@ def slim_manifest(spark, d):
 _TIMED = """(select key, pos, word, speaker, s + span * coalesce(sum(w) over (partition by key, speaker order by pos rows between unbounded preceding and 1 preceding), 0) / total as start_sec,
   case when pos = n then e else s + span * sum(w) over (partition by key, speaker order by pos rows unbounded preceding) / total end as end_sec
   from (select key, speaker, s, e, greatest(e - s, 0.001) as span, unnest(words) as word, generate_subscripts(words, 1) as pos, len(words) as n, greatest(length(unnest(words)), 1) as w, list_sum(list_transform(words, lambda x: greatest(length(x), 1))) as total from {rows}))"""
-_TURNS = f"""(select pair_id as key, 'SPEAKER_CLIENT' as speaker, 0.37e0 as s, 0.5313717e0 + turn * 1.2718281e0 as e, {S.words('user_text')} as words from fx_pairs
-  union all select pair_id, 'SPEAKER_BROKER', 1.0131713e0 + turn * 1.2718281e0, 4.0313173e0 + turn * 1.5131719e0, {S.words('agent_text')} from fx_pairs)"""
+_TURNS = f"""(select pair_id as key, 'SPEAKER_CLIENT' as speaker, 0.37e0 as s, 0.531371719317e0 + turn * 1.271828182845e0 as e, {S.words('user_text')} as words from fx_pairs
+  union all select pair_id, 'SPEAKER_BROKER', 1.013171319713e0 + turn * 1.271828182845e0, 4.031317319719e0 + turn * 1.513171917131e0, {S.words('agent_text')} from fx_pairs)"""
 
 
 @query(f"select key as pair_id, pos, word, round(start_sec, 6) as start_sec, round(end_sec, 6) as end_sec from {_TIMED.replace('{rows}', _TURNS)} where speaker = 'SPEAKER_CLIENT'")
