@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -161,20 +162,27 @@ def text_stream(words: DataFrame, frames: int, rate: float = RATE, by: tuple[str
 
 
 def queue_stream(tokens: list, starts: list, ends: list, frames: int, rate: float = RATE) -> list[int]:
-    """The stream of one chunk when tokens queue instead of being cut by the next word."""
-    out, queue, i, last = [PAD] * frames, [], 0, -1
-    for t in range(frames):
-        while i < len(starts) and starts[i] * rate < t + 1:
-            queue.extend(tokens[i])
-            last = int(ends[i] * rate)
-            i += 1
-        if queue:
-            if t and out[t - 1] in (PAD, IN_WORD):
-                out[t - 1] = END_OF_PAD
-            out[t] = queue.pop(0)
-        elif t <= last:
-            out[t] = IN_WORD
-    return out
+    """The stream of one chunk when tokens queue instead of being cut by the next word.
+
+    A word's tokens begin at its frame or where those before it end, whichever is later: a
+    running maximum of frames less the tokens before, as all words move in order.
+    """
+    out = np.full(frames, PAD)
+    if not len(starts):
+        return out.tolist()
+    first = np.maximum(np.floor(np.asarray(starts) * rate), 0).astype(int)
+    count = np.array([len(t) for t in tokens])
+    before = np.cumsum(count) - count
+    begin = np.maximum.accumulate(first - before) + before
+    now = np.searchsorted(first, np.arange(frames), "right") - 1  # the word begun last at each frame
+    until = np.trunc(np.asarray(ends) * rate)
+    out[(now >= 0) & (np.arange(frames) <= until[now])] = IN_WORD
+    at = np.concatenate([b + np.arange(n) for b, n in zip(begin, count)]).astype(int)
+    flat = np.concatenate([np.asarray(t, int) for t in tokens])
+    at, flat = at[at < frames], flat[at < frames]
+    out[np.setdiff1d(at[at > 0] - 1, at)] = END_OF_PAD
+    out[at] = flat
+    return out.tolist()
 
 
 def text_stream_queue(words: DataFrame, frames: int, rate: float = RATE, by: tuple[str, ...] = ("clip", "chunk")) -> DataFrame:

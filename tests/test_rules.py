@@ -134,19 +134,16 @@ def test_weights_and_batches(spark):
 
 
 def brute_stream(words, frames, rate=12.5, queue=False):
-    out, stack, i, last = [3] * frames, [], 0, -1
-    for t in range(frames):
-        while i < len(words) and words[i][0] * rate < t + 1:
-            stack = stack + list(words[i][2]) if queue else list(words[i][2])
-            last = int(words[i][1] * rate)
-            i += 1
-        if stack:
-            if t and out[t - 1] in (3, -2):
-                out[t - 1] = 0
-            out[t] = stack.pop(0)
-        elif t <= last:
-            out[t] = -2
-    return out
+    """Frame by frame: words arrive at their frame; marks before tokens are set at the end."""
+    waiting, end, ids, spoken = [], -1, [], []
+    for frame in range(frames):
+        for s, e, tokens in words:
+            if math.floor(s * rate) == frame:
+                waiting, end = (waiting if queue else []) + tokens, int(e * rate)
+        spoken.append(bool(waiting))
+        ids.append(waiting[0] if waiting else -2 if frame <= end else 3)
+        waiting = waiting[1:]
+    return [0 if k + 1 < frames and spoken[k + 1] and not spoken[k] else x for k, x in enumerate(ids)]
 
 
 def test_text_stream_frame_by_frame(spark):
