@@ -65,6 +65,16 @@ def shard_assign(indexed: DataFrame, world: int, name: str = "i") -> DataFrame:
     return indexed.withColumn("rank", F.pmod(name, F.lit(world)).cast("int")).withColumn("seq", F.floor(F.col(name) / world))
 
 
+def numbered_by_source(items: DataFrame) -> DataFrame:
+    """items(source, item) with j, each source's own count from 0 in the order of item.
+
+    The global index less the source's lowest one: a heavy source is not brought to one task.
+    """
+    indexed = global_index(items, "source", "item")
+    low = indexed.groupBy("source").agg(F.min("i").alias("_low"))
+    return indexed.join(F.broadcast(low), "source").withColumn("j", F.col("i") - F.col("_low")).drop("i", "_low")  # one row for each source
+
+
 def epoch_key(seed: int, epoch: Column | int, key: str) -> Column:
     """Sort key of an epoch's permutation: the seed grows by one with every pass."""
     e = epoch if isinstance(epoch, Column) else F.lit(epoch)

@@ -58,10 +58,8 @@ def source_weights(spark, d):
   turns as (select draw, source, row_number() over (partition by source order by draw) - 1 as turn from draws)
   select t.draw, t.source, i.item from turns t join items i on i.source = t.source and i.j = t.turn % i.n""")
 def mix_sources(spark, d):
-    from pyspark.sql import Window
-
     clips = view(spark, d, "fx_clips").where("curr_emotion in ('happy', 'sad', 'angry')")
-    items = clips.select(F.col("curr_emotion").alias("source"), F.col("id").alias("item"), (F.row_number().over(Window.partitionBy("curr_emotion").orderBy("id")) - 1).cast("long").alias("j"))
+    items = M.numbered_by_source(clips.select(F.col("curr_emotion").alias("source"), F.col("id").alias("item")))
     draws = view(spark, d, "customer").select(F.col("c_custkey").alias("draw"))
     return M.mix_sources(draws, items, M.source_weights("happy:3,sad,angry:0.5"), 5).select("draw", "source", "item")
 
