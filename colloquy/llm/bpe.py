@@ -32,9 +32,9 @@ import regex
 from pyspark.sql import DataFrame
 
 # Bounds of the caches of one task's process; what is dropped is computed again.
-CACHED_PIECES = 150_000
-CACHED_STATES = 250_000
-CACHED_PAIRS = 300_000
+CACHED_PIECES = 80_000
+CACHED_STATES = 100_000
+CACHED_PAIRS = 150_000
 STRETCH = 1024  # bytes of a piece after which settled tokens are emitted
 
 
