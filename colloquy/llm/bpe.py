@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 # Bounds of the caches of one task's process; what is dropped is computed again.
 CACHED_PIECES = 80_000
@@ -335,9 +336,8 @@ def digest(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
 
 
 def append_tokens(docs: DataFrame, rank_file: str, pattern: str, name: str = "token_ids") -> DataFrame:
-    """docs with an array<int> column of its texts' ids; a null text has an empty array."""
-    from pyspark.sql import types as T
-
+    """docs with an array<int> column of its texts' ids (an own column of that name is replaced); a null text has
+    an empty array."""
     def run(batches):
         c = codec(rank_file, pattern)
         for batch in batches:
@@ -346,5 +346,6 @@ def append_tokens(docs: DataFrame, rank_file: str, pattern: str, name: str = "to
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), "<i4")))
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, name])
 
+    docs = docs.drop(name)
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(T.IntegerType()))])
     return docs.mapInArrow(run, schema)

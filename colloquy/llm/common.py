@@ -39,7 +39,8 @@ def scratch_dir(spark: SparkSession) -> str:
 _written: dict[str, weakref.ref] = {}
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder, in whatever store it is."""
     try:
         jvm = spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
@@ -51,13 +52,13 @@ def _delete(spark: SparkSession, path: str) -> None:
 def _delete_all() -> None:
     for path, ref in list(_written.items()):
         if (spark := ref()) is not None and spark.sparkContext._jsc is not None:
-            _delete(spark, path)
+            delete(spark, path)
 
 
 atexit.register(_delete_all)
 
 
-def materialize(df: DataFrame, *, sort_free: bool = True) -> DataFrame:
+def materialize(df: DataFrame) -> DataFrame:
     """Write df as Parquet in the shared scratch folder and read it back.
 
     This cuts the lineage with a copy that survives the loss of executors; unlike

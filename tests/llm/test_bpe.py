@@ -75,4 +75,5 @@ def test_queries(spark, both):
         assert r.decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest()
     rows = bpe.append_tokens(df, FILE, P.PATTERN).collect()
     assert [r.token_ids for r in rows] == [want.encode_ordinary(t or "") for _, t, _ in docs]
+    assert bpe.append_tokens(df, FILE, P.PATTERN, "n_tokens").columns == ["doc_id", "text", "n_tokens"]
     assert bpe.digest(df.limit(0), FILE, P.PATTERN).count() == 0
