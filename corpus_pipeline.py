@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from colloquy.llm import bpe, jaccard, mixing, quality, secrets
-from colloquy.llm.common import scratch_dir
+from colloquy.llm.common import delete, scratch_dir
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,4 +53,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{top}/{k}")
         docs = spark.read.parquet(f"{top}/{k}")
+        if k:
+            delete(spark, f"{top}/{k - 1}")  # its successor is written
     return docs
