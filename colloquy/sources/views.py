@@ -21,13 +21,12 @@ VIEWS = {
     "fx_candidates": """select concat('p', conv_id, '_', turn - turn % 2) as id, turn % 2 as attempt,
         case (conv_id + turn) % 4 when 0 then 'happy' when 1 then 'sad' when 2 then 'angry' else 'neutral' end as emotion,
         case (conv_id * 3 + turn) % 8
-          when 0 then concat('User: "', substr(text, 1, 200), '"')
-          when 1 then concat('```text', chr(10), substr(text, 1, 150), chr(10), '```')
-          when 2 then concat('<|emotion:sadness|>', substr(text, 1, 260))
-          when 3 then concat('Here is a line: ', substr(text, 1, 100))
-          when 4 then concat('I just got great news about ', lower(substr(text, 1, 20)), ', I can not stop smiling.')
-          when 5 then concat('I am happy ', substr(text, 1, 60))
-          when 6 then substr(text, 1, 7)
+          when 0 then concat('User: "', text, '"')
+          when 1 then concat('```text', chr(10), text, chr(10), '```')
+          when 2 then concat('<|emotion:sadness|>', text)
+          when 3 then concat('Here is a line: ', text)
+          when 4 then concat('I just got great news about ', lower(text), ', I can not stop smiling.')
+          when 5 then concat('I am happy ', text)
           else text end as raw_text
       from {conversations}""",
     "fx_clips": """select concat(c.emotion, '_', r.emotion, '_', cu.c_custkey) as id, concat('user_', c.emotion, '_', cu.c_custkey) as user_id,
