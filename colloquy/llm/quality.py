@@ -11,7 +11,8 @@ The votes of all documents are counted; a pattern table has at most 3 ** heurist
 it may go to the driver.  The scorer is fitted on a sample of about train_docs documents
 (those whose id hashes lowest), which is the bound of what the driver holds.
 
-Defined cases: a null or empty text gets no votes, hence the prior, and is kept; repeated
+Defined cases: a null, empty or blank text gets no votes, its score is the prior, and it is
+kept whatever the prior is; every other text is judged by the scorer, however short; repeated
 rows are judged alike; ties of the threshold are kept; an empty table gives no rows; columns
 other than doc_id and text are ignored by classify() and kept by keep_good().
 """
@@ -33,6 +34,7 @@ GRAM = 5  # length of the runs of character classes that are hashed
 BAD, GOOD = 1, 2
 HEURISTICS = ("symbols", "capitals", "variety", "short_words", "sentences", "separators", "digits", "stutter")
 ROUNDS = 200
+FEW = 12  # words; shorter texts are judged by marks, capitals and digits, as the rest needs a run of words
 
 SYMBOLS = b"#$%&*+<=>@[\\]^_`{|}~"
 CAPITALS = bytes(range(65, 91))
@@ -58,19 +60,30 @@ def stutter(words: list[bytes]) -> float:
 
 
 def votes(text: str | None) -> tuple[int, ...]:
-    """One vote of each heuristic: 0 nothing, 1 bad, 2 good.  Texts of few words get none."""
+    """One vote of each heuristic: 0 nothing, 1 bad, 2 good.
+
+    Texts of few words get votes on shares of characters and of separators only, and a bad one
+    only from three marks on.
+    """
     raw = (text or "").encode("utf-8", "surrogatepass")
     words = raw.split()
-    if len(words) < 12:
+    if not words:
         return (0,) * len(HEURISTICS)
     n, count = len(raw), lambda marks: len(raw) - len(raw.translate(None, marks))
     letters = max(1, count(LETTERS))
     vote = lambda x, bad, good: BAD if bad(x) else GOOD if good(x) else 0
+    separators = sum(not w.isalnum() and len(w) == 1 and w[0] < 128 for w in words)
+    if len(words) < FEW:
+        few = lambda k, of, bad, good: vote(k / of, lambda x: k >= 3 and x > bad, lambda x: x < good)
+        return (
+            few(count(SYMBOLS), n, 0.04, 0.01), few(count(CAPITALS), letters, 0.4, 0.15), 0, 0, 0,
+            few(separators, len(words), 0.15, 0.03), few(count(DIGITS), n, 0.25, 0.03), 0,
+        )
     distinct = len(set(words))
     plain = [w for w in words if w.isalpha() or len(w) > 3]
     short = sum(len(w) <= 3 for w in plain) / max(1, len(plain))
     stops = count(b".!?") / len(words)
-    bars = sum(not w.isalnum() and len(w) == 1 and w[0] < 128 for w in words) / len(words)
+    bars = separators / len(words)
     return (
         vote(count(SYMBOLS) / n, lambda x: x > 0.04, lambda x: x < 0.01),
         vote(count(CAPITALS) / letters, lambda x: x > 0.4, lambda x: x < 0.15),
@@ -121,13 +134,15 @@ def estimate(patterns: dict[int, int], rounds: int = ROUNDS) -> tuple[dict[int,
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """(indices, values): hashed runs of character classes, square roots of their shares, and the share
-    of stuttered words, in tenths, as one more feature that is hashed like them.
+    of stuttered words, in tenths, as one more feature that is hashed like them.  A text shorter than a
+    run is filled up with spaces; a blank one has no features.
     """
     raw = (text or "").encode("utf-8", "surrogatepass")
-    tenths = int(10 * stutter(raw.split()))
-    raw = raw.translate(CLASS_OF)
-    if len(raw) < GRAM:
+    words = raw.split()
+    if not words:
         return np.zeros(0, np.uint16), np.zeros(0, np.float32)
+    tenths = int(10 * stutter(words))
+    raw = raw.ljust(GRAM).translate(CLASS_OF)
     c = np.frombuffer(raw, np.uint8).astype(np.uint32)
     h = c[: len(c) - GRAM + 1].copy()
     for k in range(1, GRAM):
@@ -181,13 +196,14 @@ def _sample(batches):
 def _judge(post: dict[int, float], w: np.ndarray, b: float, threshold: float):
     def run(batches):
         for batch in batches:
-            weak, score = [], []
+            weak, score, blank = [], [], []
             for t in batch.column("text").to_pylist():
                 weak.append(post[pattern_of(votes(t))])
                 at, val = features(t)
-                score.append(float(1 / (1 + np.exp(-(val @ w[at] + b)))) if len((t or "").split()) >= 12 else weak[-1])
+                blank.append(not len(at))
+                score.append(weak[-1] if blank[-1] else float(1 / (1 + np.exp(-(val @ w[at] + b)))))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(np.round(weak, 6), pa.float64()), pa.array(np.round(score, 6), pa.float64()), pa.array(np.asarray(score) < threshold, pa.bool_())],
+                [*batch.columns[:-1], pa.array(np.round(weak, 6), pa.float64()), pa.array(np.round(score, 6), pa.float64()), pa.array((np.asarray(score) < threshold) & ~np.asarray(blank, bool), pa.bool_())],
                 [*batch.schema.names[:-1], "weak_good", "score", "rejected"])
 
     return run

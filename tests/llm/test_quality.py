@@ -53,3 +53,20 @@ def test_keep_good_and_odd_rows(spark):
     kept = Q.keep_good(df)
     assert kept.columns == df.columns and sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(d) for d, _ in docs if not (d or 0) in range(100, 108))
     assert Q.classify(df.limit(0)).collect() == [] and Q.keep_good(df.limit(0)).collect() == []
+
+
+def test_short_texts_are_judged(spark):
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    short = {r.doc_id: r.quality for r in docs.join(labels, "doc_id").collect() if len(r.text.split()) < 12}
+    rejected = {r.doc_id for r in Q.classify(docs).collect() if r.doc_id in short and r.rejected}
+    bad = {d for d, q in short.items() if q == 0}
+    assert len(rejected & bad) >= 6 and not rejected - bad
+
+
+def test_short_and_empty_texts_in_a_bad_corpus(spark):
+    docs = [(i, "%%% ### buy $$$ now!!! " * 20) for i in range(60)]
+    docs += [(100 + i, "The house of the family stood on a hill, and we saw it from the road. " * 3) for i in range(20)]
+    docs += [(200, None), (201, ""), (202, " \n"), (203, "We saw the house from the road."), (204, "### buy $$$ now!!!")]
+    got = {r.doc_id: r for r in Q.classify(spark.createDataFrame(docs, DOC)).collect()}
+    assert got[200].score < 0.5 and {d for d, r in got.items() if r.rejected} == {*range(60), 204}
