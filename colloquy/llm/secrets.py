@@ -3,7 +3,8 @@
 Base kinds are three fixed patterns.  The method adds spans of kind "entropy": candidate
 strings are maximal runs of credential characters; for each character class a window slides
 over the candidate, its Shannon entropy is kept by incremental counts (one character leaves,
-one enters), and the hot windows, merged, are a span unless the allow list knows the string.
+one enters), and the hot windows, merged, are a span unless the allow list knows all the long
+pieces (between "/", "=", "_" and "-") that they lie in.
 
 Defined cases: a null or empty text has no spans; extra columns are kept by redact() and
 ignored by scan(); repeated rows are scanned one by one; ties cannot arise (spans are ordered
@@ -29,7 +30,15 @@ WINDOW = 20
 CLASSES = (
     ("hex", r"^[0-9a-fA-F]+$", 2.7),
     ("base64", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/_=-]+$", 3.6),
+    ("lower", r"^(?=.*[0-9])(?=.*[a-z])[a-z0-9+/_=-]+$", 3.4),
+    ("upper", r"^(?=.*[0-9])(?=.*[A-Z])[A-Z0-9+/_=-]+$", 3.4),
 )
+#: Strings of two kinds of characters are words with a number as well (paths, slugs, part numbers), so their hot windows
+#: count only with an unbroken piece of this form: 16 characters, and digits in two places at least.
+UNBROKEN = r"(?=[A-Za-z0-9]{16})[A-Za-z]*[0-9]+[A-Za-z]+[0-9]"
+UUID = r"(?i)(?<![0-9a-f])[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}(?![0-9a-f])"
+#: An integrity digest reaches over "/", so its end is looked for from the run's start.
+DIGEST = r"^sha(?:1|256|512)-[A-Za-z0-9+/]{1,86}={0,2}"
 #: Strings that look random and are known not to be secrets: sample keys, counting sequences, UUIDs,
 #: integrity digests that name their algorithm.
 ALLOW = (
@@ -118,11 +127,24 @@ def _hot_windows(s: Column, bits: float) -> Column:
 def _entropy(candidates: Column) -> Column:
     item = "struct<start:int,kind:int,end:int,m:string>"
 
+    def known(m: Column, h: Column) -> Column:
+        """Whether the allow list knows every long piece of the hot window h, with the rest of the segments at its ends, or
+        a digest covers it.  A word beside a long piece does not make it known."""
+        before = F.regexp_extract(F.substring(m, F.lit(1), h["s"]), "[^/=]*$", 0)
+        after = F.regexp_extract(F.substring(m, h["e"] + 1, F.length(m)), "^[^/=]*", 0)
+        segment = F.concat(before, F.substring(m, h["s"] + 1, h["e"] - h["s"]), after)
+        pieces = F.split(F.regexp_replace(segment, UUID, "="), "[/=_-]+")
+        return ~F.exists(pieces, lambda x: (F.length(x) >= 16) & ~x.rlike(ALLOW)) | (h["e"] <= F.length(F.regexp_extract(m, DIGEST, 0)))
+
     def of(c: Column) -> Column:
         hot = F.array().cast("array<struct<s:int,e:int>>")
-        for _, shape, bits in reversed(CLASSES):
-            hot = F.when(c["m"].rlike(shape), _hot_windows(c["m"], bits)).otherwise(hot)
-        hot = F.when(c["m"].rlike(ALLOW), F.array().cast("array<struct<s:int,e:int>>")).otherwise(hot)
+        within = lambda h: F.substring(c["m"], h["s"] + 1, h["e"] - h["s"])
+        for kind, shape, bits in reversed(CLASSES):
+            found = _hot_windows(c["m"], bits)
+            if kind in ("lower", "upper"):
+                found = F.filter(found, lambda h: within(h).rlike(UNBROKEN))
+            hot = F.when(c["m"].rlike(shape), found).otherwise(hot)
+        hot = F.when(c["m"].rlike(ALLOW), F.filter(hot, lambda h: ~known(c["m"], h))).otherwise(hot)
         return F.transform(hot, lambda h: F.struct(
             (c["start"] + h["s"]).alias("start"), F.lit(3).alias("kind"), (c["start"] + h["e"]).alias("end"), F.lit("").alias("m"),
         ).cast(item))

@@ -75,3 +75,18 @@ def test_redact_keeps_columns(spark):
     assert out[1].text == "a [SECRET] b" and out[1].n_chars == 12 and out[1].base == 3 and out[2].text == "clean" and out[2].row == 2
     assert secrets.redact(df.limit(0)).columns == df.columns
     assert secrets.digest(spark.createDataFrame([], DOC)).count() == 0
+
+
+def test_two_kinds_of_characters_and_allow_list_by_segment(spark):
+    low, seed, mixed = "q7x2m9k4v8b3n6t1z5w0c7j2h9f4d8s3", "JB4WY3DPE7HPK3PX2QGZ5LTM6VRN2CAU", "Zk9QaT3wJr7XUtnFEMI4K7MDbPxRfiCY"
+    texts = [
+        f"key {low} end", f"seed {seed} end", f"/examples/data/{mixed} end", f"sample_id=dummy_{mixed} end",
+        "/news/2021/10/the-best-of-what-we-saw-in-london end", "PART-NUMBER-2021-LONG-CATALOGUE-HEADING end",
+        "wJalrXUtnFEMI4K7MDENGbPxRfiCYEXAMPLEKEY end", "sha256-47DEQpj8HBSa+/TImW+5JCeuQeRkm5NMpJWZG3hSuFU= end",
+        "id=123e4567-e89b-12d3-a456-426614174000 end",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), DOC)
+    clean = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    for i, secret in enumerate((low, seed, mixed, mixed)):
+        assert secret[4:-4] not in clean[i] and "[SECRET]" in clean[i], clean[i]
+    assert all(clean[i] == texts[i] for i in range(4, len(texts)))
