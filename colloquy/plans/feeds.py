@@ -113,24 +113,27 @@ def read_voices(spark, d):
     return IO.read_voices(spark, path).select(F.col("pos").cast("long").alias("pos"), "name", "gender")
 
 
-def _wavs(spark, d):
-    t = view(spark, d, "fx_takes").where("take = 0").select("id", F.col("pcm").alias("left"), F.lit(None).cast("array<float>").alias("right"))
+def _wavs(spark, t):
+    t = t.select("id", F.col("pcm").alias("left"), F.lit(None).cast("array<float>").alias("right"))
     IO.write_audio(t, path := _new(spark), 16_000)
     return spark.read.schema("id string, wav binary").parquet(path)
 
 
 @query("select id, 44 + 2 * len(pcm) as n_bytes from fx_takes where take = 0")
 def write_audio(spark, d):
-    return _wavs(spark, d).select("id", F.octet_length("wav").cast("long").alias("n_bytes"))
+    return _wavs(spark, view(spark, d, "fx_takes").where("take = 0")).select("id", F.octet_length("wav").cast("long").alias("n_bytes"))
 
 
 @query()
 def read_audio(spark, d):
+    """Every take; files are named id and take."""
     @F.pandas_udf("array<float>")
     def decode(content: pd.Series) -> pd.Series:
         return content.map(lambda b: A.decode_wav(b, 24_000))
 
-    return _wavs(spark, d).select("id", decode("wav").alias("pcm")).select("id", F.size("pcm").alias("n"))
+    takes = view(spark, d, "fx_takes").withColumn("id", F.concat_ws("/", "id", "take"))
+    part = lambda k: F.split_part("id", F.lit("/"), F.lit(k))
+    return _wavs(spark, takes).select("id", decode("wav").alias("pcm")).select(part(1).alias("id"), part(2).cast("long").alias("take"), F.size("pcm").alias("n"))
 
 
 def _feed(spark, d):

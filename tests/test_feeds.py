@@ -96,3 +96,10 @@ def test_queries_without_oracle_run(spark):
     for name in sorted(set(entry.queries()) - set(entry.oracle_sql())):
         if not name.startswith(("op", "pipeline")):
             assert entry.queries()[name](spark, "/root/testdata/sf0.001").count() > 0, name
+
+
+def test_read_audio_reads_every_take(spark):
+    d = "/root/testdata/sf0.001"
+    want = {(f"t{r.vec_id - r.vec_id % 2}", r.vec_id % 2) for r in spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id").collect()}
+    rows = entry.queries()["read_audio"](spark, d).collect()
+    assert len(rows) == len(want) and {(r.id, r["take"]) for r in rows} == want and all(r.n > 0 for r in rows)
