@@ -2,14 +2,15 @@
 
 A token sequence is what the merges make of a piece of text exactly if each token is what
 they make of its own bytes and each two neighbours are what they make of the two together.
-So the merges are a finite-state transducer: it guesses token ends, and a guess lives while
-the bytes after it are the beginning of a token that may follow.  The guesses alive at a
-byte are one state of the determinised machine, built when first met.  A token is emitted as
-soon as all live guesses agree on it; a guess dies after the longest token's bytes at the
-latest, so lookahead is bounded.
+So the merges are a finite-state transducer: it guesses where tokens begin, and a guess lives
+while the bytes after it are the beginning of a token.  The guesses alive at a byte are one
+state of the determinised machine, built when first met.  A token is emitted as soon as all
+live guesses rest on it; a guess dies after the longest token's bytes at the latest, so
+lookahead is bounded.
 
-Decoding looks tokens' bytes up; text comes out through an incremental UTF-8 machine that
-holds back the bytes of an unfinished character.
+Decoding is a stream of ids: text comes out through an incremental UTF-8 machine that holds
+back the bytes of an unfinished character.  What a token gives between two characters is
+looked up; the machine reads bytes only where a character spans tokens.
 
 The rank file is a parameter.  It is small and fixed (a vocabulary), and each task reads it
 where the library that owns it is installed.
@@ -23,7 +24,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import struct
+import sys
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -33,9 +35,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 # Bounds of the caches of one task's process; what is dropped is computed again.
-CACHED_PIECES = 80_000
-CACHED_STATES = 100_000
-CACHED_PAIRS = 150_000
+CACHED_PIECES = 100_000  # of each of two generations, with their ids
+CACHED_STATES = 200_000
+CACHED_PAIRS = 300_000
 STRETCH = 1024  # bytes of a piece after which settled tokens are emitted
 
 
@@ -48,7 +50,8 @@ class Merges:
         for b, r in ranks.items():
             self.bytes_of[r] = b
         self.halves: dict[int, tuple[int, int] | None] = {}
-        self.pairs: dict[int, bool] = {}
+        self.lefts: list[dict[int, bool]] = [{} for _ in self.bytes_of]  # by right token: left token -> may it follow
+        self.n_pairs = 0
 
     def by_rank(self, piece: bytes) -> list[int]:
         """The merges applied to a piece in the order of rank: the definition."""
@@ -82,12 +85,14 @@ class Merges:
 
     def fits(self, left: int, right: int) -> bool:
         """May right follow left?  No merge across their border comes before those that made them."""
-        key = left << 20 | right
-        known = self.pairs.get(key)
+        known = self.lefts[right].get(left)
         if known is None:
-            if len(self.pairs) >= CACHED_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[key] = self._fits(left, right)
+            if self.n_pairs >= CACHED_PAIRS:
+                self.n_pairs = 0
+                for x in self.lefts:
+                    x.clear()
+            self.n_pairs += 1
+            known = self.lefts[right][left] = self._fits(left, right)
         return known
 
     def _fits(self, left: int, right: int) -> bool:
@@ -110,17 +115,36 @@ class Merges:
                 limit, right = right + 1, self.split(right)[0]
 
 
+class _State(dict):
+    """byte -> next state; a byte met first makes its entry.
+
+    live: the nodes of the guesses alive, older ones first, then the root (a guess that
+    begins now); ends: (bytes, token, what may stand before it) of the tokens that may end
+    here, longest first.
+    """
+
+    __slots__ = ("machine", "live", "ends")
+
+    def __init__(self, machine: Transducer, live: tuple[int, ...]):
+        self.machine, self.live = machine, live
+        m = machine.m
+        self.ends = tuple((machine.depth[x], machine.token[x], m.lefts[machine.token[x]]) for x in live if machine.token[x] >= 0)
+
+    def __missing__(self, byte: int) -> _State:
+        found = self[byte] = self.machine.state_of(self, byte)
+        return found
+
+
 class Transducer:
     """The determinised machine.
 
-    A guess is (token before, trie node of the bytes begun after it), packed in one integer;
-    a state is the live guesses in the order of where they began.  Of the guesses that end at
-    a byte one only is right for the text so far (its encoding is unique), and that token is
-    the step's output.  Tokens are emitted once every live guess rests on them.
+    A guess is that a token begins at some byte; it lives while the bytes since are the
+    beginning of a token, that is, a node of the tokens' trie.  The guesses alive together
+    are a state, made when it is first met, with the tokens that its guesses may end there.
+    Of these only one fits the tokens before it (an encoding is unique); it is the last token
+    of the text up to this byte.  Tokens are emitted once every live guess rests on them.
     """
 
-    BITS = 20
-
     def __init__(self, merges: Merges):
         self.m = merges
         self.child: dict[int, int] = {}  # node * 256 + byte -> node
@@ -142,65 +166,56 @@ class Transducer:
 
     def forget(self) -> None:
         """Drops the states met; they are built again when needed."""
-        self.state: list[tuple[int, ...]] = [(0,)]
-        self.number = {(0,): 0}
-        self.step: dict[int, int] = {}  # state * 256 + byte -> next state * 2**BITS + token + 1
-
-    def _next(self, s: int, byte: int) -> int:
-        out, found, node_bits = [], 0, (1 << self.BITS) - 1
-        for guess in self.state[s]:
-            node = self.child.get((guess & node_bits) << 8 | byte)
-            if node is None:
-                continue
-            before = guess >> self.BITS
-            out.append(before << self.BITS | node)
-            t = self.token[node]
-            if t >= 0 and not found and (not before or self.m.fits(before - 1, t)):
-                found = t + 1
-        out.append(found << self.BITS)
-        key = tuple(out)
-        n = self.number.get(key)
-        if n is None:
-            n = self.number[key] = len(self.state)
-            self.state.append(key)
-        v = self.step[s << 8 | byte] = n << self.BITS | found
-        return v
+        self.start = _State(self, (0,))
+        self.known: dict[tuple[int, ...], _State] = {(0,): self.start}
+
+    def state_of(self, s: _State, byte: int) -> _State:
+        live = (*(n for n in (self.child.get(node << 8 | byte) for node in s.live) if n is not None), 0)
+        found = self.known.get(live)
+        if found is None:
+            found = self.known[live] = _State(self, live)
+        return found
 
     def _path(self, last: list[int], end: int) -> list[int]:
-        """Tokens of the bytes before end, from each byte's last token."""
-        out = []
+        """Tokens of the bytes before end, from each byte's last token (last[0] stands before all)."""
+        out, size = [], self.size
         while end:
-            t = last[end - 1] - 1
+            t = last[end]
             out.append(t)
-            end -= self.size[t]
-        return out[::-1]
+            end -= size[t]
+        out.reverse()
+        return out
 
-    def _settled(self, last: list[int], s: int) -> int:
+    def _settled(self, last: list[int], s: _State) -> int:
         """The last border that all live guesses rest on."""
-        node_bits = (1 << self.BITS) - 1
-        borders = {len(last) - self.depth[g & node_bits] for g in self.state[s]}
+        borders = {len(last) - 1 - self.depth[node] for node in s.live}
         while len(borders) > 1:
             p = max(borders)
             borders.remove(p)
-            borders.add(p - self.size[last[p - 1] - 1])
+            borders.add(p - self.size[last[p]])
         return borders.pop()
 
     def encode(self, piece: bytes) -> list[int]:
-        if len(self.state) > CACHED_STATES:
+        if len(self.known) > CACHED_STATES:
             self.forget()
-        s, last, out = 0, [], []
-        step, bits, tokens = self.step, self.BITS, (1 << self.BITS) - 1
+        s, last, out, at, fits = self.start, [-1], [], 0, self.m.fits
         for byte in piece:
-            v = step.get(s << 8 | byte)
-            if v is None:
-                v = self._next(s, byte)
-            s = v >> bits
-            last.append(v & tokens)
-            if len(last) == STRETCH:
+            s = s[byte]
+            at += 1
+            for size, token, lefts in s.ends:
+                left = last[at - size]
+                if left < 0:
+                    break
+                ok = lefts.get(left)
+                if fits(left, token) if ok is None else ok:
+                    break
+            last.append(token)
+            if at == STRETCH:
                 cut = self._settled(last, s)
                 out += self._path(last, cut)
-                del last[:cut]
-        return out + self._path(last, len(last))
+                del last[:cut]  # the token before the border stays, as the new last[0]
+                at -= cut
+        return out + self._path(last, at)
 
 
 class _Pieces(dict):
@@ -213,8 +228,10 @@ class _Pieces(dict):
     def __missing__(self, piece: str) -> bytes:
         ids = self.old.pop(piece, None)
         if ids is None:
-            t = self.machine.encode(piece.encode("utf-8", "surrogatepass"))
-            ids = struct.pack(f"<{len(t)}I", *t)
+            ids = array("I", self.machine.encode(piece.encode("utf-8", "surrogatepass")))
+            if sys.byteorder == "big":
+                ids.byteswap()
+            ids = ids.tobytes()
         if len(piece) < 64:
             if len(self) >= CACHED_PIECES:
                 self.old = dict(self)
@@ -233,6 +250,7 @@ class Codec:
         self.known = _Pieces(Transducer(self.merges))
         self.pieces = regex.compile(pattern).findall
         self.bytes_of = self.merges.bytes_of
+        self.closed = _Closed(self.bytes_of)  # at most a row for each token
 
     def packed(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
@@ -244,6 +262,11 @@ class Codec:
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
+    def text(self, ids) -> str:
+        """The ids decoded as a stream."""
+        stream = StreamDecoder(self.bytes_of, self.closed)
+        return stream.feed_all(ids) + stream.close()
+
 
 def _utf8_machine() -> list[list[int]]:
     """Next state by state and byte.  0: between characters; 1, 2, 3: so many bytes to come;
@@ -270,39 +293,68 @@ def _utf8_machine() -> list[list[int]]:
 UTF8 = _utf8_machine()
 
 
+class _Closed(dict):
+    """token -> its text if it begins and ends between characters, else None."""
+
+    def __init__(self, bytes_of):
+        self.bytes_of = bytes_of
+
+    def __missing__(self, token: int) -> str | None:
+        state = 0
+        for b in self.bytes_of[token]:
+            state = UTF8[state][b]
+        found = self[token] = None if state else self.bytes_of[token].decode("utf-8")
+        return found
+
+
 class StreamDecoder:
     """feed(id) gives the text that is complete; bytes of an unfinished character wait.
 
     Bytes that cannot be UTF-8 come out as U+FFFD, one for each maximal broken part.
     """
 
-    def __init__(self, bytes_of):
-        self.bytes_of, self.state, self.held = bytes_of, 0, bytearray()
+    def __init__(self, bytes_of, closed: _Closed | None = None):
+        self.bytes_of, self.state, self.held = bytes_of, 0, b""
+        self.closed = _Closed(bytes_of) if closed is None else closed
 
-    def feed(self, token: int) -> str:
-        out = []
-        for b in self.bytes_of[token]:
-            s = UTF8[self.state][b]
+    def _read(self, data: bytes) -> str:
+        out, state, held = [], self.state, bytearray(self.held)
+        for b in data:
+            s = UTF8[state][b]
             if s == 8:
-                if self.state:  # what was held is broken; the byte may begin anew
-                    out.append("�")
-                    self.held.clear()
+                if state:  # what was held is broken; the byte may begin anew
+                    out.append("\ufffd")
+                    held.clear()
                     s = UTF8[0][b]
                 if s == 8:
-                    out.append("�")
-                    self.state = 0
+                    out.append("\ufffd")
+                    state = 0
                     continue
-            self.held.append(b)
-            self.state = s
+            held.append(b)
+            state = s
             if s == 0:
-                out.append(self.held.decode("utf-8"))
-                self.held.clear()
+                out.append(held.decode("utf-8"))
+                held.clear()
+        self.state, self.held = state, bytes(held)
         return "".join(out)
 
+    def feed(self, token: int) -> str:
+        if not self.state and (text := self.closed[token]) is not None:
+            return text
+        return self._read(self.bytes_of[token])
+
+    def feed_all(self, tokens: list[int]) -> str:
+        """feed() of each."""
+        texts = list(map(self.closed.__getitem__, tokens))
+        if self.state or None in texts:
+            for k, text in enumerate(texts):
+                if text is None or self.state:
+                    texts[k] = self._read(self.bytes_of[tokens[k]])
+        return "".join(texts)
+
     def close(self) -> str:
-        rest = "�" if self.held else ""
-        self.held.clear()
-        self.state = 0
+        rest = "\ufffd" if self.held else ""
+        self.state, self.held = 0, b""
         return rest
 
 
@@ -320,7 +372,7 @@ def _digests(rank_file: str, pattern: str):
                 packed = c.packed(text or "")
                 n.append(len(packed) // 4)
                 ids_hash.append(hashlib.sha256(packed).hexdigest())
-                bytes_hash.append(hashlib.sha256(c.decode(np.frombuffer(packed, "<u4").tolist())).hexdigest())
+                bytes_hash.append(hashlib.sha256(c.text(np.frombuffer(packed, "<u4").tolist()).encode("utf-8")).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(bytes_hash, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
