@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 # Bounds of the caches of one task's process; what is dropped is computed again.
-CACHED_PIECES = 100_000  # of each of two generations, with their ids
+CACHED_PIECES = 130_000  # of each of two generations, with their ids
 CACHED_STATES = 200_000
 CACHED_PAIRS = 300_000
 STRETCH = 1024  # bytes of a piece after which settled tokens are emitted
