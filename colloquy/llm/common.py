@@ -17,7 +17,7 @@ import weakref
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 U64 = np.uint64
@@ -32,6 +32,8 @@ def scratch_dir(spark: SparkSession) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("on a cluster spark.checkpoint.dir must name a folder that all executors share")
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return base
 
@@ -77,11 +79,6 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def hint_small(written: DataFrame, rows: int = 500_000) -> DataFrame:
-    """A written table, marked for a broadcast join if a count shows it has at most `rows` rows."""
-    return F.broadcast(written) if written.count() <= rows else written
-
-
 # ---------------------------------------------------------------- hashing
 def mix(a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
     """A 64-bit hash of the ordered pair (a, b), element by element."""
@@ -203,31 +200,33 @@ def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     """edges (a, b) long -> (id, component): the smallest id reachable, for every id in edges.
 
     Alternating large-star and small-star rounds (Kiveris et al., 2014): each round points
-    neighbours at the smallest known id, and the work of a round is linear in the edges.  A
-    round's minima are partial aggregates and its joins are plain equi joins, so that a
-    hub's rows may be split.  Each round is written to the shared folder; the loop ends
-    when a round changes nothing.  Self loops keep an id that has no other edge.
+    neighbours at the smallest known id, and the work of a round is linear in the edges.
+    Smallest neighbours are partial aggregates, written before the joins that read them: a
+    join then has two bare exchanges below it and one row for each id on one side, so that
+    adaptive execution splits a hub's rows over tasks.  Each round is written to the shared
+    folder; the loop ends when a round changes nothing.  Self loops keep an id that has no
+    other edge.
     """
-    spark = edges.sparkSession
     edges = edges.select(F.col("a").cast("long"), F.col("b").cast("long"))
-    first = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    alone = materialize(first.where("u = v").select(F.col("u").alias("id")))
-    now, mark = materialize(first.where("u > v")), None
+    first = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    alone, now, mark = first.where("u = v").select(F.col("u").alias("id")), first.where("u > v"), None
     for _ in range(max_rounds):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (
+        low = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+        large = materialize(
             both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .where("u > v").distinct()
         )
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("x"), "m"), F.struct(F.col("u").alias("x"), "m"))).alias("e"))
-        new = materialize(small.select(F.col("e.x").alias("u"), F.col("e.m").alias("v")).where("u > v").distinct())
-        row = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        now = new
-        if tuple(row) == mark:
+        least = materialize(large.groupBy("u").agg(F.min("v").alias("m")))
+        # u points at its least, and so do the other neighbours of u
+        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+        told = Observation()
+        new = small.where("u > v").distinct().observe(told, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h"))
+        now = materialize(new)
+        got = told.get
+        if (got["n"], got["h"]) == mark:
             break
-        mark = tuple(row)
+        mark = got["n"], got["h"]
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = now.select(F.col("v").alias("id")).distinct()

@@ -1,19 +1,31 @@
 """N-gram Jaccard join: MinHash LSH forest, then exact verification.
 
-A document is the set of its five-word shingles.  Documents of one set are a class with the
-smallest doc_id as representative; only representatives are compared.  A signature's trees
-are sequences of MinHash labels; sorted by them, the documents that share a prefix of d
-labels are a node of the prefix trie.  Matching begins at the deepest prefix, and the prefix
-is shortened until the recall expected at the similarity asked for reaches the target;
-nodes of that depth give the candidates.  Candidates are joined to groups (components), and
-within a group all pairs are compared exactly by tiles, so links that the forest itself
-missed within a group are found too.
+A document is the set of its five-word shingles.  Documents of one set are one member; only
+members are compared.  A member's signature is TREES label sequences of DEEPEST MinHash
+labels.  For each tree the sequences are a prefix trie: members are brought together by the
+shortest prefix that is ever used, and sorted by their labels, so that the members sharing a
+longer prefix are neighbours.  Of every pair that meets, at the first of its trees, the
+signatures give the similarity and the longest prefix shared in any tree.
+
+Matching begins at the deepest prefix, and the prefix is shortened until the links found
+reach the target recall: that share of the pairs whose signatures agree well enough to be
+links, counted over all data at every depth.  The shortest prefix is the one at which a pair
+just similar enough is expected to meet with that recall, so the loop ends there at the
+latest.
+
+Pairs that meet at the depth found and whose signatures do not rule a link out (five standard
+deviations) join members to groups (components); within a group all pairs are compared
+exactly, by their shingles, so links that the forest itself missed within a group are found
+too.  A weak meeting of two unlike documents makes no group.
 
 Words are runs of bytes other than 0x20 and 0x09-0x0D, unchanged.  A text of one to four
 words is one shingle; a text without words, or null, has none, and is a class and component
-of its own.  Links count rows, copies included.  Each row gives a row, repeated ones too;
-rows of one doc_id with different texts share their links.  Rows with a null doc_id are left out, as a pair cannot name them.  Empty tables give
-no rows; columns other than doc_id and text are ignored.
+of its own.  A text is taken whole, however long: its shingles are hashed at once and its
+signature is built in slices.  Links count rows, copies included.  Each row gives a row,
+repeated ones too; rows of one doc_id with different texts are members of their own and have
+their own links and classes.  Rows with a null doc_id are left out of join(), as a pair cannot
+name them, and kept by keep_first().  Empty tables give no rows; columns other than doc_id
+and text are ignored by join() and kept by keep_first(), whatever their names.
 """
 
 from __future__ import annotations
@@ -31,17 +43,21 @@ from colloquy.llm import pairs
 
 WORDS = 5
 SIMILARITY = 0.8
-TREES, DEEPEST = 24, 10
-RECALL = 0.9995
+TREES, DEEPEST = 24, 8
+RECALL = 0.9999
 TILE = 512
+SLOT_ROWS = 16_000  # signatures in a task's comparison
+SLOT_SETS = 1_500  # shingle sets in a task's comparison
+CHUNK = 1 << 13  # pairs of signatures compared at once
 COLUMNS = 1 << 12  # shingles compared at once in a tile
 
-SKETCH = "doc_id long, set_hi long, set_lo long, keys array<long>"
-LINKS = "rep long, root long, links long"
+SKETCH = "doc_id long, text_key long, set_hi long, set_lo long, labels binary"
+MET = "a long, b long, depth int, n long"
+LINKS = "uid long, root long, links long"
 
 
 def depth_for(similarity: float, recall: float = RECALL, trees: int = TREES, deepest: int = DEEPEST) -> int:
-    """The longest prefix at which a pair of this similarity meets in some tree often enough."""
+    """The longest prefix at which a pair of this similarity is expected to meet in some tree often enough."""
     for d in range(deepest, 1, -1):
         if 1 - (1 - similarity**d) ** trees >= recall:
             return d
@@ -62,51 +78,95 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     return np.unique(out)
 
 
-def _parameters(n: int) -> tuple[np.ndarray, np.ndarray]:
+def _parameters() -> tuple[np.ndarray, np.ndarray]:
     rnd = np.random.default_rng(20)
-    return rnd.integers(1, 2**63, n, dtype=np.uint64) | C.U64(1), rnd.integers(0, 2**63, n, dtype=np.uint64)
+    n = TREES * DEEPEST
+    return rnd.integers(1, 2**32, n, dtype=np.uint32) | np.uint32(1), rnd.integers(0, 2**32, n, dtype=np.uint32)
 
 
-def _tree_keys(sets: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
-    """One 64-bit key for each tree: tree and the prefix of its labels."""
-    low = np.full(len(a), np.iinfo(np.uint64).max, C.U64)
-    for s in range(0, len(sets), 256):
-        with np.errstate(over="ignore"):
-            x = sets[s : s + 256, None] * a + b
-            x ^= x >> C.U64(31)
-        np.minimum(low, x.min(0), out=low)
-    low = low.reshape(-1, depth)
-    key = C.mix(np.arange(len(low)).astype(C.U64), 77)
-    for k in range(depth):
-        key = C.mix(key, low[:, k])
-    return key
+def signature(sets: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The labels, one byte each, tree by tree: a byte of each MinHash of the shingles."""
+    x = (C.mix(sets, 3) >> C.U64(32)).astype(np.uint32)
+    low = np.full(len(a), np.iinfo(np.uint32).max, np.uint32)
+    with np.errstate(over="ignore"):
+        for s in range(0, len(x), 256):
+            np.minimum(low, (x[s : s + 256, None] * a + b).min(0), out=low)
+        low *= np.uint32(0x9E3779B1)
+    return (low >> np.uint32(24)).astype(np.uint8)
 
 
-def _sketch(words: int, depth: int, trees: int):
+def _set_hash(sets: np.ndarray) -> tuple[int, int]:
+    two = xxhash.xxh3_128_digest(sets.tobytes())
+    return int.from_bytes(two[:8], "little", signed=True), int.from_bytes(two[8:], "little", signed=True)
+
+
+def _sketch(words: int):
     def run(batches):
-        a, b = _parameters(trees * depth)
+        a, b = _parameters()
         for batch in batches:
-            hi, lo, keys, n = [], [], [], []
+            hi, lo, labels = [], [], []
             for text in batch.column("text").to_pylist():
                 s = shingles(text, words)
                 x, y = _set_hash(s)
                 hi.append(x)
                 lo.append(y)
-                n.append(trees if len(s) else 0)
-                if len(s):
-                    keys.append(_tree_keys(C.mix(s, 3), a, b, depth))
-            flat = np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
+                labels.append(signature(s, a, b).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(np.cumsum([0, *n]), pa.int32()), pa.array(flat))],
-                ["doc_id", "set_hi", "set_lo", "keys"])
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.array(labels, pa.binary())],
+                ["doc_id", "text_key", "set_hi", "set_lo", "labels"])
 
     return run
 
 
-def _set_hash(sets: np.ndarray) -> tuple[int, int]:
-    two = xxhash.xxh3_128_digest(sets.tobytes())
-    return int.from_bytes(two[:8], "little", signed=True), int.from_bytes(two[8:], "little", signed=True)
+def _met(similarity: float, shortest: int):
+    """Of a slot's trie nodes: forests of the pairs that may be links, by the prefix they share, and how many there are."""
+    n_labels = TREES * DEEPEST
+    unlike = similarity - 5 * math.sqrt(similarity * (1 - similarity) / n_labels)
+    depths = range(DEEPEST, shortest - 1, -1)
+
+    def met(key, table):
+        node, uid, tree, mine, ga, gb = (table.column(c).to_numpy().astype(np.int64) for c in ("node", "uid", "tree", "mine", "ga", "gb"))
+        c = pairs.Comparisons([node], ga, gb, mine, uid)
+        uid, tree = uid[c.order], tree[c.order]
+        labels = np.stack([np.frombuffer(x, np.uint8) for x in table.column("labels").to_pylist()])[c.order]
+        found: dict[int, list] = {d: [] for d in depths}
+        count = dict.fromkeys(depths, 0)
+        for a, b in c.pairs(np.arange(len(c.starts)), CHUNK):
+            same = (labels[a] == labels[b]).reshape(-1, TREES, DEEPEST)
+            agree = same.reshape(len(a), -1).sum(1)
+            near = np.flatnonzero(agree >= unlike * n_labels)
+            prefix = np.minimum.accumulate(same[near], 2).sum(2)
+            own = (prefix >= shortest).argmax(1) == tree[a[near]]  # a pair counts at the first tree in which it meets
+            near, depth = near[own], prefix[own].max(1)
+            linked = agree[near] >= similarity * n_labels
+            for d in depths:
+                at = near[depth == d]
+                found[d].append((a[at], b[at]))
+                count[d] += int(linked[depth == d].sum())
+        names, of = np.unique(uid, return_inverse=True)
+        root, out = np.arange(len(names)), []
+        x, y = np.empty(0, np.int64), np.empty(0, np.int64)
+        for d in depths:
+            x = np.concatenate([x, *(of[p] for p, _ in found[d])])
+            y = np.concatenate([y, *(of[q] for _, q in found[d])])
+            was, root = root, pairs.forest(len(names), x, y)
+            moved = np.flatnonzero(root != was)
+            out.append(pa.table({"a": names[moved], "b": names[root[moved]], "depth": pa.array([d] * len(moved), pa.int32()), "n": pa.array([0] * len(moved), pa.int64())}))
+        none = pa.array([None] * len(count), pa.int64())
+        out.append(pa.table({"a": none, "b": none, "depth": pa.array(count, pa.int32()), "n": pa.array(count.values(), pa.int64())}))
+        return pa.concat_tables(out)
+
+    return met
+
+
+def shorten(found: dict[int, int], recall: float, shortest: int, deepest: int = DEEPEST) -> int:
+    """The longest prefix at which the share of the links found, of all that met, reaches the recall."""
+    every, so_far = sum(found.values()), 0
+    for d in range(deepest, shortest, -1):
+        so_far += found.get(d, 0)
+        if so_far >= recall * every:
+            return d
+    return shortest
 
 
 def _packed(words: int):
@@ -116,8 +176,8 @@ def _packed(words: int):
         for batch in batches:
             sets = [shingles(t, words) for t in batch.column("text").to_pylist()]
             want = zip(batch.column("set_hi").to_pylist(), batch.column("set_lo").to_pylist())
-            own = pa.array([_set_hash(x) == w for x, w in zip(sets, want)])
-            names = ["rep", "grp", "size", "n_docs", "set_hi"]
+            own = pa.array([_set_hash(x) == w for x, w in zip(sets, want)], pa.bool_())
+            names = ["uid", "grp", "size", "n_docs"]
             out = pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array([x.tobytes() for x in sets], pa.binary())], [*names, "shingles"])
             yield out.filter(own)
 
@@ -150,75 +210,96 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 
 def _verify(similarity: float):
     def verify(key, table):
-        # a repeated row is the same member
-        first = np.unique(np.stack([table.column(c).to_numpy() for c in ("rep", "set_hi")]), axis=1, return_index=True)[1]
-        table = table.take(pa.array(first))
-        rep = np.array(table.column("rep").to_pylist(), np.int64)
-        n_docs = np.array(table.column("n_docs").to_pylist(), np.int64)
-        mine = np.array(table.column("mine").to_pylist())
-        ga, gb = table.column("ga")[0].as_py(), table.column("gb")[0].as_py()
-        sets = [np.frombuffer(x, C.U64) for x in table.column("shingles").to_pylist()]
-        i = np.flatnonzero(mine == ga)
-        j = i if ga == gb else np.flatnonzero(mine == gb)
-        none = pa.table({k: pa.array([], pa.int64()) for k in ("rep", "root", "links")})
-        if not len(i) or not len(j) or len(rep) < 2:
-            return none
+        grp, uid, mine, ga, gb, n_docs = (table.column(c).to_numpy().astype(np.int64) for c in ("grp", "uid", "mine", "ga", "gb", "n_docs"))
+        first = np.unique(np.stack([grp, ga, gb, uid]), axis=1, return_index=True)[1]  # a repeated row is the same member
+        grp, uid, mine, ga, gb, n_docs = (x[first] for x in (grp, uid, mine, ga, gb, n_docs))
+        c = pairs.Comparisons([grp], ga, gb, mine, uid)
+        uid, n_docs = uid[c.order], n_docs[c.order].astype(np.float64)
+        data = table.column("shingles")
+        sets = [np.frombuffer(data[int(k)].as_py(), C.U64) for k in first[c.order]]
         size = np.array(list(map(len, sets)), np.float64)
-        common = overlaps([sets[x] for x in i], [sets[x] for x in j]).astype(np.float64)
-        union = size[i][:, None] + size[j][None, :] - common
-        linked = common >= similarity * union - 1e-9 * union
-        if ga == gb:
-            np.fill_diagonal(linked, False)
-        links = np.zeros(len(rep), np.int64)
-        links[i] += linked @ n_docs[j]
-        if ga != gb:
-            links[j] += linked.T @ n_docs[i]
-        order = np.argsort(rep)
-        place = np.empty(len(rep), np.int64)
-        place[order] = np.arange(len(rep))
-        x, y = np.nonzero(linked)
-        root = order[pairs.forest(len(rep), place[i[x]], place[j[y]])[place]]
-        some = links > 0
-        return pa.table({"rep": pa.array(rep[some]), "root": pa.array(rep[root[some]]), "links": pa.array(links[some])})
+        links = np.zeros(len(uid))
+        left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for s, m, e, same in zip(c.starts, c.middle, c.ends, c.same):
+            i, j = (slice(s, e), slice(s, e)) if same else (slice(s, m), slice(m, e))
+            if e - s < 2 or i.start == i.stop or j.start == j.stop:
+                continue
+            common = overlaps(sets[i], sets[j]).astype(np.float64)
+            union = size[i][:, None] + size[j][None, :] - common
+            linked = common >= similarity * union - 1e-9 * union
+            if same:
+                np.fill_diagonal(linked, False)
+            else:
+                links[j] += linked.T @ n_docs[i]
+            links[i] += linked @ n_docs[j]
+            x, y = np.nonzero(linked)
+            left.append(x + i.start)
+            right.append(y + j.start)
+        names, of = np.unique(uid, return_inverse=True)
+        root = names[pairs.forest(len(names), of[np.concatenate(left)], of[np.concatenate(right)])]
+        sums = np.bincount(of, links, len(names)).astype(np.int64)
+        some = sums > 0
+        return pa.table({"uid": names[some], "root": root[some], "links": sums[some]})
 
     return verify
 
 
-def join(docs: DataFrame, similarity: float = SIMILARITY, words: int = WORDS, recall: float = RECALL, tile: int = TILE) -> DataFrame:
-    """docs(doc_id, text) -> doc_id, class_id, copy_of, n_links, kept.
+def groups(same: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, tile: int = TILE) -> DataFrame:
+    """same(uid, labels) -> (id, component): members that may be linked, by the forest."""
+    shortest = depth_for(similarity, recall)
+    tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
+    nodes = same.select("uid", "labels", tree).select(
+        "uid", F.col("tree").cast("int"), F.xxhash64("tree", F.substring("labels", F.col("tree") * DEEPEST + 1, F.lit(shortest))).alias("node"))
+    counted = C.materialize(nodes.groupBy("node").agg(F.count("*").alias("size")).where("size > 1"))
+    rows = counted.agg(F.sum(F.col("size") * pairs.tiles(F.col("size"), tile))).first()[0] or 0
+    met = nodes.join(counted, "node").join(same.select("uid", "labels"), "uid")
+    dealt = pairs.deal(met, tile, -(-rows // SLOT_ROWS) or 1, ("node",)).select("slot", "node", "tree", "uid", "mine", "ga", "gb", "labels")
+    found = C.materialize(dealt.groupBy("slot").applyInArrow(_met(similarity, shortest), MET))
+    C.release(same.sparkSession)
+    count = {r.depth: r.n for r in found.where("a is null").groupBy("depth").agg(F.sum("n").alias("n")).collect()}  # a row for each depth
+    depth = shorten(count, recall, shortest)
+    return C.connected_components(found.where((F.col("a").isNotNull()) & (F.col("depth") >= depth)).select("a", "b"))
 
-    copy_of is the representative of the documents with the same set of shingles, class_id
-    the smallest doc_id reachable by links, n_links the number of other documents linked
-    directly, kept whether the document is the first of its class.
+
+def _classified(docs: DataFrame, similarity: float, words: int, recall: float, tile: int) -> tuple[DataFrame, DataFrame]:
+    """(a row for each of docs: doc_id, text_key, set_hi, set_lo; the members: uid, set_hi, set_lo, rep, n_docs, links, class).
+
+    class is the smallest uid reachable by links, null for a member without links.
     """
-    spark = docs.sparkSession
-    depth = depth_for(similarity, recall)
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
-    sketch = C.materialize(texts.mapInArrow(_sketch(words, depth, TREES), SKETCH))
-    ids = sketch.select("doc_id", "set_hi", "set_lo", (F.size("keys") > 0).alias("some"))
-    same = ids.where("some").groupBy("set_hi", "set_lo").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_docs"))
-    same = C.materialize(same)
-    reps = same.select(F.col("rep").alias("doc_id"), "set_hi", "set_lo")
-    nodes = sketch.join(reps, ["doc_id", "set_hi", "set_lo"], "left_semi").select(F.col("doc_id").alias("rep"), F.explode("keys").alias("node"))
-    heads = nodes.groupBy("node").agg(F.min("rep").alias("head"), F.count("*").alias("n")).where("n > 1").select("node", "head")
-    edges = C.materialize(nodes.join(heads, "node").where("rep > head").select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct())
-    groups = C.connected_components(edges).select(F.col("id").alias("rep"), F.col("component").alias("grp"))
-    sizes = groups.groupBy("grp").agg(F.count("*").alias("size"))
-    members = C.materialize(
-        groups.join(sizes, "grp").join(same, "rep")
-    )
-    C.release(spark)
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+    sketch = C.materialize(texts.mapInArrow(_sketch(words), SKETCH))
+    ids = sketch.select("doc_id", "text_key", "set_hi", "set_lo")
+    same = C.materialize(
+        sketch.where("labels is not null").groupBy("set_hi", "set_lo").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_docs"), F.first("labels").alias("labels"))
+        .withColumn("uid", F.monotonically_increasing_id()))
+    members = groups(same, similarity, recall, tile).select(F.col("id").alias("uid"), F.col("component").alias("grp"))
+    sizes = C.materialize(members.groupBy("grp").agg(F.count("*").alias("size")))
+    rows = sizes.agg(F.sum(F.col("size") * pairs.tiles(F.col("size"), tile))).first()[0] or 0
+    members = members.join(sizes, "grp").join(same.drop("labels"), "uid")
+    # a merge join whatever the sizes, so that the work is in proportion to the input
     packed = (
-        texts.join(C.hint_small(members), F.col("doc_id") == F.col("rep")).select("rep", "grp", "size", "n_docs", "set_hi", "set_lo", "text")
-        .mapInArrow(_packed(words), "rep long, grp long, size long, n_docs long, set_hi long, shingles binary")
+        texts.drop("text_key").join(members.hint("merge"), F.col("doc_id") == F.col("rep")).select("uid", "grp", "size", "n_docs", "set_hi", "set_lo", "text")
+        .mapInArrow(_packed(words), "uid long, grp long, size long, n_docs long, shingles binary")
     )
-    dealt = pairs.deal(packed, tile).select("grp", "ga", "gb", "mine", "rep", "set_hi", "n_docs", "shingles")
-    found = C.materialize(dealt.groupBy("grp", "ga", "gb").applyInArrow(_verify(similarity), LINKS))
-    C.release(spark)
-    comps = C.connected_components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    by_rep = same.join(links, "rep", "left").join(comps.withColumnRenamed("id", "rep"), "rep", "left")
-    by_set = by_rep.select("set_hi", "set_lo", "rep", "n_docs", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "rep").alias("component"))
+    dealt = pairs.deal(packed, tile, -(-rows // SLOT_SETS) or 1, ("grp",)).select("slot", "grp", "uid", "mine", "ga", "gb", "n_docs", "shingles")
+    found = C.materialize(dealt.groupBy("slot").applyInArrow(_verify(similarity), LINKS))
+    C.release(docs.sparkSession)
+    comps = C.connected_components(found.select(F.col("uid").alias("a"), F.col("root").alias("b"))).select(F.col("id").alias("uid"), F.col("component").alias("class"))
+    links = found.groupBy("uid").agg(F.sum("links").alias("links"))
+    return ids, same.drop("labels").join(links, "uid", "left").join(comps, "uid", "left")
+
+
+def join(docs: DataFrame, similarity: float = SIMILARITY, words: int = WORDS, recall: float = RECALL, tile: int = TILE) -> DataFrame:
+    """docs(doc_id, text) -> doc_id, class_id, copy_of, n_links, kept.
+
+    copy_of is the first of the documents with the same set of shingles, class_id the
+    smallest doc_id reachable by links, n_links the number of other rows linked directly,
+    kept whether the document is the first of its class.
+    """
+    ids, members = _classified(docs, similarity, words, recall, tile)
+    members = C.materialize(members)
+    least = members.where("class is not null").groupBy("class").agg(F.min("rep").alias("least"))
+    by_set = members.join(least, "class", "left").select("set_hi", "set_lo", "rep", "n_docs", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("least", "rep").alias("component"))
     out = ids.join(by_set, ["set_hi", "set_lo"], "left")
     return out.select(
         "doc_id", F.coalesce("component", "doc_id").alias("class_id"), F.coalesce("rep", "doc_id").alias("copy_of"),
@@ -227,7 +308,20 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, words: int = WORDS, re
     )
 
 
-def keep_first(docs: DataFrame, **how) -> DataFrame:
-    """docs without all but one document of each class; columns stay.  Rows without doc_id stay."""
-    gone = C.materialize(join(docs, **how).where("not kept").select("doc_id").distinct())
-    return docs.join(C.hint_small(gone), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+def keep_first(docs: DataFrame, similarity: float = SIMILARITY, words: int = WORDS, recall: float = RECALL, tile: int = TILE) -> DataFrame:
+    """docs with one row of each class, that of the smallest doc_id (of several texts under it, the
+    one of the smallest hash); columns stay.  Texts without words, and rows without doc_id, stay.
+    """
+    ids, members = _classified(docs, similarity, words, recall, tile)
+    of_set = members.select("set_hi", "set_lo", F.coalesce("class", "uid").alias("class"))
+    rows = C.materialize(
+        ids.join(of_set, ["set_hi", "set_lo"]).groupBy("class", "doc_id", "text_key").agg(F.count("*").alias("n")))
+    first = rows.groupBy("class").agg(F.min(F.struct("doc_id", "text_key")).alias("f"))
+    fate = rows.join(first, "class").select(
+        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), (F.struct("doc_id", "text_key") == F.col("f")).alias("_first"), (F.col("n") > 1).alias("_again"),
+    ).where("not _first or _again")
+    fate = C.materialize(fate)
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("_doc"), F.xxhash64("text").alias("_text"))
+    told = C.materialize(whole.join(fate.hint("merge"), (F.col("_doc") == F.col("_id")) & (F.col("_text") == F.col("_key")), "left").where("_first is null or _first"))
+    once, again = told.where("_again is null or not _again"), told.where("_again").dropDuplicates(["_doc", "_text"])
+    return once.unionByName(again).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -81,6 +81,30 @@ def test_repeated_and_empty(spark):
     assert J.join(spark.createDataFrame([], DOC)).collect() == []
 
 
+def test_keep_first_of_repeated_ids(spark):
+    a, b = "a b c d e f g", "q r s t u v w x"
+    df = spark.createDataFrame([(3, a, 1), (3, a, 2), (5, a, 3), (5, b, 4), (5, b, 5), (7, "", 6), (7, None, 7), (8, b, 8), (None, a, 9)], DOC + ", text_key int")
+    kept = J.keep_first(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == sorted([(3, a), (5, b), (7, ""), (7, ""), (0, a)])
+    rows = J.join(df).collect()
+    assert sorted((r.doc_id, r.class_id, r.n_links) for r in rows) == sorted([(3, 3, 2), (3, 3, 2), (5, 3, 2), (5, 5, 2), (5, 5, 2), (7, 7, 0), (7, 7, 0), (8, 5, 2)])
+
+
+def test_long_text(spark):
+    rnd = random.Random(3)
+    w = [f"w{rnd.randrange(10**6)}" for _ in range(120_000)]
+    near = w[:5000] + ["x"] + w[5001:]
+    rows = J.join(spark.createDataFrame([(2, " ".join(w)), (4, " ".join(near)), (6, " ".join(w[:60_000]))], DOC)).collect()
+    assert sorted((r.doc_id, r.class_id, r.n_links) for r in rows) == [(2, 2, 1), (4, 2, 1), (6, 6, 0)]
+
+
+def test_shorten():
+    assert J.shorten({8: 9990, 7: 9, 6: 1}, 0.9999, 5) == 7
+    assert J.shorten({8: 10, 5: 1}, 0.9999, 5) == 5
+    assert J.shorten({}, 0.9999, 5) == J.DEEPEST
+
+
 def test_depth_and_overlaps():
     d = J.depth_for(0.8)
     assert 1 - (1 - 0.8**d) ** J.TREES >= J.RECALL > 1 - (1 - 0.8 ** (d + 1)) ** J.TREES
