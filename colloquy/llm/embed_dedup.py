@@ -2,23 +2,28 @@
 
 A vector is padded to a power of two and rotated by three rounds of random signs and a fast
 Walsh-Hadamard transform; its hash is the coordinate largest in size, with its sign.  A table
-joins two such hashes in a bucket.  Multiprobe: a vector enters, besides its own bucket, the
-buckets that the next largest coordinates would give, best first.  Vectors of one label that
-meet in a bucket are candidates; within a bucket tiles are compared by exact cosine in double
-precision.  A pair counts in the first bucket that both are in, so a link counts once.
+joins a few such hashes in a bucket.  Multiprobe: a vector enters, besides its own bucket,
+the buckets that the next largest coordinates would give, best first.  Vectors of one label
+that meet in a bucket are candidates; within a bucket tiles are compared by exact cosine in
+double precision.  A pair counts in the first bucket that both are in, so a link counts once.
 
-Equal vectors (bit for bit, same label) are a class, compared once through its smallest
-vec_id.  Hot labels and buckets are dealt to tiles (pairs.py).
+How many hashes a table joins follows from the counted vectors of the largest label, so that
+a bucket's expected size does not grow with the data; how many tables there are follows from
+the recall asked for, measured on random pairs of exactly the cosine asked for (plan()).
+
+Equal vectors (bit for bit, same label) are a class, compared once.  Hot labels and buckets
+are dealt to tiles (pairs.py).
 
 Defined cases: a null label or vector, a zero vector, or one with a null or non-finite
 component links with nothing and is a component of its own; vectors of other lengths than
 the one they meet do not link with it; rows with a null vec_id are left out; repeated rows
-are rows; an empty table gives no rows; other columns are ignored.
+are rows, and unlike vectors under one vec_id are vectors of their own; a very long vector is
+taken whole; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import hashlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +34,15 @@ from colloquy.llm import common as C
 from colloquy.llm import pairs
 
 COSINE = 0.93
-TABLES, PROBES = 8, 3  # a pair at cosine 0.93 meets in some bucket in 999 of 1000 cases and more
+PROBES = 3
+RECALL = 0.999  # of pairs at exactly the cosine asked for
+MOST_HASHES = 4
 TILE = 512
+SMALL = 32  # members of a bucket from which on it is compared as a matrix
+SLOT_ROWS = 20_000  # vectors in a task's comparison
+CHUNK = 1 << 14  # pairs compared at once
 SLACK = 1e-12  # a cosine that rounding puts below the threshold is recomputed by long doubles
-LINKS = "rep long, root long, links long"
+LINKS = "uid long, root long, links long"
 
 
 def _signs(dim: int, count: int) -> np.ndarray:
@@ -50,35 +60,60 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(n)
 
 
-def buckets(x: np.ndarray, tables: int = TABLES, probes: int = PROBES) -> np.ndarray:
+def buckets(x: np.ndarray, tables: int, hashes: int, probes: int = PROBES) -> np.ndarray:
     """Bucket numbers [vector, table, probe] of unit vectors: own first, then by falling score."""
     n, d = x.shape
     dim = 1 << max(1, (d - 1).bit_length())
     padded = np.zeros((n, dim))
     padded[:, :d] = x
     out = np.empty((n, tables, probes), np.int64)
-    signs = _signs(dim, 2 * tables)
+    signs = _signs(dim, hashes * tables)
     best = min(3, dim)
     for t in range(tables):
-        code, size = [], []
-        for k in (0, 1):
+        cost, code = np.zeros((n, 1)), np.zeros((n, 1), np.int64)
+        for k in range(hashes):
             y = padded
             for r in range(3):
-                y = hadamard(y * signs[2 * t + k, r])
+                y = hadamard(y * signs[hashes * t + k, r])
             top = np.argsort(-np.abs(y), 1, kind="stable")[:, :best]
             value = np.take_along_axis(y, top, 1)
-            code.append(top * 2 + (value < 0))
-            size.append(np.abs(value))
-        # a pair of coordinates costs what it falls short of the largest ones
-        cost = ((size[0][:, :1] - size[0]) ** 2)[:, :, None] + ((size[1][:, :1] - size[1]) ** 2)[:, None, :]
-        both = (code[0][:, :, None] * (2 * dim) + code[1][:, None, :]).reshape(n, -1)
-        order = np.argsort(cost.reshape(n, -1), 1, kind="stable")[:, :probes]
-        got = np.take_along_axis(both, order, 1)
-        out[:, t, : got.shape[1]] = got
-        out[:, t, got.shape[1] :] = got[:, :1]
+            size = np.abs(value)
+            # a coordinate costs what it falls short of the largest one
+            cost = (cost[:, :, None] + ((size[:, :1] - size) ** 2)[:, None, :]).reshape(n, -1)
+            code = (code[:, :, None] * (2 * dim) + (top * 2 + (value < 0))[:, None, :]).reshape(n, -1)
+            order = np.argsort(cost, 1, kind="stable")[:, :probes]
+            cost, code = np.take_along_axis(cost, order, 1), np.take_along_axis(code, order, 1)
+        out[:, t, : code.shape[1]] = code
+        out[:, t, code.shape[1] :] = code[:, :1]
     return out
 
 
+@lru_cache(maxsize=64)
+def tables_for(dim: int, hashes: int, cosine: float, recall: float = RECALL, probes: int = PROBES) -> int:
+    """How many tables bring a pair of this cosine together often enough, measured on 2 000 random pairs."""
+    rnd = np.random.default_rng(dim * 8 + hashes)
+    a = rnd.normal(size=(2000, dim))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = rnd.normal(size=a.shape)
+    b -= (a * b).sum(1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    b = cosine * a + np.sqrt(max(0.0, 1 - cosine**2)) * b
+    p, q = buckets(a, 2, hashes, probes), buckets(b, 2, hashes, probes)
+    met = (p[:, :, :, None] == q[:, :, None, :]).any((2, 3)).mean()
+    return int(np.ceil(np.log(1 - recall) / np.log1p(-min(max(met, 0.01), 0.999))))
+
+
+def plan(count: int, dim: int, cosine: float, recall: float = RECALL) -> tuple[int, int]:
+    """(hashes, tables) for so many vectors of a label: buckets of a table at least a quarter of the vectors.
+
+    A code of hashes must fit 40 bits, and 255 tables are the most.
+    """
+    hashes, wide = 2, 2 << max(1, (dim - 1).bit_length())
+    while hashes < MOST_HASHES and wide**hashes * 4 < count and wide ** (hashes + 1) < 1 << 40 and tables_for(dim, hashes + 1, cosine, recall) < 256:
+        hashes += 1
+    return hashes, tables_for(dim, hashes, cosine, recall)
+
+
 def _vectors(column) -> list:
     """A double vector for each usable row, None for others."""
     out = []
@@ -90,110 +125,138 @@ def _vectors(column) -> list:
     return out
 
 
-def _classes(batches):
-    for batch in batches:
-        names = [None if v is None else int.from_bytes(hashlib.blake2b((v + 0.0).tobytes(), digest_size=8).digest(), "little", signed=True) for v in _vectors(batch.column("embedding"))]
-        usable = [None if l is None else n for n, l in zip(names, batch.column("label").to_pylist())]
-        yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("label"), pa.array(usable, pa.int64())], ["vec_id", "label", "vector"])
-
-
-def _in_buckets(batches):
-    for batch in batches:
-        vectors = _vectors(batch.column("embedding"))
-        rows, keys, codes = [], [], []
-        by_dim: dict[int, list[int]] = {}
-        for i, v in enumerate(vectors):
-            if v is not None:
-                by_dim.setdefault(len(v), []).append(i)
-        for dim, at in by_dim.items():
-            x = np.stack([vectors[i] for i in at])
-            scale = np.abs(x).max(1, keepdims=True)  # keeps tiny and huge vectors finite
-            x = x / scale
-            b = buckets(x / np.linalg.norm(x, axis=1, keepdims=True))
-            narrow = np.int32 if b.max() < 2**31 else np.int64
-            for i, own in zip(at, b):
-                flat = np.unique(own + (np.arange(TABLES)[:, None] << 40) + (dim << 48))
-                rows += [i] * len(flat)
-                keys.append(flat)
-                codes += [own.astype(narrow).tobytes()] * len(flat)
-        take = pa.array(rows, pa.int64())
-        cols = {c: batch.column(c).take(take) for c in ("rep", "label", "n_vecs")}
-        kind = np.float32 if pa.types.is_float32(batch.column("embedding").type.value_type) else np.float64
-        packed = [None if v is None else v.astype(kind).tobytes() for v in vectors]
-        cols["vector"] = pa.array([packed[i] for i in rows], pa.binary())
-        cols["bucket"] = pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64))
-        cols["codes"] = pa.array(codes, pa.binary())
-        yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
-
-
-def _codes(data: bytes) -> np.ndarray:
-    wide = len(data) == 8 * TABLES * PROBES
-    return np.frombuffer(data, np.int64 if wide else np.int32).astype(np.int64).reshape(TABLES, PROBES)
-
-
-def _verify(cosine: float, kind):
+def _usable(kind):
+    """The vectors' bytes, null where a vector links with nothing."""
+
+    def run(batches):
+        for batch in batches:
+            packed = [None if v is None else (v + 0.0).astype(kind).tobytes() for v in _vectors(batch.column("embedding"))]  # -0.0 is 0.0
+            usable = [None if l is None else p for p, l in zip(packed, batch.column("label").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("label"), pa.array(usable, pa.binary())], ["vec_id", "label", "vector"])
+
+    return run
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(1, keepdims=True)  # keeps tiny and huge vectors finite
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _in_buckets(kind, plans: dict[int, tuple[int, int]]):
+    """Each vector in its buckets; codes are its bucket numbers, table by table."""
+
+    def run(batches):
+        for batch in batches:
+            by_dim: dict[int, list[int]] = {}
+            data = batch.column("vector").to_pylist()
+            for i, v in enumerate(data):
+                by_dim.setdefault(len(v) // kind().itemsize, []).append(i)
+            for dim, at in by_dim.items():
+                hashes, tables = plans[dim]
+                x = _unit(np.stack([np.frombuffer(data[i], kind) for i in at]).astype(np.float64))
+                own = buckets(x, tables, hashes)
+                flat = np.sort((own + (np.arange(tables)[:, None] << 40) + (dim % (1 << 15) << 48)).reshape(len(at), -1), 1)
+                fresh = np.ones(flat.shape, bool)
+                fresh[:, 1:] = flat[:, 1:] != flat[:, :-1]
+                row = np.repeat(np.arange(len(at)), fresh.sum(1))
+                narrow = np.int32 if own.max() < 2**31 else np.int64
+                codes = pa.array([x.tobytes() for x in own.astype(narrow)], pa.binary()).take(pa.array(row))
+                take = pa.array(np.array(at)[row])
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c).take(take) for c in ("uid", "label", "n_vecs", "vector")), pa.array(flat[fresh]), codes],
+                    ["uid", "label", "n_vecs", "vector", "bucket", "codes"])
+
+    return run
+
+
+def _first_met(p: np.ndarray, q: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    """Is this bucket the first that both are in?  p, q: [pair, table, probe]."""
+    met = (p[:, :, :, None] == q[:, :, None, :]).any(3)
+    t, n = met.any(2).argmax(1), np.arange(len(p))
+    least = np.where(met[n, t], p[n, t], np.iinfo(np.int64).max).min(1)
+    return (t == bucket >> 40 & 255) & (least == bucket & (1 << 40) - 1)
+
+
+def _verify(cosine: float, kind, n_tables: dict[int, int]):
     def verify(key, table):
-        bucket = table.column("bucket")[0].as_py()
-        ga, gb = table.column("ga")[0].as_py(), table.column("gb")[0].as_py()
-        rep = table.column("rep").to_numpy().astype(np.int64)
-        n_vecs = table.column("n_vecs").to_numpy().astype(np.int64)
-        mine = table.column("mine").to_numpy()
-        x = np.stack([np.frombuffer(v, kind) for v in table.column("vector").to_pylist()]).astype(np.float64)
-        codes = np.stack([_codes(c) for c in table.column("codes").to_pylist()])
-        x = x / np.abs(x).max(1, keepdims=True)
-        x /= np.linalg.norm(x, axis=1, keepdims=True)
-        i = np.flatnonzero(mine == ga)
-        j = i if ga == gb else np.flatnonzero(mine == gb)
-        near = x[i] @ x[j].T >= cosine - SLACK
-        if ga == gb:
-            near = np.triu(near, 1)
-        a, b = np.nonzero(near)
-        a, b = i[a], j[b]
-        exact = (x[a].astype(np.longdouble) * x[b]).sum(1).astype(np.float64) if len(a) else np.empty(0)
-        keep = exact >= cosine
-        a, b = a[keep], b[keep]
-        first = np.zeros(len(a), bool)  # is this the first bucket that both are in?
-        for s in range(0, len(a), 1 << 14):
-            p, q = codes[a[s : s + (1 << 14)]], codes[b[s : s + (1 << 14)]]
-            met = (p[:, :, :, None] == q[:, :, None, :]).any(3)
-            t = met.any(2).argmax(1)
-            n = np.arange(len(t))
-            least = np.where(met[n, t], p[n, t], np.iinfo(np.int64).max).min(1)
-            first[s : s + (1 << 14)] = (t == bucket >> 40 & 255) & (least == bucket & (1 << 40) - 1)
-        a, b = a[first], b[first]
-        links = np.zeros(len(rep), np.int64)
-        np.add.at(links, a, n_vecs[b])
-        np.add.at(links, b, n_vecs[a])
-        order = np.argsort(rep, kind="stable")
-        place = np.empty(len(rep), np.int64)
-        place[order] = np.arange(len(rep))
-        root = order[pairs.forest(len(rep), place[a], place[b])[place]]
-        some = links > 0
-        return pa.table({"rep": pa.array(rep[some]), "root": pa.array(rep[root[some]]), "links": pa.array(links[some])})
+        uid, bucket, mine, ga, gb, n_vecs = (table.column(c).to_numpy().astype(np.int64) for c in ("uid", "bucket", "mine", "ga", "gb", "n_vecs"))
+        label = np.unique(np.array(table.column("label").to_pylist(), object).astype(str), return_inverse=True)[1]
+        c = pairs.Comparisons([bucket, label], ga, gb, mine, uid)
+        uid, bucket, n_vecs = uid[c.order], bucket[c.order], n_vecs[c.order]
+        vectors, codes = table.column("vector").to_pylist(), table.column("codes").to_pylist()
+        dims, place = np.array([len(v) // kind().itemsize for v in vectors])[c.order], np.empty(len(uid), np.int64)
+        x, of_code = {}, {}
+        for dim in np.unique(dims):  # a bucket holds one length only
+            at = np.flatnonzero(dims == dim)
+            place[at] = np.arange(len(at))
+            x[dim] = _unit(np.stack([np.frombuffer(vectors[i], kind) for i in c.order[at]]).astype(np.float64))
+            of_code[dim] = [codes[i] for i in c.order[at]]
+
+        def code(dim, rows):
+            of = [of_code[dim][k] for k in rows]
+            wide = [np.frombuffer(d, np.int32 if len(d) == 4 * PROBES * n_tables[dim] else np.int64) for d in of]
+            return np.stack(wide).astype(np.int64).reshape(-1, n_tables[dim], PROBES)
+
+        left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+
+        def keep(dim, a, b):
+            """Of candidate rows those that are links and first met here."""
+            if not len(a):
+                return
+            p, q = x[dim][place[a]], x[dim][place[b]]
+            near = (p.astype(np.longdouble) * q).sum(1).astype(np.float64) >= cosine
+            a, b = a[near], b[near]
+            if len(a):
+                first = _first_met(code(dim, place[a]), code(dim, place[b]), bucket[a])
+                left.append(a[first])
+                right.append(b[first])
+
+        length, dim_of = c.ends - c.starts, dims[c.starts]
+        for dim in x:
+            for a, b in c.pairs(np.flatnonzero((length < SMALL) & (dim_of == dim)), CHUNK):
+                near = np.einsum("ij,ij->i", x[dim][place[a]], x[dim][place[b]]) >= cosine - SLACK
+                keep(dim, a[near], b[near])
+        for k in np.flatnonzero(length >= SMALL):
+            s, m, e, dim = c.starts[k], c.middle[k], c.ends[k], dim_of[k]
+            i, j = (np.arange(s, e), np.arange(s, e)) if c.same[k] else (np.arange(s, m), np.arange(m, e))
+            near = x[dim][place[i]] @ x[dim][place[j]].T >= cosine - SLACK
+            a, b = np.nonzero(np.triu(near, 1) if c.same[k] else near)
+            for at in range(0, len(a), CHUNK):
+                keep(dim, i[a[at : at + CHUNK]], j[b[at : at + CHUNK]])
+        a, b = np.concatenate(left), np.concatenate(right)
+        names, of = np.unique(uid, return_inverse=True)
+        links = np.bincount(of[a], n_vecs[b], len(names)) + np.bincount(of[b], n_vecs[a], len(names))
+        root, some = names[pairs.forest(len(names), of[a], of[b])], links > 0
+        return pa.table({"uid": names[some], "root": root[some], "links": links[some].astype(np.int64)})
 
     return verify
 
 
-def dedup(vectors: DataFrame, cosine: float = COSINE, tile: int = TILE) -> DataFrame:
+def dedup(vectors: DataFrame, cosine: float = COSINE, recall: float = RECALL, tile: int = TILE) -> DataFrame:
     """vectors(vec_id, embedding, label) -> vec_id, n_links, component_id, kept."""
-    spark = vectors.sparkSession
-    kind = "float" if vectors.schema["embedding"].dataType.elementType.simpleString() == "float" else "double"
+    kind, of_numpy = ("float", np.float32) if vectors.schema["embedding"].dataType.elementType.simpleString() == "float" else ("double", np.float64)
     rows = vectors.where("vec_id is not null").select(F.col("vec_id").cast("long"), F.col("embedding").cast(f"array<{kind}>"), F.col("label").cast("string"))
-    named = C.materialize(rows.mapInArrow(_classes, "vec_id long, label string, vector long"))
-    same = C.materialize(named.where("vector is not null").groupBy("label", "vector").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n_vecs")))
-    reps = rows.join(same.select("rep", "n_vecs", F.col("label").alias("l")), (F.col("vec_id") == F.col("rep")) & (F.col("label") == F.col("l"))).select("rep", "label", "n_vecs", "embedding").dropDuplicates(["rep", "label"])
-    placed = reps.mapInArrow(_in_buckets, "rep long, label string, n_vecs long, vector binary, bucket long, codes binary")
-    sizes = placed.groupBy("label", "bucket").agg(F.count("*").alias("size")).where("size > 1")
-    dealt = pairs.deal(placed.join(sizes, ["label", "bucket"]), tile)
+    named = rows.mapInArrow(_usable(of_numpy), "vec_id long, label string, vector binary").withColumn("name", F.md5("vector"))
+    same = C.materialize(
+        named.where("vector is not null").groupBy("label", "name").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n_vecs"), F.first("vector").alias("vector"))
+        .withColumn("uid", F.monotonically_increasing_id()))
+    dim = (F.octet_length("vector") / of_numpy().itemsize).cast("int")
+    most = same.groupBy("label", dim.alias("dim")).agg(F.count("*").alias("n")).groupBy("dim").agg(F.max("n").alias("n")).collect()  # a row for each length of vectors
+    plans = {r.dim: plan(r.n, r.dim, cosine, recall) for r in most}
+    placed = same.select("uid", "label", "n_vecs", "vector").mapInArrow(_in_buckets(of_numpy, plans), "uid long, label string, n_vecs long, vector binary, bucket long, codes binary")
+    sizes = C.materialize(placed.groupBy("label", "bucket").agg(F.count("*").alias("size")).where("size > 1"))
+    n = sizes.agg(F.sum(F.col("size") * pairs.tiles(F.col("size"), tile))).first()[0] or 0
+    dealt = pairs.deal(placed.join(sizes, ["label", "bucket"]), tile, -(-n // SLOT_ROWS) or 1, ("label", "bucket"))
     found = C.materialize(
-        dealt.select("label", "bucket", "ga", "gb", "mine", "rep", "n_vecs", "vector", "codes")
-        .groupBy("label", "bucket", "ga", "gb").applyInArrow(_verify(cosine, np.float32 if kind == "float" else np.float64), LINKS)
+        dealt.select("slot", "label", "bucket", "ga", "gb", "mine", "uid", "n_vecs", "vector", "codes")
+        .groupBy("slot").applyInArrow(_verify(cosine, of_numpy, {d: t for d, (_, t) in plans.items()}), LINKS)
     )
-    C.release(spark)
-    comps = C.connected_components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    by_class = same.join(links, "rep", "left").join(comps.withColumnRenamed("id", "rep"), "rep", "left")
-    out = named.join(by_class, ["label", "vector"], "left")
+    C.release(vectors.sparkSession)
+    comps = C.materialize(C.connected_components(found.select(F.col("uid").alias("a"), F.col("root").alias("b"))).select(F.col("id").alias("uid"), F.col("component").alias("class")))
+    links = found.groupBy("uid").agg(F.sum("links").alias("links"))
+    least = comps.join(same.select("uid", "rep"), "uid").groupBy("class").agg(F.min("rep").alias("component"))
+    by_class = same.select("uid", "label", "name", "rep", "n_vecs").join(links, "uid", "left").join(comps.join(least, "class"), "uid", "left")
+    out = named.drop("vector").join(by_class, ["label", "name"], "left")
     component = F.coalesce("component", "rep", "vec_id")
     return out.select(
         "vec_id", F.coalesce(F.coalesce("links", F.lit(0)) + F.col("n_vecs") - 1, F.lit(0)).cast("long").alias("n_links"),

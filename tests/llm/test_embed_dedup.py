@@ -57,8 +57,28 @@ def test_hadamard():
     x = np.random.default_rng(1).normal(size=(5, 64))
     y = E.hadamard(x)
     assert np.allclose(E.hadamard(y), x) and np.allclose((y**2).sum(1), (x**2).sum(1))
-    b = E.buckets(x / np.linalg.norm(x, axis=1, keepdims=True))
-    assert (E.buckets(-x / np.linalg.norm(x, axis=1, keepdims=True))[:, :, 0] != b[:, :, 0]).all()
+    b = E.buckets(x / np.linalg.norm(x, axis=1, keepdims=True), 8, 2)
+    assert (E.buckets(-x / np.linalg.norm(x, axis=1, keepdims=True), 8, 2)[:, :, 0] != b[:, :, 0]).all()
+
+
+def test_plan_keeps_recall():
+    small, large = E.plan(1000, 64, 0.93), E.plan(10**7, 64, 0.93)
+    assert small[0] == 2 and large[0] == 4 and large[1] > small[1]
+    rnd = np.random.default_rng(11)
+    a, b = rnd.normal(size=(2, 1500, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(1, keepdims=True) * a
+    b = 0.93 * a + math.sqrt(1 - 0.93**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    for hashes, tables in (small, E.plan(10**5, 64, 0.93)):
+        p, q = E.buckets(a, tables, hashes), E.buckets(b, tables, hashes)
+        assert (p[:, :, :, None] == q[:, :, None, :]).any((1, 2, 3)).mean() >= 0.99
+
+
+def test_repeated_ids_with_unlike_vectors(spark):
+    v, w = [1.0, 2.0, 3.0, 4.0], [4.0, -3.0, 2.0, -1.0]
+    rows = [(1, v, 0), (1, w, 0), (2, [1.0, 2.0, 3.0, 4.1], 0), (3, [4.0, -3.0, 2.0, -1.1], 0), (3, [4.0, -3.0, 2.0, -1.1], 0)]
+    got = sorted(map(tuple, E.dedup(spark.createDataFrame(rows, VEC)).collect()))
+    assert got == [(1, 1, 1, True), (1, 2, 1, True), (2, 1, 1, False), (3, 2, 1, False), (3, 2, 1, False)]
 
 
 def test_empty(spark):
