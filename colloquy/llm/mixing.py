@@ -7,16 +7,19 @@ probability weight / largest weight * rate, by a hash of its id, so that a cell'
 tokens follow the fit and every rerun samples the same documents.
 
 The raking works on the cell table (sources x languages x topics rows, whatever the number
-of documents); one shuffle sums the documents into it, with partial sums before.
+of documents); one shuffle sums the documents into it, with partial sums before.  It goes on
+until every margin is within TOLERANCE of its target, or no longer gets nearer, as with
+targets that contradict one another.
 
 Targets: a mapping of value to share for any of the three margins.  A margin without one
 takes shares in proportion to tokens ** TEMPER, which lifts small sources.  Values of the
-corpus that a given mapping does not name get the share 0 and are not sampled.
+corpus that a given mapping does not name get the share 0 and are not sampled; a mapping that
+names none of them, or only shares of 0, samples nothing.
 
 Defined cases: null source, language or topic is a value of its own (""); a null or empty
-text has no tokens and is not sampled; rows of one doc_id are sampled together; a null
-doc_id hashes as ""; an empty table gives no rows; mix() keeps all columns, whatever their
-names.
+text has no tokens and is not sampled, so that a corpus of empty texts gives no sample; a text
+is counted whole, however long; rows of one doc_id are sampled together; a null doc_id hashes
+as ""; an empty table gives no rows; mix() keeps all columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,10 +31,14 @@ from colloquy.llm.common import materialize
 
 MARGINS = ("source", "lang", "topic")
 TEMPER = 0.9
-ROUNDS = 8
+ROUNDS = 8  # between two looks at the margins
+LOOKS = 25  # at the most
+TOLERANCE = 1e-6  # of all tokens
 RATE = 1.0
 WORD = "[^\\x20\\x09-\\x0D]+"
-BROADCAST_CELLS = 50_000  # rows of the weight table that may be broadcast; more are joined by shuffle
+#: Rows of the cell table (some 100 bytes each) that may be broadcast, or raked in one partition without exchanges; more
+#: are joined and raked by shuffles, with the same result.
+FEW_CELLS = 50_000
 DIGITS = 13  # hex digits of the hash that make the uniform number
 
 
@@ -66,21 +73,40 @@ def _target(cells: DataFrame, margin: str, shares: dict | None, temper: float) -
         flat = [x for k, v in shares.items() for x in (F.lit(k), F.lit(float(v)))]
         known = F.create_map(*flat) if flat else F.create_map().cast("map<string,double>")
         sums = sums.withColumn("share", F.when(F.col("t") > 0, F.coalesce(F.try_element_at(known, F.col(margin)), F.lit(0.0))).otherwise(0.0))
-    every = sums.agg(F.sum("share").alias("shares"), F.sum("t").alias("all"))
-    return sums.crossJoin(F.broadcast(every)).select(margin, (F.col("share") / F.col("shares") * F.col("all")).alias(f"t_{margin}"))
+    every = sums.agg(F.nullif(F.sum("share"), F.lit(0.0)).alias("shares"), F.sum("t").alias("all"))  # one row
+    return sums.crossJoin(F.broadcast(every)).select(margin, F.coalesce(F.col("share") / F.col("shares") * F.col("all"), F.lit(0.0)).alias(f"t_{margin}"))
 
 
-def rake(cells: DataFrame, targets: dict | None = None, temper: float = TEMPER, rounds: int = ROUNDS) -> DataFrame:
-    """cells(source, lang, topic, tokens) -> with weight: fitted tokens over tokens, 0 where it has none."""
-    targets, out = targets or {}, cells
-    for m in MARGINS:
-        out = out.join(_target(cells, m, targets.get(m), temper), m)
-    out = out.withColumn("fit", F.col("tokens").cast("double"))
+def _rounds(fitted: DataFrame, rounds: int) -> DataFrame:
+    """fitted(margins, their targets, fit) after so many rounds over the margins."""
     for _ in range(rounds):
         for m in MARGINS:
             now = F.sum("fit").over(Window.partitionBy(m))
-            out = out.withColumn("fit", F.when(now > 0, F.col("fit") * F.col(f"t_{m}") / now).otherwise(0.0))
-    return out.select(*MARGINS, "tokens", F.when(F.col("tokens") > 0, F.col("fit") / F.col("tokens")).otherwise(0.0).alias("weight"))
+            fitted = fitted.withColumn("fit", F.when(now > 0, F.col("fit") * F.col(f"t_{m}") / now).otherwise(0.0))
+    return fitted
+
+
+def residual(fitted: DataFrame) -> float:
+    """The largest distance of a margin's sum from its target, as a share of all tokens; 0 for no tokens."""
+    off = [fitted.groupBy(m).agg(F.abs(F.sum("fit") - F.first(f"t_{m}")).alias("off"), F.sum("tokens").alias("t")) for m in MARGINS]
+    got = off[0].unionByName(off[1].drop("lang"), True).unionByName(off[2].drop("topic"), True).agg(F.max("off").alias("off"), F.sum("t").alias("t")).first()
+    return len(MARGINS) * got["off"] / got["t"] if got["t"] else 0.0
+
+
+def rake(cells: DataFrame, targets: dict | None = None, temper: float = TEMPER, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
+    """cells(source, lang, topic, tokens) -> with weight: fitted tokens over tokens, 0 where it has none."""
+    targets, few = targets or {}, cells.count() <= FEW_CELLS
+    fitted, before = cells, float("inf")
+    for m in MARGINS:
+        fitted = fitted.join(_target(cells, m, targets.get(m), temper), m)
+    fitted = fitted.withColumn("fit", F.col("tokens").cast("double"))
+    for _ in range(LOOKS):
+        fitted = materialize(_rounds(fitted.coalesce(1) if few else fitted, rounds))
+        now = residual(fitted)
+        if now <= tolerance or now > 0.99 * before:
+            break
+        before = now
+    return fitted.select(*MARGINS, "tokens", F.when(F.col("tokens") > 0, F.col("fit") / F.col("tokens")).otherwise(0.0).alias("weight"))
 
 
 def features(docs: DataFrame) -> DataFrame:
@@ -93,7 +119,7 @@ def features(docs: DataFrame) -> DataFrame:
 def weights(found: DataFrame, targets: dict | None = None, temper: float = TEMPER, rounds: int = ROUNDS, rate: float = RATE) -> DataFrame:
     """features -> (source, lang, topic, weight, probability)."""
     cells = materialize(found.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")))
-    raked = materialize(rake(cells, targets, temper, rounds))
+    raked = rake(cells, targets, temper, rounds)
     most = raked.agg(F.max("weight").alias("most"))
     share = F.when(F.col("most") > 0, F.least(F.lit(1.0), F.col("weight") / F.col("most") * rate)).otherwise(0.0)
     return raked.crossJoin(F.broadcast(most)).select(*MARGINS, "weight", share.alias("probability"))  # most: one row
@@ -101,7 +127,7 @@ def weights(found: DataFrame, targets: dict | None = None, temper: float = TEMPE
 
 def _with_weights(rows: DataFrame, table: DataFrame) -> DataFrame:
     table = materialize(table)
-    return rows.join(F.broadcast(table) if table.count() <= BROADCAST_CELLS else table, list(MARGINS))
+    return rows.join(F.broadcast(table) if table.count() <= FEW_CELLS else table, list(MARGINS))
 
 
 def sampled(docs: DataFrame, seed: int = 0, **how) -> DataFrame:
@@ -125,12 +151,13 @@ def mix(docs: DataFrame, seed: int = 0, **how) -> DataFrame:
 
 
 def sql(rounds: int = ROUNDS, temper: float = TEMPER, rate: float = RATE, seed: int = 0) -> str:
-    """sampled() over documents as DuckDB SQL: the rounds are written out as nested window sums."""
+    """sampled() over documents as DuckDB SQL, for a fit that is near enough after one look: the rounds are written out as
+    nested window sums."""
     fit = "cells"
     margins = ", ".join(
         f"(select {m}, case when sum(tokens) > 0 then pow(sum(tokens)::double, {temper}) else 0.0 end as s_{m} from cells group by 1) x_{m}" for m in MARGINS)
     wanted = f"""(select c.source, c.lang, c.topic, c.tokens, c.tokens::double as fit, {", ".join(
-        f"s_{m} / (select sum(s) from (select case when sum(tokens) > 0 then pow(sum(tokens)::double, {temper}) else 0.0 end as s from cells group by {m})) * (select sum(tokens) from cells) as t_{m}" for m in MARGINS)}
+        f"s_{m} / (select nullif(sum(s), 0) from (select case when sum(tokens) > 0 then pow(sum(tokens)::double, {temper}) else 0.0 end as s from cells group by {m})) * (select sum(tokens) from cells) as t_{m}" for m in MARGINS)}
       from cells c, {margins} where {" and ".join(f"c.{m} = x_{m}.{m}" for m in MARGINS)})"""
     fit = wanted
     for _ in range(rounds):
