@@ -14,22 +14,26 @@ common (as multisets): 2*common / (all of both), 1 for equal roots.
 
 Defined cases: a null text is an empty one (a root and no section); two empty texts are
 alike (1), an empty and another are not (0); rows are ordered by doc_id descending, nulls
-last, equal ids by a hash of the text; the only row is its own next document; an empty table
-gives no rows; columns other than doc_id and text are ignored.
+last, equal ids by a hash of the text, so that one id may spread over ranges; the only row is
+its own next document; a very long text is taken whole (a task holds two documents at a time);
+an empty table gives no rows; columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections import Counter
 
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 16 << 20
+OUT_BYTES = 8 << 20
 SENTENCE = re.compile(r"[^.!?]*[.!?]*")
 #: A heading begins a section: a markdown or numbered title line.
 HEADING = re.compile(r"(?:#{1,6} |\d+(?:\.\d+)*\.? {1,3}[A-Z][^.!?]{0,80}$)")
@@ -100,29 +104,27 @@ def edited(text: str, other: str) -> str:
     return text[: len(text) - k] + other[:k]
 
 
-def _compare(key, table):
-    """Rows of a bucket and, as marked, the row that follows its last one."""
-    rows = sorted(
-        zip(*(table.column(c).to_pylist() for c in ("doc_id", "text", "tie", "guest"))),
-        key=lambda r: (r[3], r[0] is None, -(r[0] or 0), r[2]),
-    )
-    out, known = [], {}
-
-    def print_of(i):
-        if i not in known:
-            known[i] = tree(rows[i][1])
-        return known[i]
-
-    for i, (doc_id, text, _, guest) in enumerate(rows):
-        if guest:
-            break
-        text, after = text or "", rows[i + 1][1] or ""
-        new = edited(text, after)
-        one, two = print_of(i), tree(new)
-        out.append((doc_id, len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), one, two, likeness(one, two), likeness(one, print_of(i + 1))))
-        known.pop(i)
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-    return pa.table([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 7, kinds)], RESULT.replace(",", "").split()[::2])
+def _walk(batches):
+    """Rows in the order of (bucket, document); of each bucket the guest, its last row's next document, comes last."""
+    names, kinds = RESULT.replace(",", "").split()[::2], [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    out, held, before = [], 0, None
+    for batch in batches:
+        for bucket, doc_id, text, guest in zip(*(batch.column(c).to_pylist() for c in ("bucket", "doc_id", "text", "guest"))):
+            text = text or ""
+            if before is not None and before[0] == bucket:
+                _, last_id, last, one = before
+                new, after = edited(last, text), tree(text)
+                two = tree(new)
+                out.append((last_id, len(last), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), one, two, likeness(one, two), likeness(one, after)))
+                held += len(one) + len(two)
+                before = None if guest else (bucket, doc_id, text, after)
+            elif not guest:
+                before = (bucket, doc_id, text, tree(text))
+            if held > OUT_BYTES:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
+                out, held = [], 0
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
 
 
 def fingerprint(docs: DataFrame) -> DataFrame:
@@ -137,33 +139,33 @@ def fingerprint(docs: DataFrame) -> DataFrame:
 def compare_with_next(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """docs(doc_id, text) -> fingerprints of each text and of its edit with the next document.
 
-    One shuffle by ranges of doc_id puts neighbours together; the first row of each range is
-    sent to the range before it too, as its last row's next document.
+    The keys alone are dealt into ranges first; where the ranges begin (one key for each
+    bucket_bytes of text) is known to all tasks.  Then one shuffle puts the documents into
+    their ranges, the first of each range into the range before it too, as the next document
+    of its last row; a task walks through its sorted rows.
     """
     total = docs.agg(F.sum(F.octet_length("text")), F.count("*")).first()
-    n = max(1, -(-(total[0] or 0) // bucket_bytes))
-    ids = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"))
-    cuts = sorted(set(ids.approxQuantile("doc_id", [k / n for k in range(1, n)], 0.1 / n))) if n > 1 else []
-    cuts = [int(c) for c in cuts]
-    key = F.col("doc_id")
-    # bucket 0 has the nulls and the smallest ids; the next document lies in this bucket or a lower one
-    borders = F.array(*map(F.lit, cuts)).cast("array<long>")
-    bucket = F.size(F.filter(borders, lambda c: c <= key))
-    rows = docs.select(
-        F.when(key.isNull(), 0).otherwise(bucket).cast("int").alias("bucket"), key.cast("long").alias("doc_id"), "text",
-        F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"),
-    )
-    # the first row of every bucket: largest id, smallest tie (nulls last)
-    order = F.struct(key.isNull().cast("int"), -F.coalesce(key, F.lit(0)), "tie")
-    heads = rows.groupBy("bucket").agg(F.min(F.struct(order.alias("o"), F.col("doc_id").alias("d"), F.col("tie").alias("t"))).alias("h")).select("bucket", "h.d", "h.t").collect()
-    heads = sorted(heads, key=lambda r: -r.bucket)  # one row for each bucket
+    n = max(1, min(total[1], -(-(total[0] or 0) // bucket_bytes)))
+    null, falling = F.col("doc_id").isNull(), F.coalesce(F.bitwise_not(F.col("doc_id").cast("long")), F.lit(0))  # ~x falls as x grows
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", null.alias("null"), falling.alias("falling"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"))
+    keys = rows.select("null", "falling", "tie").repartitionByRange(n, "null", "falling", "tie")
+    heads = keys.groupBy(F.spark_partition_id()).agg(F.min(F.struct("null", "falling", "tie")).alias("h")).select("h.*").collect()  # a key for each bucket
     if not heads:
         return docs.sparkSession.createDataFrame([], RESULT)
-    goes = [(heads[(i + 1) % len(heads)], h.bucket) for i, h in enumerate(heads)]  # head of the next bucket -> bucket
-    hosts = docs.sparkSession.createDataFrame([(h.d, h.t, b) for h, b in goes], "d long, t long, host int")
-    guests = (
-        rows.join(F.broadcast(hosts), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tie") == F.col("t")))
-        .groupBy("host").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.first("tie").alias("tie"))
-        .select(F.col("host").alias("bucket"), "doc_id", "text", "tie", F.lit(True).alias("guest"))
+    heads = sorted(map(tuple, heads))
+
+    @F.pandas_udf("long")
+    def place(null: pd.Series, falling: pd.Series, tie: pd.Series) -> pd.Series:
+        """Twice the bucket, and one more for the key that begins it."""
+        keys = zip(null.tolist(), falling.tolist(), tie.tolist())
+        return pd.Series([2 * (at := bisect_right(heads, k) - 1) + (heads[at] == k) for k in keys], dtype="int64")
+
+    at = F.col("place").bitwiseAND(1)
+    bucket = F.shiftright("place", 1).cast("int")
+    own, guest = F.struct(bucket.alias("bucket"), F.lit(False).alias("guest")), F.struct(F.pmod(bucket - 1, F.lit(len(heads))).alias("bucket"), F.lit(True).alias("guest"))
+    return (
+        rows.withColumn("place", place("null", "falling", "tie"))
+        .select("doc_id", "text", "null", "falling", "tie", F.inline(F.when(at == 1, F.array(own, guest)).otherwise(F.array(own))))
+        .repartition(len(heads), "bucket").sortWithinPartitions("bucket", "guest", "null", "falling", "tie")
+        .select("bucket", "doc_id", "text", "guest").mapInArrow(_walk, RESULT)
     )
-    return rows.withColumn("guest", F.lit(False)).unionByName(guests).groupBy("bucket").applyInArrow(_compare, RESULT)

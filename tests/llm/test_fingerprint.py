@@ -41,3 +41,17 @@ def test_small_tables(spark):
     two = M.compare_with_next(spark.createDataFrame([(1, "same"), (1, "same")], DOC)).collect()
     assert [r.near_next for r in two] == [1.0, 1.0]
     assert M.fingerprint(spark.createDataFrame([(1, None, "f")], DOC + ", fingerprint string")).first().fingerprint == M.tree("")
+
+
+def test_repeated_id_over_several_buckets(spark):
+    docs = [(5, f"Line {i}. " * 40) for i in range(60)] + [(5, "Line 3. " * 40)] * 3 + [(9, "first"), (1, "last")]
+    got = M.compare_with_next(spark.createDataFrame(docs, DOC), 2000).collect()
+    assert sorted(r.doc_id for r in got) == sorted(d for d, _ in docs)
+    whole = M.compare_with_next(spark.createDataFrame(docs, DOC)).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, whole))
+
+
+def test_long_text(spark):
+    long = "A sentence of some length. " * 100_000
+    rows = M.compare_with_next(spark.createDataFrame([(2, long), (1, long + "End.")], DOC)).collect()
+    assert all(0.99 < r.near_next < 1 for r in rows)
