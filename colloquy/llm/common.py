@@ -5,7 +5,10 @@ documents holds (a count, "is it in another document").  A row for each hash wou
 tens of bytes in JVM rows, so a block sends one row for each bucket of the hash space,
 holding its sorted distinct hashes in a packed form; the bucket's task merges the lists and
 answers each block in the order of the list, so that answers carry no hashes.  A hash
-appears once for each block however often it occurs, thus no key is hot.
+appears once for each block however often it occurs, thus no key is hot.  A block sends
+nothing to a bucket of which it has no hash: rows are at most the distinct hashes of the
+blocks, however many blocks and buckets there are, and fewer by the packing where lists are
+long.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 U64 = np.uint64
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 6 << 20
 
 
 # ---------------------------------------------------------------- scratch tables

@@ -10,7 +10,8 @@ training documents with these weights.
 Every count covers all training documents.  Counts travel as packed exchanges (common.py):
 a block of documents sends its distinct n-grams once and is told their totals.
 
-Defined cases: a null or empty text is its end token alone; a null doc_id counts as the text
+Defined cases: a null or empty text is its end token alone; a very long text is scored whole,
+as a block of its own size; a null doc_id counts as the text
 "" in the folds; repeated rows are documents of their own; an empty table gives no rows; a
 corpus without training documents scores by the uniform estimate; columns other than doc_id
 and text are ignored.
@@ -91,10 +92,11 @@ def _send(n_buckets: int):
         b = _Block(table)
         c = b.counts((b.folds != TEST_FOLD)[b.doc_of()])
         at = C.cut(b.sorted, n_buckets)
+        some = np.flatnonzero(at[1:] > at[:-1])
         return pa.table({
-            "bucket": pa.array(range(n_buckets), pa.int32()), "block": pa.array([key[0].as_py()] * n_buckets, pa.int32()),
-            "data": pa.array([C.pack_sorted(b.sorted[s:e]) for s, e in zip(at, at[1:])], pa.binary()),
-            "counts": pa.array([C.pack_counts(c[s:e]) for s, e in zip(at, at[1:])], pa.binary()),
+            "bucket": pa.array(some, pa.int32()), "block": pa.array([key[0].as_py()] * len(some), pa.int32()),
+            "data": pa.array([C.pack_sorted(b.sorted[at[k] : at[k + 1]]) for k in some], pa.binary()),
+            "counts": pa.array([C.pack_counts(c[at[k] : at[k + 1]]) for k in some], pa.binary()),
         })
 
     return send
@@ -131,7 +133,7 @@ def _total(n_dev: int):
 def _told(b: _Block, right: pa.Table, column: str, n_buckets: int) -> np.ndarray:
     at = C.cut(b.sorted, n_buckets)
     parts = dict(zip(right.column("bucket").to_pylist(), right.column(column).to_pylist()))
-    return np.concatenate([C.unpack_counts(parts[k], at[k + 1] - at[k]) for k in range(n_buckets)])
+    return np.concatenate([C.unpack_counts(parts.get(k, b""), at[k + 1] - at[k]) for k in range(n_buckets)])
 
 
 def _context(c: np.ndarray) -> np.ndarray:

@@ -5,17 +5,20 @@ every pair of neighbours whose left one is a left symbol and whose right one is
 symbol, sides being drawn from the name.  Names are hashes of what they stand for, so all
 tasks give one name to one content and a round moves no data.  A symbol's occurrence knows
 the words that decided it; if a window holds them all, an equal window elsewhere holds the
-same symbol at the same place.  The leftmost such symbol is the window's anchor.
+same symbol at the same place.
 
-Spark rounds then ask: which anchors are in more than one document (first exchange), and,
-for windows at such anchors, which word sequences start in a smaller document (second
-exchange, by 64-bit fingerprints of the window's words).  A window without an anchor, as
+Spark rounds then ask: which symbols are in more than one document (first exchange), and, for
+windows all of whose symbols are, which word sequences start in a smaller document (second
+exchange, by 128-bit fingerprints of the window's words).  A window that decides no symbol, as
 within a long run, skips the first question, so nothing is lost.
 
+Exchanges are packed (common.py): a block of documents sends a bucket of the hash space one
+row, and none where it has no hash of the bucket, so that rows never outnumber hashes.
+
 Defined cases: words are runs of bytes other than 0x20 and 0x09-0x0D; a null or empty text
-has no words; texts under the window's length lose nothing; rows of one doc_id do not count
-against each other, and a null doc_id counts as larger than all others; an empty table gives
-no rows; other columns are ignored.
+has no words; texts under the window's length lose nothing; a very long text is one block's
+whole; rows of one doc_id do not count against each other, and a null doc_id counts as larger
+than all others; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -117,55 +120,65 @@ class _Block:
         self.at = np.flatnonzero(starts)
         self.doc = np.repeat(np.arange(len(length)), length)
         name, a, z = recompress(self.h, self.offsets[1:]) if n else (self.h, ids, ids)
-        first = np.searchsorted(a, self.at)  # leftmost symbol decided by words from here on
-        held = first < len(a)
-        held[held] = z[first[held]] <= self.at[held] + WINDOW
-        self.held = held
-        self.anchor, self.used = np.unique(name[first[held]], return_inverse=True)
+        # symbols that some window of their document decides; a and z do not fall
+        of = self.doc[np.maximum(a, 0)]
+        begin = np.minimum(a, self.offsets[1:][of] - WINDOW)
+        decided = (begin >= self.offsets[:-1][of]) & (z <= begin + WINDOW)
+        self.a, self.z, self.of = a[decided], z[decided], of[decided]
+        self.symbol, self.used = np.unique(name[decided], return_inverse=True)
 
     def windows(self, shared: np.ndarray):
-        """Positions that may repeat, their distinct fingerprints, which is whose, and each one's smallest document."""
-        maybe = np.ones(len(self.at), bool)
-        maybe[self.held] = shared[self.used]
-        at = self.at[maybe]
-        prints, of = np.unique(fingerprints(self.h)[at], return_inverse=True) if len(at) else (np.empty(0, C.U64), np.empty(0, np.int64))
-        least = np.full(len(prints), LAST)
+        """Positions that may repeat, their distinct fingerprints (two hashes), which is whose, and each one's smallest document."""
+        alone = np.append(0, np.cumsum(~shared[self.used]))
+        first, last = np.searchsorted(self.a, self.at), np.searchsorted(self.z, self.at + WINDOW, "right")
+        at = self.at[alone[np.maximum(first, last)] == alone[first]]
+        if not len(at):
+            return at, np.empty(0, C.U64), np.empty(0, C.U64), at, np.empty(0, np.int64)
+        one = fingerprints(self.h)[at]
+        two = fingerprints(C.mix(self.h, 0x2ED))[at]
+        order = np.lexsort((two, one))
+        one, two = one[order], two[order]
+        head = np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]))
+        of = np.empty(len(at), np.int64)
+        of[order] = np.cumsum(head) - 1
+        least = np.full(int(head.sum()), LAST)
         np.minimum.at(least, of, self.order[self.doc[at]])
-        return at, prints, of, least
+        return at, one[head], two[head], of, least
 
 
 def _ask(key, n_buckets: int, h: np.ndarray, extra) -> pa.Table:
     at = C.cut(h, n_buckets)
+    some = np.flatnonzero(at[1:] > at[:-1])
     return pa.table({
-        "bucket": pa.array(range(n_buckets), pa.int32()), "block": pa.array([key[0].as_py()] * n_buckets, pa.int32()),
-        "data": pa.array([C.pack_sorted(h[s:e]) for s, e in zip(at, at[1:])], pa.binary()),
-        "extra": pa.array([extra(s, e) for s, e in zip(at, at[1:])], pa.binary()),
+        "bucket": pa.array(some, pa.int32()), "block": pa.array([key[0].as_py()] * len(some), pa.int32()),
+        "data": pa.array([C.pack_sorted(h[at[k] : at[k + 1]]) for k in some], pa.binary()),
+        "extra": pa.array([extra(at[k], at[k + 1]) for k in some], pa.binary()),
     })
 
 
 def _bits(right: pa.Table, h: np.ndarray, n_buckets: int) -> np.ndarray:
     at = C.cut(h, n_buckets)
     parts = dict(zip(right.column("bucket").to_pylist(), right.column("bits").to_pylist()))
-    return np.concatenate([np.unpackbits(np.frombuffer(parts[k], np.uint8), count=at[k + 1] - at[k]) for k in range(n_buckets)]).astype(bool)
+    return np.concatenate([np.unpackbits(np.frombuffer(parts.get(k, b""), np.uint8), count=at[k + 1] - at[k]) for k in range(n_buckets)]).astype(bool)
 
 
-def _ask_anchors(n_buckets: int):
+def _ask_symbols(n_buckets: int):
     def ask(key, table):
         b = _Block(table)
-        least, most = np.full(len(b.anchor), LAST), np.full(len(b.anchor), np.iinfo(np.int64).min)
-        whose = b.order[b.doc[b.at[b.held]]]
+        least, most = np.full(len(b.symbol), LAST), np.full(len(b.symbol), np.iinfo(np.int64).min)
+        whose = b.order[b.of]
         np.minimum.at(least, b.used, whose)
         np.maximum.at(most, b.used, whose)
         several = least < most
-        return _ask(key, n_buckets, b.anchor, lambda s, e: np.packbits(several[s:e]).tobytes())
+        return _ask(key, n_buckets, b.symbol, lambda s, e: np.packbits(several[s:e]).tobytes())
 
     return ask
 
 
 def _tell_shared(key, table):
-    """A bit for each anchor: is it in several documents of a block, or in several blocks?
+    """A bit for each symbol: is it in several documents of a block, or in several blocks?
 
-    Rows of one doc_id may lie in two blocks; that such an anchor is looked at costs time only.
+    Rows of one doc_id may lie in two blocks; that such a symbol is looked at costs time only.
     """
     hashes = [C.unpack_sorted(x) for x in table.column("data").to_pylist()]
     distinct, at = np.unique(np.concatenate(hashes), return_inverse=True)
@@ -186,28 +199,33 @@ def _tell(key, table: pa.Table, bits) -> pa.Table:
 def _ask_windows(n_buckets: int):
     def ask(key, left, right):
         b = _Block(left)
-        _, prints, _, least = b.windows(_bits(right, b.anchor, n_buckets))
+        _, one, two, _, least = b.windows(_bits(right, b.symbol, n_buckets))
         narrow = np.uint32 if (least.max(initial=0) < 2**32 and least.min(initial=0) >= 0) else np.int64
-        return _ask(key, n_buckets, prints, lambda s, e: least[s:e].astype(narrow).tobytes())
+        return _ask(key, n_buckets, one, lambda s, e: two[s:e].tobytes() + least[s:e].astype(narrow).tobytes())
 
     return ask
 
 
 def _tell_repeated(key, table):
     """A bit for each fingerprint: does it start in a smaller document than the block's smallest?"""
-    hashes = [C.unpack_sorted(x) for x in table.column("data").to_pylist()]
-    least = [np.frombuffer(x, np.uint32 if len(x) == 4 * len(h) else np.int64).astype(np.int64) for x, h in zip(table.column("extra").to_pylist(), hashes)]
-    distinct, at = np.unique(np.concatenate(hashes), return_inverse=True)
-    first = np.full(len(distinct), LAST)
-    np.minimum.at(first, at, np.concatenate(least))
-    ends = np.cumsum([0, *map(len, hashes)])
+    one = [C.unpack_sorted(x) for x in table.column("data").to_pylist()]
+    extra = table.column("extra").to_pylist()
+    two = [np.frombuffer(x, C.U64, len(h)) for x, h in zip(extra, one)]
+    least = [np.frombuffer(x, np.uint32 if len(x) == 12 * len(h) else np.int64, offset=8 * len(h)).astype(np.int64) for x, h in zip(extra, one)]
+    ends = np.cumsum([0, *map(len, one)])
+    one, two, every = np.concatenate(one), np.concatenate(two), np.concatenate(least)
+    order = np.lexsort((two, one))
+    head = np.append(True, (np.diff(one[order]) != 0) | (np.diff(two[order]) != 0))
+    at = np.empty(len(one), np.int64)
+    at[order] = np.cumsum(head) - 1
+    first = np.minimum.reduceat(every[order], np.flatnonzero(head))
     return _tell(key, table, [first[at[s:e]] < x for x, s, e in zip(least, ends, ends[1:])])
 
 
 def removed_words(b: _Block, shared: np.ndarray, earlier) -> np.ndarray:
     """Which words go.  earlier(prints): a bit for each fingerprint of the block."""
-    at, prints, of, least = b.windows(shared)
-    gone = earlier(prints)[of] | (least[of] < b.order[b.doc[at]]) if len(at) else np.zeros(0, bool)
+    at, one, _, of, least = b.windows(shared)
+    gone = earlier(one)[of] | (least[of] < b.order[b.doc[at]]) if len(at) else np.zeros(0, bool)
     edge = np.zeros(len(b.h) + 1, np.int64)
     np.add.at(edge, at[gone], 1)
     np.add.at(edge, at[gone] + WINDOW, -1)
@@ -218,7 +236,7 @@ def _finish(n_buckets: int):
     def finish(key, left, right):
         b = _Block(left)
         second = np.asarray(right.column("round").to_pylist()) == 2
-        shared = _bits(right.filter(pa.array(~second)), b.anchor, n_buckets)
+        shared = _bits(right.filter(pa.array(~second)), b.symbol, n_buckets)
         gone = removed_words(b, shared, lambda prints: _bits(right.filter(pa.array(second)), prints, n_buckets))
         hashes = []
         for k, text in enumerate(b.texts):
@@ -239,7 +257,7 @@ def dedup(docs: DataFrame, block_bytes: int = C.BLOCK_BYTES) -> DataFrame:
     spark = docs.sparkSession
     n_blocks, n_buckets = C.block_counts(docs, block_bytes)
     blocks = C.with_block(docs, n_blocks)
-    asked = blocks.groupBy("block").applyInArrow(_ask_anchors(n_buckets), ASKED)
+    asked = blocks.groupBy("block").applyInArrow(_ask_symbols(n_buckets), ASKED)
     shared = C.materialize(asked.groupBy("bucket").applyInArrow(_tell_shared, TOLD))
     del asked
     C.release(spark)

@@ -81,3 +81,10 @@ def test_packing():
 
 def test_empty(spark):
     assert S.dedup(spark.createDataFrame([], DOC)).collect() == []
+
+
+def test_long_text(spark):
+    rnd = random.Random(4)
+    w = [f"w{rnd.randrange(10**6)}" for _ in range(150_000)]
+    docs = [(1, " ".join(w)), (2, " ".join(["x"] + w[70_000:70_300] + ["y"])), (3, " ".join(w[:49]))]
+    assert sorted(map(tuple, S.dedup(spark.createDataFrame(docs, DOC)).collect()), key=str) == brute(docs)
