@@ -29,6 +29,13 @@ PAIR_SOUNDS = {
     "angry": (("screaming", "Ahh"),),
 }
 
+# chat messages; {name} stands for a value
+USER_MESSAGE = "Write one spoken user line.\nemotion={emotion}\ntopic={topic}\nvariety_seed={seed}"
+AGENT_MESSAGE = (
+    "User said: {user_text}\nUser emotion (for context only): {curr}\nYour reply emotion: {res}\nHow to reply: {hint}\n"
+    "Remember: do not misread the valence of their message."
+)
+
 BANNED = ("as an ai", "here is", "here's a", "json", "<|", "emotion:", "i will write")
 LEAST_CHARS, MOST_CHARS = 8, 280
 

@@ -1,6 +1,7 @@
 """Text rules as column expressions.
 
-White space is the ASCII one and the no-break space; words for \\w and \\b are ASCII.
+White space is that of Unicode, line and information separators included; words for \\w and \\b
+are ASCII.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from colloquy.functions import rules as R
 from colloquy.functions.hashing import pick, stable_chance
 
-WS = r"[ \t\n\x0B\f\r\x{00A0}]"
+WS = r"[\t-\r\x1C-\x20\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 TAG = r"<\|[^|]+\|>"
 LINE = r"\r\n|[\n\r\x0B\f\x1C\x1D\x1E\x{0085}\x{2028}\x{2029}]"
 ROLE = rf"(?i)^(user|assistant|agent|a|b){WS}*:{WS}*"

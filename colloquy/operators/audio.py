@@ -138,12 +138,12 @@ def roomtone_crop(tone: np.ndarray, n: int, rng: random.Random, rate: int) -> np
 
 
 def fade_edges(x: np.ndarray, n: int) -> np.ndarray:
-    out, n = np.array(x, np.float32), min(n, len(x) // 2)
+    out, n = np.array(x, np.float64), min(n, len(x) // 2)
     if n > 0:
-        t = np.linspace(0, np.pi / 2, n, dtype=np.float32)
+        t = np.linspace(0, np.pi / 2, n)
         out[:n] *= np.sin(t)
         out[-n:] *= np.cos(t)
-    return out
+    return out.astype(np.float32)
 
 
 def pack_pool(user: np.ndarray, agent: np.ndarray, tone: np.ndarray, rng: random.Random, gap: float, rate: int, pad_sec: float = 1.0, dbfs: float = -50.0):
@@ -161,9 +161,18 @@ def pack_pool(user: np.ndarray, agent: np.ndarray, tone: np.ndarray, rng: random
 
 
 def decode_wav(data: bytes, target: int | None = None) -> np.ndarray:
-    """16-bit WAV to mono floats (the channels' mean), at the target rate."""
+    """WAV of 8, 16, 24 or 32 bit integers to mono floats (the channels' mean), at the target rate."""
     with wave.open(io.BytesIO(data)) as f:
-        x = np.frombuffer(f.readframes(f.getnframes()), "<i2").reshape(-1, f.getnchannels()).mean(1) / 32768
+        raw, width = f.readframes(f.getnframes()), f.getsampwidth()
+        if width == 1:  # the only one without sign
+            x = np.frombuffer(raw, np.uint8).astype(np.float64) - 128
+        elif width == 3:
+            wide = np.zeros((len(raw) // 3, 4), np.uint8)
+            wide[:, 1:] = np.frombuffer(raw, np.uint8).reshape(-1, 3)
+            x = wide.view("<i4").ravel() / 256
+        else:
+            x = np.frombuffer(raw, {2: "<i2", 4: "<i4"}[width]).astype(np.float64)
+        x = x.reshape(-1, f.getnchannels()).mean(1) / 2 ** (8 * width - 1)
         return resample_linear(x.astype(np.float32), f.getframerate(), target or f.getframerate())
 
 

@@ -8,6 +8,10 @@ import random
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from colloquy.operators.samples import global_index
+
+SHUFFLED = 1_000_000  # indices that may be shuffled on the driver
+
 
 def users_from_dialogues(dialogues: DataFrame) -> DataFrame:
     """The user record of each user_id's first dialogue, in the order of pos, then id."""
@@ -81,22 +85,30 @@ def emotion_cube(clips: DataFrame) -> DataFrame:
     return out.select(*[F.coalesce(c, F.lit("all")).alias(c) for c in ("curr_emotion", "res_emotion")], "level", "n", "total_sec")
 
 
+def target(clips: DataFrame, fraction: float) -> tuple[int, int]:
+    """(clips of the smallest mapping, how many of each mapping are held out)."""
+    least = clips.groupBy("curr_emotion", "res_emotion").agg(F.count("*").alias("n")).agg(F.min("n")).first()[0] or 0
+    return least, min(max(math.floor(least * fraction + 0.5), 0), least - 1) if least > 1 and fraction > 0 else 0
+
+
 def held_out(clips: DataFrame, fraction: float, seed: int, mode: str = "hash") -> DataFrame:
     """(index): those held out in every mapping.
 
-    k = fraction of the smallest mapping, rounded half up, at most all but one.  Mode hash
-    takes the k of 0..m-1 whose hash is lowest; mode shuffle takes the first k of a seeded
-    shuffle of that range on the driver.
+    k = fraction of the smallest mapping, rounded half up, at most all but one (target()).  Mode
+    hash takes the k of 0..m-1 whose hash is lowest, by their places in a global order; mode
+    shuffle takes the first k of a seeded shuffle of that range, on the driver, for at most
+    SHUFFLED indices.
     """
     spark = clips.sparkSession
-    least = clips.groupBy("curr_emotion", "res_emotion").agg(F.count("*").alias("n")).agg(F.min("n")).first()[0] or 0
-    k = min(max(math.floor(least * fraction + 0.5), 0), least - 1) if least > 1 and fraction > 0 else 0
+    least, k = target(clips, fraction)
     if mode == "shuffle":
+        if least > SHUFFLED:
+            raise ValueError(f"more than {SHUFFLED} indices: take mode 'hash'")
         order = list(range(least))
         random.Random(seed).shuffle(order)
         return spark.createDataFrame([(i,) for i in order[:k]], "index long")
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")))
-    return spark.range(least).orderBy(key, "id").limit(k).select(F.col("id").alias("index"))
+    return global_index(spark.range(least).withColumn("key", key), "key", "id").where(F.col("i") < k).select(F.col("id").alias("index"))
 
 
 def balanced_split(clips: DataFrame, fraction: float, seed: int, mode: str = "hash") -> DataFrame:
@@ -106,10 +118,17 @@ def balanced_split(clips: DataFrame, fraction: float, seed: int, mode: str = "ha
     return out.join(val, "index", "left").withColumn("split", F.when(F.col("val"), "val").otherwise("train")).drop("val")
 
 
-def split_report(split: DataFrame) -> DataFrame:
+def split_report(split: DataFrame, fraction: float, seed: int) -> DataFrame:
+    """Clips of each mapping on either side and in all, with what the split was asked for."""
     n = lambda s: F.count(F.when(F.col("split") == s, 1)).alias(s)
     out = split.rollup(F.concat_ws("->", "curr_emotion", "res_emotion").alias("mapping")).agg(n("train"), n("val"))
-    return out.select(F.coalesce("mapping", F.lit("all")).alias("mapping"), "train", "val")
+    asked = [F.lit(fraction).alias("val_fraction"), F.lit(target(split, fraction)[1]).cast("long").alias("target_val_per_mapping"), F.lit(seed).alias("seed")]
+    return out.select(F.coalesce("mapping", F.lit("all")).alias("mapping"), "train", "val", *asked)
+
+
+def val_indices(split: DataFrame) -> DataFrame:
+    """The indices held out that occur."""
+    return split.where("split = 'val'").select("index").distinct()
 
 
 def split_leakage(split: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PADDING_IDS = (3, 0)
+RANGE = 4096  # steps of a run that one window reaches over
 
 
 def cross_entropy(logits: Column, target: Column) -> Column:
@@ -83,18 +84,37 @@ def total_loss(text: Column, audio: Column, share: float) -> Column:
     return text + share * audio if share > 0 else text
 
 
-def train_log_ratios(steps: DataFrame, max_steps: int, *by: str) -> DataFrame:
-    """steps(tag, step, real, pad, placed, injected, words, seconds) with shares, rates and time left."""
-    run = Window.partitionBy(*by).orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
-    n = F.count("*").over(run)
-    every = F.col("real") + F.col("pad")
-    share = lambda a, b: F.when(b > 0, a / b).otherwise(0.0)
-    mean_sec = F.sum("seconds").over(run) / n
-    return steps.select(
-        *by, "step", F.round(100 * share(F.col("real"), every), 4).alias("real_pct"), F.round(100.0 * n / max_steps, 4).alias("done_pct"),
-        F.round(share(F.col("placed"), F.col("injected")), 6).alias("place_rate"), F.round(share(F.col("words"), F.col("seconds")), 4).alias("words_per_sec"),
-        F.round(share(F.sum("words").over(run), F.sum("seconds").over(run)), 4).alias("avg_words_per_sec"),
-        F.round(mean_sec * F.greatest(F.lit(max_steps) - n, F.lit(0)), 2).alias("eta_sec"))
+def _range() -> Column:
+    return F.floor(F.col("step") / RANGE)
+
+
+def running_sums(rows: DataFrame, sums: tuple[str, ...], by: tuple[str, ...]) -> DataFrame:
+    """rows with run_<c>: the sum of c up to the row's step, within `by`.
+
+    Steps are cut in ranges; sums of whole ranges are the offsets, and a window reaches over
+    one range only, so that a run of any length is spread over tasks.
+    """
+    rows = rows.withColumn("_r", _range())
+    before = Window.partitionBy(*by).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = rows.groupBy(*by, "_r").agg(*[F.sum(c).alias(c) for c in sums]).select(*by, "_r", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_o_{c}") for c in sums])
+    within = Window.partitionBy(*by, "_r").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    out = rows.select("*", *[F.sum(c).over(within).alias(f"_l_{c}") for c in sums]).join(offsets, [*by, "_r"])
+    for c in sums:
+        out = out.withColumn(f"run_{c}", F.col(f"_o_{c}") + F.col(f"_l_{c}"))
+    return out.drop("_r", *[f"_{k}_{c}" for k in "ol" for c in sums])
+
+
+def train_log_ratios(steps: DataFrame, max_steps: int, steps_per_epoch: float, *by: str) -> DataFrame:
+    """steps(by, step, real, pad, in_window, placed, requested, put, ctx_frames, frames, words, seconds) with the shares, rates
+    and times of a training log; a share of nothing is null."""
+    share = lambda a, b, n=4: F.round(F.try_divide(F.lit(100.0) * F.col(a), b), n)
+    out = running_sums(steps, ("words", "seconds"), by)
+    return out.select(
+        *by, "step", share("real", F.col("real") + F.col("pad")).alias("real_token_pct"), F.round(F.lit(100.0) * F.col("step") / max_steps, 4).alias("percent_done"),
+        F.round(F.col("step") / F.lit(float(steps_per_epoch)), 6).alias("epoch"), share("ctx_frames", F.col("frames")).alias("ctx_injected_pct"),
+        share("placed", F.col("in_window")).alias("inj_place_rate"), share("put", F.col("requested")).alias("inj_token_yield"),
+        F.round(F.try_divide("words", "seconds"), 4).alias("wps"), F.round(F.try_divide("run_words", "run_seconds"), 4).alias("avg_wps"),
+        F.round(F.try_divide((F.lit(max_steps) - F.col("step")) * F.col("run_seconds"), "step"), 2).alias("eta_in_seconds"))
 
 
 def rank_average(rows: DataFrame, value: str, *by: str) -> DataFrame:
@@ -104,11 +124,16 @@ def rank_average(rows: DataFrame, value: str, *by: str) -> DataFrame:
 def eval_join(evals: DataFrame, logs: DataFrame, *by: str) -> DataFrame:
     """Each eval with the train loss of the last log at or before its step.
 
-    Union and one window over a run's steps: last(..., ignore nulls) carries the log along,
-    so no range join is needed.
+    Union and a window over a range of steps: last(..., ignore nulls) carries the log along, so
+    no range join is needed; the last log of the ranges before stands in where the range has
+    none yet.
     """
     a = logs.select(*by, "step", F.col("loss").alias("train_loss"), F.lit(0).alias("kind"), F.lit(None).cast("double").alias("eval_loss"))
     b = evals.select(*by, "step", F.lit(None).cast("double").alias("train_loss"), F.lit(1).alias("kind"), F.col("loss").alias("eval_loss"))
-    w = Window.partitionBy(*by).orderBy("step", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    out = a.unionByName(b).withColumn("train_loss", F.last("train_loss", True).over(w))
-    return out.where("kind = 1").select(*by, "step", "eval_loss", "train_loss")
+    both = a.unionByName(b).withColumn("_r", _range())
+    before = Window.partitionBy(*by).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    carried = both.groupBy(*by, "_r").agg(F.max_by("train_loss", F.when(F.col("kind") == 0, F.col("step"))).alias("_c"))
+    carried = carried.select(*by, "_r", F.last("_c", True).over(before).alias("_c"))
+    w = Window.partitionBy(*by, "_r").orderBy("step", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    out = both.withColumn("_l", F.last("train_loss", True).over(w)).where("kind = 1").join(carried, [*by, "_r"])
+    return out.select(*by, "step", "eval_loss", F.coalesce("_l", "_c").alias("train_loss"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from colloquy.functions import rules as R
 from colloquy.functions.hashing import stable_hash, stable_index
+from colloquy.operators.samples import numbered_by_source
 
 
 def parse_emotions(text: str, known: tuple[str, ...] = R.EMOTIONS) -> list[str]:
@@ -45,22 +46,31 @@ def derived_seed(base: int, key: str | Column, span: int = 100_000) -> Column:
 def pick_voices(users: DataFrame, voices: DataFrame) -> DataFrame:
     """users(user_id), voices(pos, name, gender) -> user_voice, agent_voice.
 
-    The pools are arrays in one row (a voice list is small: its names go to every task), so
-    users are not shuffled.
+    Voices are numbered within their pools (all, women, men), and a user's number in its pool
+    follows from the id, so that voices come by joins on (pool, number), whatever their count.
+    Where the agent would get the user's voice it takes one of the others: the number among
+    all voices skips those of that name.
     """
-    pool = lambda g: F.transform(F.array_sort(F.collect_list(F.when(F.lit(True) if g is None else F.col("gender") == g, F.struct("pos", "name")))), lambda v: v["name"])
-    pools = voices.agg(pool(None).alias("every"), pool("F").alias("women"), pool("M").alias("men"))
-    at = lambda names, key: F.try_element_at(names, (stable_index(F.concat("user_id", F.lit(key)), F.greatest(F.size(names), F.lit(1))) + 1).cast("int"))
-    both = (F.size("women") > 0) & (F.size("men") > 0)
+    every = voices.select(F.lit("every").alias("source"), F.struct("pos", "name").alias("item"))
+    of = lambda g: voices.where(F.col("gender") == g).select(F.lit(g).alias("source"), F.struct("pos", "name").alias("item"))
+    pools = numbered_by_source(every.unionByName(of("F")).unionByName(of("M"))).select("source", "j", F.col("item.name").alias("name"))
+    n = lambda g: F.count(F.when(F.col("gender") == g, 1))
+    sizes = voices.agg(F.count("*").alias("n_every"), n("F").alias("n_women"), n("M").alias("n_men"))
     female = stable_index(F.concat("user_id", F.lit(":user_gender")), 2) == 1
-    out = users.crossJoin(F.broadcast(pools))
-    out = out.withColumn("user_pool", F.when(both, F.when(female, F.col("women")).otherwise(F.col("men"))).otherwise(F.col("every")))
-    out = out.withColumn("agent_pool", F.when(both, F.when(female, F.col("men")).otherwise(F.col("women"))).otherwise(F.col("every")))
-    two = F.size("every") == 2
-    out = out.withColumn("user_voice", F.when(two, F.col("every")[1]).otherwise(at(F.col("user_pool"), ":user_voice")))
-    out = out.withColumn("first", F.when(two, F.col("every")[0]).otherwise(at(F.col("agent_pool"), ":agent_voice")))
-    others = F.filter("every", lambda v: v != F.col("user_voice"))
-    out = out.withColumn("others", others)
-    again = (F.col("first") == F.col("user_voice")) & ~two & (F.size("others") > 0)
-    out = out.withColumn("agent_voice", F.when(again, at(F.col("others"), ":agent_voice_alt")).otherwise(F.col("first")))
-    return out.drop("every", "women", "men", "user_pool", "agent_pool", "first", "others")
+    both = (F.col("n_women") > 0) & (F.col("n_men") > 0)
+    size = lambda pool: F.when(pool == "F", F.col("n_women")).when(pool == "M", F.col("n_men")).otherwise(F.col("n_every"))
+    at = lambda key, of: stable_index(F.concat("user_id", F.lit(key)), F.greatest(of, F.lit(1)))
+    two = F.col("n_every") == 2
+    out = users.crossJoin(F.broadcast(sizes))  # one row
+    out = out.withColumn("u_pool", F.when(both & ~two, F.when(female, "F").otherwise("M")).otherwise("every"))
+    out = out.withColumn("a_pool", F.when(both & ~two, F.when(female, "M").otherwise("F")).otherwise("every"))
+    out = out.withColumn("u_at", F.when(two, F.lit(1)).otherwise(at(":user_voice", size(F.col("u_pool"))))).withColumn("a_at", F.when(two, F.lit(0)).otherwise(at(":agent_voice", size(F.col("a_pool")))))
+    voice = lambda pool, j, name: pools.select(F.col("source").alias(pool), F.col("j").alias(j), F.col("name").alias(name))
+    out = out.join(voice("u_pool", "u_at", "user_voice"), ["u_pool", "u_at"], "left").join(voice("a_pool", "a_at", "first"), ["a_pool", "a_at"], "left")
+    own = pools.where("source = 'every'").groupBy(F.col("name").alias("user_voice")).agg(F.array_sort(F.collect_list("j")).alias("own"))  # voices of one name
+    again = (F.col("first") == F.col("user_voice")) & ~two & (F.col("n_every") > F.size("own"))
+    skipping = F.aggregate("own", at(":agent_voice_alt", F.col("n_every") - F.size("own")), lambda k, p: k + F.when(p <= k, 1).otherwise(0).cast("long"))
+    out = out.join(own, "user_voice", "left").withColumn("alt_at", F.when(again, skipping))
+    alts = pools.where("source = 'every'").select(F.col("j").alias("alt_at"), F.col("name").alias("alt"))
+    out = out.join(alts, "alt_at", "left").withColumn("agent_voice", F.when(again, F.col("alt")).otherwise(F.col("first")))
+    return out.select(*[F.col(f"`{c}`") for c in users.columns], "user_voice", "agent_voice")

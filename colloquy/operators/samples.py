@@ -278,14 +278,27 @@ def context_mask(placed: DataFrame, conv_frames: int, prompt_length: int = 0, by
 
 
 def injection_stats(injections: DataFrame, conv_frames: int, by: tuple[str, ...] = ()) -> DataFrame:
-    """Counters, place rate and token yield; blocks cut off the tail count as placed."""
+    """Counters, place rate (of those in the window) and token yield.
+
+    Blocks are put in between frames, so all in the window are placed and none is truncated or
+    dropped for overlap or space; blocks cut off the tail count as placed.
+    """
     inside = (F.col("frame_offset") >= 0) & (F.col("frame_offset") < conv_frames)
     out = injections.groupBy(*by).agg(
-        F.count("*").alias("total"), F.count(F.when(inside, 1)).alias("placed"),
+        F.count("*").alias("total"), F.count(F.when(inside, 1)).alias("in_window"), F.count(F.when(inside, 1)).alias("placed"),
+        *[F.lit(0).cast("long").alias(c) for c in ("truncated", "drop_anchor_overlap", "drop_no_space", "drop_final_overlap")],
         F.count(F.when(F.col("frame_offset").isNull(), 1)).alias("drop_no_offset"),
         F.count(F.when(F.col("frame_offset").isNotNull() & ~inside, 1)).alias("drop_out_of_window"),
         F.coalesce(F.sum(F.when(inside, F.col("n_tokens"))), F.lit(0)).alias("tokens_placed"), F.sum("n_tokens").alias("tokens_requested"))
-    return out.withColumn("place_rate", F.round(F.col("placed") / F.col("total"), 6)).withColumn("token_yield", F.round(F.col("tokens_placed") / F.col("tokens_requested"), 6))
+    return out.withColumn("place_rate", F.round(F.try_divide("placed", "in_window"), 6)).withColumn("token_yield", F.round(F.col("tokens_placed") / F.col("tokens_requested"), 6))
+
+
+def assemble_codes(prompt: Column, conversation: Column) -> Column:
+    """The rows of a sample (text, the agent's codebooks, the user's): prompt, then conversation, row by row.
+
+    Both are array<array<int>> with as many rows; without a prompt (null) the conversation stands alone.
+    """
+    return F.coalesce(F.zip_with(prompt, conversation, lambda p, c: F.concat(p, c)), conversation)
 
 
 def collate_batches(sharded: DataFrame, size: int) -> DataFrame:

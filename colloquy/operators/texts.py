@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,14 +71,22 @@ def reject_report(lines: DataFrame) -> DataFrame:
     return out.select(*[F.coalesce(c, F.lit("all")).alias(c) for c in ("curr", "res", "outcome")], "n")
 
 
-def messages(user_text: Column, curr: Column, res: Column, retry: bool = False) -> Column:
-    """The agent's chat message."""
-    out = F.concat(
-        F.lit("User said: "), user_text, F.lit("\nUser emotion (for context only): "), curr, F.lit("\nYour reply emotion: "), res,
-        F.lit("\nHow to reply: "), hint(curr, res), F.lit("\nRemember: do not misread the valence of their message."),
-    )
+def _filled(template: str, **values: Column) -> Column:
+    """The template with each {name} replaced by its value; values are not looked into."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return F.concat(*[values[p].cast("string") if i % 2 else F.lit(p) for i, p in enumerate(parts) if p])
+
+
+def agent_message(user_text: Column, curr: Column, res: Column, retry: bool = False) -> Column:
+    out = _filled(R.AGENT_MESSAGE, user_text=user_text, curr=curr, res=res, hint=hint(curr, res))
     return F.concat(out, F.lit(R.RETRY_NOTE)) if retry else out
 
 
 def user_message(emotion: Column, topic: Column, seed: Column) -> Column:
-    return F.concat(F.lit("Write one spoken user line.\nemotion="), emotion, F.lit("\ntopic="), topic, F.lit("\nvariety_seed="), seed.cast("string"))
+    return _filled(R.USER_MESSAGE, emotion=emotion, topic=topic, seed=seed)
+
+
+def chat(system: str, content: Column) -> Column:
+    """The messages given to a model: the system's text, then the user's."""
+    message = lambda role, text: F.struct(F.lit(role).alias("role"), text.alias("content"))
+    return F.array(message("system", F.lit(system)), message("user", content))

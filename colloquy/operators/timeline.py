@@ -37,17 +37,39 @@ def build_alignments(user: tuple, agent: tuple) -> Column:
     return F.concat(named(user, R.SPEAKER_USER), named(agent, R.SPEAKER_AGENT))
 
 
-def sidecar(rows: DataFrame) -> Column:
-    """The nested record of a clip, from its columns."""
-    turn = lambda i, who, s, e, text, role: F.struct(F.lit(i).alias("index"), F.lit(who).alias("speaker"), F.col(s).alias("start"), F.col(e).alias("end"), F.col(text).alias("text"), F.lit(role).alias("role"))
-    return F.struct(
-        "id", "user_id", "alignments",
-        F.array(turn(0, R.SPEAKER_USER, "user_start", "user_end", "user_text", "user"), turn(1, R.SPEAKER_AGENT, "agent_start", "agent_end", "agent_text", "assistant")).alias("turns"),
-        T.text_prompt(F.col("res_emotion")).alias("text_prompt"),
-        F.struct("curr_emotion", "res_emotion", "user_id").alias("styletalk"), F.lit(24_000).alias("sample_rate"),
-        F.struct(F.lit("agent").alias("left"), F.lit("user").alias("right")).alias("channel_layout"),
-        F.col("agent_end").alias("duration"),
+VOICE = "struct<name:string,gender:string,path:string,text:string>"
+
+
+def sidecar(rate: int = 24_000, text_prompt: Column | None = None) -> Column:
+    """The JSON record of a clip, from its columns.
+
+    Columns: id, user_id, curr_emotion, res_emotion, topic, user_text, agent_text, alignments,
+    user_start, user_end, agent_start, agent_end, gap_sec, pad_pre_sec, pad_post_sec,
+    roomtone, roomtone_dbfs, user_path, agent_path, wav, agent_voice and user_voice (VOICE).
+    An alignment is a list of mixed kinds, [word, [start, end], speaker], hence text of its own;
+    fields without a value are null.
+    """
+    c, empty = F.col, lambda x: F.nullif(x, F.lit(""))
+    turn = lambda i, who, role: F.struct(
+        F.lit(i).alias("index"), F.lit(who).alias("speaker"), c(f"{role}_start").alias("start"), c(f"{role}_end").alias("end"),
+        c(f"{role}_text").alias("text"), F.lit(role).alias("role"), c(f"{role}_path").alias("path"))
+    voice = lambda v: F.struct(empty(c(v)["name"]).alias("name"), empty(c(v)["gender"]).alias("gender"), empty(c(v)["path"]).alias("path"), c(v)["text"].alias("text"))
+    record = F.struct(
+        "id", "user_id", F.array(turn(0, R.SPEAKER_USER, "user"), turn(1, R.SPEAKER_AGENT, "agent")).alias("turns"),
+        (T.text_prompt(c("res_emotion")) if text_prompt is None else text_prompt).alias("text_prompt"),
+        F.struct("curr_emotion", "res_emotion", "topic", "user_id").alias("styletalk"), F.lit(rate).alias("sample_rate"), "gap_sec", "pad_pre_sec", "pad_post_sec",
+        c("roomtone").alias("user_roomtone"), c("roomtone_dbfs").alias("user_roomtone_dbfs"), F.lit("proportional").alias("aligner"),
+        F.struct(F.lit(R.SPEAKER_AGENT).alias("left"), F.lit(R.SPEAKER_USER).alias("right")).alias("channel_layout"),
+        empty(c("agent_voice")["path"]).alias("voice_prompt"), F.struct(voice("agent_voice").alias("agent"), voice("user_voice").alias("user")).alias("voices"),
+        F.struct(
+            T.tag_speech_pool(c("curr_emotion"), c("user_text"), F.concat("user_id", F.lit(":user"))).alias("user"),
+            T.tag_speech_pool(c("res_emotion"), c("agent_text"), F.concat("id", F.lit(":agent"))).alias("agent")).alias("tagged_text"),
+        "wav", (c("agent_end") + c("pad_post_sec")).alias("duration"),
     )
+    quoted = lambda x: F.regexp_extract(F.to_json(F.struct(x.alias("x"))), r'(?s)^\{"x":(.*)\}$', 1)
+    item = lambda a: F.concat(F.lit("["), quoted(a["word"]), F.lit(",["), a["start"].cast("string"), F.lit(","), a["end"].cast("string"), F.lit("],"), quoted(a["speaker"]), F.lit("]"))
+    aligned = F.concat(F.lit('{"alignments":['), F.array_join(F.transform("alignments", item), ","), F.lit("],"))
+    return F.concat(aligned, F.substring(F.to_json(record, {"ignoreNullFields": "false"}), F.lit(2), F.lit(1 << 30)))
 
 
 def clip_timeline(user_n: Column, agent_n: Column, gap: Column, pre_n: Column, post_n: Column, rate: int) -> list[Column]:

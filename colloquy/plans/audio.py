@@ -102,22 +102,32 @@ def _digest(x) -> str:
     return f"{len(x)}:{float(np.abs(x).sum()):.4f}:{float((np.asarray(x, np.float64) * np.arange(len(x))).sum()):.3f}"
 
 
-@query()
+_SUMS = "round(list_sum(list_transform(y, lambda v: abs(v::double))), 5) as total, round(list_sum(list_transform(range(len(y)), lambda i: y[i + 1]::double * i)), 4) as moment"
+
+
+def _sums(y):
+    x = A.doubles(F.col(y))
+    return [F.size(y).cast("long").alias("n"), F.round(F.aggregate(x, F.lit(0.0), lambda a, v: a + F.abs(v)), 5).alias("total"), F.round(F.aggregate(F.transform(x, lambda v, i: v * i), F.lit(0.0), lambda a, v: a + v), 4).alias("moment")]
+
+
+@query(f"""select id, take, len(y) as n, {_SUMS} from (select id, take, list_transform(range(m), lambda i: case when floor(i / m * n) >= n - 1 then x[len(x)]
+    else (x[(floor(i / m * n) + 2)::int] - x[(floor(i / m * n) + 1)::int]) / ((floor(i / m * n) + 1) / n - floor(i / m * n) / n) * (i / m - floor(i / m * n) / n) + x[(floor(i / m * n) + 1)::int] end::float) as y
+  from (select id, take, x, len(x)::double as n, greatest(round_even(len(x) * 1.5e0, 0)::int, 1) as m from {_X}))""")
 def resample_linear(spark, d):
-    @F.pandas_udf("string")
+    @F.pandas_udf("array<float>")
     def run(pcm: pd.Series) -> pd.Series:
-        return pcm.map(lambda x: _digest(A.resample_linear(np.asarray(x, np.float32), 16_000, 24_000)))
+        return pcm.map(lambda x: A.resample_linear(np.asarray(x, np.float32), 16_000, 24_000))
 
-    return _takes(spark, d).select("id", "take", run("pcm").alias("resampled"))
+    return _takes(spark, d).select("id", "take", run("pcm").alias("y")).select("id", "take", *_sums("y"))
 
 
-@query()
+@query(f"""select id, take, len(y) as n, {_SUMS} from (select id, take, list_transform(range(len(x)), lambda i: (x[i + 1] * case when i < 12 then sin(pi() / 2 * i / 11) when i >= len(x) - 12 then cos(pi() / 2 * (i - len(x) + 12) / 11) else 1 end)::float) as y from {_X})""")
 def fade_edges(spark, d):
-    @F.pandas_udf("string")
+    @F.pandas_udf("array<float>")
     def run(pcm: pd.Series) -> pd.Series:
-        return pcm.map(lambda x: _digest(A.fade_edges(x, 12)))
+        return pcm.map(lambda x: A.fade_edges(x, 12))
 
-    return _takes(spark, d).select("id", "take", run("pcm").alias("faded"))
+    return _takes(spark, d).select("id", "take", run("pcm").alias("y")).select("id", "take", *_sums("y"))
 
 
 @query()

@@ -10,6 +10,8 @@ from colloquy.functions.hashing import stable_index
 from colloquy.operators import clips as C
 from colloquy.operators import timeline as L
 from colloquy.plans import sqltext as S
+from colloquy.plans.texts import pool_tagged
+from colloquy.sources import io as IO
 from colloquy.sources.views import view
 
 QUERIES, SQL = {}, {}
@@ -126,9 +128,13 @@ def balanced_split(spark, d):
     return _split(spark, d).select("id", "index", "split")
 
 
-@query(f"select coalesce(mapping, 'all') as mapping, count(*) filter (split = 'train') as train, count(*) filter (split = 'val') as val from (select concat(curr_emotion, '->', res_emotion) as mapping, split from {_SPLIT}) group by rollup(mapping)")
+_TARGET = "(select cast(least(floor(min(n) * 0.05 + 0.5), min(n) - 1) as bigint) as target_val_per_mapping from (select count(*) as n from fx_clips group by curr_emotion, res_emotion))"
+
+
+@query(f"""select *, 0.05e0 as val_fraction, 7 as seed from (select coalesce(mapping, 'all') as mapping, count(*) filter (split = 'train') as train, count(*) filter (split = 'val') as val
+  from (select concat(curr_emotion, '->', res_emotion) as mapping, split from {_SPLIT}) group by rollup(mapping)), {_TARGET}""")
 def split_report(spark, d):
-    return C.split_report(_split(spark, d))
+    return C.split_report(_split(spark, d), 0.05, 7)
 
 
 @query(f"select count(*) as n_users, count(*) filter (s > 1) as n_leaking from (select user_id, count(distinct split) as s from {_SPLIT} group by user_id)")
@@ -169,10 +175,53 @@ def build_alignments(spark, d):
     return out.select("pair_id", (F.col("p") + 1).cast("long").alias("pos"), "w.word", F.round("w.start", 6).alias("start_sec"), F.round("w.end", 6).alias("end_sec"), "w.speaker")
 
 
-@query()
-def build_sidecar(spark, d):
+# every field of a record, as the tables give it
+_RECORD = f"""(select pair_id as id, concat('u', conv_id) as user_id, curr as curr_emotion, res as res_emotion, concat('topic ', turn % 9) as topic, user_text, agent_text, 0.37e0 as user_start,
+    0.531371719317e0 + turn * 1.271828182845e0 as user_end, 1.013171319713e0 + turn * 1.271828182845e0 as agent_start, 4.031317319719e0 + turn * 1.513171917131e0 as agent_end, 0.2e0 as gap_sec, 0.37e0 as pad_pre_sec,
+    (turn % 4) / 8e0 as pad_post_sec, case when turn % 3 > 0 then concat('/tone/', turn % 3, '.wav') end as roomtone, case when turn % 3 > 0 then -50e0 - turn % 3 end as roomtone_dbfs,
+    concat('/turns/u', conv_id, '.wav') as user_path, concat('/turns/', pair_id, '_agent.wav') as agent_path, concat('/stereo/', pair_id, '.wav') as wav,
+    case turn % 2 when 0 then 'Ann' else '' end as agent_name, case turn % 2 when 0 then '/voices/ann.wav' else '' end as agent_voice_path, 'Bob' as user_name from fx_pairs)"""
+_SIDECARS = f"""(select r.id, user_id, topic, curr_emotion, res_emotion, concat('Answer with a ', res_emotion, ' tone.') as text_prompt, 24000 as sample_rate, gap_sec, pad_pre_sec, pad_post_sec, roomtone as user_roomtone, roomtone_dbfs as user_roomtone_dbfs,
+    'proportional' as aligner, 'SPEAKER_BROKER' as left_channel, 'SPEAKER_CLIENT' as right_channel, concat('0 SPEAKER_CLIENT user ', user_path, ' ', user_text, '|1 SPEAKER_BROKER agent ', agent_path, ' ', agent_text) as turns,
+    round(user_start + user_end * 10 + agent_start * 100 + agent_end * 1000, 6) as turn_times, nullif(agent_voice_path, '') as voice_prompt,
+    concat_ws('|', nullif(agent_name, ''), 'F', nullif(agent_voice_path, ''), 'said', user_name, 'M', '/voices/bob.wav', 'told') as voices, u.tagged as tagged_user, g.tagged as tagged_agent, wav, round(agent_end + pad_post_sec, 6) as duration,
+    len({S.words('user_text')}) + len({S.words('agent_text')}) as n_words, array_to_string(list_concat({S.words('user_text')}, {S.words('agent_text')}), ' ') as words, m.moment
+  from {_RECORD} r join {pool_tagged(_RECORD, 'id', 'curr_emotion', 'user_text', "concat(user_id, ':user')")} u on u.id = r.id
+    join {pool_tagged(_RECORD, 'id', 'res_emotion', 'agent_text', "concat(id, ':agent')")} g on g.id = r.id
+    left join (select key, round(sum(start_sec + 2 * end_sec), 4) as moment from {_TIMED.replace('{rows}', _TURNS)} group by key) m on m.key = r.id)"""
+
+
+def sidecars(spark, d):
+    """id and JSON record of every pair."""
+    c, lit = F.col, F.lit
     rows = _aligned(spark, d).select(
-        F.col("pair_id").alias("id"), F.concat(F.lit("u"), F.col("conv_id").cast("string")).alias("user_id"), F.col("curr").alias("curr_emotion"), F.col("res").alias("res_emotion"),
-        "user_text", "agent_text", "alignments", F.lit(0.37).alias("user_start"), (0.531371719317 + F.col("turn") * 1.271828182845).alias("user_end"),
-        (1.013171319713 + F.col("turn") * 1.271828182845).alias("agent_start"), (4.031317319719 + F.col("turn") * 1.513171917131).alias("agent_end"))
-    return rows.select("id", F.to_json(L.sidecar(rows)).alias("sidecar"))
+        c("pair_id").alias("id"), F.concat(lit("u"), c("conv_id").cast("string")).alias("user_id"), c("curr").alias("curr_emotion"), c("res").alias("res_emotion"),
+        F.concat(lit("topic "), (c("turn") % 9).cast("string")).alias("topic"), "user_text", "agent_text", "alignments", lit(0.37).alias("user_start"), (0.531371719317 + c("turn") * 1.271828182845).alias("user_end"),
+        (1.013171319713 + c("turn") * 1.271828182845).alias("agent_start"), (4.031317319719 + c("turn") * 1.513171917131).alias("agent_end"), lit(0.2).alias("gap_sec"), lit(0.37).alias("pad_pre_sec"),
+        (c("turn") % 4 / 8.0).alias("pad_post_sec"), F.when(c("turn") % 3 > 0, F.concat(lit("/tone/"), (c("turn") % 3).cast("string"), lit(".wav"))).alias("roomtone"),
+        F.when(c("turn") % 3 > 0, -50.0 - c("turn") % 3).alias("roomtone_dbfs"), F.concat(lit("/turns/u"), c("conv_id").cast("string"), lit(".wav")).alias("user_path"),
+        F.concat(lit("/turns/"), "pair_id", lit("_agent.wav")).alias("agent_path"), F.concat(lit("/stereo/"), "pair_id", lit(".wav")).alias("wav"),
+        F.when(c("turn") % 2 == 0, F.struct(lit("Ann"), lit("F"), lit("/voices/ann.wav"), lit("said"))).otherwise(F.struct(lit(""), lit("F"), lit(""), lit("said"))).cast(L.VOICE).alias("agent_voice"),
+        F.struct(lit("Bob"), lit("M"), lit("/voices/bob.wav"), lit("told")).cast(L.VOICE).alias("user_voice"))
+    return rows.select("id", L.sidecar().alias("sidecar"))
+
+
+def sidecar_fields(records):
+    """Records as read, with their nested fields as plain columns."""
+    c = F.col
+    turn = lambda t: F.concat_ws(" ", t["index"].cast("string"), t["speaker"], t["role"], t["path"], t["text"])
+    voice = lambda who: [c(f"voices.{who}.{k}") for k in ("name", "gender", "path", "text")]
+    moment = F.aggregate("alignments", F.lit(0.0), lambda a, x: a + x["start"] + 2 * x["end"])
+    t = lambda i, k: c("turns")[i][k]
+    return records.select(
+        "id", "user_id", "styletalk.topic", "styletalk.curr_emotion", "styletalk.res_emotion", "text_prompt", "sample_rate", "gap_sec", "pad_pre_sec", "pad_post_sec", "user_roomtone", "user_roomtone_dbfs",
+        "aligner", c("channel_layout.left").alias("left_channel"), c("channel_layout.right").alias("right_channel"), F.array_join(F.transform("turns", turn), "|").alias("turns"),
+        F.round(t(0, "start") + t(0, "end") * 10 + t(1, "start") * 100 + t(1, "end") * 1000, 6).alias("turn_times"), "voice_prompt", F.concat_ws("|", *voice("agent"), *voice("user")).alias("voices"),
+        c("tagged_text.user").alias("tagged_user"), c("tagged_text.agent").alias("tagged_agent"), "wav", F.round("duration", 6).alias("duration"), F.size("alignments").cast("long").alias("n_words"),
+        F.array_join(F.transform("alignments", lambda a: a["word"]), " ").alias("words"), F.when(F.size("alignments") > 0, F.round(moment, 4)).alias("moment"))
+
+
+@query(f"select * from {_SIDECARS}")
+def build_sidecar(spark, d):
+    read = F.from_json("sidecar", IO.SIDECAR).alias("r")
+    return sidecar_fields(IO.records(sidecars(spark, d).select(read).select("r.*")))

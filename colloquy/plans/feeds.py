@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 from colloquy.functions.hashing import stable_index
 from colloquy.operators import audio as A
 from colloquy.plans import clips as C
+from colloquy.plans import sqltext as S
 from colloquy.plans import texts as X
 from colloquy.sources import io as IO
-from colloquy.sources.scratch import folder
+from colloquy.sources.scratch import new_path
 from colloquy.sources.views import view
-from colloquy.streaming import feeds as S
+from colloquy.streaming import feeds as W
 
 QUERIES, SQL = {}, {}
 
@@ -34,7 +35,7 @@ def query(sql: str | None = None):
 
 
 def _new(spark) -> str:
-    return f"{folder(spark)}/io-{uuid.uuid4().hex}"
+    return new_path(spark, "io")
 
 
 def _with_blank(rows, path):
@@ -42,7 +43,7 @@ def _with_blank(rows, path):
     rows.select(F.concat(F.to_json(F.struct("*")), F.when(F.rand(1) < 0.2, "\n").otherwise("")).alias("value")).write.text(path)
 
 
-_CLEAN_USER = C.S.clean("concat('User: \"', user_text, '\"')")
+_CLEAN_USER = S.clean("concat('User: \"', user_text, '\"')")
 
 
 @query(f"select pair_id as user_id, curr as curr_emotion, '' as topic, {_CLEAN_USER} as text from fx_pairs")
@@ -52,7 +53,7 @@ def read_users(spark, d):
     return IO.read_users(spark, path)
 
 
-@query(f"select pair_id as id, {C.S.clean('user_text')} as user_text, {C.S.clean('agent_text')} as agent_text, '' as topic from fx_pairs")
+@query(f"select pair_id as id, {S.clean('user_text')} as user_text, {S.clean('agent_text')} as agent_text, '' as topic from fx_pairs")
 def read_dialogues(spark, d):
     rows = view(spark, d, "fx_pairs").select(F.col("pair_id").alias("id"), "user_text", "agent_text")
     _with_blank(rows, path := _new(spark))
@@ -65,11 +66,32 @@ def write_texts(spark, d):
     return spark.read.schema("id string, text string").json(path)
 
 
-@query("select split, count(*) as n, round(sum(duration), 4) as total_sec from " + C._SPLIT + " group by split")
+@query(f"""with s as {C._SPLIT.replace('select c.*', 'select c.*, concat(c.curr_emotion, chr(45), chr(62), c.res_emotion) as mapping', 1)}
+  select split as part, '' as key, count(*) as n, round(sum(duration), 4) as total from s group by split
+  union all select 'mapping', mapping, count(*), round(sum(duration), 4) from s group by mapping
+  union all select 'ids', mapping, count(distinct id), sum(length(id))::double from s group by mapping
+  union all select 'index', index::varchar, 1, index::double from (select distinct index from s where split = 'val')
+  union all select 'asked', 'val_fraction', 17, 0.05e0 union all select 'asked', 'target_val_per_mapping', 17, target_val_per_mapping from {C._TARGET}
+  union all select 'side', mapping, count(*) filter (split = 'train'), count(*) filter (split = 'val') from s group by mapping""")
 def write_manifests(spark, d):
-    IO.write_manifests(C._split(spark, d), path := _new(spark))
-    side = lambda s: spark.read.schema(IO.MANIFEST).json(f"{path}/{s}.jsonl").select(F.lit(s).alias("split"), "duration")
-    return side("train").unionByName(side("val")).groupBy("split").agg(F.count("*").alias("n"), F.round(F.sum("duration"), 4).alias("total_sec"))
+    IO.write_manifests(C._split(spark, d), path := _new(spark), 0.05, 7)
+    read = lambda name, schema: spark.read.schema(schema).json(f"{path}/{name}")
+    rows = lambda df, part, key, n, total: df.select(F.lit(part).alias("part"), key.alias("key"), n.cast("long").alias("n"), total.cast("double").alias("total"))
+    one, c = F.lit(1), F.col
+    side = lambda s: rows(read(f"{s}.jsonl", IO.MANIFEST).agg(F.count("*").alias("n"), F.round(F.sum("duration"), 4).alias("t")), s, F.lit(""), c("n"), c("t"))
+    info = read("split_manifest.json", "mapping string, train long, val long, val_fraction double, target_val_per_mapping long, seed long")
+    by = read("manifest_by_mapping.json", "mapping string, count long, total_duration_sec double")
+    ids = read("mapping_ids.json", "mapping string, id string").groupBy("mapping").agg(F.count_distinct("id").alias("n"), F.sum(F.length("id")).alias("t"))
+    asked = info.groupBy().agg(F.count("*").alias("n"), F.max("val_fraction").alias("f"), F.max("target_val_per_mapping").alias("k"))
+    out = side("train").unionByName(side("val"))
+    for more in (
+        rows(by, "mapping", c("mapping"), c("count"), F.round("total_duration_sec", 4)), rows(ids, "ids", c("mapping"), c("n"), c("t")),
+        rows(read("val_indices.json", "index long"), "index", c("index").cast("string"), one, c("index")),
+        rows(asked, "asked", F.lit("val_fraction"), c("n"), c("f")), rows(asked, "asked", F.lit("target_val_per_mapping"), c("n"), c("k")),
+        rows(info.where("mapping <> 'all'"), "side", c("mapping"), c("train"), c("val")),
+    ):
+        out = out.unionByName(more)
+    return out
 
 
 @query("select path, duration from fx_clips")
@@ -87,21 +109,19 @@ def count_manifest_rows(spark, d):
     return IO.count_manifest_rows(spark, [path])
 
 
-@query()
+@query(f"select * from {C._SIDECARS}")
 def write_sidecars(spark, d):
-    IO.write_sidecars(C.build_sidecar(spark, d), path := _new(spark))
-    return spark.read.text(path).select(F.get_json_object("value", "$.id").alias("id"), F.md5("value").alias("hash"))
+    IO.write_sidecars(C.sidecars(spark, d), path := _new(spark))
+    return C.sidecar_fields(IO.read_sidecar_lines(spark, path))
 
 
-@query()
+@query(f"select readable, count(*) as n, round(sum(case when readable then duration else 0 end), 3) as total, coalesce(sum(n_words) filter (readable), 0)::bigint as n_words from (select {S.index('id', 9)} > 0 as readable, duration, n_words from {C._SIDECARS}) group by readable")
 def read_sidecars(spark, d):
-    rows = C.build_sidecar(spark, d).select(F.when(stable_index("id", 9) == 0, "{broken").otherwise(F.col("sidecar")).alias("sidecar"))
-    # the mixed list form: [word, [start, end], speaker]
-    mixed = F.regexp_replace("sidecar", r'\{"word":("(?:[^"\\]|\\.)*"),"start":([0-9.E+-]+),"end":([0-9.E+-]+),"speaker":("[A-Z_]+")\}', r"[$1,[$2,$3],$4]")
-    rows.select(mixed.alias("sidecar")).write.text(path := _new(spark))
-    lines = spark.read.text(path)
-    parsed = lines.select(F.from_json("value", IO.SIDECAR, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("r")).select("r.*")
-    return parsed.select("id", F.coalesce("duration", F.lit(0.0)).alias("duration"), F.size("alignments").alias("n_words"), F.col("_corrupt").isNull().alias("readable"))
+    """One record in nine is no JSON."""
+    rows = C.sidecars(spark, d).select(F.when(stable_index("id", 9) == 0, "{broken").otherwise(F.col("sidecar")).alias("sidecar"))
+    IO.write_sidecars(rows, path := _new(spark))
+    out = IO.read_sidecar_lines(spark, path).groupBy("readable").agg(F.count("*").alias("n"), F.round(F.sum(F.round("duration", 6)), 3).alias("total"), F.sum(F.when(F.col("readable"), F.size("alignments"))).alias("n_words"))
+    return out.select("readable", "n", "total", F.coalesce("n_words", F.lit(0)).alias("n_words"))
 
 
 @query("select s_suppkey - (select min(s_suppkey) from supplier) as pos, s_name as name, case s_suppkey % 5 when 0 then 'F' when 1 then 'M' when 2 then 'F' when 3 then 'M' else '' end as gender from supplier")
@@ -124,7 +144,7 @@ def write_audio(spark, d):
     return _wavs(spark, view(spark, d, "fx_takes").where("take = 0")).select("id", F.octet_length("wav").cast("long").alias("n_bytes"))
 
 
-@query()
+@query("select id, take, cast(round(len(pcm) * 1.5) as int) as n from fx_takes")
 def read_audio(spark, d):
     """Every take; files are named id and take."""
     @F.pandas_udf("array<float>")
@@ -151,7 +171,7 @@ def read_metrics(spark, d):
 def stream_accept(spark, d):
     rows = view(spark, d, "fx_pairs").select(F.col("pair_id").alias("id"), "user_text", "agent_text", "res", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("turn")).alias("at"))
     rows.unionByName(rows).write.json(path := _new(spark))  # each id twice
-    S.run_to(S.stream_accept(spark, path), f"{path}-out", f"{path}-state")
+    W.run_to(W.stream_accept(spark, path), f"{path}-out", f"{path}-state")
     return spark.read.schema("id string, at timestamp, accepted boolean, reason string, clean string").parquet(f"{path}-out").select("id", "accepted", "reason")
 
 
@@ -159,7 +179,7 @@ def stream_accept(spark, d):
 def stream_metrics(spark, d):
     """In complete mode nothing is held back, so the stream equals the batch."""
     path = _feed(spark, d)
-    out = S.stream_metrics(spark, path)
+    out = W.stream_metrics(spark, path)
     name = f"feed_{uuid.uuid4().hex}"
     out.writeStream.format("memory").queryName(name).outputMode("complete").option("checkpointLocation", f"{path}-state").trigger(availableNow=True).start().awaitTermination()
     return spark.table(name).withColumn("start", F.col("start").cast("timestamp_ntz"))

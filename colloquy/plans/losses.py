@@ -89,16 +89,20 @@ def total_loss(spark, d):
     return rows.select("sample", F.round(M.total_loss(F.col("text"), F.col("audio"), 0.3141592653), 6).alias("total"), F.round(M.total_loss(F.col("text"), F.col("audio"), 0.0), 6).alias("text_only"))
 
 
-_STEPS = "(select tag, step, cast(floor(loss * 10) as bigint) as real, step % 7 as pad, step % 5 as placed, 5 as injected, step % 100 + 1 as words, 0.1234567e0 + step % 13 / 9.8765e0 as seconds from fx_metrics)"
+_STEPS = """(select tag, step, cast(floor(loss * 10) as bigint) as real, step % 7 as pad, step % 6 as in_window, step % 5 as placed, step % 50 as requested, step % 40 as put, step % 120 as ctx_frames, 500 as frames,
+  step % 100 + 1 as words, 0.1234567e0 + step % 13 / 9.8765e0 as seconds from fx_metrics)"""
+_PCT = lambda a, b: f"round(100e0 * {a} / nullif({b}, 0), 4)"
 
 
-@query(f"""select tag, step, round(case when real + pad > 0 then 100e0 * real / (real + pad) else 0 end, 4) as real_pct, round(100e0 * n / 8000, 4) as done_pct, round(placed / 5e0, 6) as place_rate, round(words / seconds, 4) as words_per_sec,
-  round(sw / ss, 4) as avg_words_per_sec, round(ss / n * greatest(8000 - n, 0), 2) as eta_sec from (select *, count(*) over w as n, sum(words) over w as sw, sum(seconds) over w as ss from {_STEPS} window w as (partition by tag order by step rows unbounded preceding))""")
+@query(f"""select tag, step, {_PCT('real', '(real + pad)')} as real_token_pct, round(100e0 * step / 8000, 4) as percent_done, round(step / 340e0, 6) as epoch, {_PCT('ctx_frames', 'frames')} as ctx_injected_pct,
+  {_PCT('placed', 'in_window')} as inj_place_rate, {_PCT('put', 'requested')} as inj_token_yield, round(words / seconds, 4) as wps, round(sw / ss, 4) as avg_wps, round((8000 - step) * ss / nullif(step, 0), 2) as eta_in_seconds
+  from (select *, sum(words) over w as sw, sum(seconds) over w as ss from {_STEPS} window w as (partition by tag order by step rows unbounded preceding))""")
 def train_log_ratios(spark, d):
+    c = F.col("step")
     steps = view(spark, d, "fx_metrics").select(
-        "tag", "step", F.floor(F.col("loss") * 10).alias("real"), (F.col("step") % 7).alias("pad"), (F.col("step") % 5).alias("placed"), F.lit(5).alias("injected"),
-        (F.col("step") % 100 + 1).alias("words"), (0.1234567 + F.col("step") % 13 / 9.8765).alias("seconds"))
-    return M.train_log_ratios(steps, 8000, "tag")
+        "tag", "step", F.floor(F.col("loss") * 10).alias("real"), (c % 7).alias("pad"), (c % 6).alias("in_window"), (c % 5).alias("placed"), (c % 50).alias("requested"), (c % 40).alias("put"),
+        (c % 120).alias("ctx_frames"), F.lit(500).alias("frames"), (c % 100 + 1).alias("words"), (0.1234567 + c % 13 / 9.8765).alias("seconds"))
+    return M.train_log_ratios(steps, 8000, 340, "tag")
 
 
 @query("select step // 8 as step, tag, round(avg(loss), 6) as mean from fx_metrics group by all")
@@ -106,7 +110,9 @@ def rank_average(spark, d):
     return M.rank_average(view(spark, d, "fx_metrics").withColumn("step", F.floor(F.col("step") / 8)), "loss", "step", "tag")
 
 
-@query("select e.tag, e.step, e.loss as eval_loss, (select l.loss from fx_metrics l where l.tag = e.tag and l.step <= e.step and l.step % 10 = 0 order by l.step desc limit 1) as train_loss from fx_metrics e where e.step % 25 = 0")
+# every event is a step that is evaluated; those of even value were logged
+@query("select tag, step, loss as eval_loss, last_value(case when cast(floor(loss) as bigint) % 2 = 0 then loss / 2 end ignore nulls) over (partition by tag order by step rows unbounded preceding) as train_loss from fx_metrics")
 def eval_join(spark, d):
     m = view(spark, d, "fx_metrics")
-    return M.eval_join(m.where("step % 25 = 0"), m.where("step % 10 = 0"), "tag")
+    logs = m.where(F.floor("loss") % 2 == 0).withColumn("loss", F.col("loss") / 2)
+    return M.eval_join(m, logs, "tag")

@@ -46,7 +46,7 @@ def epoch_shuffle(spark, d):
     return out
 
 
-@query()
+@query("select curr_emotion as source, count(*) as n, case curr_emotion when 'happy' then 3 when 'sad' then 1 else 0.5e0 end / 4.5e0 as weight from fx_clips where curr_emotion in ('happy', 'sad', 'angry') group by curr_emotion")
 def source_weights(spark, d):
     found = spark.createDataFrame(M.source_weights("happy:3,sad,angry:0.5"), "source string, weight double")
     sizes = view(spark, d, "fx_clips").groupBy(F.col("curr_emotion").alias("source")).agg(F.count("*").alias("n"))
@@ -123,7 +123,19 @@ def text_stream(spark, d):
     return M.text_stream(_token_words(spark, d), FRAMES).select("clip", "chunk", text("stream").alias("stream"))
 
 
-@query()
+_QUEUE = f"""with w as (select clip, chunk, pos, s, greatest(cast(floor(s * 12.5e0) as int), 0) as f, cast(trunc(e * 12.5e0) as int) as e_f, n_tokens as n from {_CHUNKED} where speaker = 'SPEAKER_BROKER' and s < e),
+  counted as (select *, coalesce(sum(n) over (partition by clip, chunk order by s, pos rows between unbounded preceding and 1 preceding), 0) as before from w),
+  begun as (select *, max(f - before) over (partition by clip, chunk order by s, pos rows unbounded preceding) + before as begin from counted),
+  tokens as (select clip, chunk, begin + k as t, 101 + k as v from (select clip, chunk, begin, unnest(range(n)) as k from begun) where begin + k < {FRAMES}),
+  lasts as (select clip, chunk, f, arg_max(e_f, {{'s': s, 'p': pos}}) as e_f from w group by all),
+  spans as (select clip, chunk, f, e_f, lead(f, 1, {FRAMES}) over (partition by clip, chunk order by f) as nf from lasts),
+  grid as (select c.clip, c.chunk, t.t from (select distinct clip, chunk from w) c, (select unnest(range({FRAMES}))::int as t) t)
+  select g.clip, g.chunk, string_agg(case when k.v is not null then k.v when n.v is not null then 0 when g.t <= s.e_f then -2 else 3 end::varchar, ' ' order by g.t) as stream
+  from grid g left join tokens k on k.clip = g.clip and k.chunk = g.chunk and k.t = g.t left join tokens n on n.clip = g.clip and n.chunk = g.chunk and n.t = g.t + 1
+    left join spans s on s.clip = g.clip and s.chunk = g.chunk and s.f <= g.t and g.t < s.nf group by g.clip, g.chunk"""
+
+
+@query(_QUEUE)
 def text_stream_queue(spark, d):
     return M.text_stream_queue(_token_words(spark, d), FRAMES).select("clip", "chunk", text("stream").alias("stream"))
 
@@ -174,14 +186,14 @@ def _placed(spark, d):
 # an original frame f moves by the tokens put in at or before it; what is heard in a block is what it displaced
 @query(f"""with p as {_PLACED}, clips as (select distinct clip_no from p), frames as (select clip_no, unnest(range({FRAMES}))::int as f from clips),
   moved as (select fr.clip_no, fr.f, fr.f + coalesce((select sum(n_tokens) from p where p.clip_no = fr.clip_no and p.frame_offset <= fr.f), 0) as t from frames fr),
-  blocks as (select clip_no, spot + k as t, 1000 + k as tok from (select clip_no, spot, unnest(range(n_tokens)) as k from p)),
-  rows as (select clip_no, t, 5 + f as text, 2000 + f as agent from moved where t < {FRAMES} union all select clip_no, t, tok, -10 from blocks where t < {FRAMES})
-  select clip_no, string_agg(text::bigint::varchar, ' ' order by t) as text, string_agg(agent::bigint::varchar, ' ' order by t) as agent from rows group by clip_no""")
+  blocks as (select clip_no, spot + k as t, 1000 + k as tok, case when frame_offset + k < {FRAMES} then 3000 + frame_offset + k else -10 end as heard from (select clip_no, spot, frame_offset, unnest(range(n_tokens)) as k from p)),
+  rows as (select clip_no, t, 5 + f as text, 2000 + f as agent, 3000 + f as heard from moved where t < {FRAMES} union all select clip_no, t, tok, -10, heard from blocks where t < {FRAMES})
+  select clip_no, string_agg(text::bigint::varchar, ' ' order by t) as text, string_agg(agent::bigint::varchar, ' ' order by t) as agent, string_agg(heard::bigint::varchar, ' ' order by t) as "user" from rows group by clip_no""")
 def inject_context(spark, d):
     frames = lambda base: F.transform(F.sequence(F.lit(0), F.lit(FRAMES - 1)), lambda i: i + base)
     placed = _placed(spark, d).withColumn("tokens", F.transform(F.sequence(F.lit(0), F.col("n_tokens") - 1), lambda k: k + 1000))
     out = M.inject_context(placed, frames(5), frames(2000), frames(3000), FRAMES)
-    return out.select("clip_no", text("text").alias("text"), text("agent").alias("agent"))
+    return out.select("clip_no", *[text(c).alias(c) for c in ("text", "agent", "user")])
 
 
 @query(f"""with p as {_PLACED}, cells as (select c.clip_no, t, exists (select 1 from p where p.clip_no = c.clip_no and spot <= t and t < spot + n_tokens) as m
@@ -192,20 +204,28 @@ def context_mask(spark, d):
     return out.select("clip_no", F.array_join(F.transform("mask", lambda x: F.when(x, "1").otherwise("0")), "").alias("mask"))
 
 
-@query(f"""select *, round(placed / total, 6) as place_rate, round(tokens_placed / tokens_requested, 6) as token_yield from (select clip_no, count(*) as total, count(*) filter (ok) as placed,
+@query(f"""select *, round(placed / nullif(in_window, 0), 6) as place_rate, round(tokens_placed / tokens_requested, 6) as token_yield from (select clip_no, count(*) as total, count(*) filter (ok) as in_window, count(*) filter (ok) as placed,
+    0::bigint as truncated, 0::bigint as drop_anchor_overlap, 0::bigint as drop_no_space, 0::bigint as drop_final_overlap,
     count(*) filter (frame_offset is null) as drop_no_offset, count(*) filter (not ok) as drop_out_of_window, coalesce(sum(n_tokens) filter (ok), 0)::bigint as tokens_placed, sum(n_tokens)::bigint as tokens_requested
   from (select *, frame_offset >= 0 and frame_offset < {FRAMES} as ok from fx_injections) group by clip_no)""")
 def injection_stats(spark, d):
     return M.injection_stats(view(spark, d, "fx_injections"), FRAMES, ("clip_no",))
 
 
-@query()
+# the prompt: text tokens by the take's length, silence on the agent's rows, a sine on the user's; one take in four has none
+_CODES = """(select id, take, k, list_concat(case when n_chars % 4 = 0 then [] when k = 0 then list_transform(range(n_chars % 7 + 2), lambda i: cast(100 + i as int)) else list_transform(range(n_chars % 7 + 2), lambda i: case when k <= 8 then -10 else -20 end) end,
+  list_transform(pcm, lambda v: cast(floor(v * 100) as int) + k)) as codes, n_chars from fx_takes, (select unnest(range(17))::int as k))"""
+
+
+@query(f"select id, take, k, len(codes) as n, md5(array_to_string(codes, ' ')) as hash from {_CODES}")
 def assemble_codes(spark, d):
-    """Prompt and conversation on 17 rows: text, eight agent rows, eight user rows."""
-    prompt = F.array_repeat(F.lit(M.SILENCE), 3)
-    conv = F.transform("pcm", lambda x: F.floor(x * 100).cast("int"))
-    codes = F.transform(F.sequence(F.lit(0), F.lit(16)), lambda k: F.concat(prompt, F.transform(conv, lambda v: v + k)))
-    return view(spark, d, "fx_takes").select("id", "take", F.size(codes).alias("n_rows"), F.transform(codes, lambda r: F.md5(text(r))).alias("row_hashes"))
+    """17 rows: text, eight agent rows, eight user rows."""
+    n = F.col("n_chars") % 7 + 2
+    fill = lambda v: F.array_repeat(F.lit(v), n)
+    prompt = F.when(F.col("n_chars") % 4 > 0, F.array(F.transform(F.sequence(F.lit(0), n - 1), lambda i: i + 100), *[fill(M.SILENCE)] * 8, *[fill(M.SINE)] * 8))
+    conversation = F.transform(F.sequence(F.lit(0), F.lit(16)), lambda k: F.transform("pcm", lambda x: F.floor(x * 100).cast("int") + k))
+    out = view(spark, d, "fx_takes").select("id", "take", F.posexplode(M.assemble_codes(prompt, conversation)).alias("k", "codes"))
+    return out.select("id", "take", "k", F.size("codes").cast("long").alias("n"), F.md5(text("codes")).alias("hash"))
 
 
 @query(f"select id, rank, batch from (select *, count(*) over (partition by rank, batch) as n from (select id, cast(i % 8 as int) as rank, (i // 8) // 4 as batch from {_INDEXED})) where n = 4")

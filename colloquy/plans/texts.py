@@ -83,16 +83,18 @@ def split_sentences(spark, d):
     return x.select("doc_id", F.size("x").cast("long").alias("n_sentences"), joined("x").alias("sentences"))
 
 
-_LINE = S.strip_tags("user_text")
-
-
-@query(f"""select pair_id, case when mid and len(parts) >= 2 and {S.chance("concat(pair_id, ':user:sfx')", R.MID_TURN_SHARE)}
+def pool_tagged(rows: str, key: str, emotion: str, text: str, seed: str) -> str:
+    """DuckDB text of (key, tagged) for the lines of rows."""
+    return f"""(select {key}, case when mid and len(parts) >= 2 and {S.chance("concat(seed, ':sfx')", R.MID_TURN_SHARE)}
     then concat(prefix, parts[1], chunk, case when regexp_matches(array_to_string(parts[2:], ' '), '^\\p{{L}}') then ' ' else '' end, array_to_string(parts[2:], ' '))
-    when not mid and {S.chance("concat(pair_id, ':user:sfx')", R.SOUND_SHARE)} then concat(prefix, chunk, case when regexp_matches(plain, '^\\p{{L}}') then ', ' else '' end, plain)
+    when not mid and {S.chance("concat(seed, ':sfx')", R.SOUND_SHARE)} then concat(prefix, chunk, case when regexp_matches(plain, '^\\p{{L}}') then ', ' else '' end, plain)
     else concat(prefix, plain) end as tagged
-  from (select pair_id, plain, {S.sentences('plain')} as parts, {S.tag('curr', "concat(pair_id, ':user')", R.POOL_TAGS, R.POOL_PREFIX)} as prefix,
-    {S.sound('curr', "concat(pair_id, ':user')", R.POOL_SOUNDS, True)} as chunk, {S.sound('curr', "concat(pair_id, ':user')", R.POOL_SOUNDS, False)} in ('laughter', 'crying') as mid
-    from (select *, {_LINE} as plain from fx_pairs))""")
+  from (select {key}, seed, plain, {S.sentences('plain')} as parts, {S.tag(emotion, 'seed', R.POOL_TAGS, R.POOL_PREFIX)} as prefix,
+    {S.sound(emotion, 'seed', R.POOL_SOUNDS, True)} as chunk, {S.sound(emotion, 'seed', R.POOL_SOUNDS, False)} in ('laughter', 'crying') as mid
+    from (select *, {S.strip_tags(text)} as plain, {seed} as seed from {rows})))"""
+
+
+@query(f"select * from {pool_tagged('fx_pairs', 'pair_id', 'curr', 'user_text', 'concat(pair_id, ' + S.q(':user') + ')')}")
 def tag_speech_pool(spark, d):
     return view(spark, d, "fx_pairs").select("pair_id", T.tag_speech_pool(F.col("curr"), F.col("user_text"), F.concat("pair_id", F.lit(":user"))).alias("tagged"))
 
@@ -204,12 +206,19 @@ _PROMPT = f"""concat('User said: ', user_text, chr(10), 'User emotion (for conte
   {S.pair_case('curr', 'res', R.HINTS, R.DEFAULT_HINT)}, chr(10), 'Remember: do not misread the valence of their message.')"""
 
 
-@query(f"select pair_id, concat('Write one spoken user line.', chr(10), 'emotion=', curr, chr(10), 'topic=', pair_id, chr(10), 'variety_seed=', 42 + {S.index('pair_id', 100000)}) as user_message, {_PROMPT} as agent_message, concat({_PROMPT}, {S.q(R.RETRY_NOTE)}) as retry_message from fx_pairs")
+_SYSTEM = "Answer as the partner in a casual conversation."
+
+
+@query(f"""select pair_id, case k when 0 then 'user' when 1 then 'agent' else 'retry' end as kind, i, case i when 0 then 'system' else 'user' end as role,
+  case when i = 0 then {S.q(_SYSTEM)} when k = 0 then concat('Write one spoken user line.', chr(10), 'emotion=', curr, chr(10), 'topic=', pair_id, chr(10), 'variety_seed=', 42 + {S.index('pair_id', 100000)})
+    when k = 1 then {_PROMPT} else concat({_PROMPT}, {S.q(R.RETRY_NOTE)}) end as content
+  from fx_pairs, (select unnest([0, 1, 2]) as k), (select unnest([0, 1]) as i)""")
 def render_prompts(spark, d):
     t, a, b = F.col("user_text"), F.col("curr"), F.col("res")
-    return view(spark, d, "fx_pairs").select(
-        "pair_id", O.user_message(a, F.col("pair_id"), P.derived_seed(42, "pair_id")).alias("user_message"),
-        O.messages(t, a, b).alias("agent_message"), O.messages(t, a, b, True).alias("retry_message"))
+    kinds = {"user": O.user_message(a, F.col("pair_id"), P.derived_seed(42, "pair_id")), "agent": O.agent_message(t, a, b), "retry": O.agent_message(t, a, b, True)}
+    chats = F.array(*[F.struct(F.lit(k).alias("kind"), O.chat(_SYSTEM, m).alias("messages")) for k, m in kinds.items()])
+    rows = view(spark, d, "fx_pairs").select("pair_id", F.inline(chats))
+    return rows.select("pair_id", "kind", F.posexplode("messages").alias("i", "m")).select("pair_id", "kind", "i", "m.role", "m.content")
 
 
 @query(f"select id, replace({S.case('curr_emotion', R.USER_FALLBACK, S.q(R.USER_FALLBACK['neutral']))}, '{{topic}}', user_id) as user_line, {S.pair_case('curr_emotion', 'res_emotion', R.AGENT_FALLBACK, R.DEFAULT_AGENT_FALLBACK)} as reply from fx_clips")

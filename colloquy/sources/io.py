@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from colloquy.functions import text as T
 from colloquy.operators import audio as A
+from colloquy.operators import clips as C
 
 USERS = "user_id string, curr_emotion string, topic string, text string"
 DIALOGUES = "id string, user_id string, curr_emotion string, res_emotion string, user_text string, agent_text string, topic string"
@@ -20,7 +21,10 @@ SIDECAR = (
     "id string, user_id string, text_prompt string, voice_prompt string, duration double, sample_rate int, "
     "alignments array<array<string>>, styletalk struct<curr_emotion:string,res_emotion:string,topic:string,user_id:string>, "
     "turns array<struct<index:int,speaker:string,start:double,end:double,text:string,role:string,path:string>>, "
-    "context_injections array<struct<frame_offset:int,text:string>>, _corrupt string"
+    "context_injections array<struct<frame_offset:int,text:string>>, gap_sec double, pad_pre_sec double, pad_post_sec double, "
+    "user_roomtone string, user_roomtone_dbfs double, aligner string, channel_layout struct<left:string,right:string>, "
+    "voices struct<agent:struct<name:string,gender:string,path:string,text:string>,user:struct<name:string,gender:string,path:string,text:string>>, "
+    "tagged_text struct<user:string,agent:string>, wav string, _corrupt string"
 )
 MANIFEST = "path string, duration double"
 METRICS = "step long, at timestamp, tag string, loss double"
@@ -60,6 +64,17 @@ def read_voices(spark: SparkSession, folder: str) -> DataFrame:
 def read_sidecars(spark: SparkSession, path: str) -> DataFrame:
     """One record for each file; a file that is no JSON has duration 0.0 and readable false."""
     out = spark.read.schema(SIDECAR).json(path, multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", pathGlobFilter="*.json", recursiveFileLookup=True)
+    return records(out)
+
+
+def read_sidecar_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The records of a dataset of lines, as write_sidecars() writes them."""
+    lines = spark.read.text(path)
+    return records(lines.select(F.from_json("value", SIDECAR, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("r")).select("r.*"))
+
+
+def records(out: DataFrame) -> DataFrame:
+    """Parsed sidecars with flat alignments; those that are no JSON are not readable and last 0.0."""
     times = F.transform("alignments", lambda a: F.struct(a[0].alias("word"), F.from_json(a[1], "array<double>").alias("t"), a[2].alias("speaker")))
     flat = F.transform(times, lambda a: F.struct(a["word"].alias("word"), a["t"][0].alias("start"), a["t"][1].alias("end"), a["speaker"].alias("speaker")))
     return out.withColumn("readable", F.col("_corrupt").isNull()).withColumn("duration", F.coalesce("duration", F.lit(0.0))).withColumn("alignments", flat).drop("_corrupt")
@@ -94,12 +109,17 @@ def write_lines(rows: DataFrame, path: str) -> None:
     rows.write.mode("errorifexists").json(path)
 
 
-def write_manifests(split: DataFrame, path: str) -> None:
-    """train and val lines, and counts of each mapping, as three folders."""
+def write_manifests(split: DataFrame, path: str, fraction: float, seed: int) -> None:
+    """Folders of JSON lines: train, val, split_manifest (what was asked, and the sides of each mapping), val_indices,
+    manifest_by_mapping (count and seconds of each mapping) and mapping_ids (the clips of each, a line for each clip: a
+    list in one line has no bound)."""
+    mapping = F.concat_ws("->", "curr_emotion", "res_emotion").alias("mapping")
     for side in ("train", "val"):
         write_lines(split.where(F.col("split") == side).select("path", "duration"), f"{path}/{side}.jsonl")
-    n = lambda s: F.count(F.when(F.col("split") == s, 1)).alias(s)
-    write_lines(split.groupBy(F.concat_ws("->", "curr_emotion", "res_emotion").alias("mapping")).agg(n("train"), n("val"), F.sum("duration").alias("total_duration_sec")), f"{path}/split_manifest.json")
+    write_lines(C.split_report(split, fraction, seed), f"{path}/split_manifest.json")
+    write_lines(C.val_indices(split), f"{path}/val_indices.json")
+    write_lines(split.groupBy(mapping).agg(F.count("*").alias("count"), F.sum("duration").alias("total_duration_sec")), f"{path}/manifest_by_mapping.json")
+    write_lines(split.select(mapping, "id"), f"{path}/mapping_ids.json")
 
 
 def write_sidecars(rows: DataFrame, path: str) -> None:

@@ -41,6 +41,17 @@ def test_voices_and_sidecars(spark, tmp_path):
     assert got["a"].duration == 2.5 and tuple(got["a"].alignments[0]) == ("hi", 0.1, 0.4, "SPEAKER_CLIENT") and got[None].duration == 0.0 and not got[None].readable
 
 
+def test_sidecar_text_is_json_of_mixed_lists(spark):
+    from colloquy.plans import clips as K
+
+    rows = K.sidecars(spark, "/root/testdata/sf0.001").collect()
+    for r in rows:
+        record = json.loads(r.sidecar)
+        assert record["id"] == r.id and {"user_roomtone", "voices", "tagged_text", "gap_sec"} <= set(record)
+        assert all(isinstance(w, str) and len(t) == 2 and s in ("SPEAKER_CLIENT", "SPEAKER_BROKER") for w, t, s in record["alignments"])
+        assert [t["role"] for t in record["turns"]] == ["user", "agent"]
+
+
 def test_audio_files(spark, tmp_path):
     from colloquy.operators import audio as A
 

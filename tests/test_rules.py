@@ -24,7 +24,7 @@ def one(spark, value, f, kind="string"):
 @pytest.mark.parametrize("raw, want", [
     ("```json\nHello there friend\n```", "Hello there friend"), ('Assistant: "Sure, I can help."', "Sure, I can help."),
     ("<|emotion:anger|>\nreal line here", "real line here"), ("\n\r\n  B :  “Fine   then”  ", "Fine then"), ("", ""), (None, ""), ("``` ```", ""),
-    ("one\x0btwo", "one"), ("a: b: c", "b: c"),
+    ("one\x0btwo", "one"), ("a: b: c", "b: c"), ("\u3000wide\u2003\u2003space\u202f", "wide space"), ("x\x1fy", "x y"),
 ])
 def test_clean(spark, raw, want):
     assert one(spark, raw, T.clean_utterance) == want
@@ -105,13 +105,13 @@ def clips(spark, per, only=None):
 @pytest.mark.parametrize("mode", ["hash", "shuffle"])
 def test_split(spark, per, share, want, mode):
     split = C.balanced_split(clips(spark, per), share, 3, mode)
-    assert all(r.val == want for r in C.split_report(split).collect() if r.mapping != "all")
+    assert all(r.val == want for r in C.split_report(split, share, 3).collect() if r.mapping != "all")
     assert C.split_leakage(split).first().n_leaking == 0
 
 
 def test_split_of_uneven_mappings(spark):
     split = C.balanced_split(clips(spark, 20, ("sad", "happy")), 0.5, 3)
-    assert {r["index"] for r in split.where("split = 'val'").collect()} < {0, 1, 2} and C.split_report(split).where("mapping = 'all'").first().val == 32
+    assert {r["index"] for r in split.where("split = 'val'").collect()} < {0, 1, 2} and C.split_report(split, 0.5, 3).where("mapping = 'all'").first().val == 32
 
 
 def test_chunks(spark):
@@ -227,3 +227,45 @@ def test_accept_prefers_the_first_usable(spark):
                                   "id string, attempt int, raw_text string, emotion string")
     got = {r.id: (r.chosen, r.text) for r in O.accept(plan, O.validated(lines), O.user_fallback(F.col("emotion"), F.lit("rain"))).collect()}
     assert got == {"a": ("retry", "a good enough line"), "b": ("first", "the very first line"), "c": ("fallback", "I've been struggling with rain lately, and it really hurts.")}
+
+
+def test_runs_over_several_ranges(spark, monkeypatch):
+    monkeypatch.setattr(L, "RANGE", 8)
+    rnd = random.Random(6)
+    steps = [("a" if i % 3 else None, i, rnd.randint(1, 9), rnd.random()) for i in range(100)]
+    df = spark.createDataFrame(steps, "tag string, step long, words long, seconds double").where("tag is not null")
+    got = {r.step: (r.run_words, r.run_seconds) for r in L.running_sums(df, ("words", "seconds"), ("tag",)).collect()}
+    sums, secs = 0, 0.0
+    for tag, i, w, s in steps:
+        if tag:
+            sums, secs = sums + w, secs + s
+            assert got[i][0] == sums and abs(got[i][1] - secs) < 1e-9
+    logs = [("a", i, float(i)) for i in (3, 40, 41, 90)]
+    evals = [("a", i, -1.0) for i in (1, 3, 39, 40, 60, 95)]
+    rows = L.eval_join(spark.createDataFrame(evals, "tag string, step long, loss double"), spark.createDataFrame(logs, "tag string, step long, loss double"), "tag").collect()
+    assert {r.step: r.train_loss for r in rows} == {1: None, 3: 3.0, 39: 3.0, 40: 40.0, 60: 41.0, 95: 90.0}
+
+
+def test_chat_and_codes(spark):
+    df = spark.createDataFrame([("{curr} hi", "sad", "happy")], "t string, a string, b string")
+    got = df.select(O.chat("Be brief.", O.agent_message(F.col("t"), F.col("a"), F.col("b"))).alias("m")).first().m
+    assert [x.role for x in got] == ["system", "user"] and got[0].content == "Be brief." and got[1].content.startswith("User said: {curr} hi\nUser emotion (for context only): sad\n")
+    codes = spark.createDataFrame([([[1], [2]], [[3, 4], [5, 6]]), (None, [[3], [5]])], "p array<array<int>>, c array<array<int>>").select(M.assemble_codes(F.col("p"), F.col("c")).alias("x"))
+    assert [r.x for r in codes.collect()] == [[[1, 3, 4], [2, 5, 6]], [[3], [5]]]
+
+
+@pytest.mark.parametrize("width, top", [(1, 127), (2, 32767), (3, 8388607), (4, 2147483647)])
+def test_wav_widths(width, top):
+    import io
+    import wave
+
+    x = np.sin(np.arange(300) / 7)
+    raw = np.round(x * top).astype(np.int64) + (128 if width == 1 else 0)
+    data = b"".join(int(v).to_bytes(width, "little", signed=width > 1) for v in raw)
+    buffer = io.BytesIO()
+    with wave.open(buffer, "wb") as f:
+        f.setnchannels(1)
+        f.setsampwidth(width)
+        f.setframerate(8000)
+        f.writeframes(data)
+    assert np.abs(A.decode_wav(buffer.getvalue()) - x).max() < 2 / top + 1e-6
