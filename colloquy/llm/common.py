@@ -13,69 +13,19 @@ long.
 
 from __future__ import annotations
 
-import atexit
 import gc
-import uuid
-import weakref
 
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from colloquy.sources.scratch import materialize
+
 U64 = np.uint64
 BLOCK_BYTES = 6 << 20
 
 
-# ---------------------------------------------------------------- scratch tables
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: spark.checkpoint.dir if it is set.
-
-    Only where it is unset (tests, a laptop) a folder beside the warehouse is taken.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("on a cluster spark.checkpoint.dir must name a folder that all executors share")
-        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-    return base
-
-
-_written: dict[str, weakref.ref] = {}
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    """Delete a scratch folder, in whatever store it is."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    except Exception:  # the session is gone: the folder's owner cleans it
-        pass
-
-
-def _delete_all() -> None:
-    for path, ref in list(_written.items()):
-        if (spark := ref()) is not None and spark.sparkContext._jsc is not None:
-            delete(spark, path)
-
-
-atexit.register(_delete_all)
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write df as Parquet in the shared scratch folder and read it back.
-
-    This cuts the lineage with a copy that survives the loss of executors; unlike
-    checkpoint() it is columnar and compressed.  Shuffle files of finished work are freed.
-    """
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/colloquy-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _written[path] = weakref.ref(spark)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of plans that nobody holds any more."""
     gc.collect()
@@ -198,6 +148,19 @@ def block_counts(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[int,
     return n, max(16, n // 3)
 
 
+# ---------------------------------------------------------------- groups
+SALTS = 64
+
+
+def join_spread(rows: DataFrame, table: DataFrame, key: str, by: str) -> DataFrame:
+    """rows joined with table(key, ...), one row for each key, so that the rows of one key lie in up to SALTS tasks.
+
+    Each row takes one of SALTS numbers by a hash of its column `by`; the table has a row for each.
+    """
+    salted = rows.withColumn("_s", F.pmod(F.xxhash64(by, F.lit(3)), F.lit(SALTS).cast("long")).cast("int"))
+    return salted.join(table.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), [key, "_s"]).drop("_s")
+
+
 # ---------------------------------------------------------------- connected components
 def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     """edges (a, b) long -> (id, component): the smallest id reachable, for every id in edges.

@@ -39,7 +39,7 @@ RECALL = 0.999  # of pairs at exactly the cosine asked for
 MOST_HASHES = 4
 TILE = 512
 SMALL = 32  # members of a bucket from which on it is compared as a matrix
-SLOT_ROWS = 20_000  # vectors in a task's comparison
+SLOT_ROWS = 2_000  # vectors in a task's comparison
 CHUNK = 1 << 14  # pairs compared at once
 SLACK = 1e-12  # a cosine that rounding puts below the threshold is recomputed by long doubles
 LINKS = "uid long, root long, links long"
@@ -255,7 +255,7 @@ def dedup(vectors: DataFrame, cosine: float = COSINE, recall: float = RECALL, ti
     comps = C.materialize(C.connected_components(found.select(F.col("uid").alias("a"), F.col("root").alias("b"))).select(F.col("id").alias("uid"), F.col("component").alias("class")))
     links = found.groupBy("uid").agg(F.sum("links").alias("links"))
     least = comps.join(same.select("uid", "rep"), "uid").groupBy("class").agg(F.min("rep").alias("component"))
-    by_class = same.select("uid", "label", "name", "rep", "n_vecs").join(links, "uid", "left").join(comps.join(least, "class"), "uid", "left")
+    by_class = same.select("uid", "label", "name", "rep", "n_vecs").join(links, "uid", "left").join(C.join_spread(comps, least, "class", "uid"), "uid", "left")
     out = named.drop("vector").join(by_class, ["label", "name"], "left")
     component = F.coalesce("component", "rep", "vec_id")
     return out.select(

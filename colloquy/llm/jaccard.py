@@ -46,8 +46,8 @@ SIMILARITY = 0.8
 TREES, DEEPEST = 24, 8
 RECALL = 0.9999
 TILE = 512
-SLOT_ROWS = 16_000  # signatures in a task's comparison
-SLOT_SETS = 1_500  # shingle sets in a task's comparison
+SLOT_ROWS = 3_000  # signatures in a task's comparison
+SLOT_SETS = 500  # shingle sets in a task's comparison
 CHUNK = 1 << 13  # pairs of signatures compared at once
 COLUMNS = 1 << 12  # shingles compared at once in a tile
 
@@ -275,7 +275,7 @@ def _classified(docs: DataFrame, similarity: float, words: int, recall: float, t
     members = groups(same, similarity, recall, tile).select(F.col("id").alias("uid"), F.col("component").alias("grp"))
     sizes = C.materialize(members.groupBy("grp").agg(F.count("*").alias("size")))
     rows = sizes.agg(F.sum(F.col("size") * pairs.tiles(F.col("size"), tile))).first()[0] or 0
-    members = members.join(sizes, "grp").join(same.drop("labels"), "uid")
+    members = C.join_spread(members, sizes, "grp", "uid").join(same.drop("labels"), "uid")
     # a merge join whatever the sizes, so that the work is in proportion to the input
     packed = (
         texts.drop("text_key").join(members.hint("merge"), F.col("doc_id") == F.col("rep")).select("uid", "grp", "size", "n_docs", "set_hi", "set_lo", "text")
@@ -298,8 +298,12 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, words: int = WORDS, re
     """
     ids, members = _classified(docs, similarity, words, recall, tile)
     members = C.materialize(members)
-    least = members.where("class is not null").groupBy("class").agg(F.min("rep").alias("least"))
-    by_set = members.join(least, "class", "left").select("set_hi", "set_lo", "rep", "n_docs", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("least", "rep").alias("component"))
+    some, cols = F.col("class").isNotNull(), ["set_hi", "set_lo", "rep", "n_docs"]
+    least = members.where(some).groupBy("class").agg(F.min("rep").alias("component"))
+    by_set = (
+        C.join_spread(members.where(some), least, "class", "uid").select(*cols, "links", "component")
+        .unionByName(members.where(~some).select(*cols, F.lit(0).cast("long").alias("links"), F.col("rep").alias("component")))
+    )
     out = ids.join(by_set, ["set_hi", "set_lo"], "left")
     return out.select(
         "doc_id", F.coalesce("component", "doc_id").alias("class_id"), F.coalesce("rep", "doc_id").alias("copy_of"),
@@ -317,7 +321,7 @@ def keep_first(docs: DataFrame, similarity: float = SIMILARITY, words: int = WOR
     rows = C.materialize(
         ids.join(of_set, ["set_hi", "set_lo"]).groupBy("class", "doc_id", "text_key").agg(F.count("*").alias("n")))
     first = rows.groupBy("class").agg(F.min(F.struct("doc_id", "text_key")).alias("f"))
-    fate = rows.join(first, "class").select(
+    fate = C.join_spread(rows, first, "class", "doc_id").select(
         F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), (F.struct("doc_id", "text_key") == F.col("f")).alias("_first"), (F.col("n") > 1).alias("_again"),
     ).where("not _first or _again")
     fate = C.materialize(fate)
