@@ -7,13 +7,11 @@ sampled.  byte-level BPE: texts become token ids.
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from colloquy.llm import bpe, jaccard, mixing, quality, secrets
-from colloquy.llm.common import delete, scratch_dir
+from colloquy.sources.scratch import delete, new_path
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +47,7 @@ ORACLE_SQL = None  # the classifier and the transducer are beyond SQL; tests hol
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over documents; every result is written as Parquet in the shared folder and reread."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    top = f"{scratch_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    top = new_path(spark, "pipeline")
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{top}/{k}")
         docs = spark.read.parquet(f"{top}/{k}")
