@@ -6,7 +6,7 @@ over the candidate, its Shannon entropy is kept by incremental counts (one chara
 one enters), and the hot windows, merged, are a span unless the allow list knows all the long
 pieces (between "/", "=", "_" and "-") that they lie in.
 
-Defined cases: a null or empty text has no spans; extra columns are kept by redact() and
+Defined cases: a null or empty text has no spans; a very long text is scanned whole; extra columns are kept by redact() and
 ignored by scan(); repeated rows are scanned one by one; ties cannot arise (spans are ordered
 by start, then kind).
 """
@@ -46,6 +46,7 @@ ALLOW = (
     r"[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}(?![0-9a-f])|^sha(1|256|512)-)"
 )
 KINDS = ("assign", "access", "hex", "entropy")
+RUN = 128  # matches whose places are summed in one fold
 
 
 def _let(value: Column, body) -> Column:
@@ -61,27 +62,38 @@ def _spans(text: Column, pattern: str, kind: int, keep=None) -> Column:
     """array<struct<start,kind,end,m>> of the matches, in code points.
 
     split() gives the gaps between the matches that regexp_extract_all() gives, so running
-    sums of their lengths are the positions.
+    sums of their lengths are the positions.  A fold copies the array that it grows, so the
+    sums run within runs of RUN matches, and over the runs.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
     parts = F.arrays_zip(found, F.slice(gaps, 1, F.greatest(F.size(found), F.lit(1)))).cast("array<struct<m:string,g:string>>")
     item = "struct<start:int,kind:int,end:int,m:string>"
-    out = F.aggregate(
-        parts,
-        F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{item}>").alias("out")),
-        lambda a, p: F.struct(
-            (a["at"] + F.length(p["g"]) + F.length(p["m"])).alias("at"),
-            F.concat(
-                a["out"],
-                F.array(F.struct(
-                    (a["at"] + F.length(p["g"])).alias("start"), F.lit(kind).alias("kind"),
-                    (a["at"] + F.length(p["g"]) + F.length(p["m"])).alias("end"), p["m"].alias("m"),
-                ).cast(item)),
-            ).alias("out"),
-        ),
-        lambda a: a["out"],
-    )
+    length = lambda p: F.length(p["g"]) + F.length(p["m"])
+
+    def placed(run: Column, at: Column) -> Column:
+        return F.aggregate(
+            run,
+            F.struct(at.alias("at"), F.array().cast(f"array<{item}>").alias("out")),
+            lambda a, p: F.struct(
+                (a["at"] + length(p)).alias("at"),
+                F.concat(
+                    a["out"],
+                    F.array(F.struct(
+                        (a["at"] + F.length(p["g"])).alias("start"), F.lit(kind).alias("kind"), (a["at"] + length(p)).alias("end"), p["m"].alias("m"),
+                    ).cast(item)),
+                ).alias("out"),
+            ),
+            lambda a: a["out"],
+        )
+
+    def in_runs(p: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(p) - 1) / RUN).cast("int")), lambda k: F.slice(p, k * RUN + 1, F.lit(RUN)))
+        # where each run begins: the sums of the runs before it
+        begins = F.aggregate(runs, F.array(F.lit(0)), lambda a, r: F.concat(a, F.array(F.element_at(a, -1) + F.aggregate(r, F.lit(0), lambda n, x: n + length(x)))))
+        return _let(begins, lambda b: F.flatten(F.transform(runs, lambda r, i: placed(r, F.get(b, i)))))
+
+    out = _let(parts, lambda p: F.when(F.size(p) > RUN, in_runs(p)).otherwise(placed(p, F.lit(0))))
     out = F.filter(out, keep) if keep else out
     return F.when(F.size(found) > 0, out).otherwise(F.array().cast(f"array<{item}>"))
 

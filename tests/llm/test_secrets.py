@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from pyspark.sql import Row
 
@@ -90,3 +91,12 @@ def test_two_kinds_of_characters_and_allow_list_by_segment(spark):
     for i, secret in enumerate((low, seed, mixed, mixed)):
         assert secret[4:-4] not in clean[i] and "[SECRET]" in clean[i], clean[i]
     assert all(clean[i] == texts[i] for i in range(4, len(texts)))
+
+
+def test_many_matches_in_one_text(spark):
+    text = "é " + "\n".join(f"token = 'abcdefgh{i:08d}' and {i:x}deadbeefdeadbeef{i:04x}" for i in range(4000))
+    began = time.time()
+    r = secrets.digest(spark.createDataFrame([(1, text)], DOC)).first()
+    assert time.time() - began < 60
+    want = ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in brute(text))
+    assert r.base_sha256 == hashlib.sha256(want.encode()).hexdigest() and r.n_assign == 4000
