@@ -16,7 +16,7 @@ The rank file is a parameter.  It is small and fixed (a vocabulary), and each ta
 where the library that owns it is installed.
 
 Defined cases: a null or empty text has no tokens; every other text is encoded whole,
-special tokens' strings being ordinary text; repeated rows and empty tables are as they
+special tokens' strings being ordinary text, and a very long piece in stretches; repeated rows and empty tables are as they
 come; other columns are ignored by encode() and kept by append_tokens().
 """
 

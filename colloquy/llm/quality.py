@@ -12,7 +12,7 @@ it may go to the driver.  The scorer is fitted on a sample of about train_docs d
 (those whose id hashes lowest), which is the bound of what the driver holds.
 
 Defined cases: a null, empty or blank text gets no votes, its score is the prior, and it is
-kept whatever the prior is; every other text is judged by the scorer, however short; repeated
+kept whatever the prior is; every other text is judged whole by the scorer, however short or long; repeated
 rows are judged alike; ties of the threshold are kept; an empty table gives no rows; columns
 other than doc_id and text are ignored by classify() and kept by keep_good().
 """

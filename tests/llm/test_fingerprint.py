@@ -1,4 +1,6 @@
 import hashlib
+import random
+from collections import Counter
 
 from colloquy.llm import fingerprint as M
 
@@ -16,6 +18,35 @@ def test_tree():
     assert M.likeness(M.tree("\n"), M.tree("")) == 0
 
 
+def leaves(text):
+    """Sentences, character by character: a sentence ends after its last mark of .!? and at a line's end."""
+    out = Counter()
+    for line in text.split("\n"):
+        if not line.strip():
+            continue
+        now = ""
+        for c in line:
+            if now and now[-1] in ".!?" and c not in ".!?":
+                out[now] += 1
+                now = ""
+            now += c
+        if now:
+            out[now] += 1
+    return out
+
+
+def test_likeness_against_sentences():
+    rnd = random.Random(3)
+    parts = ["One here.", " Two? ", "Three!!", "no stop", "\n", "\n\n", "# Head\n", "a.b.", "é😀 end."]
+    texts = ["".join(rnd.choices(parts, k=rnd.randint(0, 12))) for _ in range(120)]
+    for a, b in zip(texts, texts[1:] + texts[:1]):
+        one, two = leaves(a), leaves(b)
+        size = lambda c: sum(len(s) * n for s, n in c.items())
+        want = 1.0 if a == b else 2 * size(one & two) / (size(one) + size(two)) if one or two else 0.0
+        assert abs(M.likeness(M.tree(a), M.tree(b)) - want) < 1e-9, (a, b)
+        assert (M.tree(a).split("|")[0] == M.tree(b).split("|")[0]) == (a == b)
+
+
 def brute(docs):
     rows = sorted(docs, key=lambda d: (d[0] is None, -(d[0] or 0)))
     out = []

@@ -70,3 +70,53 @@ def test_short_and_empty_texts_in_a_bad_corpus(spark):
     docs += [(200, None), (201, ""), (202, " \n"), (203, "We saw the house from the road."), (204, "### buy $$$ now!!!")]
     got = {r.doc_id: r for r in Q.classify(spark.createDataFrame(docs, DOC)).collect()}
     assert got[200].score < 0.5 and {d for d, r in got.items() if r.rejected} == {*range(60), 204}
+
+
+def plain_features(text):
+    kinds = {c: 0 for c in range(256)}
+    for marks, kind in (("abcdefghijklmnopqrstuvwxyz", 1), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 2), ("0123456789", 3), (" \t", 4), ("\n\r", 5), (".!?,;:'\"()-", 6), ("#$%&*+<=>@[\\]^_`{|}~", 7)):
+        kinds |= {ord(c): kind for c in marks}
+    kinds |= {c: 8 for c in range(128, 256)}
+    raw, out = text.encode(), Counter()
+    words = raw.split()
+    c = [kinds[b] for b in raw.ljust(5)]
+    for i in range(len(c) - 4):
+        n = 0
+        for x in c[i : i + 5]:
+            n = n * 9 + x
+        out[n * 2654435761 % 2**32 >> 19] += 1
+    out = Counter({k: n / (len(c) - 4) for k, n in out.items()})
+    tenths = int(10 * sum(a == b for a, b in zip(words, words[1:])) / max(1, len(words)))
+    out[(9**5 + tenths) * 2654435761 % 2**32 >> 19] += 0.25
+    return {k: math.sqrt(v) for k, v in out.items()}
+
+
+def test_scorer_against_plain_loops():
+    texts = ["Hello there, friend 42!", "### $$$ %%%", "éa a a a a", "x"] + ["word " * k + "." * (k % 3) for k in range(1, 9)]
+    rows = [Q.features(t) for t in texts]
+    for t, (at, val) in zip(texts, rows):
+        want = plain_features(t)
+        assert set(at.tolist()) == set(want) and all(abs(v - want[k]) < 1e-6 for k, v in zip(at.tolist(), val.tolist())), t
+    target = [0.9, 0.1, 0.8, 0.5] + [0.7] * 8
+    w, b = Q.fit(rows, np.array(target), steps=15)
+    plain, bias, seen, seen_b = Counter(), math.log(np.mean(target) / (1 - np.mean(target))), Counter(), 1e-8
+    for _ in range(15):
+        g, gb = Counter(), 0.0
+        for (at, val), y in zip(rows, target):
+            err = (1 / (1 + math.exp(-(sum(plain[k] * v for k, v in zip(at.tolist(), val.tolist())) + bias))) - y) / len(rows)
+            gb += err
+            for k, v in zip(at.tolist(), val.tolist()):
+                g[k] += err * v
+        for k in set(g) | set(plain):
+            x = g[k] + 1e-4 * plain[k]
+            seen[k] += x * x
+            plain[k] -= 0.5 * x / math.sqrt(seen[k] + 1e-8)
+        seen_b += gb * gb
+        bias -= 0.1 * gb / math.sqrt(seen_b)
+    assert abs(b - bias) < 1e-6 and all(abs(w[k] - v) < 1e-5 for k, v in plain.items())
+
+
+def test_long_text(spark):
+    docs = [(i, "The house of the family stood on a hill, and we saw it from the road. " * 3) for i in range(40)]
+    docs += [(90, "The house stood on a hill, and we saw it. " * 60_000), (91, "%%% ### $$$ " * 200_000)] + [(100 + i, "%%% ### buy $$$ now!!! " * 20) for i in range(8)]
+    assert {r.doc_id for r in Q.classify(spark.createDataFrame(docs, DOC)).collect() if r.rejected} == {91, *range(100, 108)}
