@@ -3,6 +3,12 @@
 quality classifier: rejected documents go.  n-gram Jaccard join: one document of each group
 stays.  secret scans: spans are masked.  mixing sources to target weights: documents are
 sampled.  byte-level BPE: texts become token ids.
+
+Defined cases: an empty table gives an empty one with the column token_ids; blank texts pass
+the first three stages and have no tokens, so they are not sampled; rows without a doc_id are
+judged, but not compared with others; of rows with one text, repeated ids or not, one stays;
+null sources and languages are values of their own; other columns are kept, but for an own
+token_ids, which the last stage replaces.
 """
 
 from __future__ import annotations
