@@ -237,11 +237,17 @@ def voice_prompt_codes(clips: DataFrame, codes: DataFrame) -> DataFrame:
 
 
 def placements(injections: DataFrame, conv_frames: int, chunk_frame: Column | int = 0, by: tuple[str, ...] = ("clip_no",)) -> DataFrame:
-    """Injections inside the window with offset (their own) and at (after those before them moved things)."""
+    """Injections inside the window with offset (their own) and at (after those before them moved things), if they are seen.
+
+    Each has a token at least, so the first conv_frames of a clip are all that begin in the
+    window: a top-k, which tasks cut before the shuffle, however many injections a clip has.
+    """
     base = chunk_frame if isinstance(chunk_frame, Column) else F.lit(chunk_frame)
-    rows = injections.withColumn("offset", F.col("frame_offset") - base).where((F.col("offset") >= 0) & (F.col("offset") < conv_frames))
-    before = F.sum("n_tokens").over(Window.partitionBy(*by).orderBy("offset", "pos").rowsBetween(Window.unboundedPreceding, -1))
-    return rows.withColumn("at", (F.col("offset") + F.coalesce(before, F.lit(0))).cast("int"))
+    rows = injections.withColumn("offset", F.col("frame_offset") - base).where((F.col("offset") >= 0) & (F.col("offset") < conv_frames) & (F.col("n_tokens") > 0))
+    order = Window.partitionBy(*by).orderBy("offset", "pos")
+    rows = rows.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= conv_frames).drop("_n")
+    before = F.sum("n_tokens").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    return rows.withColumn("at", (F.col("offset") + F.coalesce(before, F.lit(0))).cast("int")).where(F.col("at") < conv_frames)
 
 
 def inject_context(placed: DataFrame, text: Column, agent: Column, user: Column, conv_frames: int, by: tuple[str, ...] = ("clip_no",)) -> DataFrame:
@@ -251,10 +257,10 @@ def inject_context(placed: DataFrame, text: Column, agent: Column, user: Column,
     the user is silent.  text, agent and user are the frames before, from columns of `by`.
     placed has tokens array<int>.
     """
-    lists = placed.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("at", "tokens"))).alias("blocks"))  # one clip's injections
+    lists = placed.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("at", "tokens"))).alias("blocks"))  # conv_frames entries at most
 
     def put(rows: Column, new: Column, at: Column) -> Column:
-        return F.concat(F.slice(rows, 1, at), new, F.slice(rows, at + 1, 1 << 20))
+        return F.slice(F.concat(F.slice(rows, 1, at), new, F.slice(rows, at + 1, conv_frames)), 1, conv_frames)  # what is past the end stays unseen
 
     def step(a: Column, b: Column) -> Column:
         n, at = F.size(b["tokens"]), b["at"]
@@ -271,7 +277,7 @@ def inject_context(placed: DataFrame, text: Column, agent: Column, user: Column,
 
 def context_mask(placed: DataFrame, conv_frames: int, prompt_length: int = 0, by: tuple[str, ...] = ("clip_no",)) -> DataFrame:
     """True on the frames of blocks, false elsewhere and on the prompt before; null if no block is in reach."""
-    lists = placed.groupBy(*by).agg(F.collect_list(F.struct("at", (F.col("at") + F.col("n_tokens")).alias("to"))).alias("r"))
+    lists = placed.groupBy(*by).agg(F.collect_list(F.struct("at", (F.col("at") + F.col("n_tokens")).alias("to"))).alias("r"))  # conv_frames entries at most
     hit = F.transform(F.sequence(F.lit(0), F.lit(conv_frames - 1)), lambda i: F.exists("r", lambda x: (i >= x["at"]) & (i < x["to"])))
     mask = F.concat(F.array_repeat(F.lit(False), prompt_length), hit)
     return lists.select(*by, F.when(F.exists(hit, lambda x: x), mask).alias("mask"))
