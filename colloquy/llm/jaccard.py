@@ -8,13 +8,13 @@ longer prefix are neighbours.  Of every pair that meets, at the first of its tre
 signatures give the similarity and the longest prefix shared in any tree.
 
 Matching begins at the deepest prefix, and the prefix is shortened until the links found
-reach the target recall: that share of the pairs whose signatures agree well enough to be
-links, counted over all data at every depth.  The shortest prefix is the one at which a pair
+reach the target recall: that share of the pairs whose signatures do not rule a link out,
+counted over all data at every depth.  The shortest prefix is the one at which a pair
 just similar enough is expected to meet with that recall, so the loop ends there at the
 latest.
 
-Pairs that meet at the depth found and whose signatures do not rule a link out (five standard
-deviations) join members to groups (components); within a group all pairs are compared
+Pairs that meet at the depth found and whose signatures do not rule a link out (by five
+standard deviations) join members to groups (components); within a group all pairs are compared
 exactly, by their shingles, so links that the forest itself missed within a group are found
 too.  A weak meeting of two unlike documents makes no group.
 
@@ -126,9 +126,10 @@ def _met(similarity: float, shortest: int):
 
     def met(key, table):
         node, uid, tree, mine, ga, gb = (table.column(c).to_numpy().astype(np.int64) for c in ("node", "uid", "tree", "mine", "ga", "gb"))
-        c = pairs.Comparisons([node], ga, gb, mine, uid)
-        uid, tree = uid[c.order], tree[c.order]
-        labels = np.stack([np.frombuffer(x, np.uint8) for x in table.column("labels").to_pylist()])[c.order]
+        labels = np.stack([np.frombuffer(x, np.uint8) for x in table.column("labels").to_pylist()])
+        sequence = labels.reshape(-1, TREES, DEEPEST)[np.arange(len(tree)), tree]
+        c = pairs.Comparisons([node], ga, gb, mine, np.ascontiguousarray(sequence).view(">u8").ravel())  # sorted by the tree's labels
+        uid, tree, labels = uid[c.order], tree[c.order], labels[c.order]
         found: dict[int, list] = {d: [] for d in depths}
         count = dict.fromkeys(depths, 0)
         for a, b in c.pairs(np.arange(len(c.starts)), CHUNK):
@@ -138,11 +139,10 @@ def _met(similarity: float, shortest: int):
             prefix = np.minimum.accumulate(same[near], 2).sum(2)
             own = (prefix >= shortest).argmax(1) == tree[a[near]]  # a pair counts at the first tree in which it meets
             near, depth = near[own], prefix[own].max(1)
-            linked = agree[near] >= similarity * n_labels
             for d in depths:
                 at = near[depth == d]
                 found[d].append((a[at], b[at]))
-                count[d] += int(linked[depth == d].sum())
+                count[d] += len(at)
         names, of = np.unique(uid, return_inverse=True)
         root, out = np.arange(len(names)), []
         x, y = np.empty(0, np.int64), np.empty(0, np.int64)
@@ -160,7 +160,7 @@ def _met(similarity: float, shortest: int):
 
 
 def shorten(found: dict[int, int], recall: float, shortest: int, deepest: int = DEEPEST) -> int:
-    """The longest prefix at which the share of the links found, of all that met, reaches the recall."""
+    """The longest prefix at which the share of the candidates found, of all that met, reaches the recall."""
     every, so_far = sum(found.values()), 0
     for d in range(deepest, shortest, -1):
         so_far += found.get(d, 0)
