@@ -149,7 +149,7 @@ def block_counts(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[int,
 
 
 # ---------------------------------------------------------------- groups
-SALTS = 64
+SALTS = 16
 
 
 def join_spread(rows: DataFrame, table: DataFrame, key: str, by: str) -> DataFrame:

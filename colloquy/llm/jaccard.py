@@ -320,12 +320,15 @@ def keep_first(docs: DataFrame, similarity: float = SIMILARITY, words: int = WOR
     of_set = members.select("set_hi", "set_lo", F.coalesce("class", "uid").alias("class"))
     rows = C.materialize(
         ids.join(of_set, ["set_hi", "set_lo"]).groupBy("class", "doc_id", "text_key").agg(F.count("*").alias("n")))
-    first = rows.groupBy("class").agg(F.min(F.struct("doc_id", "text_key")).alias("f"))
+    first = rows.groupBy("class").agg(F.min(F.struct("doc_id", "text_key")).alias("f"), F.sum("n").alias("every")).where("every > 1")  # others stay as they are
     fate = C.join_spread(rows, first, "class", "doc_id").select(
         F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), (F.struct("doc_id", "text_key") == F.col("f")).alias("_first"), (F.col("n") > 1).alias("_again"),
     ).where("not _first or _again")
     fate = C.materialize(fate)
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("_doc"), F.xxhash64("text").alias("_text"))
-    told = C.materialize(whole.join(fate.hint("merge"), (F.col("_doc") == F.col("_id")) & (F.col("_text") == F.col("_key")), "left").where("_first is null or _first"))
-    once, again = told.where("_again is null or not _again"), told.where("_again").dropDuplicates(["_doc", "_text"])
-    return once.unionByName(again).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    C.release(docs.sparkSession)
+    named = docs.where("doc_id is not null")
+    whole = named.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("_doc"), F.xxhash64("text").alias("_text"))
+    # both parts read one exchange of the rows; a merge join whatever the sizes, as above
+    told = whole.join(fate.hint("merge"), (F.col("_doc") == F.col("_id")) & (F.col("_text") == F.col("_key")), "left")
+    once, again = told.where("_first is null or (_first and not _again)"), told.where("_first and _again").dropDuplicates(["_doc", "_text"])
+    return once.unionByName(again).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]).union(docs.where("doc_id is null"))
