@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from colloquy.llm import bpe, embed_dedup, fingerprint, html_extract, jaccard, lm, mixing, oracles, phrases, quality, secrets, substring_dedup
+from colloquy.llm import bpe, embed_dedup, fingerprint, html_extract, jaccard, lm, mixing, oracles, phrases, quality, secrets, substring_dedup, vector_codes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,14 +56,18 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_secret_scans, op2_quality_classifier, op3_lm_scoring, op4_byte_bpe, op5_html_extraction, op6_merkle_fingerprints,
-        op7_embedding_dedup, op8_substring_dedup, op9_ngram_jaccard, op10_source_mixing, op11_phrase_collocations,
+        op7_embedding_dedup, op8_substring_dedup, op9_ngram_jaccard, op10_source_mixing, op11_phrase_collocations, op13_vector_codes,
     )
 }
 SQL: dict[str, str] = {
     "op1_secret_scans": secrets.sql(), "op7_embedding_dedup": oracles.EMBEDDING_DEDUP, "op8_substring_dedup": oracles.SUBSTRING_DEDUP,
-    "op9_ngram_jaccard": oracles.NGRAM_JACCARD, "op10_source_mixing": mixing.sql(), "op11_phrase_collocations": phrases.sql(),
+    "op9_ngram_jaccard": oracles.NGRAM_JACCARD, "op10_source_mixing": mixing.sql(), "op11_phrase_collocations": phrases.sql(), "op13_vector_codes": vector_codes.sql(),
 }
