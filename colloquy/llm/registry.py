@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from colloquy.llm import bpe, embed_dedup, fingerprint, html_extract, jaccard, lm, mixing, oracles, phrases, quality, secrets, substring_dedup, vector_codes
+from colloquy.llm import bpe, embed_dedup, fingerprint, html_extract, jaccard, lm, mixing, oracles, phrases, quality, secrets, substring_dedup, token_files, vector_codes
+
+from colloquy.sources.scratch import new_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +58,13 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_path(spark, "token-ids")
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        token_files.write(table(spark, sf_dir, "documents"), f.read(), folder)
+    return token_files.read(spark, folder, with_ids=False)
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
 
@@ -64,7 +73,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_secret_scans, op2_quality_classifier, op3_lm_scoring, op4_byte_bpe, op5_html_extraction, op6_merkle_fingerprints,
-        op7_embedding_dedup, op8_substring_dedup, op9_ngram_jaccard, op10_source_mixing, op11_phrase_collocations, op13_vector_codes,
+        op7_embedding_dedup, op8_substring_dedup, op9_ngram_jaccard, op10_source_mixing, op11_phrase_collocations, op12_token_files,
+        op13_vector_codes,
     )
 }
 SQL: dict[str, str] = {
