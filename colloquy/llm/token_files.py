@@ -17,7 +17,7 @@ The dictionary lies beside the shards as `dictionary-<its SHA-256>.zdict`.
 Words parted by ASCII white space are encoded once in a batch and kept in a bounded cache.
 `word_by_word` states what this rests on: the tokenizer's normalizer and splitter never join or
 reorder characters over white space, nor over the border of an ASCII letter and one of .,;:!?,
-and a word of ASCII letters is lower-cased and one piece for the model.  For a tokenizer of which
+and a word of letters up to U+00FF is lower-cased, one piece, and given to the model by its bytes.  For a tokenizer of which
 that is not true, pass word_by_word=False, and whole texts are encoded.
 
 Hot keys: rows are dealt by ranges of (doc_id, hash), so one id may spread over ranges; no
@@ -32,6 +32,7 @@ handful of short texts), the sample itself is the dictionary; other columns are
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
 from array import array
@@ -39,6 +40,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -52,11 +54,11 @@ END_ID = 1
 #: The sample that the dictionary is trained on: documents of up to so many bytes, and the dictionary's size.
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 2000, 8 << 10, 64 << 10
 LEVEL = 3
-CHUNK_BYTES = 12 << 20  # text encoded at once
+CHUNK_BYTES = 4 << 20  # text encoded at once
 SHARD_BYTES = 4 << 20
 PART_BYTES = 16 << 20  # frames of a range of documents
 SPAN = 1024  # ranges whose sizes are added in one window
-KEPT_WORDS = 300_000
+KEPT_WORDS = 500_000
 
 MAGIC = b"ZIDS"
 HEADER = struct.Struct("<4sBBxxQQ32s")
@@ -64,6 +66,10 @@ INDEX_BYTES = 25
 LETTER, STOP = np.zeros(256, bool), np.zeros(256, bool)
 LETTER[[*range(65, 91), *range(97, 123)]] = True
 STOP[list(b".,;:!?")] = True
+#: Words of letters up to U+00FF, which are one piece; and the characters that stand for bytes in byte-level vocabularies.
+LATIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+ ")
+SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+AS_CHARACTERS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in SHOWN)}
 SPACES = bytes(32 if 9 <= c <= 13 else c for c in range(256))
 
 
@@ -76,54 +82,63 @@ def _tokenizer(text: str):
 
 
 class Encoder:
-    """Texts to ids; the ids of words met before are kept in two generations of a bounded size."""
+    """Texts to ids.  The words met before and their ids are kept as Arrow and numpy arrays, up to a number of words; beyond
+    it only those of the last texts stay."""
 
     def __init__(self, tokenizer: str, end_id: int = END_ID, word_by_word: bool = True, kept: int = KEPT_WORDS):
         self.of, self.end_id, self.word_by_word, self.kept = _tokenizer(tokenizer), end_id, word_by_word, kept
         self.model = self.of.model
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.known = pa.array([b"\n "], pa.binary())  # the end of a text
+        self.flat, self.starts, self.lengths = np.array([end_id], np.uint32), np.zeros(1, np.int64), np.ones(1, np.int64)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.of.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _words(self, words: list[bytes]) -> list[bytes]:
-        """Ids of distinct words, four bytes each."""
-        if len(self.new) > self.kept:
-            self.old, self.new = self.new, {}
-        new, old = self.new, self.old
-        out = list(map(new.get, words))
-        for k in [k for k, x in enumerate(out) if x is None]:
-            w = words[k]
-            x = old.get(w)
-            if x is None and w.isalpha() and self.word_by_word:  # ASCII letters only
-                low = w.lower()
-                x = new.get(low) or array("I", [t.id for t in self.model.tokenize(low.decode())]).tobytes()
-                new[low] = x
-            if x is not None:
-                new[w] = out[k] = x
-        missing = [k for k, x in enumerate(out) if x is None]
-        for k, ids in zip(missing, self.encode([words[k].decode("utf-8", "replace") for k in missing])):
-            new[words[k]] = out[k] = array("I", ids).tobytes()
-        return out
+    def _learn(self, words: list[bytes]) -> None:
+        """Adds words that are not known."""
+        ids: list = [None] * len(words)
+        letters: dict[str, array] = {}
+        for k, w in enumerate(words):
+            if LATIN.fullmatch(w):
+                low = w[:-1].decode().lower()
+                if (x := letters.get(low)) is None:
+                    letters[low] = x = array("I", [t.id for t in self.model.tokenize(low.encode().decode("latin-1").translate(AS_CHARACTERS))])
+                ids[k] = x
+        rest = [k for k, x in enumerate(ids) if x is None]
+        for k, x in zip(rest, self.encode([words[k].decode("utf-8", "replace") for k in rest])):
+            ids[k] = array("I", x)
+        n = np.array([len(x) for x in ids], np.int64)
+        self.starts = np.append(self.starts, len(self.flat) + np.cumsum(n) - n)
+        self.lengths = np.append(self.lengths, n)
+        self.flat = np.append(self.flat, np.frombuffer(b"".join(x.tobytes() for x in ids), np.uint32))
+        self.known = pa.concat_arrays([self.known, pa.array(words, pa.binary())])
+
+    def _forget(self, used: np.ndarray) -> None:
+        """Keeps the used words, the end of a text first."""
+        used = np.unique(np.append(0, used))
+        n = self.lengths[used]
+        self.flat, self.starts, self.lengths = self.flat[W.ranges(self.starts[used], n)], np.cumsum(n) - n, n
+        self.known = self.known.take(pa.array(used))
 
     def ids(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, borders of the documents), the end id after each."""
         if not self.word_by_word:
             every = [np.array([*x, self.end_id], np.uint32) for x in self.encode([t or "" for t in texts])]
             return np.concatenate(every), np.append(0, np.cumsum([len(x) for x in every]))
-        raw = [(t or "").encode("utf-8", "surrogatepass").translate(SPACES) for t in texts]
-        b = np.frombuffer(b" \n ".join([*raw, b""]), np.uint8)
-        cuts = np.flatnonzero(LETTER[b[:-1]] & STOP[b[1:]]) + 1
-        codes, words = W.codes(np.insert(b, cuts, 32).tobytes())
-        end = words.index(b"\n")
-        of = self._words(words)
-        of[end] = int(self.end_id).to_bytes(4, "little")
-        lengths = np.array([len(x) // 4 for x in of], np.int64)
-        flat, starts = np.frombuffer(b"".join(of), "<u4"), np.cumsum(lengths) - lengths
-        n = lengths[codes]
-        ids = flat[W.ranges(starts[codes], n)]
-        return ids, np.append(0, np.cumsum(n)[codes == end])
+        raw = b" \n ".join([*((t or "").encode("utf-8", "surrogatepass").translate(SPACES) for t in texts), b""])
+        b = np.frombuffer(raw, np.uint8)
+        numbers, words = W.dictionary(np.insert(b, np.flatnonzero(LETTER[b[:-1]] & STOP[b[1:]]) + 1, 32).tobytes())
+        of = pc.fill_null(pc.index_in(words, self.known), -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(of < 0)
+        if len(new):
+            of[new] = len(self.known) + np.arange(len(new))
+            self._learn(words.take(pa.array(new)).to_pylist())
+        place = of[numbers]
+        n = self.lengths[place]
+        ids, borders = self.flat[W.ranges(self.starts[place], n)], np.append(0, np.cumsum(n)[place == 0])
+        if len(self.known) > self.kept:
+            self._forget(of)
+        return ids, borders
 
 
 @lru_cache(maxsize=2)

@@ -17,15 +17,21 @@ def single_spaced(raw: bytes) -> np.ndarray:
     return out if not len(out) or out[-1] == 32 else np.append(out, np.uint8(32))
 
 
-def codes(raw: bytes) -> tuple[np.ndarray, list[bytes]]:
-    """(number of each word, the distinct words); words are parted by spaces (0x20) only."""
+def dictionary(raw: bytes) -> tuple[np.ndarray, pa.Array]:
+    """(number of each word, the distinct words, each with a space at its end); words are parted by spaces (0x20) only."""
     data = single_spaced(raw)
     ends = np.flatnonzero(data == 32)
     offsets = np.zeros(len(ends) + 1, np.int32)
     offsets[1:] = ends + 1
     words = pa.BinaryArray.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
     found = words.dictionary_encode()
-    return found.indices.to_numpy(), [w[:-1] for w in found.dictionary.to_pylist()]
+    return found.indices.to_numpy(), found.dictionary
+
+
+def codes(raw: bytes) -> tuple[np.ndarray, list[bytes]]:
+    """(number of each word, the distinct words)."""
+    numbers, words = dictionary(raw)
+    return numbers, [w[:-1] for w in words.to_pylist()]
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
