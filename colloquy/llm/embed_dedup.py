@@ -37,6 +37,8 @@ COSINE = 0.93
 PROBES = 3
 RECALL = 0.999  # of pairs at exactly the cosine asked for
 MOST_HASHES = 4
+MOST_TABLES = 255  # a byte of the bucket's number
+BATCH_BYTES = 32 << 20  # of vectors and codes in a batch that a task yields
 TILE = 512
 SMALL = 32  # members of a bucket from which on it is compared as a matrix
 SLOT_ROWS = 2_000  # vectors in a task's comparison
@@ -106,12 +108,15 @@ def tables_for(dim: int, hashes: int, cosine: float, recall: float = RECALL, pro
 def plan(count: int, dim: int, cosine: float, recall: float = RECALL) -> tuple[int, int]:
     """(hashes, tables) for so many vectors of a label: buckets of a table at least a quarter of the vectors.
 
-    A code of hashes must fit 40 bits, and 255 tables are the most.
+    A code of hashes must fit 40 bits, and MOST_TABLES tables are the most: a low cosine takes fewer hashes, and if even
+    one needs more tables, none (all vectors of a label are compared in tiles).
     """
     hashes, wide = 2, 2 << max(1, (dim - 1).bit_length())
-    while hashes < MOST_HASHES and wide**hashes * 4 < count and wide ** (hashes + 1) < 1 << 40 and tables_for(dim, hashes + 1, cosine, recall) < 256:
+    while hashes and (wide**hashes >= 1 << 40 or tables_for(dim, hashes, cosine, recall) > MOST_TABLES):
+        hashes -= 1
+    while 1 < hashes < MOST_HASHES and wide**hashes * 4 < count and wide ** (hashes + 1) < 1 << 40 and tables_for(dim, hashes + 1, cosine, recall) <= MOST_TABLES:
         hashes += 1
-    return hashes, tables_for(dim, hashes, cosine, recall)
+    return hashes, tables_for(dim, hashes, cosine, recall) if hashes else 1
 
 
 def _vectors(column) -> list:
@@ -151,7 +156,8 @@ def _in_buckets(kind, plans: dict[int, tuple[int, int]]):
             data = batch.column("vector").to_pylist()
             for i, v in enumerate(data):
                 by_dim.setdefault(len(v) // kind().itemsize, []).append(i)
-            for dim, at in by_dim.items():
+            per_row = {dim: (8 * dim + 8 * PROBES * plans[dim][1]) * PROBES * plans[dim][1] for dim in by_dim}
+            for dim, at in ((d, a[k : k + max(1, BATCH_BYTES // per_row[d])]) for d, a in by_dim.items() for k in range(0, len(a), max(1, BATCH_BYTES // per_row[d]))):
                 hashes, tables = plans[dim]
                 x = _unit(np.stack([np.frombuffer(data[i], kind) for i in at]).astype(np.float64))
                 own = buckets(x, tables, hashes)

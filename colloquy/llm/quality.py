@@ -209,13 +209,20 @@ def _judge(post: dict[int, float], w: np.ndarray, b: float, threshold: float):
     return run
 
 
+def sample(docs: DataFrame, train_docs: int) -> DataFrame:
+    """At most train_docs of the distinct rows (doc_id, text), by a hash of both.  Null and repeated ids are drawn as others are."""
+    key = F.xxhash64("doc_id", "text")
+    distinct = docs.agg(F.approx_count_distinct(key, 0.02)).first()[0]
+    share = min(1.0, 1.2 * train_docs / max(1, distinct))  # a little more than needed, of which the first are taken
+    drawn = docs.select(key.alias("key"), "text").where(F.pmod(F.xxhash64("key", F.lit(5)), F.lit(1 << 30)) < int(share * (1 << 30)))
+    return drawn.groupBy("key").agg(F.first("text").alias("text")).orderBy("key").limit(train_docs).select("text")
+
+
 def model(docs: DataFrame, train_docs: int = TRAIN_DOCS):
     """(posterior of each pattern, weights, bias) learned from docs(doc_id, text)."""
     counts = {r["pattern"]: r["n"] for r in docs.select("text").mapInArrow(_vote, "pattern int").groupBy("pattern").agg(F.count("*").alias("n")).collect()}
     post, _ = estimate(counts)
-    share = min(1.0, train_docs / max(1, sum(counts.values())))
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) < int(share * (1 << 30))
-    rows = docs.where(drawn).select("text").mapInArrow(_sample, "pattern int, at binary, val binary").collect()  # about train_docs rows
+    rows = sample(docs, train_docs).mapInArrow(_sample, "pattern int, at binary, val binary").collect()  # at most train_docs rows
     rows.sort(key=lambda r: (r["pattern"], r["at"], r["val"]))
     w, b = fit([(np.frombuffer(r["at"], np.uint16), np.frombuffer(r["val"], np.float32)) for r in rows], np.array([post[r["pattern"]] for r in rows]))
     return post, w, b

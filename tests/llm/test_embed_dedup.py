@@ -1,13 +1,14 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 
 from colloquy.llm import embed_dedup as E
 
 VEC = "vec_id long, embedding array<float>, label int"
 
 
-def brute(rows):
+def brute(rows, cosine=0.93):
     n = len(rows)
     x = [None if v is None or l is None or any(c is None for c in v) else np.array(v, np.float32).astype(float) for _, v, l in rows]
     x = [None if v is None or not np.isfinite(v).all() or not v.any() else v for v in x]
@@ -22,7 +23,7 @@ def brute(rows):
         for j in range(i):
             if x[i] is None or x[j] is None or rows[i][2] != rows[j][2] or len(x[i]) != len(x[j]):
                 continue
-            if x[i] @ x[j] / math.sqrt(x[i] @ x[i]) / math.sqrt(x[j] @ x[j]) >= 0.93:
+            if x[i] @ x[j] / math.sqrt(x[i] @ x[i]) / math.sqrt(x[j] @ x[j]) >= cosine:
                 links[i] += 1
                 links[j] += 1
                 root[find(i)] = find(j)
@@ -83,3 +84,19 @@ def test_repeated_ids_with_unlike_vectors(spark):
 
 def test_empty(spark):
     assert E.dedup(spark.createDataFrame([], VEC)).collect() == []
+
+
+def test_low_cosines_and_long_vectors(spark):
+    rnd = np.random.default_rng(8)
+    rows = [(i, rnd.normal(size=64).tolist(), i % 2) for i in range(240)]
+    for cosine in (0.3, 0.05):
+        assert E.plan(240, 64, cosine)[1] <= E.MOST_TABLES
+    got = E.dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), cosine=0.3).collect()
+    want = brute(rows, 0.3)
+    assert sum(r.n_links for r in got) >= 0.99 * sum(w[1] for w in want) > 0
+    # a batch that one 32-bit array could not hold is cut
+    plans = {1536: (2, 9)}
+    x = rnd.normal(size=(300, 1536))
+    batch = pa.RecordBatch.from_pydict({"uid": range(300), "label": ["a"] * 300, "n_vecs": [1] * 300, "vector": [v.tobytes() for v in x]})
+    parts = list(E._in_buckets(np.float64, plans)([batch]))
+    assert len(parts) > 3 and max(p.nbytes for p in parts) <= 2 * E.BATCH_BYTES and len({u for p in parts for u in p.column("uid").to_pylist()}) == 300

@@ -120,3 +120,18 @@ def test_long_text(spark):
     docs = [(i, "The house of the family stood on a hill, and we saw it from the road. " * 3) for i in range(40)]
     docs += [(90, "The house stood on a hill, and we saw it. " * 60_000), (91, "%%% ### $$$ " * 200_000)] + [(100 + i, "%%% ### buy $$$ now!!! " * 20) for i in range(8)]
     assert {r.doc_id for r in Q.classify(spark.createDataFrame(docs, DOC)).collect() if r.rejected} == {91, *range(100, 108)}
+
+
+def test_null_and_repeated_ids_are_sampled_as_others(spark):
+    good = [f"The {w} of the town was told that the work on the bridge is done, and it was good news for all number {i}." for i, w in enumerate(["mayor", "baker", "judge"] * 100)]
+    junk = [f"$$$ ### {i} !!! @@@ %%% ^^^ &&& *** {i * 7} ((( ))) === +++ ~~~ <<< >>> ||| {i}" for i in range(300)]
+    texts = [*good, *junk]
+    own = [(i, t) for i, t in enumerate(texts)]
+    rejected = {}
+    for name, rows in (("own", own), ("null", [(None, t) for t in texts]), ("one", [(7, t) for t in texts])):
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        assert Q.sample(df, 100).count() == 100 and Q.sample(df, 300).count() == 300
+        rejected[name] = sorted(r.text for r in df.exceptAll(Q.keep_good(df, train_docs=300)).collect())
+    assert rejected["own"] == sorted(junk) == rejected["null"] == rejected["one"]
+    copies = spark.createDataFrame([(None, texts[0])] * 500 + own, "doc_id long, text string")
+    assert Q.sample(copies, 300).count() == 300 and Q.sample(copies, 10_000).count() == 601
