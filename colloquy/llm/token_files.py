@@ -54,7 +54,7 @@ END_ID = 1
 #: The sample that the dictionary is trained on: documents of up to so many bytes, and the dictionary's size.
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 2000, 8 << 10, 64 << 10
 LEVEL = 3
-CHUNK_BYTES = 4 << 20  # text encoded at once
+CHUNK_BYTES = 3 << 20  # text encoded at once
 SHARD_BYTES = 4 << 20
 PART_BYTES = 16 << 20  # frames of a range of documents
 SPAN = 1024  # ranges whose sizes are added in one window
@@ -151,13 +151,11 @@ def _serialized(tokenizer: str, end_id: int, word_by_word: bool, width: int):
     """Batches -> (doc_id, number of ids, serialized ids) in chunks of bounded text."""
     def run(batch):
         encoder = _encoder(tokenizer, end_id, word_by_word)
-        texts, at = batch.column("text").to_pylist(), 0
+        texts, at = batch.column("text"), 0
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64))
         while at < len(texts):
-            to, size = at, 0
-            while to < len(texts) and (to == at or size < CHUNK_BYTES):
-                size += len(texts[to] or "")
-                to += 1
-            ids, borders = encoder.ids(texts[at:to])
+            to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + CHUNK_BYTES, "right")))
+            ids, borders = encoder.ids(texts.slice(at, to - at).to_pylist())
             data = ids.astype(f"<u{width}").tobytes()
             yield batch.column("doc_id").slice(at, to - at), np.diff(borders), [data[s * width : e * width] for s, e in zip(borders, borders[1:])]
             at = to
