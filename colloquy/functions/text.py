@@ -13,6 +13,7 @@ from colloquy.functions import rules as R
 from colloquy.functions.hashing import pick, stable_chance
 
 WS = r"[\t-\r\x1C-\x20\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+WHITE = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))  # the same characters
 TAG = r"<\|[^|]+\|>"
 LINE = r"\r\n|[\n\r\x0B\f\x1C\x1D\x1E\x{0085}\x{2028}\x{2029}]"
 ROLE = rf"(?i)^(user|assistant|agent|a|b){WS}*:{WS}*"
@@ -23,7 +24,7 @@ WORD = r"[A-Za-z0-9']+"
 
 
 def trim(c: Column) -> Column:
-    return F.regexp_replace(c, rf"^{WS}+|{WS}+\z", "")
+    return F.btrim(c, F.lit(WHITE))  # looks at the ends only
 
 
 def strip_tags(c: Column) -> Column:

@@ -8,15 +8,16 @@ from __future__ import annotations
 
 import uuid
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from colloquy.functions.hashing import stable_index
 from colloquy.operators import audio as A
+from colloquy.operators import clips as O
 from colloquy.plans import clips as C
 from colloquy.plans import sqltext as S
 from colloquy.plans import texts as X
 from colloquy.sources import io as IO
+from colloquy.sources.files import write_files
 from colloquy.sources.scratch import new_path
 from colloquy.sources.views import view
 from colloquy.streaming import feeds as W
@@ -96,11 +97,12 @@ def write_manifests(spark, d):
 
 @query("select path, duration from fx_clips")
 def read_manifests(spark, d):
-    rows, path = view(spark, d, "fx_clips"), _new(spark)
-    for e in ("happy", "sad", "angry", "neutral"):
-        rows.where(F.col("curr_emotion") == e).select(F.to_json(F.struct("path", "duration")).alias("value")).write.text(f"{path}/{e}", compression="none")
-    # part files carry the writer's own suffix: the general reader takes any below the folder
-    return spark.read.schema(IO.MANIFEST).json(path, recursiveFileLookup=True)
+    """A folder of manifests below one another, beside files of other names."""
+    lines = view(spark, d, "fx_clips").select("curr_emotion", "id", F.to_json(F.struct("path", "duration")).alias("line"))
+    files = lines.groupBy("curr_emotion", F.pmod(F.xxhash64("id"), F.lit(64)).alias("part")).agg(F.concat_ws("\n", F.collect_list("line")).alias("text"))  # 64 files for each emotion
+    write_files(files.select(F.concat("curr_emotion", F.lit("/"), "part", F.lit(".jsonl")).alias("name"), F.encode("text", "UTF-8").alias("content")), path := _new(spark))
+    write_files(spark.sql("select 'notes.json' as name, cast('{\"path\": \"no manifest\"}' as binary) as content"), path)
+    return IO.read_manifests(spark, path)
 
 
 @query("select count(*) as n from fx_clips")
@@ -111,16 +113,17 @@ def count_manifest_rows(spark, d):
 
 @query(f"select * from {C._SIDECARS}")
 def write_sidecars(spark, d):
+    """As lines of a dataset; read_sidecars has a file for each."""
     IO.write_sidecars(C.sidecars(spark, d), path := _new(spark))
     return C.sidecar_fields(IO.read_sidecar_lines(spark, path))
 
 
 @query(f"select readable, count(*) as n, round(sum(case when readable then duration else 0 end), 3) as total, coalesce(sum(n_words) filter (readable), 0)::bigint as n_words from (select {S.index('id', 9)} > 0 as readable, duration, n_words from {C._SIDECARS}) group by readable")
 def read_sidecars(spark, d):
-    """One record in nine is no JSON."""
-    rows = C.sidecars(spark, d).select(F.when(stable_index("id", 9) == 0, "{broken").otherwise(F.col("sidecar")).alias("sidecar"))
-    IO.write_sidecars(rows, path := _new(spark))
-    out = IO.read_sidecar_lines(spark, path).groupBy("readable").agg(F.count("*").alias("n"), F.round(F.sum(F.round("duration", 6)), 3).alias("total"), F.sum(F.when(F.col("readable"), F.size("alignments"))).alias("n_words"))
+    """A file for each clip; one in nine is no JSON."""
+    rows = C.sidecars(spark, d).select("id", F.when(stable_index("id", 9) == 0, "{broken").otherwise(F.col("sidecar")).alias("sidecar"))
+    IO.write_sidecar_files(rows, path := _new(spark))
+    out = IO.read_sidecars(spark, path).groupBy("readable").agg(F.count("*").alias("n"), F.round(F.sum(F.round("duration", 6)), 3).alias("total"), F.sum(F.when(F.col("readable"), F.size("alignments"))).alias("n_words"))
     return out.select("readable", "n", "total", F.coalesce("n_words", F.lit(0)).alias("n_words"))
 
 
@@ -133,27 +136,50 @@ def read_voices(spark, d):
     return IO.read_voices(spark, path).select(F.col("pos").cast("long").alias("pos"), "name", "gender")
 
 
-def _wavs(spark, t):
-    t = t.select("id", F.col("pcm").alias("left"), F.lit(None).cast("array<float>").alias("right"))
-    IO.write_audio(t, path := _new(spark), 16_000)
-    return spark.read.schema("id string, wav binary").parquet(path)
+def _wav_folder(spark, t):
+    """Every take in a file of its own, named id and take."""
+    clips = t.select(F.concat_ws("_", "id", "take").alias("id"), F.col("pcm").alias("left"), F.lit(None).cast("array<float>").alias("right"))
+    IO.write_audio_files(clips, path := _new(spark), 16_000)
+    return path
+
+
+def _of_name(k):
+    return F.split_part(IO.file_id(), F.lit("_"), F.lit(k))
 
 
-@query("select id, 44 + 2 * len(pcm) as n_bytes from fx_takes where take = 0")
+@query("select id, take, len(pcm) as n, list_sum(list_transform(pcm, lambda v: round_even(v::double * 32767, 0) / 32768)) as total from fx_takes")
 def write_audio(spark, d):
-    return _wavs(spark, view(spark, d, "fx_takes").where("take = 0")).select("id", F.octet_length("wav").cast("long").alias("n_bytes"))
+    """Files come back sample by sample: sums of sixteen-bit steps are exact."""
+    back = IO.read_audio(spark, _wav_folder(spark, view(spark, d, "fx_takes")), 16_000)
+    total = F.aggregate("pcm", F.lit(0.0), lambda a, x: a + x.cast("double"))
+    return back.select(_of_name(1).alias("id"), _of_name(2).cast("long").alias("take"), F.size("pcm").alias("n"), total.alias("total"))
 
 
 @query("select id, take, cast(round(len(pcm) * 1.5) as int) as n from fx_takes")
 def read_audio(spark, d):
-    """Every take; files are named id and take."""
-    @F.pandas_udf("array<float>")
-    def decode(content: pd.Series) -> pd.Series:
-        return content.map(lambda b: A.decode_wav(b, 24_000))
-
-    takes = view(spark, d, "fx_takes").withColumn("id", F.concat_ws("/", "id", "take"))
-    part = lambda k: F.split_part("id", F.lit("/"), F.lit(k))
-    return _wavs(spark, takes).select("id", decode("wav").alias("pcm")).select(part(1).alias("id"), part(2).cast("long").alias("take"), F.size("pcm").alias("n"))
+    """Every take, at half as many samples again."""
+    back = IO.read_audio(spark, _wav_folder(spark, view(spark, d, "fx_takes")), 24_000)
+    return back.select(_of_name(1).alias("id"), _of_name(2).cast("long").alias("take"), F.size("pcm").alias("n"))
+
+
+_OUTPUTS = f"""(select concat_ws('_', id, take) as id, case when {S.index("concat_ws('_', id, take)", 3)} = 0 then null when {S.index("concat_ws('_', id, take)", 7)} = 0 then 0 else 44 + 2 * len(pcm) end as wav,
+  {S.index("concat_ws('_', id, take)", 4)} > 0 as has_sidecar from fx_takes)"""
+
+
+@query(f"select id, coalesce(wav, 0) > 0 as has_wav, has_sidecar, coalesce(wav, 0)::bigint as wav_bytes, not (coalesce(wav, 0) > 0 and has_sidecar) as pending from {_OUTPUTS}")
+def output_index(spark, d):
+    """Takes of which some have no file, an empty file, or no sidecar: what is there by listing, what is still to do by an anti join."""
+    takes = view(spark, d, "fx_takes").withColumn("id", F.concat_ws("_", "id", "take"))
+    some = takes.where(stable_index("id", 3) > 0)
+    wavs = A.wav_contents(some.select(F.concat("id", F.lit(".wav")).alias("name"), F.col("pcm").alias("left"), F.lit(None).cast("array<float>").alias("right")), 16_000)
+    empty = stable_index(IO.file_id("name"), 7) == 0
+    write_files(wavs.withColumn("content", F.when(empty, F.lit(b"")).otherwise(F.col("content"))), path := _new(spark))
+    IO.write_sidecar_files(takes.where(stable_index("id", 4) > 0).select("id", F.to_json(F.struct("id")).alias("sidecar")), path)
+    index = IO.output_index(spark, path)
+    pending = O.pending_work(takes.select("id"), index).withColumn("pending", F.lit(True))
+    out = takes.select("id").join(index, "id", "left").join(pending, "id", "left")
+    flag = lambda c: F.coalesce(c, F.lit(False)).alias(c)
+    return out.select("id", flag("has_wav"), flag("has_sidecar"), F.coalesce("wav_bytes", F.lit(0)).alias("wav_bytes"), flag("pending"))
 
 
 def _feed(spark, d):

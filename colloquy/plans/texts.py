@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 from colloquy.functions import rules as R
 from colloquy.functions import text as T
 from colloquy.functions.hashing import stable_chance, stable_index
+from colloquy.operators import models as M
 from colloquy.operators import planning as P
+from colloquy.operators import rounds as N
 from colloquy.operators import texts as O
 from colloquy.plans import sqltext as S
+from colloquy.sources.scratch import new_path
 from colloquy.sources.views import view
 
 QUERIES, SQL = {}, {}
@@ -127,7 +130,8 @@ def system_wrap(spark, d):
 @query("""select doc_id, len(ids) as n_tokens, array_to_string(ids, ' ') as ids from (select doc_id, flatten(list_transform(lines, lambda x, i: case when i = 1 then x else list_concat([4::bigint], x) end)) as ids
   from (select doc_id, list_transform(string_split(text, chr(10)), lambda t: list_transform(regexp_extract_all(t, '[^ \\t]{1,4}'), lambda p: ('0x' || substr(md5(p), 1, 8))::bigint % 31990 + 10)) as lines from documents))""")
 def subword_tokens(spark, d):
-    x = view(spark, d, "documents").select("doc_id", T.subword_tokens(F.col("text")).alias("ids"))
+    """By the stand-in tokenizer, given as a real one would be."""
+    x = M.subword_tokens(view(spark, d, "documents").select("doc_id", "text"))
     return x.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.concat_ws(" ", F.transform("ids", lambda v: v.cast("string"))).alias("ids"))
 
 
@@ -145,6 +149,23 @@ def accept_candidates(spark, d):
     return O.accept(plan, O.validated(c), O.user_fallback(F.col("emotion"), F.lit("the weather"))).select("id", "chosen", "text")
 
 
+_TRIED = f"""(select *, min(case when outcome = 'accepted' then k end) over (partition by id) as won from (select p.id, k, case when v.raw_text is null then 'generator' else coalesce(v.reason, 'accepted') end as outcome
+  from (select distinct id from fx_candidates) p cross join (select unnest([0, 1]) as k) left join {_VALID} v on v.id = p.id and v.attempt = k))"""
+
+
+@query(f"""with asked as (select k::varchar as round, outcome from {_TRIED} where won is null or k <= won)
+  select round, outcome, count(*)::bigint as n from asked group by all union all select round, 'all', count(*)::bigint from asked group by round""")
+def accept_rounds(spark, d):
+    """What each round was asked for and how it went: round 1 sees the rejects of round 0 only."""
+    c = view(spark, d, "fx_candidates")
+    def generate(frontier, attempt):  # a generator that has its lines in a table
+        return frontier.join(c.where(F.col("attempt") == attempt).select("id", "raw_text", "emotion"), "id", "left")
+
+    rows = N.run_rounds(c.select("id").distinct(), generate, O.validated, new_path(spark, "rounds"), 2)
+    report = N.round_report(rows).select(F.col("attempt").cast("string").alias("round"), "outcome", "n")
+    return report.unionByName(report.groupBy("round").agg(F.sum("n").alias("n")).withColumn("outcome", F.lit("all")))
+
+
 # ---------------------------------------------------------------- plan
 def _indices(spark, d):
     return view(spark, d, "customer").select(F.col("c_custkey").alias("index"))

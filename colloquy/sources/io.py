@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from colloquy.functions import text as T
 from colloquy.operators import audio as A
 from colloquy.operators import clips as C
+from colloquy.sources.files import read_files, write_files
 
 USERS = "user_id string, curr_emotion string, topic string, text string"
 DIALOGUES = "id string, user_id string, curr_emotion string, res_emotion string, user_text string, agent_text string, topic string"
@@ -91,7 +92,7 @@ def count_manifest_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def read_audio(spark: SparkSession, path: str, rate: int) -> DataFrame:
     """path, pcm: mono floats at the rate, of every WAV below the path."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.wav").load(path)
+    files = read_files(spark, path, "*.wav")
 
     @F.pandas_udf("array<float>")
     def decode(content: pd.Series) -> pd.Series:
@@ -134,3 +135,35 @@ def write_audio(clips: DataFrame, path: str, rate: int) -> None:
         return pd.Series([A.encode_wav([x] if y is None else [x, y], rate) for x, y in zip(left, right)])
 
     clips.select("id", encode("left", "right").alias("wav")).write.mode("errorifexists").parquet(path)
+
+
+def file_name(clip_id: str, suffix: str):
+    """A name that every store takes: characters other than letters, digits and . - _ * are escaped."""
+    return F.concat(F.replace(F.url_encode(clip_id), F.lit("%"), F.lit("~")), F.lit(suffix))
+
+
+def file_id(path: str = "path"):
+    """The id that file_name() was given."""
+    return F.url_decode(F.replace(F.regexp_extract(path, r"([^/]*)\.[^./]*$", 1), F.lit("~"), F.lit("%")))
+
+
+def write_audio_files(clips: DataFrame, folder: str, rate: int, replace: bool = False) -> None:
+    """clips(id, left, right or null) -> a committed file <id>.wav for each."""
+    write_files(A.wav_contents(clips.withColumn("name", file_name("id", ".wav")), rate), folder, replace)
+
+
+def write_sidecar_files(rows: DataFrame, folder: str, replace: bool = False) -> None:
+    """rows(id, sidecar) -> a committed file <id>.json for each."""
+    write_files(rows.select(file_name("id", ".json").alias("name"), F.encode("sidecar", "UTF-8").alias("content")), folder, replace)
+
+
+def output_index(spark: SparkSession, folder: str) -> DataFrame:
+    """What is there: id, has_wav, has_sidecar, wav_bytes, sidecar_bytes, by names and sizes of committed files alone.
+
+    Empty files do not count; of an id that several jobs wrote, the largest file's size is told.
+    """
+    listed = read_files(spark, folder, "*.{wav,json}").select("path", "length").where("length > 0")
+    kind = F.substring_index("path", ".", -1)
+    size = lambda k: F.coalesce(F.max(F.when(kind == k, F.col("length"))), F.lit(0))
+    out = listed.withColumn("id", file_id()).groupBy("id").agg(size("wav").alias("wav_bytes"), size("json").alias("sidecar_bytes"))
+    return out.select("id", (F.col("wav_bytes") > 0).alias("has_wav"), (F.col("sidecar_bytes") > 0).alias("has_sidecar"), "wav_bytes", "sidecar_bytes")

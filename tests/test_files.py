@@ -46,3 +46,21 @@ def test_failed_and_twin_attempts_leave_nothing(spark, tmp_path):
     assert len({first.name, twin.name, lost.name}) == 3
     writer.commit([first, None])
     assert names(top) == ["a", "b"]  # of one attempt only
+
+
+def test_clips_in_files_and_what_is_there(spark, tmp_path):
+    from colloquy.operators import audio as A
+    from colloquy.operators import clips as C
+    from colloquy.sources import io as IO
+
+    rows = spark.createDataFrame([("a:/ é~%", [9.0], None), ("a", [0.1, -0.5, 2.0], None), ("b", [0.25] * 4, [-0.25] * 4), ("c", [], None)], "id string, left array<float>, right array<float>").repartition(2)
+    IO.write_audio_files(rows, str(tmp_path), 16_000)
+    got = {r.path.rpartition("/")[2]: bytes(r.content) for r in files.read_files(spark, str(tmp_path)).collect()}
+    got["a:/ é~%.wav"] = got.pop("a~3A~2F+~C3~A9~7E~25.wav")
+    assert got == {f"{r.id}.wav": A.encode_wav([r.left] if r.right is None else [r.left, r.right], 16_000) for r in rows.collect()}
+    IO.write_sidecar_files(spark.sql("select 'a' as id, '{\"id\": \"a\", \"duration\": 2.5}' as sidecar union all select 'd', ''"), str(tmp_path))
+    index = IO.output_index(spark, str(tmp_path))
+    assert sorted(map(tuple, index.collect())) == [("a", True, True, 50, 28), ("a:/ é~%", True, False, 46, 0), ("b", True, False, 60, 0), ("c", True, False, 44, 0)]
+    assert sorted(r.id for r in C.pending_work(spark.sql("select * from values ('a'), ('b'), ('d') as t(id)"), index).collect()) == ["b", "d"]
+    assert "ReadSchema: struct<path:string,length:bigint>" in index._jdf.queryExecution().executedPlan().toString()
+    assert [r.duration for r in IO.read_sidecars(spark, str(tmp_path)).collect()] == [2.5]
