@@ -197,7 +197,9 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False), borders
 
 
-def _wavs(rate: int):
+def wav_batches(rate: int):
+    """Batches of (name, left, right or null) to (name, content)."""
+
     def run(batches):
         for batch in batches:
             (left, at), (right, to) = flat(batch.column("left")), flat(batch.column("right"))
@@ -219,4 +221,4 @@ def _wavs(rate: int):
 def wav_contents(clips: DataFrame, rate: int) -> DataFrame:
     """clips(name, left, right or null) -> name, content: 16-bit WAV, mono or stereo, converted a batch at a time."""
     wide = clips.select("name", *(F.col(c).cast("array<float>").alias(c) for c in ("left", "right")))
-    return wide.mapInArrow(_wavs(rate), "name string, content binary")
+    return wide.mapInArrow(wav_batches(rate), "name string, content binary")

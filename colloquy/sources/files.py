@@ -16,12 +16,12 @@ The store is what pyarrow.fs opens for the folder's URI: a mounted path, file, h
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
-SCHEMA = "name string, content binary"
 FORMAT = "colloquy_files"
 
 
@@ -39,13 +39,13 @@ class Attempt(WriterCommitMessage):
 
 
 class _Writer(DataSourceArrowWriter):
-    def __init__(self, folder: str, replace: bool):
-        self.folder, self.replace, self.job = folder.rstrip("/"), replace, uuid.uuid4().hex
+    def __init__(self, folder: str, replace: bool, build: Callable | None = None):
+        self.folder, self.replace, self.build, self.job = folder.rstrip("/"), replace, build, uuid.uuid4().hex
 
     def write(self, iterator) -> Attempt:
         fs, base = store(self.folder)
         attempt, made, n = uuid.uuid4().hex, set(), 0
-        for batch in iterator:
+        for batch in self.build(iterator) if self.build else iterator:
             for name, content in zip(batch.column("name"), batch.column("content")):
                 name = name.as_py()
                 if not name or name.startswith("/") or ".." in name.split("/"):
@@ -90,22 +90,26 @@ class _Writer(DataSourceArrowWriter):
             fs.delete_dir(f"{base}/_job-{self.job}")
 
 
-class Files(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return FORMAT
+def write_files(rows: DataFrame, folder: str, replace: bool = False, build: Callable | None = None) -> None:
+    """rows(name, content) as files below the folder; replace: the files of earlier jobs go once the new ones are there.
 
-    def schema(self) -> str:
-        return SCHEMA
+    build maps an iterator of Arrow batches of rows to one of (name, content), in the worker that writes.
+    """
+    ddl = rows.schema.simpleString()
 
-    def writer(self, schema, overwrite: bool) -> _Writer:
-        return _Writer(self.options["path"], overwrite)
+    class Files(DataSource):  # made here, so that build goes to the tasks with it
+        @classmethod
+        def name(cls) -> str:
+            return FORMAT
 
+        def schema(self) -> str:
+            return ddl
+
+        def writer(self, schema, overwrite: bool) -> _Writer:
+            return _Writer(self.options["path"], overwrite, build)
 
-def write_files(rows: DataFrame, folder: str, replace: bool = False) -> None:
-    """rows(name, content) as files below the folder; replace: the files of earlier jobs go once the new ones are there."""
     rows.sparkSession.dataSource.register(Files)
-    rows.select("name", "content").write.format(FORMAT).mode("overwrite" if replace else "append").option("path", folder).save()
+    rows.write.format(FORMAT).mode("overwrite" if replace else "append").option("path", folder).save()
 
 
 def read_files(spark: SparkSession, folder: str, names: str = "*") -> DataFrame:

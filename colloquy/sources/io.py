@@ -149,7 +149,8 @@ def file_id(path: str = "path"):
 
 def write_audio_files(clips: DataFrame, folder: str, rate: int, replace: bool = False) -> None:
     """clips(id, left, right or null) -> a committed file <id>.wav for each."""
-    write_files(A.wav_contents(clips.withColumn("name", file_name("id", ".wav")), rate), folder, replace)
+    rows = clips.select(file_name("id", ".wav").alias("name"), *(F.col(c).cast("array<float>").alias(c) for c in ("left", "right")))
+    write_files(rows, folder, replace, A.wav_batches(rate))
 
 
 def write_sidecar_files(rows: DataFrame, folder: str, replace: bool = False) -> None:
