@@ -272,7 +272,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID, wo
     order = [F.asc_nulls_last("doc_id"), F.xxhash64("frame")]
     ranged = frames.repartitionByRange(max(1, -(-size // PART_BYTES)), *order).sortWithinPartitions(*order, "frame")
     write_files(spark.createDataFrame([(f"dictionary-{of.hexdigest()}.zdict", dictionary)], "name string, content binary"), folder)
-    write_files(ranged.mapInArrow(_shards(width, of.digest(), shard_bytes), "name string, content binary"), folder)
+    write_files(ranged, folder, build=_shards(width, of.digest(), shard_bytes))
 
 
 def dictionary_of(spark: SparkSession, folder: str) -> bytes:
