@@ -6,8 +6,6 @@ the readers expect, and read back.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from colloquy.functions.hashing import stable_index
@@ -195,17 +193,33 @@ def read_metrics(spark, d):
 
 @query(f"select pair_id as id, reason is null as accepted, reason from {X._REPLIES}")
 def stream_accept(spark, d):
+    """Each id twice at once, and again two hours later in a second run: the sink takes it once."""
     rows = view(spark, d, "fx_pairs").select(F.col("pair_id").alias("id"), "user_text", "agent_text", "res", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("turn")).alias("at"))
-    rows.unionByName(rows).write.json(path := _new(spark))  # each id twice
-    W.run_to(W.stream_accept(spark, path), f"{path}-out", f"{path}-state")
-    return spark.read.schema("id string, at timestamp, accepted boolean, reason string, clean string").parquet(f"{path}-out").select("id", "accepted", "reason")
+    path = _new(spark)
+    later = rows.withColumn("at", F.col("at") + F.expr("interval 2 hours"))
+    for arrived in (rows.unionByName(rows), later):
+        arrived.write.mode("append").json(f"{path}/in")
+        W.stream_accept_once(spark, f"{path}/in", f"{path}/out", f"{path}/state")
+    return spark.read.schema(W.JUDGED).parquet(f"{path}/out").select("id", "accepted", "reason")
+
+
+# a third of the time in each of three deliveries; one record in ten comes with the delivery after its own
+_DELIVERED = """(select *, cast(floor(3 * (unix_at - lo) / (hi - lo + 1)) as int) + case when step % 10 = 0 then 1 else 0 end as delivery
+  from (select *, {unix} as unix_at from fx_metrics) cross join (select min({unix}) as lo, max({unix}) as hi from fx_metrics))"""
 
 
-@query('select tag, time_bucket(interval (1) hour, cast("at" as timestamp)) as start, count(*) as n, round(avg(loss), 6) as mean, max(loss) as most from fx_metrics group by all')
+@query(f"""with f as (select tag, cast("at" as timestamp) as ts, loss, delivery from {_DELIVERED.format(unix='floor(epoch(cast("at" as timestamp)))')}),
+  marks as (select delivery, max(last) over (order by delivery rows between unbounded preceding and 1 preceding) - interval (10) minute as mark from (select delivery, max(ts) as last from f group by delivery)),
+  kept as (select *, time_bucket(interval (1) hour, ts) as start from f join marks using (delivery) where mark is null or time_bucket(interval (1) hour, ts) + interval (1) hour > mark)
+  select tag, start, count(*) as n, round(avg(loss), 6) as mean, max(loss) as most from kept where start + interval (1) hour <= (select max(ts) - interval (10) minute from f) group by all""")
 def stream_metrics(spark, d):
-    """In complete mode nothing is held back, so the stream equals the batch."""
-    path = _feed(spark, d)
-    out = W.stream_metrics(spark, path)
-    name = f"feed_{uuid.uuid4().hex}"
-    out.writeStream.format("memory").queryName(name).outputMode("complete").option("checkpointLocation", f"{path}-state").trigger(availableNow=True).start().awaitTermination()
-    return spark.table(name).withColumn("start", F.col("start").cast("timestamp_ntz"))
+    """Deliveries one after another, each followed by a run to a file sink: what comes after its window's watermark is dropped,
+    and a window is written once the watermark has passed it."""
+    path = _new(spark)
+    low = view(spark, d, "fx_metrics").select("step", F.col("at").cast("timestamp").alias("at"), "tag", "loss").withColumn("unix_at", F.unix_timestamp("at"))
+    ends = low.agg(F.min("unix_at").alias("lo"), F.max("unix_at").alias("hi"))
+    feed = low.crossJoin(F.broadcast(ends)).withColumn("delivery", F.floor(3 * (F.col("unix_at") - F.col("lo")) / (F.col("hi") - F.col("lo") + 1)).cast("int") + F.when(F.col("step") % 10 == 0, 1).otherwise(0))  # one row
+    for k in range(4):
+        feed.where(F.col("delivery") == k).select("step", "at", "tag", "loss").write.mode("append").json(f"{path}/in")
+        W.run_to(W.stream_metrics(spark, f"{path}/in"), f"{path}/out", f"{path}/state")
+    return spark.read.schema("tag string, start timestamp, n long, mean double, most double").parquet(f"{path}/out").withColumn("start", F.col("start").cast("timestamp_ntz"))

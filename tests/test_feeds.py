@@ -81,6 +81,21 @@ def test_stream_is_batch_and_each_id_once(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b", "c"]
 
 
+def test_an_id_that_returns_after_hours_is_in_the_output_once(spark, tmp_path):
+    def arrive(*rows):
+        spark.createDataFrame(list(rows), S.ARRIVING).coalesce(1).write.mode("append").json(str(tmp_path / "in"))
+        S.stream_accept_once(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp"))
+        return sorted((r.id, r.accepted, r.at.hour) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    line = lambda i, hour, text="That is a fine thing": (i, "great news", text, "happy", datetime.datetime(2026, 1, 1, hour))
+    assert arrive(line("a", 1), line("a", 1), line("b", 3, "I'm sorry to hear that"), line(None, 1)) == [("a", True, 1), ("b", False, 3)]
+    assert arrive(line("a", 3), line("c", 3), line("b", 9)) == [("a", True, 1), ("b", False, 3), ("c", True, 3)]
+    for name in ("1", ".1.crc"):  # as if the driver had been lost before it noted the batch as done: it is replayed
+        (tmp_path / "cp/commits" / name).unlink()
+    assert arrive(line("a", 23), line("c", 5)) == [("a", True, 1), ("b", False, 3), ("c", True, 3)]
+    assert arrive(line("d", 6)) == [("a", True, 1), ("b", False, 3), ("c", True, 3), ("d", True, 6)]
+
+
 def test_late_records_are_dropped(spark, tmp_path):
     def feed(name, hours):
         lines(tmp_path / f"in/{name}.json", [{"step": i, "at": f"2026-01-01T{h:02d}:30:00Z", "tag": "train", "loss": float(h)} for i, h in enumerate(hours)])
