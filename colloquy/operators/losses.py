@@ -6,8 +6,11 @@ sample's prompt_length and the frame's context flag.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PADDING_IDS = (3, 0)
 RANGE = 4096  # steps of a run that one window reaches over
@@ -15,9 +18,67 @@ RANGE = 4096  # steps of a run that one window reaches over
 
 def cross_entropy(logits: Column, target: Column) -> Column:
     """-log softmax(logits)[target] by log-sum-exp."""
-    top = F.array_max(logits)
-    total = F.aggregate(logits, F.lit(0.0), lambda a, x: a + F.exp(x - top))
-    return top + F.log(total) - F.element_at(logits, target + 1)
+    def of(top: Column) -> Column:  # computed once; inside the fold it would be at every entry
+        return top + F.log(F.aggregate(logits, F.lit(0.0), lambda a, x: a + F.exp(x - top))) - F.element_at(logits, target + 1)
+
+    return F.element_at(F.transform(F.array(F.array_max(logits)), of), 1)
+
+
+ROWS_BYTES = 16 << 20  # logits that are looked at together
+BLOCK = 4096  # entries of the vocabulary in one step
+
+
+def _streamed(x: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """(log-sum-exp, first place of the maximum) of the rows, block by block: a running maximum and a sum scaled to it."""
+    top, total, at = np.full(len(x), -np.inf), np.zeros(len(x)), np.zeros(len(x), np.int64)
+    for k in range(0, x.shape[1], block):
+        part = x[:, k : k + block].astype(np.float64)
+        here = part.argmax(1)
+        most = part[np.arange(len(x)), here]
+        at = np.where(most > top, k + here, at)
+        new = np.maximum(top, most)
+        base = np.where(np.isfinite(new), new, 0.0)
+        with np.errstate(invalid="ignore"):
+            total = total * np.exp(np.where(np.isfinite(top), top - base, -np.inf)) + np.exp(part - base[:, None]).sum(1)
+        top = new
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(np.isfinite(top), top, 0.0) + np.log(total), at
+
+
+def _kernel(kept: list[str], block: int):
+    def run(batches):
+        for batch in batches:
+            column, target = batch.column("_logits"), batch.column("_target")
+            values = column.flatten().to_numpy(zero_copy_only=False)
+            length = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            starts, wanted = np.cumsum(length) - length, target.fill_null(-1).to_numpy(zero_copy_only=False)
+            ce, best = np.full(len(length), np.nan), np.full(len(length), -1, np.int64)
+            for v in np.unique(length[length > 0]):  # usually one vocabulary
+                rows = np.flatnonzero(length == v)
+                step = max(1, ROWS_BYTES // (8 * int(v)))
+                for k in range(0, len(rows), step):
+                    some = rows[k : k + step]
+                    whole = some[-1] - some[0] + 1 == len(some)
+                    x = values[starts[some[0]] : starts[some[-1]] + v].reshape(-1, v) if whole else np.stack([values[s : s + v] for s in starts[some]])
+                    lse, at = _streamed(x, block)
+                    best[some] = at
+                    ok = (wanted[some] >= 0) & (wanted[some] < v)
+                    ce[some[ok]] = lse[ok] - x[np.flatnonzero(ok), wanted[some[ok]]]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in kept), pa.array(ce, mask=np.isnan(ce) & ((length == 0) | (wanted < 0) | (wanted >= length))), pa.array(best, mask=best < 0)], [*kept, "ce", "predicted"])
+
+    return run
+
+
+def cross_entropy_wide(rows: DataFrame, logits: str = "logits", target: str = "target", block: int = BLOCK) -> DataFrame:
+    """rows without the logits, with ce and predicted (place of the largest logit, the first of equals), for large vocabularies.
+
+    Batches are flat Arrow buffers; a row's logits are read once.  A null or empty list and a target outside it give null.
+    """
+    kept = [c for c in rows.columns if c not in (logits, "ce", "predicted")]
+    given = rows.select(*[f"`{c}`" for c in kept], F.col(f"`{logits}`").alias("_logits"), F.col(f"`{target}`").cast("long").alias("_target"))
+    out = T.StructType([*rows.select(*[f"`{c}`" for c in kept]).schema, T.StructField("ce", T.DoubleType()), T.StructField("predicted", T.LongType())])
+    return given.mapInArrow(_kernel(kept, block), out)
 
 
 def seen_target() -> Column:

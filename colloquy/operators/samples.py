@@ -126,10 +126,28 @@ def window_alignments(words: DataFrame, step: float) -> DataFrame:
     return k.withColumn("start_sec", F.col("start_sec") - base).withColumn("end_sec", F.col("end_sec") - base)
 
 
+def carried_lag(rows: DataFrame, by: tuple[str, ...], order: tuple[str, ...], value: str, name: str) -> DataFrame:
+    """rows with the value of the row before in the same group, in a global order of (by, order).
+
+    Rows lie in ranges of that order, written once; lag() reaches within a range, and the first row of a group in a range
+    takes what the range before carries over: its last row, one for each range.  A group that holds all rows is thus spread
+    over all ranges.
+    """
+    kept = materialize(rows.repartitionByRange(*[F.col(c) for c in (*by, *order)]).withColumn("_p", F.spark_partition_id()))
+    group = F.struct(*by)
+    last = kept.groupBy("_p").agg(F.max_by(F.struct(group.alias("g"), F.col(value).alias("v")), F.struct(*by, *order)).alias("r"))
+    carried = [(r["_p"], r["r"]["g"], r["r"]["v"]) for r in last.orderBy("_p").collect()]  # one row for each range
+    kinds = last.select("_p", "r.g", "r.v").schema
+    before = rows.sparkSession.createDataFrame([(p, g, v) for (_, g, v), (p, _, _) in zip(carried, carried[1:])], kinds).toDF("_p", "_g", "_v")
+    near = F.lag(value).over(Window.partitionBy("_p", *by).orderBy(*order))
+    first = F.row_number().over(Window.partitionBy("_p", *by).orderBy(*order)) == 1
+    out = kept.withColumn(name, near).withColumn("_f", first).join(F.broadcast(before), "_p", "left")  # one row for each range
+    return out.withColumn(name, F.when(F.col("_f") & (F.col("_g") == group), F.col("_v")).otherwise(F.col(name))).drop("_p", "_f", "_g", "_v")
+
+
 def turn_markers(words: DataFrame, main: str = R.SPEAKER_AGENT, by: tuple[str, ...] = ("clip",)) -> DataFrame:
     """words with marker: 'bos' where the main speaker begins, 'eos' where another follows the main one."""
-    before = F.lag("speaker").over(Window.partitionBy(*by).orderBy("start_sec", "pos"))
-    out = words.withColumn("_b", before)
+    out = carried_lag(words, by, ("start_sec", "pos"), "speaker", "_b")
     mark = F.when(F.col("speaker").eqNullSafe(F.col("_b")), None).when(F.col("speaker") == main, "bos").when(F.col("_b") == main, "eos")
     return out.withColumn("marker", mark).drop("_b")
 

@@ -12,6 +12,8 @@ from colloquy.operators import timeline as L
 from colloquy.plans import sqltext as S
 from colloquy.plans.texts import pool_tagged
 from colloquy.sources import io as IO
+from colloquy.sources import versions as V
+from colloquy.sources.scratch import new_path
 from colloquy.sources.views import view
 
 QUERIES, SQL = {}, {}
@@ -104,6 +106,19 @@ def patch_prompts(spark, d):
     return out.groupBy("outcome").agg(F.count("*").alias("n"), F.min("text_prompt").alias("least"), F.max("text_prompt").alias("most"))
 
 
+@query(f"""select version, text_prompt, count(*) as n from (select 1 as version, case when {S.index('id', 4)} = 0 then concat('Answer with a ', res_emotion, ' tone.') else 'old' end as text_prompt from fx_clips
+  union all select 2, case when {S.index('id', 6)} = 0 and {S.index('id', 4)} <> 0 then 'old' else concat('Answer with a ', res_emotion, ' tone.') end from fx_clips) group by all""")
+def patched_versions(spark, d):
+    """Sidecars patched as a new version; the old one stays readable."""
+    rows = view(spark, d, "fx_clips").select(
+        "id", "res_emotion", (stable_index("id", 6) > 0).alias("readable"),
+        F.when(stable_index("id", 4) == 0, T.text_prompt(F.col("res_emotion"))).otherwise("old").alias("text_prompt"))
+    V.write(rows, folder := new_path(spark, "sidecars"))
+    V.rewrite(spark, folder, lambda old: C.patch_prompts(old, F.col("res_emotion"), T.text_prompt, R.EMOTIONS).drop("outcome"))
+    told = lambda version, rows: rows.groupBy("text_prompt").agg(F.count("*").alias("n")).select(F.lit(version).alias("version"), "text_prompt", "n")
+    return told(1, V.read(spark, folder, 1)).unionByName(told(2, V.read(spark, folder)))
+
+
 @query("select concat(curr_emotion, '->', res_emotion) as mapping, count(*) as n, round(sum(duration), 4) as total_sec from fx_clips group by 1")
 def mapping_stats(spark, d):
     return C.mapping_stats(view(spark, d, "fx_clips"))

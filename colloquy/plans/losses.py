@@ -36,6 +36,14 @@ def cross_entropy(spark, d):
     return view(spark, d, "embeddings").select("vec_id", target.alias("target"), F.round(M.cross_entropy(x, target), 6).alias("ce"))
 
 
+@query("""select vec_id, target, list_position(x, m) - 1 as predicted, case when target < 64 then round(m + ln(list_sum(list_transform(x, lambda v: exp(v - m)))) - x[target + 1], 6) end as ce
+  from (select vec_id, cast(vec_id % 65 as int) as target, list_transform(embedding, lambda v: v::double) as x, list_max(embedding)::double as m from embeddings)""")
+def cross_entropy_wide(spark, d):
+    """The Arrow kernel, in blocks of 16 logits; one target in 65 lies outside the vocabulary."""
+    rows = view(spark, d, "embeddings").select("vec_id", (F.col("vec_id") % 65).cast("int").alias("target"), F.col("embedding").alias("logits"))
+    return M.cross_entropy_wide(rows, block=16).select("vec_id", "target", "predicted", F.round("ce", 6).alias("ce"))
+
+
 @query(f"select channel, target, count(*) as n, round(sum({_W}), 4) as w from fx_token_ce group by channel, target")
 def loss_weights(spark, d):
     return _tokens(spark, d).withColumn("w", M.loss_weights(0.5, 100.0)).groupBy("channel", "target").agg(F.count("*").alias("n"), F.round(F.sum("w"), 4).alias("w"))

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from colloquy.functions.hashing import stable_index
+from colloquy.operators import permutation as B
 from colloquy.operators import samples as M
 from colloquy.plans import sqltext as S
+from colloquy.sources.scratch import materialize
 from colloquy.sources.views import view
 
 QUERIES, SQL = {}, {}
@@ -46,6 +48,16 @@ def epoch_shuffle(spark, d):
     return out
 
 
+_PLACED = " union all ".join(f"select id, i, {e} as epoch, place from {B.placed_sql(_INDEXED, '(select count(*) from fx_clips)', 11, e)}" for e in (0, 1))
+
+
+@query(f"select id, i, epoch, place, cast(place % 8 as int) as rank, place // 8 as seq from ({_PLACED})")
+def epoch_permutation(spark, d):
+    """Epochs as permutations of row numbers, dealt to eight ranks."""
+    indexed = materialize(M.global_index(view(spark, d, "fx_clips").select("id"), "id"))
+    return B.epochs(indexed, indexed.count(), 11, [0, 1], 8).select("id", "i", "epoch", "place", "rank", "seq")
+
+
 @query("select curr_emotion as source, count(*) as n, case curr_emotion when 'happy' then 3 when 'sad' then 1 else 0.5e0 end / 4.5e0 as weight from fx_clips where curr_emotion in ('happy', 'sad', 'angry') group by curr_emotion")
 def source_weights(spark, d):
     found = spark.createDataFrame(M.source_weights("happy:3,sad,angry:0.5"), "source string, weight double")
