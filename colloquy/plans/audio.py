@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import functions as F
 
 from colloquy.operators import audio as A
 from colloquy.operators import timeline as L
+from colloquy.operators import waves as B
 from colloquy.sources.views import view
 
 QUERIES, SQL = {}, {}
@@ -98,10 +98,6 @@ def clip_timeline(spark, d):
     return out.select("id", *[F.round(c, 6).alias(c) for c in ("user_start", "user_end", "agent_start", "agent_end", "duration")])
 
 
-def _digest(x) -> str:
-    return f"{len(x)}:{float(np.abs(x).sum()):.4f}:{float((np.asarray(x, np.float64) * np.arange(len(x))).sum()):.3f}"
-
-
 _SUMS = "round(list_sum(list_transform(y, lambda v: abs(v::double))), 5) as total, round(list_sum(list_transform(range(len(y)), lambda i: y[i + 1]::double * i)), 4) as moment"
 
 
@@ -114,29 +110,24 @@ def _sums(y):
     else (x[(floor(i / m * n) + 2)::int] - x[(floor(i / m * n) + 1)::int]) / ((floor(i / m * n) + 1) / n - floor(i / m * n) / n) * (i / m - floor(i / m * n) / n) + x[(floor(i / m * n) + 1)::int] end::float) as y
   from (select id, take, x, len(x)::double as n, greatest(round_even(len(x) * 1.5e0, 0)::int, 1) as m from {_X}))""")
 def resample_linear(spark, d):
-    @F.pandas_udf("array<float>")
-    def run(pcm: pd.Series) -> pd.Series:
-        return pcm.map(lambda x: A.resample_linear(np.asarray(x, np.float32), 16_000, 24_000))
-
-    return _takes(spark, d).select("id", "take", run("pcm").alias("y")).select("id", "take", *_sums("y"))
+    return B.resampled(_takes(spark, d), 16_000, 24_000).select("id", "take", *_sums("pcm"))
 
 
 @query(f"""select id, take, len(y) as n, {_SUMS} from (select id, take, list_transform(range(len(x)), lambda i: (x[i + 1] * case when i < 12 then sin(pi() / 2 * i / 11) when i >= len(x) - 12 then cos(pi() / 2 * (i - len(x) + 12) / 11) else 1 end)::float) as y from {_X})""")
 def fade_edges(spark, d):
-    @F.pandas_udf("array<float>")
-    def run(pcm: pd.Series) -> pd.Series:
-        return pcm.map(lambda x: A.fade_edges(x, 12))
+    return B.faded(_takes(spark, d), 12).select("id", "take", *_sums("pcm"))
 
-    return _takes(spark, d).select("id", "take", run("pcm").alias("y")).select("id", "take", *_sums("y"))
+
+@query(f"select id, take, round(peak, 6) as peak, round(level_db, 6) as level_db, round(clip_share, 6) as clip_share, round(silence_share, 6) as silence_share, round(score, 5) as score from {_SCORED}")
+def score_waves(spark, d):
+    """The scores over Arrow buffers."""
+    r = lambda c, n=6: F.round(c, n).alias(c)
+    return B.scored(_takes(spark, d), RATE).select("id", "take", r("peak"), r("level_db"), r("clip_share"), r("silence_share"), r("score", 5))
 
 
 @query()
 def sample_rng(spark, d):
-    @F.pandas_udf("array<double>")
-    def run(ids: pd.Series) -> pd.Series:
-        return ids.map(lambda i: (lambda r: [r.uniform(0, 1), r.uniform(0, 1)])(A.sample_rng(42, i)))
-
-    return view(spark, d, "fx_clips").select("id", run("id").alias("pads"))
+    return B.pads(view(spark, d, "fx_clips").select("id"), 42).select("id", F.array("pad_pre", "pad_post").alias("pads"))
 
 
 def _tone() -> np.ndarray:
@@ -145,24 +136,14 @@ def _tone() -> np.ndarray:
 
 @query()
 def roomtone_crop(spark, d):
-    @F.pandas_udf("string")
-    def run(ids: pd.Series, pcm: pd.Series) -> pd.Series:
-        return pd.Series([_digest(A.roomtone_crop(np.concatenate((_tone(), np.asarray(x, np.float32))), 300, A.sample_rng(42, i), RATE)) for i, x in zip(ids, pcm)])
-
-    return _takes(spark, d).select("id", "take", run("id", "pcm").alias("crop"))
+    """Each take behind a quiet tone is the room tone of its own clip."""
+    tone = F.concat(F.lit(_tone().tolist()).cast("array<float>"), "pcm").alias("tone")
+    return B.cropped(_takes(spark, d).select("id", "take", tone), 300, 42, RATE).select("id", "take", *_sums("crop"))
 
 
 @query()
 def pack_pool(spark, d):
     t = _takes(spark, d)
-    both = t.where("take = 0").select("id", F.col("pcm").alias("u")).join(t.where("take = 1").select("id", F.col("pcm").alias("g")), "id")
-
-    @F.pandas_udf("left string, right string, agent_start double, duration double")
-    def run(ids: pd.Series, u: pd.Series, g: pd.Series) -> pd.DataFrame:
-        rows = []
-        for i, a, b in zip(ids, u, g):
-            left, right, times = A.pack_pool(np.asarray(a, np.float32), np.asarray(b, np.float32), _tone(), A.sample_rng(42, i), 0.2, RATE)
-            rows.append((_digest(left), _digest(right), times["agent_start"], times["duration"]))
-        return pd.DataFrame(rows, columns=["left", "right", "agent_start", "duration"])
-
-    return both.select("id", run("id", "u", "g").alias("r")).select("id", "r.*")
+    both = t.where("take = 0").select("id", F.col("pcm").alias("user")).join(t.where("take = 1").select("id", F.col("pcm").alias("agent")), "id")
+    out = B.packed_pool(both, _tone(), 42, 0.2, RATE)
+    return out.select("id", *_sums("left"), *[c.alias(f"right_{k}") for k, c in zip(("n", "total", "moment"), _sums("right"))], "user_start", "agent_start", "agent_end", "duration")
