@@ -257,14 +257,22 @@ def _shards(width: int, dictionary_hash: bytes, shard_bytes: int):
 
 
 # ---------------------------------------------------------------- tables
+def _short(rows: DataFrame) -> DataFrame:
+    """At most SAMPLE_DOCS short documents by a hash: those below a bound that leaves a few more than needed, of these the lowest."""
+    short = rows.where(F.octet_length("text") <= SAMPLE_BYTES)
+    n = short.agg(F.approx_count_distinct(F.xxhash64("text"), 0.02)).first()[0]  # copies share a hash and count once
+    key = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
+    drawn = short.where(key < int(min(1.0, 1.2 * SAMPLE_DOCS / max(1, n)) * (1 << 30)))
+    return drawn.groupBy("text").agg(F.min("doc_id").alias("doc_id")).orderBy(F.xxhash64("text")).limit(SAMPLE_DOCS)
+
+
 def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID, word_by_word: bool = True, shard_bytes: int = SHARD_BYTES) -> None:
     """docs(doc_id, text) -> shards and dictionary in the folder.  tokenizer: the JSON text of a tokenizers file."""
     spark = docs.sparkSession
     width = 2 if max(_tokenizer(tokenizer).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     how = (tokenizer, end_id, word_by_word, width)
-    short = rows.where(F.octet_length("text") <= SAMPLE_BYTES).orderBy(F.xxhash64("text", "doc_id")).limit(SAMPLE_DOCS)
-    sample = [r.data for r in short.mapInArrow(_sample(*how), "data binary").collect()]  # at most SAMPLE_DOCS of SAMPLE_BYTES
+    sample = [r.data for r in _short(rows).mapInArrow(_sample(*how), "data binary").collect()]  # at most SAMPLE_DOCS of SAMPLE_BYTES
     dictionary = train(sample)
     of = hashlib.sha256(dictionary)
     frames = C.materialize(rows.mapInArrow(_frames(*how, dictionary), "doc_id long, n_tokens long, frame binary"))
