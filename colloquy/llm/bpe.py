@@ -4,9 +4,10 @@ A token sequence is what the merges make of a piece of text exactly if each toke
 they make of its own bytes and each two neighbours are what they make of the two together.
 So the merges are a finite-state transducer: it guesses where tokens begin, and a guess lives
 while the bytes after it are the beginning of a token.  The guesses alive at a byte are one
-state of the determinised machine, built when first met.  A token is emitted as soon as all
-live guesses rest on it; a guess dies after the longest token's bytes at the latest, so
-lookahead is bounded.
+state of the determinised machine, built when first met.  Which token ends at a byte is told
+beside the machine, by a stored pointer to the token before it; tokens leave at the end of a
+piece, or every stretch of a long one.  A guess dies after the longest token's bytes at the
+latest, so lookahead is bounded.
 
 Decoding is a stream of ids: text comes out through an incremental UTF-8 machine that holds
 back the bytes of an unfinished character.  What a token gives between two characters is
