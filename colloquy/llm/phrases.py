@@ -23,7 +23,7 @@ A language may hold all rows: blocks follow a hash of the document, ranks are dr
 Defined cases: a null or blank text has no words; a null language is `und`, as is the
 language of that name; an empty table gives no rows; a language without candidates gives
 none; a very long text is one document of its block; repeated rows count as often as they
-occur; documents without ids are dealt by their texts; ties go by score, a and the phrase's
+occur; documents without ids are dealt by their texts, so equal ones share a block; ties go by score, a and the phrase's
 bytes; other columns are ignored.
 """
 
