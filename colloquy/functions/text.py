@@ -43,8 +43,8 @@ def clean_utterance(raw: Column) -> Column:
     text = trim(F.coalesce(raw, F.lit("")))
     open_ = F.regexp_replace(F.regexp_replace(text, FENCE_OPEN, ""), FENCE_CLOSE, "")
     text = F.when(text.startswith("```"), open_).otherwise(text)
-    lines = F.filter(F.transform(F.split(text, LINE), clean_line), lambda x: x != "")
-    return F.coalesce(F.try_element_at(lines, F.lit(1)), F.lit(""))
+    # lines after the first that is left are not cleaned
+    return F.aggregate(F.split(text, LINE), F.lit(""), lambda found, x: F.when(found != "", found).otherwise(clean_line(x)))
 
 
 def _any(c: Column, cues) -> Column:

@@ -145,9 +145,33 @@ def carried_lag(rows: DataFrame, by: tuple[str, ...], order: tuple[str, ...], va
     return out.withColumn(name, F.when(F.col("_f") & (F.col("_g") == group), F.col("_v")).otherwise(F.col(name))).drop("_p", "_f", "_g", "_v")
 
 
-def turn_markers(words: DataFrame, main: str = R.SPEAKER_AGENT, by: tuple[str, ...] = ("clip",)) -> DataFrame:
-    """words with marker: 'bos' where the main speaker begins, 'eos' where another follows the main one."""
-    out = carried_lag(words, by, ("start_sec", "pos"), "speaker", "_b")
+def lag_in_spans(rows: DataFrame, by: tuple[str, ...], order: tuple[str, ...], value: str, name: str, span: float) -> DataFrame:
+    """As carried_lag(), for a number as the first column of the order: ranges are its spans, which a projection gives.
+
+    One exchange by (by, span): lag() reaches within a span, and the first row of a span takes the last value of the group's
+    span before, of which there is one row for each span.  Nothing is written, and no task has more than a span's rows.
+    """
+    x = F.col(order[0]).cast("double")
+    ends = F.lit(-1 << 63), F.lit((1 << 63) - 1)  # nulls sort first, NaN last
+    place = F.when(F.isnan(x), ends[1]).otherwise(F.coalesce(F.floor(x / span), ends[0]))
+    cut = rows.withColumn("_k", F.struct(*by, place.alias("_r")))  # as one key, whose null fields are equal
+    w = Window.partitionBy("_k").orderBy(*order)
+    out = cut.withColumn(name, F.lag(value).over(w)).withColumn("_f", F.row_number().over(w) == 1)
+    # a struct, as the last value may be null
+    last = cut.groupBy("_k").agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("_v"))
+    before = last.withColumn("_v", F.lag("_v").over(Window.partitionBy(*[f"_k.{c}" for c in by]).orderBy("_k._r"))).where("_v is not null")
+    out = out.join(before, "_k", "left")
+    return out.withColumn(name, F.when(F.col("_f"), F.col("_v.v")).otherwise(F.col(name))).drop("_k", "_v", "_f")
+
+
+def turn_markers(words: DataFrame, main: str = R.SPEAKER_AGENT, by: tuple[str, ...] = ("clip",), span: float = 600.0) -> DataFrame:
+    """words with marker: 'bos' where the main speaker begins, 'eos' where another follows the main one.
+
+    Words lie in spans of so many seconds of their clip; None: in ranges that are sampled and written, for clips whose times
+    do not tell words apart.
+    """
+    order = "start_sec", "pos"
+    out = lag_in_spans(words, by, order, "speaker", "_b", span) if span else carried_lag(words, by, order, "speaker", "_b")
     mark = F.when(F.col("speaker").eqNullSafe(F.col("_b")), None).when(F.col("speaker") == main, "bos").when(F.col("_b") == main, "eos")
     return out.withColumn("marker", mark).drop("_b")
 

@@ -125,15 +125,36 @@ def read_sidecars(spark, d):
     return out.select("readable", "n", "total", F.coalesce("n_words", F.lit(0)).alias("n_words"))
 
 
-@query("select s_suppkey - (select min(s_suppkey) from supplier) as pos, s_name as name, case s_suppkey % 5 when 0 then 'F' when 1 then 'M' when 2 then 'F' when 3 then 'M' else '' end as gender from supplier")
-def read_voices(spark, d):
+def _voice_list(spark, d, path):
     v = view(spark, d, "fx_voices")
     entry = F.struct(F.col("name").alias("id"), F.concat("name", F.lit(".wav")).alias("wav"), F.lit("").alias("text"), F.lower("gender").alias("gender"))
     one = v.agg(F.array_sort(F.collect_list(F.struct("pos", entry.alias("e")))).alias("s")).select(F.to_json(F.struct(F.transform("s", lambda x: x["e"]).alias("speakers"))).alias("value"))
-    one.coalesce(1).write.text(f"{(path := _new(spark))}/manifest.json")
+    one.coalesce(1).write.text(f"{path}/manifest.json")
+
+
+@query("select s_suppkey - (select min(s_suppkey) from supplier) as pos, s_name as name, case s_suppkey % 5 when 0 then 'F' when 1 then 'M' when 2 then 'F' when 3 then 'M' else '' end as gender from supplier")
+def read_voices(spark, d):
+    _voice_list(spark, d, path := _new(spark))
     return IO.read_voices(spark, path).select(F.col("pos").cast("long").alias("pos"), "name", "gender")
 
 
+_TONE = "list_transform(range(40 + s_suppkey % 50), lambda k: ((k * s_suppkey) % 101) / 202e0)"
+
+
+@query(f"""select s_suppkey - (select min(s_suppkey) from supplier) as pos, s_name as name, 16000 as sample_rate, case when s_suppkey % 7 > 0 then 40 + s_suppkey % 50 end as n,
+  case when s_suppkey % 7 > 0 then list_sum(list_transform({_TONE}, lambda v: round_even(v::float::double * 32767, 0) / 32768)) end as total from supplier""")
+def read_voice_audio(spark, d):
+    """A voice list with the voices' files beside it; one voice in seven has none."""
+    _voice_list(spark, d, path := _new(spark))
+    key = F.col("s_suppkey")
+    tone = F.transform(F.sequence(F.lit(0), 39 + key % 50), lambda k: ((k * key) % 101 / 202.0).cast("float"))
+    with_file = view(spark, d, "supplier").where(key % 7 > 0)
+    write_files(A.wav_contents(with_file.select(F.concat("s_name", F.lit(".wav")).alias("name"), tone.alias("left"), F.lit(None).cast("array<float>").alias("right")), 16_000), path)
+    out = IO.read_voice_audio(spark, path, 16_000)
+    total = F.aggregate("pcm", F.lit(0.0), lambda a, x: a + x.cast("double"))
+    return out.select(F.col("pos").cast("long").alias("pos"), "name", "sample_rate", F.size("pcm").alias("n"), total.alias("total"))
+
+
 def _wav_folder(spark, t):
     """Every take in a file of its own, named id and take."""
     clips = t.select(F.concat_ws("_", "id", "take").alias("id"), F.col("pcm").alias("left"), F.lit(None).cast("array<float>").alias("right"))

@@ -62,6 +62,31 @@ def read_voices(spark: SparkSession, folder: str) -> DataFrame:
     return out.join(beside, "stem", "left").select("pos", "name", "gender", F.coalesce("own", "beside").alias("text"), "path")
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path as the store that it lies in spells it, as read_files() tells it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
+def read_voice_audio(spark: SparkSession, folder: str, rate: int, *more: str) -> DataFrame:
+    """read_voices() with sample_rate and pcm, mono at the rate; pcm is null if a voice's file is in none of the folders.
+
+    more: folders that the list names by absolute paths.  A file that several voices name is decoded once; files that
+    write_files() committed go by the names they were given (of equal ones the first by path).
+    """
+    voices = read_voices(spark, folder)
+    heard = read_audio(spark, folder, rate)
+    for other in more:
+        heard = heard.unionByName(read_audio(spark, other, rate))
+    given = F.regexp_replace("path", "/job-[0-9a-f]{32}/[0-9a-f]{32}/", "/")
+    heard = heard.groupBy(given.alias("_file")).agg(F.min_by("pcm", "path").alias("pcm"))
+    base, root = _qualified(spark, folder), _qualified(spark, "/").rstrip("/")
+    file = F.when(F.col("path").contains("://"), F.regexp_replace("path", "^file:/+", "file:/")).when(F.col("path").startswith(f"{folder}/"), F.concat(F.lit(base), F.substr("path", F.lit(len(folder) + 1))))
+    file = file.when(F.col("path").startswith("/"), F.concat(F.lit(root), "path")).otherwise(F.col("path"))
+    out = voices.withColumn("_file", file).join(heard, "_file", "left")
+    return out.select("pos", "name", "gender", "text", "path", F.lit(rate).alias("sample_rate"), "pcm")
+
+
 def read_sidecars(spark: SparkSession, path: str) -> DataFrame:
     """One record for each file; a file that is no JSON has duration 0.0 and readable false."""
     out = spark.read.schema(SIDECAR).json(path, multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", pathGlobFilter="*.json", recursiveFileLookup=True)

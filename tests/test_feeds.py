@@ -5,10 +5,12 @@ import pathlib
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from colloquy.operators import audio as A
 from colloquy.operators import clips as C
 from colloquy.functions import rules as R
 from colloquy.functions import text as T
 from colloquy.sources import io as IO
+from colloquy.sources.files import write_files
 from colloquy.streaming import feeds as S
 
 
@@ -27,6 +29,22 @@ def test_users_and_manifests(spark, tmp_path):
     assert IO.count_manifest_rows(spark, [str(tmp_path / "m/b.jsonl")]).first().n == 1
 
 
+def test_voices_with_their_audio(spark, tmp_path):
+    v, x = tmp_path / "v", tmp_path / "far"
+    wav = lambda k: A.encode_wav([[0.25] * k], 8000)
+    speakers = [("one", "one.wav"), ("deep", "sub/deep.wav"), ("again", "one.wav"), ("far", f"{x}/far.wav"), ("uri", f"file:{x}/far.wav".replace("file:/", "file:///")), ("none", "none.wav"), ("own", "own #1.wav")]
+    lines(v / "manifest.json", [{"speakers": [{"id": n, "wav": w, "text": "t", "gender": "m"} for n, w in speakers]}])
+    (v / "sub").mkdir()
+    x.mkdir()
+    for path, k in ((v / "one.wav", 80), (v / "sub/deep.wav", 40), (x / "far.wav", 20)):
+        path.write_bytes(wav(k))
+    write_files(spark.createDataFrame([("own #1.wav", bytearray(wav(10)))], "name string, content binary"), str(v))
+    got = {r.name: r.pcm and len(r.pcm) for r in IO.read_voice_audio(spark, str(v), 16_000, str(x)).collect()}
+    assert got == {"one": 160, "deep": 80, "again": 160, "far": 40, "uri": 40, "none": None, "own": 20}
+    near = {r.name: (r.pcm and len(r.pcm), r.sample_rate, r.gender) for r in IO.read_voice_audio(spark, str(v), 8000).collect()}
+    assert near["far"] == (None, 8000, "M") and near["one"] == (80, 8000, "M")
+
+
 def test_voices_and_sidecars(spark, tmp_path):
     v = tmp_path / "v"
     lines(v / "manifest.json", [{"speakers": [{"id": "", "wav": "one.wav", "text": "", "gender": "f"}, {"id": "Two", "wav": "/x/two.wav", "text": "said", "gender": None}]}])

@@ -42,7 +42,7 @@ def test_markers_of_one_clip_over_many_ranges(spark):
     try:
         spark.conf.set("spark.sql.adaptive.enabled", "false")
         spark.conf.set("spark.sql.shuffle.partitions", "13")
-        got = {(r.clip, r.pos): r.marker for r in M.turn_markers(df).collect()}
+        got, *others = ({(r.clip, r.pos): r.marker for r in M.turn_markers(df, span=s).collect()} for s in (None, 600.0, 7.0, 0.5))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -51,10 +51,20 @@ def test_markers_of_one_clip_over_many_ranges(spark):
         last = before[1] if before[0] == c else None
         want[c, i] = None if who == last else "bos" if who == "SPEAKER_BROKER" else "eos" if last == "SPEAKER_BROKER" else None
         before = (c, who)
-    assert got == want
+    assert got == want and all(x == want for x in others)
     assert M.turn_markers(df.limit(0)).count() == 0
 
 
+def test_markers_of_odd_times_and_nulls(spark):
+    inf, nan = float("inf"), float("nan")
+    main = "SPEAKER_BROKER"
+    rows = [("a", None, 1, 0, main), ("a", None, 1, 1, None), ("a", None, -inf, 2, main), ("a", None, 5.0, 3, main), ("a", None, inf, 4, "x"), ("a", None, nan, 5, main), ("a", None, None, 6, "x"), (None, 1, 9.0, 0, main), (None, 1, 1.0, 1, main)]
+    df = spark.createDataFrame([(c, k, None if s is None else float(s), p, w) for c, k, s, p, w in rows], "clip string, part int, start_sec double, pos int, speaker string")
+    got = {(r.clip, r.pos): r.marker for r in M.turn_markers(df, by=("clip", "part"), span=2.0).collect()}
+    # in order: null, -inf, 1 (two), 5, inf, NaN
+    assert got == {("a", 6): None, ("a", 2): "bos", ("a", 0): None, ("a", 1): "eos", ("a", 3): "bos", ("a", 4): "eos", ("a", 5): "bos", (None, 1): "bos", (None, 0): None}
+
+
 def test_wide_logits_equal_the_fold(spark):
     rnd = np.random.default_rng(1)
     x = (rnd.normal(size=(40, 32_000)) * 5).astype(np.float32)
