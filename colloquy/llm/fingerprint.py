@@ -1,8 +1,11 @@
 """Document fingerprints: Merkle trees over sections, paragraphs and sentences.
 
 A document is sections (parted by blank lines or headings), a section is paragraphs (lines),
-a paragraph is sentences.  Leaves are hashed with their words' bytes, inner nodes with their
-children's hashes; the root also takes the whole text, so that equal roots mean equal texts.
+a paragraph is sentences.  A sentence ends at . ! ? or their full-width forms; one of more than
+MOST characters (lists, tables, scripts without stops) is cut into leaves where the hash of the
+last WINDOW characters says so, thus at the same places wherever the same words stand: an edit
+changes the leaves around it and no others.  Leaves are hashed with their words' bytes, inner
+nodes with their children's hashes; the root also takes the whole text, so that equal roots mean equal texts.
 The fingerprint string lists the tree, hence two strings are enough to test equality (the
 roots) and to find what differs (descend where hashes differ).
 
@@ -26,6 +29,7 @@ import re
 from bisect import bisect_right
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
@@ -33,8 +37,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BUCKET_BYTES = 16 << 20
+MOST_BUCKETS = 1 << 16  # so many keys at most are known to all tasks; buckets of larger inputs are larger
 OUT_BYTES = 8 << 20
-SENTENCE = re.compile(r"[^.!?]*[.!?]*")
+SENTENCE = re.compile(r"[^.!?。！？｡]*[.!?。！？｡]*")
+LEAST, MOST, WINDOW = 16, 128, 8  # characters of a cut leaf, and of the hash that cuts
+SLICE = 1 << 16  # characters hashed at once
 #: A heading begins a section: a markdown or numbered title line.
 HEADING = re.compile(r"(?:#{1,6} |\d+(?:\.\d+)*\.? {1,3}[A-Z][^.!?]{0,80}$)")
 
@@ -48,16 +55,62 @@ def _hash(data: bytes) -> str:
     return xxhash.xxh3_64_hexdigest(data)
 
 
+def marks(text: str) -> np.ndarray:
+    """Behind which characters a long sentence may be cut: where the hash of the last WINDOW ones is low, one place in 64."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    found = []
+    for start in range(0, len(codes), SLICE):
+        x = codes[max(0, start - WINDOW + 1) : start + SLICE].astype(np.uint64)
+        h, by = np.zeros(len(x), np.uint64), np.uint64(0x9E3779B97F4A7C15)
+        with np.errstate(over="ignore"):
+            for k in range(min(WINDOW, len(x))):
+                h[k:] += x[: len(x) - k] * by
+                by *= np.uint64(0xD6E8FEB86659FD93)
+        before = start - max(0, start - WINDOW + 1)
+        found.append(np.flatnonzero(h[before:] >> np.uint64(58) == 0) + start + 1)
+    return np.concatenate(found) if found else np.empty(0, np.int64)
+
+
+def pieces(start: int, end: int, at: np.ndarray) -> list[int]:
+    """Where the leaves of the sentence text[start:end] end: pieces of LEAST to MOST characters, cut at marks; the last may be shorter."""
+    ends, last = [], start
+    for mark in [*at[np.searchsorted(at, start + LEAST) : np.searchsorted(at, end)].tolist(), end]:
+        while mark - last > MOST:
+            last += MOST
+            ends.append(last)
+        if mark - last >= LEAST:
+            last = mark
+            ends.append(last)
+    if last < end:
+        ends.append(end)
+    return ends
+
+
+def _leaf(s: str) -> str:
+    return f"{xxhash.xxh32_hexdigest(s.encode('utf-8', 'surrogatepass'))}.{len(s)}"
+
+
 def tree(text: str | None) -> str:
     """The fingerprint string."""
     text = text or ""
     sections: list[list[str]] = [[]]
+    begins, at = 0, None
     for line in text.split("\n"):
         blank = not line.strip()
         if (blank or HEADING.match(line)) and sections[-1]:
             sections.append([])
         if not blank:
-            sections[-1].append(",".join(f"{xxhash.xxh32_hexdigest(s.encode('utf-8', 'surrogatepass'))}.{len(s)}" for s in SENTENCE.findall(line) if s))
+            leaves, first = [], begins
+            for s in SENTENCE.findall(line):
+                if len(s) > MOST:
+                    at = marks(text) if at is None else at
+                    ends = pieces(first, first + len(s), at)
+                    leaves += [_leaf(text[i:j]) for i, j in zip([first, *ends], ends)]
+                elif s:
+                    leaves.append(_leaf(s))
+                first += len(s)
+            sections[-1].append(",".join(leaves))
+        begins += len(line) + 1
     parts = [f"{_hash(body.encode())}:{body}" for body in (";".join(s) for s in sections if s)]
     whole = hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()[:16]
     inner = "".join(p[:16] for p in parts).encode()
@@ -81,7 +134,7 @@ def likeness(one: str, two: str) -> float:
 
 
 def edits(one: str, two: str) -> list[tuple[int, int, int]]:
-    """Where one's tree leaves two's: (section, paragraph, sentence) of one's leaves that two has not.
+    """Where one's tree leaves two's: (section, paragraph, leaf) of one's leaves that two has not.
 
     Sections whose hash two has are skipped whole, paragraphs likewise; only the rest is
     compared leaf by leaf.
@@ -140,12 +193,12 @@ def compare_with_next(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> Data
     """docs(doc_id, text) -> fingerprints of each text and of its edit with the next document.
 
     The keys alone are dealt into ranges first; where the ranges begin (one key for each
-    bucket_bytes of text) is known to all tasks.  Then one shuffle puts the documents into
+    bucket_bytes of text, MOST_BUCKETS at most) is known to all tasks.  Then one shuffle puts the documents into
     their ranges, the first of each range into the range before it too, as the next document
     of its last row; a task walks through its sorted rows.
     """
     total = docs.agg(F.sum(F.octet_length("text")), F.count("*")).first()
-    n = max(1, min(total[1], -(-(total[0] or 0) // bucket_bytes)))
+    n = max(1, min(total[1], -(-(total[0] or 0) // bucket_bytes), MOST_BUCKETS))
     null, falling = F.col("doc_id").isNull(), F.coalesce(F.bitwise_not(F.col("doc_id").cast("long")), F.lit(0))  # ~x falls as x grows
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", null.alias("null"), falling.alias("falling"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"))
     keys = rows.select("null", "falling", "tie").repartitionByRange(n, "null", "falling", "tie")

@@ -47,6 +47,46 @@ def test_likeness_against_sentences():
         assert (M.tree(a).split("|")[0] == M.tree(b).split("|")[0]) == (a == b)
 
 
+def slow_pieces(text):
+    """Character by character, with Python's own integers."""
+    if len(text) <= M.MOST:
+        return [text]
+    powers = [0x9E3779B97F4A7C15 * 0xD6E8FEB86659FD93**k for k in range(M.WINDOW)]
+    out, now = [], ""
+    for i, c in enumerate(text):
+        now += c
+        h = sum(ord(text[i - k]) * powers[k] for k in range(min(i + 1, M.WINDOW))) % 2**64
+        if len(now) == M.MOST or (h >> 58 == 0 and len(now) >= M.LEAST):
+            out.append(now)
+            now = ""
+    return out + [now] if now else out
+
+
+def test_pieces_of_long_sentences(monkeypatch):
+    rnd = random.Random(8)
+    for text in ["x" * 1000, "", "ab", "y" * 128, "y" * 129, "é😀" * 300, *("".join(rnd.choices("abc é本\ud800", k=rnd.randint(200, 3000))) for _ in range(40))]:
+        cut = lambda t: [t[i:j] for e in [M.pieces(0, len(t), M.marks(t)) if len(t) > M.MOST else [len(t)]] for i, j in zip([0, *e], e)]
+        want, size = cut(text), M.SLICE
+        assert want == slow_pieces(text) and "".join(want) == text
+        monkeypatch.setattr(M, "SLICE", 100)
+        assert cut(text) == want
+        monkeypatch.setattr(M, "SLICE", size)
+        # a leaf does not depend on what stands before its sentence
+        assert [x for x in M.tree(f"Before. And é this!\n\nMore.{text}").split("|")[-1][17:].split(",")[1:]] == [M._leaf(p) for p in want if p]
+    words = [f"w{rnd.randrange(5000)}" for _ in range(3000)]
+    one = " ".join(words)
+    assert 40 < len(one) / len(slow_pieces(one)) < 160
+    for at in (0, 1500, 2999):  # one word changed, one put in, one taken out: the rest of the leaves stay
+        for new in (words[:at] + ["other"] + words[at + 1 :], words[:at] + ["more"] + words[at:], words[:at] + words[at + 1 :]):
+            assert 0.95 < M.likeness(M.tree(one), M.tree(" ".join(new))) < 1
+    assert 0.6 < M.likeness(M.tree(one), M.tree(M.edited(one, "other " * 5000))) < 0.7
+
+
+def test_full_width_stops():
+    a, b = "第一句。第二句！第三句？", "第一句。第二句！第四句？"
+    assert abs(M.likeness(M.tree(a), M.tree(b)) - 2 / 3) < 1e-9
+
+
 def brute(docs):
     rows = sorted(docs, key=lambda d: (d[0] is None, -(d[0] or 0)))
     out = []
@@ -58,11 +98,13 @@ def brute(docs):
     return sorted(out, key=str)
 
 
-def test_next_document(spark):
+def test_next_document(spark, monkeypatch):
     docs = [(i * 7 % 101, f"Text {i} é😀. " * (i % 9) + "\n" + "Line. " * (i % 4)) for i in range(90)] + [(500, None), (501, ""), (None, "no id at all"), (-4, "below")]
     for size in (1 << 23, 900, 100):
         got = M.compare_with_next(spark.createDataFrame([(*d, "x") for d in docs], DOC + ", bucket string").repartition(5), size).collect()
         assert sorted(map(tuple, got), key=str) == brute(docs)
+    monkeypatch.setattr(M, "MOST_BUCKETS", 3)
+    assert sorted(map(tuple, M.compare_with_next(spark.createDataFrame(docs, DOC), 100).collect()), key=str) == brute(docs)
 
 
 def test_small_tables(spark):
