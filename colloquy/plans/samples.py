@@ -226,16 +226,16 @@ def injection_stats(spark, d):
 
 # the prompt: text tokens by the take's length, silence on the agent's rows, a sine on the user's; one take in four has none
 _CODES = """(select id, take, k, list_concat(case when n_chars % 4 = 0 then [] when k = 0 then list_transform(range(n_chars % 7 + 2), lambda i: cast(100 + i as int)) else list_transform(range(n_chars % 7 + 2), lambda i: case when k <= 8 then -10 else -20 end) end,
-  list_transform(pcm, lambda v: cast(floor(v * 100) as int) + k)) as codes, n_chars from fx_takes, (select unnest(range(17))::int as k))"""
+  list_transform(pcm, lambda v: cast(floor(v::double * 100) as int) + k)) as codes, n_chars from fx_takes, (select unnest(range(17))::int as k))"""
 
 
 @query(f"select id, take, k, len(codes) as n, md5(array_to_string(codes, ' ')) as hash from {_CODES}")
 def assemble_codes(spark, d):
-    """17 rows: text, eight agent rows, eight user rows."""
+    """17 rows: text, eight agent rows, eight user rows.  Codes are the floor of 100 times a sample, in doubles: exact, where floats round up to a whole number."""
     n = F.col("n_chars") % 7 + 2
     fill = lambda v: F.array_repeat(F.lit(v), n)
     prompt = F.when(F.col("n_chars") % 4 > 0, F.array(F.transform(F.sequence(F.lit(0), n - 1), lambda i: i + 100), *[fill(M.SILENCE)] * 8, *[fill(M.SINE)] * 8))
-    conversation = F.transform(F.sequence(F.lit(0), F.lit(16)), lambda k: F.transform("pcm", lambda x: F.floor(x * 100).cast("int") + k))
+    conversation = F.transform(F.sequence(F.lit(0), F.lit(16)), lambda k: F.transform("pcm", lambda x: F.floor(x.cast("double") * 100).cast("int") + k))
     out = view(spark, d, "fx_takes").select("id", "take", F.posexplode(M.assemble_codes(prompt, conversation)).alias("k", "codes"))
     return out.select("id", "take", "k", F.size("codes").cast("long").alias("n"), F.md5(text("codes")).alias("hash"))
 
