@@ -152,14 +152,14 @@ def text_stream_queue(spark, d):
     return M.text_stream_queue(_token_words(spark, d), FRAMES).select("clip", "chunk", text("stream").alias("stream"))
 
 
-_TAKE = "list_transform(pcm, lambda x: cast(floor(x * 100) as int))"
+_TAKE = "list_transform(pcm, lambda x: cast(floor(x::double * 100) as int))"
 
 
 @query(f"""select id, take, array_to_string(list_concat(list_concat(t[1:least(made, conv)], list_resize([]::int[], greatest(least(made, conv) - len(t), 0), 3)), list_resize([]::int[], greatest(conv - greatest(made, 0), 0), -1)), ' ') as text,
     array_to_string(list_concat(a[1:conv], list_resize([]::int[], greatest(conv - len(a), 0), -1)), ' ') as audio
   from (select *, cast(ceil(least(len(a), conv) * 12.5e0) as int) as made from (select id, take, {_TAKE} as a, [7, 8, 9]::int[] as t, cast(40 + n_chars as int) as conv from fx_takes))""")
 def pad_streams(spark, d):
-    audio = F.transform("pcm", lambda x: F.floor(x * 100).cast("int"))
+    audio = F.transform("pcm", lambda x: F.floor(x.cast("double") * 100).cast("int"))  # exact; in floats the product may round up
     t, a = M.pad_streams(F.array(*map(F.lit, (7, 8, 9))), audio, F.lit(40) + F.col("n_chars"))
     return view(spark, d, "fx_takes").select("id", "take", text(t).alias("text"), text(a).alias("audio"))
 
