@@ -27,7 +27,7 @@ def query(sql: str | None = None):
 
 
 def text(c):
-    return F.concat_ws(" ", F.transform(c, lambda x: x.cast("string")))
+    return F.concat_ws(" ", (F.col(c) if isinstance(c, str) else c).cast("array<string>"))
 
 
 _INDEXED = "(select id, duration, row_number() over (order by id) - 1 as i from fx_clips)"
@@ -171,10 +171,10 @@ _PROMPT = f"(select id, case when {S.index('id', 3)} > 0 then range({S.index('id
     array_to_string(list_concat(coalesce(voice, []), list_resize([]::bigint[], len(tok) + 8, -10))[1:least(total, 23)], ' ') as agent, array_to_string(list_resize([]::int[], least(total, 23), -20), ' ') as "user"
   from (select *, coalesce(len(voice), 0) as v, coalesce(len(voice), 0) + len(tok) + 8 as total from {_PROMPT})""")
 def system_prompt(spark, d):
-    upto = lambda n, base: F.transform(F.filter(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: i < n), lambda i: (i + base).cast("int"))
-    voice = F.when(stable_index("id", 3) > 0, upto(stable_index("id", 9), 0))
-    t, a, u = M.system_prompt(upto(stable_index("user_id", 12), 100), voice, 4, 24)
-    return view(spark, d, "fx_clips").select("id", text(t).alias("text"), text(a).alias("agent"), text(u).alias("user"))
+    upto = lambda n, base, most: F.slice(F.array(*[F.lit(base + i) for i in range(most)]), 1, n.cast("int"))
+    clips = view(spark, d, "fx_clips").select("id", upto(stable_index("user_id", 12), 100, 12).alias("tokens"), F.when(stable_index("id", 3) > 0, upto(stable_index("id", 9), 0, 9)).alias("voice"))
+    t, a, u = M.system_prompt(F.col("tokens"), F.col("voice"), 4, 24)
+    return clips.select("id", text(t).alias("text"), text(a).alias("agent"), text(u).alias("user"))
 
 
 _VOICE = f"(select id, path, case when {S.index('id', 2)} = 0 then concat('/clips/voice', {S.index('id', 20)}) else concat('voice', {S.index('id', 20)}) end as voice from fx_clips)"

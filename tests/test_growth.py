@@ -16,3 +16,7 @@ def test_clips_of_one_row_group_are_many_tasks(spark, tmp_path):
     spark.range(20_000).select(F.col("id").alias("c_custkey")).coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
     clips = view(spark, str(tmp_path), "fx_clips")
     assert clips.rdd.getNumPartitions() == 5 and clips.select("id").distinct().count() == clips.count() > 300_000
+
+
+def test_prompts_are_built_without_lambdas(spark):
+    assert "lambda" not in plan(entry.queries()["system_prompt"](spark, D))
