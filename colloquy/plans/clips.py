@@ -103,7 +103,9 @@ def patch_prompts(spark, d):
         "res_emotion", (stable_index("id", 6) > 0).alias("readable"),
         F.when(stable_index("id", 4) == 0, T.text_prompt(F.col("res_emotion"))).otherwise("old").alias("text_prompt"))
     out = C.patch_prompts(sidecars, F.col("res_emotion"), T.text_prompt, R.EMOTIONS)
-    return out.groupBy("outcome").agg(F.count("*").alias("n"), F.min("text_prompt").alias("least"), F.max("text_prompt").alias("most"))
+    # by prompt first: strings are no buffers of a hash aggregate, and least and most of all rows would sort them all
+    each = out.groupBy("outcome", "text_prompt").agg(F.count("*").alias("n"))
+    return each.groupBy("outcome").agg(F.sum("n").alias("n"), F.min("text_prompt").alias("least"), F.max("text_prompt").alias("most"))
 
 
 @query(f"""select version, text_prompt, count(*) as n from (select 1 as version, case when {S.index('id', 4)} = 0 then concat('Answer with a ', res_emotion, ' tone.') else 'old' end as text_prompt from fx_clips

@@ -20,3 +20,9 @@ def test_clips_of_one_row_group_are_many_tasks(spark, tmp_path):
 
 def test_prompts_are_built_without_lambdas(spark):
     assert "lambda" not in plan(entry.queries()["system_prompt"](spark, D))
+
+
+def test_outcomes_are_told_from_few_prompts(spark):
+    """No sort of all rows: strings are compared once rows are grouped by them."""
+    text = plan(entry.queries()["patch_prompts"](spark, D))
+    assert text.count("HashAggregate") >= 2 and "HashAggregate(keys=[outcome" in text and text.index("SortAggregate") < text.index("HashAggregate")
