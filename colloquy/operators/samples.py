@@ -48,17 +48,18 @@ def global_index(rows: DataFrame, *order: str, name: str = "i") -> DataFrame:
     Range partitioning sorts; each partition numbers its rows; sums of the partitions' sizes,
     one row for each partition, are the offsets.
     """
-    # the partition number is fixed by writing the ordered rows once
-    parted = rows.repartitionByRange(*[F.col(c) for c in order]).withColumn("_p", F.spark_partition_id())
+    # partition and place are fixed by writing the ordered rows once
+    parted = rows.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order).withColumn("_m", F.monotonically_increasing_id())
     kept = materialize(parted)
-    sizes = kept.groupBy("_p").agg(F.count("*").alias("n")).collect()  # one row for each partition
+    part = F.shiftright("_m", 33).cast("int")  # the id holds the partition, then the row in it
+    sizes = kept.groupBy(part.alias("_p")).agg(F.count("*").alias("n")).collect()  # one row for each partition
     offset, at = [], 0
     for r in sorted(sizes, key=lambda r: r["_p"]):
         offset.append((r["_p"], at))
         at += r["n"]
     starts = rows.sparkSession.createDataFrame(offset, "_p int, _o long")
-    local = F.row_number().over(Window.partitionBy("_p").orderBy(*order)) - 1
-    return kept.withColumn("_l", local).join(F.broadcast(starts), "_p").withColumn(name, F.col("_o") + F.col("_l")).drop("_p", "_l", "_o")
+    local = F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))
+    return kept.withColumn("_p", part).join(F.broadcast(starts), "_p").withColumn(name, F.col("_o") + local).drop("_p", "_m", "_o")
 
 
 def shard_assign(indexed: DataFrame, world: int, name: str = "i") -> DataFrame:

@@ -26,3 +26,12 @@ def test_outcomes_are_told_from_few_prompts(spark):
     """No sort of all rows: strings are compared once rows are grouped by them."""
     text = plan(entry.queries()["patch_prompts"](spark, D))
     assert text.count("HashAggregate") >= 2 and "HashAggregate(keys=[outcome" in text and text.index("SortAggregate") < text.index("HashAggregate")
+
+
+def test_places_in_an_order_need_one_exchange(spark):
+    from colloquy.operators import samples as M
+
+    rows = spark.range(5000).select(F.md5(F.col("id").cast("string")).alias("k"), "id").repartition(5)
+    got = M.global_index(rows, "k", "id")
+    assert "Window" not in plan(got)
+    assert [r.id for r in got.orderBy("i").collect()] == [r.id for r in rows.orderBy("k", "id").collect()] and got.agg(F.max("i")).first()[0] == 4999
