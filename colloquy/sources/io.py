@@ -14,6 +14,7 @@ from colloquy.functions import text as T
 from colloquy.operators import audio as A
 from colloquy.operators import clips as C
 from colloquy.sources.files import read_files, write_files
+from colloquy.sources.scratch import materialize
 
 USERS = "user_id string, curr_emotion string, topic string, text string"
 DIALOGUES = "id string, user_id string, curr_emotion string, res_emotion string, user_text string, agent_text string, topic string"
@@ -140,6 +141,7 @@ def write_manifests(split: DataFrame, path: str, fraction: float, seed: int) ->
     manifest_by_mapping (count and seconds of each mapping) and mapping_ids (the clips of each, a line for each clip: a
     list in one line has no bound)."""
     mapping = F.concat_ws("->", "curr_emotion", "res_emotion").alias("mapping")
+    split = materialize(split.select("id", "path", "duration", "curr_emotion", "res_emotion", "index", "split"))  # the split is made once
     for side in ("train", "val"):
         write_lines(split.where(F.col("split") == side).select("path", "duration"), f"{path}/{side}.jsonl")
     write_lines(C.split_report(split, fraction, seed), f"{path}/split_manifest.json")

@@ -35,3 +35,18 @@ def test_places_in_an_order_need_one_exchange(spark):
     got = M.global_index(rows, "k", "id")
     assert "Window" not in plan(got)
     assert [r.id for r in got.orderBy("i").collect()] == [r.id for r in rows.orderBy("k", "id").collect()] and got.agg(F.max("i")).first()[0] == 4999
+
+
+def test_manifests_make_the_split_once(spark, tmp_path):
+    from colloquy.sources import io as IO
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def side(i):
+        seen.add(1)
+        return "val" if i % 10 == 0 else "train"
+
+    rows = spark.range(50).select(F.concat(F.lit("happy_sad_"), "id").alias("id"), F.lit("p").alias("path"), F.lit(1.0).alias("duration"), F.lit("happy").alias("curr_emotion"), F.lit("sad").alias("res_emotion"), F.col("id").alias("index"))
+    IO.write_manifests(rows.withColumn("split", side("index")), f"{tmp_path}/m", 0.1, 7)
+    assert seen.value == 50
