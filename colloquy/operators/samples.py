@@ -5,11 +5,13 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colloquy.functions import rules as R
+from colloquy.operators.waves import with_waves
 from colloquy.sources.scratch import materialize
 
 RATE, CHUNK_SEC, BUDGET = 12.5, 40.0, 120
@@ -238,14 +240,40 @@ def queue_stream(tokens: list, starts: list, ends: list, frames: int, rate: floa
     return out.tolist()
 
 
-def text_stream_queue(words: DataFrame, frames: int, rate: float = RATE, by: tuple[str, ...] = ("clip", "chunk")) -> DataFrame:
-    rows = words.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("start_sec", "pos", "end_sec", "tokens"))).alias("w"))  # a chunk's words
+def queue_streams(words: pa.Array, frames: int, rate: float = RATE) -> pa.Array:
+    """queue_stream() of many chunks at once: lists of (start_sec, ..., end_sec, tokens) in order, over flat buffers.
+
+    The running maximum of all chunks is one: each chunk's numbers are lifted above those of the chunks before it.
+    """
+    counts = pc.fill_null(pc.list_value_length(words), 0).to_numpy()
+    flat, of, chunks = words.flatten(), np.repeat(np.arange(len(counts)), counts), np.arange(len(counts))
+    out = np.full(len(counts) * frames, PAD, np.int32)
+    if len(flat):
+        number = lambda c: pc.struct_field(flat, c).cast(pa.float64()).to_numpy(zero_copy_only=False)
+        tokens = pc.struct_field(flat, "tokens")
+        n = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy().astype(np.int64)
+        first = np.clip(np.floor(number("start_sec") * rate), 0, frames).astype(np.int64)  # what begins later is never seen
+        total = np.cumsum(n) - n
+        before = total - np.repeat(total[(np.cumsum(counts) - counts)[counts > 0]], counts[counts > 0])
+        free = first - before
+        low, width = free.min(), np.ptp(free) + 1
+        begin = np.maximum.accumulate(free - low + of * width) - of * width + low + before
+        # the word begun last at each frame
+        t, chunk = np.tile(np.arange(frames), len(counts)), np.repeat(chunks, frames)
+        now = np.searchsorted(of * (frames + 1) + first, chunk * (frames + 1) + t, "right") - 1
+        until = np.trunc(number("end_sec") * rate)
+        out[(now >= 0) & (of[now] == chunk) & (t <= until[now])] = IN_WORD
+        at = np.repeat(begin - total, n) + np.arange(n.sum())
+        seen = at < frames
+        at, place, ids = at[seen], (np.repeat(of, n) * frames + at)[seen], tokens.flatten().to_numpy()[seen]
+        out[place[at > 0] - 1] = END_OF_PAD
+        out[place] = ids
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(counts) + 1, dtype=np.int32) * frames), pa.array(out))
 
-    @F.pandas_udf("array<int>")
-    def run(w: pd.Series) -> pd.Series:
-        return w.map(lambda x: queue_stream([list(r["tokens"]) for r in x], [r["start_sec"] for r in x], [r["end_sec"] for r in x], frames, rate))
 
-    return rows.select(*by, run("w").alias("stream"))
+def text_stream_queue(words: DataFrame, frames: int, rate: float = RATE, by: tuple[str, ...] = ("clip", "chunk")) -> DataFrame:
+    rows = words.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("start_sec", "pos", "end_sec", "tokens"))).alias("w"))  # a chunk's words
+    return with_waves(rows, "stream array<int>", ["w"], lambda a: [queue_streams(a["w"], frames, rate)]).select(*by, "stream")
 
 
 def pad_streams(text: Column, audio: Column, conv_frames: Column, rate: float = RATE, seconds: bool = False) -> tuple[Column, Column]:

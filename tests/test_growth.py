@@ -50,3 +50,21 @@ def test_manifests_make_the_split_once(spark, tmp_path):
     rows = spark.range(50).select(F.concat(F.lit("happy_sad_"), "id").alias("id"), F.lit("p").alias("path"), F.lit(1.0).alias("duration"), F.lit("happy").alias("curr_emotion"), F.lit("sad").alias("res_emotion"), F.col("id").alias("index"))
     IO.write_manifests(rows.withColumn("split", side("index")), f"{tmp_path}/m", 0.1, 7)
     assert seen.value == 50
+
+
+def test_streams_of_many_chunks_equal_those_of_each():
+    import numpy as np
+    import pyarrow as pa
+
+    from colloquy.operators import samples as M
+
+    rnd = np.random.default_rng(5)
+    chunks = [[]]
+    for _ in range(400):
+        starts = np.sort(rnd.uniform(-0.5, 12.0, int(rnd.integers(0, 9))))
+        chunks.append([{"start_sec": float(s), "pos": i, "end_sec": float(s + rnd.uniform(0, 2)), "tokens": rnd.integers(100, 200, int(rnd.integers(0, 30))).tolist()} for i, s in enumerate(starts)])
+    kind = pa.list_(pa.struct([("start_sec", pa.float64()), ("pos", pa.int64()), ("end_sec", pa.float64()), ("tokens", pa.list_(pa.int32()))]))
+    each = [M.queue_stream([w["tokens"] for w in c], [w["start_sec"] for w in c], [w["end_sec"] for w in c], 120) for c in chunks]
+    assert M.queue_streams(pa.array(chunks, kind), 120).to_pylist() == each
+    assert M.queue_streams(pa.array(chunks, kind)[7:40], 120).to_pylist() == each[7:40]
+    assert M.queue_streams(pa.array([], kind), 120).to_pylist() == []
