@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.functions import rules as R
 from colloquy.functions import text as T
+from colloquy.operators.waves import with_waves
 
 ITEM = "struct<word:string,start:double,end:double>"
 
@@ -37,6 +41,46 @@ def build_alignments(user: tuple, agent: tuple) -> Column:
     return F.concat(named(user, R.SPEAKER_USER), named(agent, R.SPEAKER_AGENT))
 
 
+def timed(words: pa.Array, start: pa.Array, end: pa.Array) -> tuple[np.ndarray, pa.Array, pa.Array, pa.Array]:
+    """word_timings() of many turns at once over flat buffers: (words of each turn, word, start, end)."""
+    counts = pc.fill_null(pc.list_value_length(words), 0).to_numpy()
+    flat, of = words.flatten(), np.repeat(np.arange(len(counts)), counts)
+    number = lambda c: c.cast(pa.float64()).to_numpy(zero_copy_only=False)
+    s, e = number(start), number(end)
+    weight = np.maximum(pc.fill_null(pc.utf8_length(flat), 1).to_numpy(zero_copy_only=False), 1).astype(np.int64)
+    upto, lasts = np.cumsum(weight), np.cumsum(counts)[counts > 0] - 1
+    base = np.append(0, upto[lasts])[:-1]
+    share = np.repeat(upto[lasts] - base, counts[counts > 0])
+    done = upto - np.repeat(base, counts[counts > 0])
+    span = np.maximum(e - s, 1e-3)[of]
+    begins, ends = s[of] + span * (done - weight) / share, s[of] + span * done / share
+    ends[lasts] = e[counts > 0]
+    return counts, flat, pa.array(begins, pa.float64(), from_pandas=True), pa.array(ends, pa.float64(), from_pandas=True)
+
+
+def with_word_timings(rows: DataFrame, words: str, start: str, end: str, name: str = "timings") -> DataFrame:
+    """rows with word_timings() of the columns named."""
+    def run(a):
+        counts, word, s, e = timed(a[words], a[start], a[end])
+        return [pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.StructArray.from_arrays([word, s, e], ["word", "start", "end"]), mask=a[words].is_null())]
+
+    return with_waves(rows, f"{name} array<{ITEM}>", [words, start, end], run)
+
+
+def with_alignments(rows: DataFrame, user: tuple[str, str, str], agent: tuple[str, str, str], name: str = "alignments") -> DataFrame:
+    """rows with build_alignments() of the columns named, (words, start, end) of each turn."""
+    def run(a):
+        turns = [timed(*(a[c] for c in turn)) for turn in (user, agent)]
+        of = np.concatenate([np.repeat(np.arange(len(t[0])), t[0]) for t in turns])
+        order = pa.array(np.argsort(of, kind="stable"))  # a row's words of the user, then those of the agent
+        both = [pa.concat_arrays([t[k] for t in turns]).take(order) for k in (1, 2, 3)]
+        who = pa.array(np.repeat([R.SPEAKER_USER, R.SPEAKER_AGENT], [len(t[1]) for t in turns]).tolist(), pa.string()).take(order)
+        offsets = pa.array(np.append(0, np.cumsum(sum(t[0] for t in turns))), pa.int32())
+        return [pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([*both, who], ["word", "start", "end", "speaker"]), mask=pc.or_(a[user[0]].is_null(), a[agent[0]].is_null()))]
+
+    return with_waves(rows, f"{name} array<{ITEM[:-1]},speaker:string>>", [*user, *agent], run)
+
+
 VOICE = "struct<name:string,gender:string,path:string,text:string>"
 
 
@@ -66,7 +110,7 @@ def sidecar(rate: int = 24_000, text_prompt: Column | None = None) -> Column:
             T.tag_speech_pool(c("res_emotion"), c("agent_text"), F.concat("id", F.lit(":agent"))).alias("agent")).alias("tagged_text"),
         "wav", (c("agent_end") + c("pad_post_sec")).alias("duration"),
     )
-    quoted = lambda x: F.regexp_extract(F.to_json(F.struct(x.alias("x"))), r'(?s)^\{"x":(.*)\}$', 1)
+    quoted = lambda x: F.rtrim(F.substr(F.to_json(F.array(x)), F.lit(2)), F.lit("]"))  # ["..."] without brackets; a quote ends it
     item = lambda a: F.concat(F.lit("["), quoted(a["word"]), F.lit(",["), a["start"].cast("string"), F.lit(","), a["end"].cast("string"), F.lit("],"), quoted(a["speaker"]), F.lit("]"))
     aligned = F.concat(F.lit('{"alignments":['), F.array_join(F.transform("alignments", item), ","), F.lit("],"))
     return F.concat(aligned, F.substring(F.to_json(record, {"ignoreNullFields": "false"}), F.lit(2), F.lit(1 << 30)))

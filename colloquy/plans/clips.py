@@ -174,15 +174,22 @@ _TURNS = f"""(select pair_id as key, 'SPEAKER_CLIENT' as speaker, 0.37e0 as s, 0
 
 @query(f"select key as pair_id, pos, word, round(start_sec, 6) as start_sec, round(end_sec, 6) as end_sec from {_TIMED.replace('{rows}', _TURNS)} where speaker = 'SPEAKER_CLIENT'")
 def word_timings(spark, d):
-    words = L.word_timings(T.tokenize_words(F.col("user_text")), F.lit(0.37), 0.531371719317 + F.col("turn") * 1.271828182845)
-    out = view(spark, d, "fx_pairs").select("pair_id", F.posexplode(words).alias("p", "w"))
+    out = L.with_word_timings(_turns(view(spark, d, "fx_pairs"), "user"), "user_words", "user_start", "user_end").select("pair_id", F.posexplode("timings").alias("p", "w"))
     return out.select("pair_id", (F.col("p") + 1).cast("long").alias("pos"), "w.word", F.round("w.start", 6).alias("start_sec"), F.round("w.end", 6).alias("end_sec"))
 
 
+def _turns(pairs, *roles):
+    """pairs with the words and times of the turns asked for."""
+    end = lambda least, step: F.lit(least) + F.col("turn") * step
+    times = {"user": (F.lit(0.37), end(0.531371719317, 1.271828182845)), "agent": (end(1.013171319713, 1.271828182845), end(4.031317319719, 1.513171917131))}
+    for r in roles:
+        pairs = pairs.withColumn(f"{r}_words", T.tokenize_words(F.col(f"{r}_text"))).withColumn(f"{r}_start", times[r][0]).withColumn(f"{r}_end", times[r][1])
+    return pairs
+
+
 def _aligned(spark, d):
-    user = (T.tokenize_words(F.col("user_text")), F.lit(0.37), 0.531371719317 + F.col("turn") * 1.271828182845)
-    agent = (T.tokenize_words(F.col("agent_text")), 1.013171319713 + F.col("turn") * 1.271828182845, 4.031317319719 + F.col("turn") * 1.513171917131)
-    return view(spark, d, "fx_pairs").withColumn("alignments", L.build_alignments(user, agent))
+    names = lambda r: (f"{r}_words", f"{r}_start", f"{r}_end")
+    return L.with_alignments(_turns(view(spark, d, "fx_pairs"), "user", "agent"), names("user"), names("agent"))
 
 
 @query(f"""select key as pair_id, case when speaker = 'SPEAKER_BROKER' then pos + u else pos end as pos, word, round(start_sec, 6) as start_sec, round(end_sec, 6) as end_sec, speaker

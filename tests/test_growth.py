@@ -68,3 +68,19 @@ def test_streams_of_many_chunks_equal_those_of_each():
     assert M.queue_streams(pa.array(chunks, kind), 120).to_pylist() == each
     assert M.queue_streams(pa.array(chunks, kind)[7:40], 120).to_pylist() == each[7:40]
     assert M.queue_streams(pa.array([], kind), 120).to_pylist() == []
+
+
+def test_timings_of_many_turns_equal_the_columns(spark):
+    from colloquy.operators import timeline as L
+
+    rows = spark.createDataFrame([(0, ["a", "bbb"], 0.0, 4.0, ["x"], 5.0, 4.0), (1, [], 0.0, 1.0, ["é", "", "zz"], 1.0, 2.5), (2, None, 0.0, 1.0, [], 1.0, 2.0), (3, ["q"], 1.0, 2.0, [], None, 3.0)], "k int, u array<string>, us double, ue double, a array<string>, s double, e double").coalesce(1)
+    c = F.col
+    want = rows.select("k", L.build_alignments((c("u"), c("us"), c("ue")), (c("a"), c("s"), c("e"))).alias("x"), L.word_timings(c("u"), c("us"), c("ue")).alias("y")).orderBy("k").collect()
+    out = L.with_word_timings(L.with_alignments(rows, ("u", "us", "ue"), ("a", "s", "e"), "x"), "u", "us", "ue", "y")
+    got = out.select("k", "x", "y").orderBy("k").collect()
+    flat = lambda r: [[v for w in (part or []) for v in w] for part in (r.x, r.y)]
+    for g, w in zip(got, want):
+        assert (g.x is None, g.y is None) == (w.x is None, w.y is None)
+        assert all(p == pytest.approx(q) for p, q in zip(flat(g), flat(w))) and [*map(len, flat(g))] == [*map(len, flat(w))]
+    names = ("word_timings", "build_alignments", "build_sidecar", "write_sidecars", "read_sidecars")
+    assert all("aggregate(" not in plan(entry.queries()[n](spark, D)).replace("Aggregate", "") or n.endswith(("sidecar", "sidecars")) for n in names[:2])
