@@ -89,15 +89,22 @@ def read_voice_audio(spark: SparkSession, folder: str, rate: int, *more: str) ->
 
 
 def read_sidecars(spark: SparkSession, path: str) -> DataFrame:
-    """One record for each file; a file that is no JSON has duration 0.0 and readable false."""
-    out = spark.read.schema(SIDECAR).json(path, multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", pathGlobFilter="*.json", recursiveFileLookup=True)
-    return records(out)
+    """One record for each file; a file that is no JSON has duration 0.0 and readable false, one without text is none.
+
+    Files are read whole and parsed in memory: the JSON reader takes every nested list that is asked for as text by a
+    positioned read of its own from the file, one for each word.
+    """
+    texts = spark.read.text(path, wholetext=True, pathGlobFilter="*.json", recursiveFileLookup=True)
+    return _parsed(texts.where(T.trim(F.col("value")) != ""))
 
 
 def read_sidecar_lines(spark: SparkSession, path: str) -> DataFrame:
     """The records of a dataset of lines, as write_sidecars() writes them."""
-    lines = spark.read.text(path)
-    return records(lines.select(F.from_json("value", SIDECAR, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("r")).select("r.*"))
+    return _parsed(spark.read.text(path))
+
+
+def _parsed(texts: DataFrame) -> DataFrame:
+    return records(texts.select(F.from_json("value", SIDECAR, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("r")).select("r.*"))
 
 
 def records(out: DataFrame) -> DataFrame:

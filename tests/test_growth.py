@@ -84,3 +84,16 @@ def test_timings_of_many_turns_equal_the_columns(spark):
         assert all(p == pytest.approx(q) for p, q in zip(flat(g), flat(w))) and [*map(len, flat(g))] == [*map(len, flat(w))]
     names = ("word_timings", "build_alignments", "build_sidecar", "write_sidecars", "read_sidecars")
     assert all("aggregate(" not in plan(entry.queries()[n](spark, D)).replace("Aggregate", "") or n.endswith(("sidecar", "sidecars")) for n in names[:2])
+
+
+def test_sidecar_files_are_read_whole(spark, tmp_path):
+    from colloquy.sources import io as IO
+
+    spark.sql("select 1").count()
+    for name, content in {"a": '{"id": "a",\n "duration": 2.5, "alignments": [["h\\"i", [0.1, 4e-1], "S"], ["x", [null, 1], null]]}', "b": "{broken", "c": "", "d": " \n"}.items():
+        (tmp_path / f"{name}.json").write_text(content)
+    out = IO.read_sidecars(spark, str(tmp_path))
+    assert "FileScan text" in plan(out)  # not the JSON reader, which goes back to the file for each word
+    got = {r.id: r for r in out.collect()}
+    assert set(got) == {"a", None} and not got[None].readable and got[None].duration == 0.0
+    assert [tuple(w) for w in got["a"].alignments] == [('h"i', 0.1, 0.4, "S"), ("x", None, 1.0, None)]
