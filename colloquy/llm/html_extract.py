@@ -1,11 +1,11 @@
 """Main text of web pages, with site templates removed.
 
-A page is parsed into a tree of elements.  On pages without article and main every block element
+A page is parsed into a tree of elements.  On every page each block element outside article and main
 is hashed with all it holds, and so is the text that the page has beside it.  Spark counts for
 each host and subtree the distinct texts beside it: a subtree that stands beside many different
 texts is a part of the site's template and is deleted.  Copies of a page have one text beside
 each of their parts, so a page that recurs is no template, however often it does; if nothing of a
-page would remain, nothing is deleted.
+page would remain, or none of its articles, nothing is deleted.
 
 What remains is narrowed to the article element (or main, or the body where there is neither)
 without the elements that are never article text: by tag (nav, footer, aside, form, script,
@@ -286,10 +286,13 @@ U64 = (1 << 64) - 1
 
 
 def _subtree_hashes(root: Node) -> list[tuple[int, int, Node]]:
-    """(hash over tag and all content, hash of the text beside it, subtree) of what may be template on a page without article."""
-    order = [root]
+    """(hash over tag and all content, hash of the text beside it, subtree) of what may be template: blocks outside article and main."""
+    order, inside = [root], set()
     for node in order:  # grows as it is read: parents before their kids
-        order += [k for k in node.kids if not isinstance(k, str) and not k.drop]
+        kids = [k for k in node.kids if not isinstance(k, str) and not k.drop]
+        if node.tag in ("article", "main") or id(node) in inside:
+            inside.update(map(id, kids))
+        order += kids
     of: dict[int, bytes] = {}
     text: dict[int, int] = {}  # sums, so that what is beside a subtree is one subtraction
     found = []
@@ -305,7 +308,7 @@ def _subtree_hashes(root: Node) -> list[tuple[int, int, Node]]:
                 own += text[id(k)]
         h = xxhash.xxh3_64_intdigest(b"\0".join(parts))
         of[id(node)], text[id(node)] = h.to_bytes(8, "little"), own & U64
-        if node.parent is not None and node.tag not in INLINE and node.tag not in NEVER:
+        if node.parent is not None and node.tag not in INLINE and node.tag not in NEVER and id(node) not in inside:
             found.append((h, node))
     whole = text[id(root)]
     return [(h - (1 << 63), ((whole - text[id(n)]) & U64) - (1 << 63), n) for h, n in found]
@@ -324,25 +327,26 @@ def _blank(node: Node) -> bool:
 
 
 def _remove(root: Node, found: list[Node]) -> None:
-    """Drop the template subtrees found, unless nothing of the page would remain."""
+    """Drop the template subtrees found, unless nothing of the page would remain or, of a page with articles, none of them."""
+    plain = main_parts(root) == [root]
     for n in found:
         n.drop = HARD
-    if _blank(root):
+    parts = main_parts(root)
+    if all(map(_blank, parts)) or (parts == [root] and not plain):
         for n in found:
             n.drop = 0
 
 
 def subtree_hashes(page: str | None) -> dict[int, int]:
-    """The distinct hashes of a page's candidates, and that of the text beside each; none on a page with an article or main."""
-    root = parse(page or "")
-    return {h: beside for h, beside, _ in _subtree_hashes(root)} if main_parts(root) == [root] else {}
+    """The distinct hashes of a page's candidates, and that of the text beside each."""
+    return {h: beside for h, beside, _ in _subtree_hashes(parse(page or ""))}
 
 
 def extract(page: str | None, template: frozenset = frozenset()) -> str:
     root = parse(page or "")
-    parts = main_parts(root)
-    if template and parts == [root]:
+    if template:
         _remove(root, [n for h, _, n in _subtree_hashes(root) if h in template])
+    parts = main_parts(root)
     blocks, now = [], []
 
     def close():

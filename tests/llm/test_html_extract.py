@@ -173,3 +173,14 @@ def test_pages_against_another_parser(spark):
         plain.feed(r.html)
         plain.close()
         assert got[r.page_id] == " ".join(x for x in (" ".join(b.split()) for b in plain.blocks) if x)
+
+
+def test_templates_count_on_pages_with_articles(spark):
+    card = "<div><p>Also here</p><article><p>Read our guide to ferries.</p></article></div>"
+    rows = [(k, f"https://a.org/{k}", f"<body>{card}<article><p>Story number {k} of its own.</p></article></body>") for k in range(6)]
+    rows += [(10 + k, f"https://b.org/{k}", f"<body>{card}<p>Visit {k}</p></body>") for k in range(6)]  # the only article stays
+    rows += [(20 + k, f"https://c.org/{k}", f"<body><article><div><p>Said in all.</p></div><p>Story {k}.</p></article></body>") for k in range(6)]
+    got = {r.page_id: r.text for r in H.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[k] == f"Story number {k} of its own." for k in range(6))
+    assert all(got[10 + k] == "Read our guide to ferries." for k in range(6))
+    assert all(got[20 + k] == f"Said in all. Story {k}." for k in range(6))
