@@ -97,3 +97,9 @@ def test_sidecar_files_are_read_whole(spark, tmp_path):
     got = {r.id: r for r in out.collect()}
     assert set(got) == {"a", None} and not got[None].readable and got[None].duration == 0.0
     assert [tuple(w) for w in got["a"].alignments] == [('h"i', 0.1, 0.4, "S"), ("x", None, 1.0, None)]
+
+
+@pytest.mark.parametrize("name", ["build_alignments", "build_sidecar"])
+def test_sidecars_time_words_in_batches(spark, name):
+    text = plan(entry.queries()[name](spark, D))
+    assert "MapInArrow" in text and r'\{"x":' not in text
