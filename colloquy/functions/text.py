@@ -21,6 +21,7 @@ OPEN, CLOSE = "^[\"“'`]+", "[\"”'`]+\\z"
 FENCE_OPEN, FENCE_CLOSE = rf"^```(?:\w+)?{WS}*", rf"{WS}*```\z"
 SENTENCE = r"(?s).+?(?:[.!?]+[\"']*|\z)"
 WORD = r"[A-Za-z0-9']+"
+SPOKEN = r"(?<!')'*+[A-Za-z0-9][A-Za-z0-9']*"  # a WORD that is not of quotes alone
 
 
 def trim(c: Column) -> Column:
@@ -76,7 +77,7 @@ def split_sentences(c: Column) -> Column:
 
 
 def tokenize_words(c: Column) -> Column:
-    return F.filter(F.regexp_extract_all(strip_tags(c), F.lit(WORD), F.lit(0)), lambda x: x.rlike("[A-Za-z0-9]"))
+    return F.regexp_extract_all(strip_tags(c), F.lit(SPOKEN), F.lit(0))
 
 
 def text_prompt(emotion: Column, template: str = R.TEXT_PROMPT) -> Column:

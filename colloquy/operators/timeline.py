@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from colloquy.functions import rules as R
 from colloquy.functions import text as T
-from colloquy.operators.waves import with_waves
+from colloquy.operators.waves import cuts, with_waves
 
 ITEM = "struct<word:string,start:double,end:double>"
 
@@ -70,28 +72,83 @@ def with_word_timings(rows: DataFrame, words: str, start: str, end: str, name: s
 def with_alignments(rows: DataFrame, user: tuple[str, str, str], agent: tuple[str, str, str], name: str = "alignments") -> DataFrame:
     """rows with build_alignments() of the columns named, (words, start, end) of each turn."""
     def run(a):
-        turns = [timed(*(a[c] for c in turn)) for turn in (user, agent)]
-        of = np.concatenate([np.repeat(np.arange(len(t[0])), t[0]) for t in turns])
-        order = pa.array(np.argsort(of, kind="stable"))  # a row's words of the user, then those of the agent
-        both = [pa.concat_arrays([t[k] for t in turns]).take(order) for k in (1, 2, 3)]
-        who = pa.array(np.repeat([R.SPEAKER_USER, R.SPEAKER_AGENT], [len(t[1]) for t in turns]).tolist(), pa.string()).take(order)
-        offsets = pa.array(np.append(0, np.cumsum(sum(t[0] for t in turns))), pa.int32())
-        return [pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([*both, who], ["word", "start", "end", "speaker"]), mask=pc.or_(a[user[0]].is_null(), a[agent[0]].is_null()))]
+        offsets, both, unknown = _both(a, user, agent)
+        return [pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(both, ["word", "start", "end", "speaker"]), mask=unknown)]
 
     return with_waves(rows, f"{name} array<{ITEM[:-1]},speaker:string>>", [*user, *agent], run)
 
 
+def _both(a: dict[str, pa.Array], user: tuple, agent: tuple) -> tuple[pa.Array, list[pa.Array], pa.Array]:
+    """build_alignments() of many rows: (where each begins, [word, start, end, speaker], which have none)."""
+    turns = [timed(*(a[c] for c in turn)) for turn in (user, agent)]
+    of = np.concatenate([np.repeat(np.arange(len(t[0])), t[0]) for t in turns])
+    order = np.argsort(of, kind="stable")  # a row's words of the user, then those of the agent
+    both = [pa.concat_arrays([t[k] for t in turns]).take(pa.array(order)) for k in (1, 2, 3)]
+    who = pa.array([R.SPEAKER_USER, R.SPEAKER_AGENT]).take(pa.array((order >= len(turns[0][1])).astype(np.int8)))
+    offsets = pa.array(np.append(0, np.cumsum(sum(t[0] for t in turns))), pa.int32())
+    return offsets, [*both, who], pc.or_(a[user[0]].is_null(), a[agent[0]].is_null())
+
+
+def words_of(texts: pa.Array) -> pa.Array:
+    """tokenize_words() of many texts at once."""
+    runs = pc.split_pattern(pc.replace_substring_regex(pc.replace_substring_regex(texts, T.TAG, ""), "[^A-Za-z0-9']+", " "), " ")
+    flat, of = runs.flatten(), np.repeat(np.arange(len(runs)), pc.fill_null(pc.list_value_length(runs), 0).to_numpy())
+    word = pc.match_substring_regex(flat, "[A-Za-z0-9]")
+    counts = np.bincount(of[word.to_numpy(zero_copy_only=False)], minlength=len(runs))
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), flat.filter(word), mask=texts.is_null())
+
+
+AT_ONCE = 1 << 20  # bytes of text whose words are timed at once
+
+
+def with_alignments_text(rows: DataFrame, user: tuple[str, str, str], agent: tuple[str, str, str], name: str = "alignments") -> DataFrame:
+    """rows with alignments_text() of the columns named, (text, start, end) of each turn: texts go in and out, no lists of words."""
+    join = lambda *parts: pc.binary_join_element_wise(*parts, "", null_handling="replace", null_replacement="null")
+
+    def run(a):
+        a = a | {t[0]: words_of(a[t[0]]) for t in (user, agent)}
+        offsets, (word, start, end, who), unknown = _both(a, user, agent)
+        items = join("[", quoted(word), ",[", numbers(start), ",", numbers(end), "],", quoted(who), "]")
+        text = join("[", pc.binary_join(pa.ListArray.from_arrays(offsets, items), ","), "]")
+        return [pc.if_else(unknown, pa.scalar(None, pa.string()), text)]
+
+    def parts(a):
+        return cuts(sum(pc.fill_null(pc.binary_length(a[t[0]]), 0).to_numpy().astype(np.int64) for t in (user, agent)), AT_ONCE)
+
+    return with_waves(rows, f"{name} string", [*user, *agent], run, parts)
+
+
+def quoted(texts: pa.Array) -> pa.Array:
+    """Texts as JSON strings."""
+    odd = pc.match_substring_regex(texts, r'["\\\x00-\x1f]')
+    if pc.any(odd).as_py():
+        texts = pc.replace_with_mask(texts, odd, pa.array([json.dumps(x, ensure_ascii=False)[1:-1] for x in texts.filter(odd).to_pylist()], pa.string()))
+    return pc.binary_join_element_wise('"', texts, '"', "")
+
+
+def numbers(x: pa.Array) -> pa.Array:
+    """Doubles as JSON numbers; one that is not finite has none."""
+    return pc.if_else(pc.is_finite(x), x, pa.scalar(None, pa.float64())).cast(pa.string())
+
+
 VOICE = "struct<name:string,gender:string,path:string,text:string>"
 
 
-def sidecar(rate: int = 24_000, text_prompt: Column | None = None) -> Column:
+def alignments_text(alignments: Column) -> Column:
+    """Alignments as a JSON text: a list of mixed kinds, [word, [start, end], speaker], for each word."""
+    string = lambda x: F.rtrim(F.substr(F.to_json(F.array(x)), F.lit(2)), F.lit("]"))  # ["..."] without brackets; a quote ends it
+    item = lambda a: F.concat(F.lit("["), string(a["word"]), F.lit(",["), a["start"].cast("string"), F.lit(","), a["end"].cast("string"), F.lit("],"), string(a["speaker"]), F.lit("]"))
+    return F.concat(F.lit("["), F.array_join(F.transform(alignments, item), ","), F.lit("]"))
+
+
+def sidecar(rate: int = 24_000, text_prompt: Column | None = None, aligned: Column | None = None) -> Column:
     """The JSON record of a clip, from its columns.
 
     Columns: id, user_id, curr_emotion, res_emotion, topic, user_text, agent_text, alignments,
     user_start, user_end, agent_start, agent_end, gap_sec, pad_pre_sec, pad_post_sec,
     roomtone, roomtone_dbfs, user_path, agent_path, wav, agent_voice and user_voice (VOICE).
-    An alignment is a list of mixed kinds, [word, [start, end], speaker], hence text of its own;
-    fields without a value are null.
+    aligned: alignments_text(), if it is there already; then no column alignments is needed.
+    Fields without a value are null.
     """
     c, empty = F.col, lambda x: F.nullif(x, F.lit(""))
     turn = lambda i, who, role: F.struct(
@@ -110,10 +167,8 @@ def sidecar(rate: int = 24_000, text_prompt: Column | None = None) -> Column:
             T.tag_speech_pool(c("res_emotion"), c("agent_text"), F.concat("id", F.lit(":agent"))).alias("agent")).alias("tagged_text"),
         "wav", (c("agent_end") + c("pad_post_sec")).alias("duration"),
     )
-    quoted = lambda x: F.rtrim(F.substr(F.to_json(F.array(x)), F.lit(2)), F.lit("]"))  # ["..."] without brackets; a quote ends it
-    item = lambda a: F.concat(F.lit("["), quoted(a["word"]), F.lit(",["), a["start"].cast("string"), F.lit(","), a["end"].cast("string"), F.lit("],"), quoted(a["speaker"]), F.lit("]"))
-    aligned = F.concat(F.lit('{"alignments":['), F.array_join(F.transform("alignments", item), ","), F.lit("],"))
-    return F.concat(aligned, F.substring(F.to_json(record, {"ignoreNullFields": "false"}), F.lit(2), F.lit(1 << 30)))
+    text = alignments_text(c("alignments")) if aligned is None else aligned
+    return F.concat(F.lit('{"alignments":'), text, F.lit(","), F.substring(F.to_json(record, {"ignoreNullFields": "false"}), F.lit(2), F.lit(1 << 30)))
 
 
 def clip_timeline(user_n: Column, agent_n: Column, gap: Column, pre_n: Column, post_n: Column, rate: int) -> list[Column]:

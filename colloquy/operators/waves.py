@@ -40,18 +40,37 @@ def lists(rows: list, kind=np.float32) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(borders), pa.array(flat), mask=pa.array([r is None for r in rows], pa.bool_()))
 
 
-def with_waves(rows: DataFrame, schema: str, inputs: list[str], run: Callable[[dict[str, pa.Array]], list[pa.Array]]) -> DataFrame:
-    """rows with the columns of schema, which run gives for the Arrow arrays of the inputs, a batch at a time."""
+def cuts(sizes: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Runs of rows, from and to, whose sizes come to at most `most`; a larger row is a run of its own."""
+    upto, out, at = np.cumsum(sizes), [], 0
+    while at < len(upto):
+        end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + most, "right")))
+        out.append((at, end))
+        at = end
+    return out
+
+
+def with_waves(
+    rows: DataFrame, schema: str, inputs: list[str], run: Callable[[dict[str, pa.Array]], list[pa.Array]],
+    parts: Callable[[dict[str, pa.Array]], list[tuple[int, int]]] | None = None,
+) -> DataFrame:
+    """rows with the columns of schema, which run gives for the Arrow arrays of the inputs, a batch at a time.
+
+    parts tells the runs of rows of a batch that are to be taken one by one.
+    """
     added = T.StructType.fromDDL(schema)
     kept = [c for c in rows.columns if c not in added.names]
-    given = rows.select(*[f"`{c}`" for c in kept], *[F.col(f"`{c}`").alias(f"_in{k}") for k, c in enumerate(inputs)])
+    own = {c: f"_in{k}" for k, c in enumerate(inputs) if c not in kept}  # the others are sent once, as kept columns
+    given = rows.select(*[f"`{c}`" for c in kept], *[F.col(f"`{c}`").alias(k) for c, k in own.items()])
     out = T.StructType([*rows.select(*[f"`{c}`" for c in kept]).schema, *added])
     kinds = [to_arrow_type(f.dataType) for f in added]
 
     def batches_of(batches):
-        for batch in batches:
-            got = run({c: batch.column(f"_in{k}") for k, c in enumerate(inputs)})
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *(x if x.type == kind else x.cast(kind) for x, kind in zip(got, kinds))], out.names)
+        for whole in batches:
+            for s, e in parts({c: whole.column(own.get(c, c)) for c in inputs}) if parts else [(0, whole.num_rows)]:
+                batch = whole.slice(s, e - s) if parts else whole
+                got = run({c: batch.column(own.get(c, c)) for c in inputs})
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *(x if x.type == kind else x.cast(kind) for x, kind in zip(got, kinds))], out.names)
 
     return given.mapInArrow(batches_of, out)
 

@@ -178,18 +178,22 @@ def word_timings(spark, d):
     return out.select("pair_id", (F.col("p") + 1).cast("long").alias("pos"), "w.word", F.round("w.start", 6).alias("start_sec"), F.round("w.end", 6).alias("end_sec"))
 
 
-def _turns(pairs, *roles):
-    """pairs with the words and times of the turns asked for."""
+def _turns(pairs, *roles, words=True):
+    """pairs with the words, if asked for, and times of the turns."""
     end = lambda least, step: F.lit(least) + F.col("turn") * step
     times = {"user": (F.lit(0.37), end(0.531371719317, 1.271828182845)), "agent": (end(1.013171319713, 1.271828182845), end(4.031317319719, 1.513171917131))}
     for r in roles:
-        pairs = pairs.withColumn(f"{r}_words", T.tokenize_words(F.col(f"{r}_text"))).withColumn(f"{r}_start", times[r][0]).withColumn(f"{r}_end", times[r][1])
+        pairs = pairs.withColumn(f"{r}_start", times[r][0]).withColumn(f"{r}_end", times[r][1])
+        if words:
+            pairs = pairs.withColumn(f"{r}_words", T.tokenize_words(F.col(f"{r}_text")))
     return pairs
 
 
-def _aligned(spark, d):
-    names = lambda r: (f"{r}_words", f"{r}_start", f"{r}_end")
-    return L.with_alignments(_turns(view(spark, d, "fx_pairs"), "user", "agent"), names("user"), names("agent"))
+def _aligned(spark, d, text=False):
+    """Pairs with the alignments of both turns, as a list of words or as its JSON text."""
+    names = lambda r: (f"{r}_text" if text else f"{r}_words", f"{r}_start", f"{r}_end")
+    how = L.with_alignments_text if text else L.with_alignments
+    return how(_turns(view(spark, d, "fx_pairs"), "user", "agent", words=not text), names("user"), names("agent"))
 
 
 @query(f"""select key as pair_id, case when speaker = 'SPEAKER_BROKER' then pos + u else pos end as pos, word, round(start_sec, 6) as start_sec, round(end_sec, 6) as end_sec, speaker
@@ -218,7 +222,7 @@ _SIDECARS = f"""(select r.id, user_id, topic, curr_emotion, res_emotion, concat(
 def sidecars(spark, d):
     """id and JSON record of every pair."""
     c, lit = F.col, F.lit
-    rows = _aligned(spark, d).select(
+    rows = _aligned(spark, d, text=True).select(
         c("pair_id").alias("id"), F.concat(lit("u"), c("conv_id").cast("string")).alias("user_id"), c("curr").alias("curr_emotion"), c("res").alias("res_emotion"),
         F.concat(lit("topic "), (c("turn") % 9).cast("string")).alias("topic"), "user_text", "agent_text", "alignments", lit(0.37).alias("user_start"), (0.531371719317 + c("turn") * 1.271828182845).alias("user_end"),
         (1.013171319713 + c("turn") * 1.271828182845).alias("agent_start"), (4.031317319719 + c("turn") * 1.513171917131).alias("agent_end"), lit(0.2).alias("gap_sec"), lit(0.37).alias("pad_pre_sec"),
@@ -227,7 +231,7 @@ def sidecars(spark, d):
         F.concat(lit("/turns/"), "pair_id", lit("_agent.wav")).alias("agent_path"), F.concat(lit("/stereo/"), "pair_id", lit(".wav")).alias("wav"),
         F.when(c("turn") % 2 == 0, F.struct(lit("Ann"), lit("F"), lit("/voices/ann.wav"), lit("said"))).otherwise(F.struct(lit(""), lit("F"), lit(""), lit("said"))).cast(L.VOICE).alias("agent_voice"),
         F.struct(lit("Bob"), lit("M"), lit("/voices/bob.wav"), lit("told")).cast(L.VOICE).alias("user_voice"))
-    return rows.select("id", L.sidecar().alias("sidecar"))
+    return rows.select("id", L.sidecar(aligned=c("alignments")).alias("sidecar"))
 
 
 def sidecar_fields(records):

@@ -6,13 +6,20 @@ any store that Spark knows will do.
 
 from __future__ import annotations
 
+import json
+import math
+
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colloquy.functions import text as T
 from colloquy.operators import audio as A
 from colloquy.operators import clips as C
+from colloquy.operators.waves import cuts
 from colloquy.sources.files import read_files, write_files
 from colloquy.sources.scratch import materialize
 
@@ -21,7 +28,8 @@ DIALOGUES = "id string, user_id string, curr_emotion string, res_emotion string,
 VOICES = "speakers array<struct<id:string,wav:string,text:string,gender:string>>"
 SIDECAR = (
     "id string, user_id string, text_prompt string, voice_prompt string, duration double, sample_rate int, "
-    "alignments array<array<string>>, styletalk struct<curr_emotion:string,res_emotion:string,topic:string,user_id:string>, "
+    "alignments string, "
+    "styletalk struct<curr_emotion:string,res_emotion:string,topic:string,user_id:string>, "
     "turns array<struct<index:int,speaker:string,start:double,end:double,text:string,role:string,path:string>>, "
     "context_injections array<struct<frame_offset:int,text:string>>, gap_sec double, pad_pre_sec double, pad_post_sec double, "
     "user_roomtone string, user_roomtone_dbfs double, aligner string, channel_layout struct<left:string,right:string>, "
@@ -109,10 +117,90 @@ def _parsed(texts: DataFrame) -> DataFrame:
 
 def records(out: DataFrame) -> DataFrame:
     """Parsed sidecars with flat alignments; those that are no JSON are not readable and last 0.0."""
-    # a pair of numbers as JSON text: splitting it costs less than a parser for each word
-    times = F.transform("alignments", lambda a: F.struct(a[0].alias("word"), F.split(F.btrim(a[1], F.lit("[] ")), " *, *").try_cast("array<double>").alias("t"), a[2].alias("speaker")))
-    flat = F.transform(times, lambda a: F.struct(a["word"].alias("word"), a["t"][0].alias("start"), a["t"][1].alias("end"), a["speaker"].alias("speaker")))
-    return out.withColumn("readable", F.col("_corrupt").isNull()).withColumn("duration", F.coalesce("duration", F.lit(0.0))).withColumn("alignments", flat).drop("_corrupt")
+    @F.arrow_udf(f"array<{ALIGNMENT}>")
+    def aligned(texts: pa.Array) -> pa.Array:
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)
+        return pa.concat_arrays([pa.array([], _ALIGNMENTS), *(_aligned(texts.slice(s, e - s)) for s, e in cuts(sizes, AT_ONCE))])
+
+    out = out.withColumn("_flat", aligned("alignments"))
+    whole = F.col("_corrupt").isNull() & (F.col("alignments").isNull() | F.col("_flat").isNotNull())
+    return out.withColumn("readable", whole).withColumn("duration", F.coalesce("duration", F.lit(0.0))).withColumn("alignments", F.col("_flat")).drop("_corrupt", "_flat")
+
+
+ALIGNMENT = "struct<word:string,start:double,end:double,speaker:string>"
+_ALIGNMENT = pa.struct([("word", pa.string()), ("start", pa.float64()), ("end", pa.float64()), ("speaker", pa.string())])
+_ALIGNMENTS = pa.list_(_ALIGNMENT)
+AT_ONCE = 4 << 20  # bytes of text parsed at once
+
+
+def _aligned(texts: pa.Array) -> pa.Array:
+    """Lists of [word, [start, end], speaker] from their JSON texts; null for a text that is no list of lists."""
+    plain = _plain(texts)
+    if plain is not None:
+        return plain
+    lists = [None if t is None else _loaded(t) for t in texts.to_pylist()]
+    return pa.array([None if x is None else [_alignment(a) for a in x] for x in lists], _ALIGNMENTS)
+
+
+def _plain(texts: pa.Array) -> pa.Array | None:
+    """_aligned() of texts without white space and escapes, all at once by their quotes; None if one of them is of another form."""
+    if pc.any(pc.match_substring(texts, "\\")).as_py():
+        return None
+    parts = pc.split_pattern(texts, '"')  # of a word: [[ or ],[ then the word, its times, its speaker
+    sizes = pc.fill_null(pc.list_value_length(parts), 0).to_numpy()
+    if (sizes[sizes > 0] % 4 != 1).any():
+        return None
+    flat, of = parts.flatten(), np.repeat(sizes, sizes)
+    at = np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    pick = lambda x, where: x.take(pa.array(np.flatnonzero(where)))
+    between = at % 4 == 0
+    want = np.select([of == 1, at == 0, at == of - 1], [0, 1, 2], 3)[between]
+    if not pick(flat, between).equals(pa.array(["[]", "[[", "]]", "],["]).take(pa.array(want))):
+        return None
+    word, times, speaker = (pick(flat, at % 4 == k) for k in (1, 2, 3))
+    if pc.any(pc.not_equal(pc.count_substring(times, ","), 3)).as_py():
+        return None
+    cut = pc.split_pattern(times, ",").flatten()
+    before, start, end, after = (cut.take(pa.array(np.arange(k, len(cut), 4))) for k in range(4))
+    bare = pc.utf8_ltrim(start, "["), pc.utf8_rtrim(end, "]")
+    rest = [before, after, *(pc.subtract(pc.binary_length(x), pc.add(pc.binary_length(y), 1)) for x, y in zip((start, end), bare))]
+    if any(pc.any(pc.not_equal(x, "" if k < 2 else 0)).as_py() for k, x in enumerate(rest)):
+        return None
+    try:
+        seconds = [x.cast(pa.float64()) for x in bare]
+    except pa.ArrowInvalid:  # null, or no number
+        return None
+    if not all(pc.all(pc.is_finite(x)).as_py() for x in seconds):
+        return None
+    offsets = pa.array(np.append(0, np.cumsum(sizes // 4)), pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([word, *seconds, speaker], fields=list(_ALIGNMENT)), mask=texts.is_null())
+
+
+def _loaded(text: str) -> list | None:
+    try:
+        x = json.loads(text)
+    except (ValueError, RecursionError):
+        return None
+    return x if type(x) is list and all(a is None or type(a) is list for a in x) else None
+
+
+def _alignment(a: list | None) -> tuple:
+    """One alignment of any kinds: texts of what is no text, null for what is no number or not there."""
+    word, times, speaker = [*(a or []), None, None, None][:3]
+    if isinstance(times, str):
+        times = [_number(x) for x in times.strip("[] ").split(",")]
+    start, end = [*(times if type(times) is list else [times]), None, None][:2]
+    text = lambda x: x if x is None or isinstance(x, str) else json.dumps(x, ensure_ascii=False, separators=(",", ":"))
+    second = lambda x: _number(x) if type(x) in (int, float) else None
+    return text(word), second(start), second(end), text(speaker)
+
+
+def _number(x) -> float | None:
+    try:
+        y = float(x)
+    except (ValueError, OverflowError):
+        return None
+    return y if math.isfinite(y) else None
 
 
 def read_manifests(spark: SparkSession, path: str) -> DataFrame:

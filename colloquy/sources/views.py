@@ -72,8 +72,8 @@ def _names(sql: str) -> list[str]:
 
 
 #: Tables whose few bytes become many rows in a view, with the columns that it reads and the rows of one task: a file of a
-#: single row group would be one task.
-SPREAD = {"fx_clips": ("customer", ("c_custkey",), 4096)}
+#: single row group would be one task, and adaptive execution, which goes by bytes, would leave few.
+SPREAD = {"fx_clips": ("customer", ("c_custkey",), 4096), "fx_pairs": ("conversations", ("conv_id", "turn", "role", "text"), 4096)}
 
 
 def spread(rows: DataFrame, per_task: int, key: str) -> DataFrame:

@@ -103,3 +103,45 @@ def test_sidecar_files_are_read_whole(spark, tmp_path):
 def test_sidecars_time_words_in_batches(spark, name):
     text = plan(entry.queries()[name](spark, D))
     assert "MapInArrow" in text and r'\{"x":' not in text
+
+
+def test_sidecar_text_is_made_and_read_in_batches(spark, monkeypatch):
+    import json
+
+    import pyarrow as pa
+
+    from colloquy.functions import text as T
+    from colloquy.operators import timeline as L
+    from colloquy.sources import io as IO
+    from colloquy.sources import views
+
+    texts = ["It's <|laugh|>a 'test' '' — ok?", "", None, "<|x|>''' ' '' a''b 'c", "one\ntwo <|a\nb|>three|> é9"]
+    rows = spark.createDataFrame([(k, x, 0.0, 2.5, y, 3.0, None if k == 4 else 5.0) for k, (x, y) in enumerate(zip(texts, reversed(texts)))], "k int, u string, us double, ue double, a string, s double, e double").coalesce(1)
+    c = F.col
+    words = rows.select("k", T.tokenize_words(c("u")).alias("w")).orderBy("k").collect()
+    assert [r.w for r in words] == L.words_of(pa.array(texts)).to_pylist() == L.words_of(pa.array(["x", *texts])[1:]).to_pylist()
+    want = {r.k: r.x for r in rows.where("k < 4").select("k", L.build_alignments((T.tokenize_words(c("u")), c("us"), c("ue")), (T.tokenize_words(c("a")), c("s"), c("e"))).alias("x")).collect()}
+    got = {r.k: r.x for r in L.with_alignments_text(rows, ("u", "us", "ue"), ("a", "s", "e"), "x").collect()}
+    for k, x in want.items():
+        assert (got[k] is None) == (x is None) and (x is None or [[w, *t, s] for w, t, s in json.loads(got[k])] == [[w.word, pytest.approx(w.start), pytest.approx(w.end), w.speaker] for w in x])
+    assert [w for w, _, _ in json.loads(got[4])] == [*words[4].w, "It's", "a", "'test'", "ok"]  # a turn without an end loses no word
+    assert L.quoted(pa.array(['a"b', "\\", None, "\n\x01", "é"])).to_pylist() == ['"a\\"b"', '"\\\\"', None, '"\\n\\u0001"', '"é"']
+    assert L.numbers(pa.array([1.5, float("inf"), None])).to_pylist() == ["1.5", None, None]
+
+    plain = ["[]", None, '[["a",[0.5,1e-7],"S"],["é",[-0.0,2],"T"]]']
+    odd = ['[["a",[0],"S"]]', '[["a",[0,1],"S",2]]', '[["a"]]', '[[["a"],[0,1,2],"S"]]', '[["a",[null,1],null],null]', '[["a\\"",[0,1],"S"]]', '[["a","0.1, 2","S"]]', '[["a", [0,1],"S"]]', "5", '{"a":["b",[0,1],"c"]}', '["a","b","c"]', '[["a",[1e400,1],"S"]]']
+    assert IO._plain(pa.array(plain)) is not None and all(IO._plain(pa.array([x])) is None for x in odd)
+    slow = pa.array([None if x is None else [IO._alignment(a) for a in IO._loaded(x)] for x in plain], IO._ALIGNMENTS)
+    assert IO._plain(pa.array(plain)).equals(slow) and IO._aligned(pa.array([*plain, '[["\\u0061",[0.5,1],"S"]]'])).to_pylist()[:3] == slow.to_pylist()
+    assert IO._plain(pa.array(["x", *plain])[1:]).equals(slow)
+    lines = spark.createDataFrame([(k, '{"id":"%d","duration":1.5,"alignments":%s}' % (k, x)) for k, x in enumerate(odd)], "k int, value string")
+    read = {int(r.id): r for r in IO._parsed(lines).collect()}
+    first = [None if r.alignments is None else tuple(r.alignments[0]) for _, r in sorted(read.items())]
+    assert first == [("a", 0.0, None, "S"), ("a", 0.0, 1.0, "S"), ("a", None, None, None), ('["a"]', 0.0, 1.0, "S"), ("a", None, 1.0, None), ('a"', 0.0, 1.0, "S"), ("a", 0.1, 2.0, "S"), ("a", 0.0, 1.0, "S"), None, None, None, ("a", None, 1.0, "S")]
+    assert [k for k, r in sorted(read.items()) if not r.readable] == [8, 9, 10] and all(r.duration == 1.5 for r in read.values())
+
+    monkeypatch.setitem(views.SPREAD, "fx_pairs", (*views.SPREAD["fx_pairs"][:2], 16))  # tasks by rows: adaptive execution goes by bytes and leaves few
+    for name in ("build_sidecar", "write_sidecars"):
+        text = plan(entry.queries()[name](spark, D))
+        assert "ArrowEvalPython" in text and "try_cast" not in text and "to_json(array(" not in text
+    assert "REPARTITION_BY_NUM" in plan(entry.queries()["build_sidecar"](spark, D))
